@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dialogue_etl.plans import line_queries, page_queries, scalar, shared  # noqa: F401  (the modules register their queries)
+
 
 def queries() -> dict:
-    return {}
+    return dict(shared.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(shared.SQL)
