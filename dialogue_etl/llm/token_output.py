@@ -8,6 +8,7 @@ plus the sums of the files before it.
 
 from __future__ import annotations
 
+import contextlib
 import re
 import uuid
 import zlib
@@ -21,39 +22,81 @@ from pyspark.sql import functions as F
 from dialogue_etl.llm.common import materialize, note_scratch, scratch_dir
 
 END_ID = 0
-#: Distinct pieces whose ids one task keeps; the cache starts anew beyond it.
-CACHE_PIECES = 300_000
+#: Distinct chunks whose ids one worker keeps, about 200 bytes each; the cache starts anew beyond it.
+CACHE_CHUNKS = 300_000
+TEXTS_AT_ONCE = 256
+#: Rows that one Arrow batch holds while texts and ids pass to and from the tasks.
+BATCH_ROWS = 1000
 #: Characters on which the pattern below and the tokenizer's own agree: ASCII but its rarer controls, and Latin letters.
-PLAIN = re.compile("[^\\n\\t\\x20-\\x7eÀ-ÖØ-öø-ſ]")
+ODD = re.compile("[^\\n\\x20-\\x7eÀ-ÖØ-öø-ſ]")
+#: White space that isn't one space or one line feed between words.
+RUNS = ("  ", "\n\n", " \n", "\n ")
 #: The byte-level BPE's public splitting pattern, for the standard library's re.
 PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+WORD = re.compile(r" [^\W\d_]+")
 SPECIAL = "<|endoftext|>"
 
 
-def _encoded(path: str):
-    """Tokenizes every text; pieces repeat far more often than texts, so each piece is encoded once a task."""
+class Encoder:
+    """Ids of texts as bytes. Chunks between single spaces and line feeds are split and merged independently of
+    each other, and repeat far more often than texts, so each is encoded once and looked up from then on."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        end = np.array([END_ID], "<u4").tobytes()
-        cache: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.after_space: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {"": b""}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pieces(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of single pieces. Words that start with a space are joined: their borders stay borders."""
+        words = [p for p in new if WORD.fullmatch(p)]
+        others = [p for p in new if not WORD.fullmatch(p)]
+        out = dict(zip(others, self.whole(others)))
+        for k in range(0, len(words), 500):
+            part = words[k : k + 500]
+            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            ids, ends = np.array(e.ids, "<u4"), np.searchsorted(np.array(e.word_ids), np.arange(1, len(part) + 1))
+            raw = ids.tobytes()
+            out.update((p, raw[4 * a : 4 * z]) for p, a, z in zip(part, [0, *ends], ends))
+        return out
+
+    def learn(self, spaced: set[str], plain: set[str]) -> None:
+        if len(self.after_space) + len(self.plain) > CACHE_CHUNKS:
+            self.after_space.clear()
+            self.plain = {"": b""}
+        split = {" " + w: PIECES.findall(" " + w) for w in spaced.difference(self.after_space)} | {w: PIECES.findall(w) for w in plain.difference(self.plain)}
+        known = self.pieces(list({p for ps in split.values() for p in ps}))
+        for chunk, ps in split.items():
+            ids = b"".join([known[p] for p in ps])
+            if chunk[:1] == " ":
+                self.after_space[chunk[1:]] = ids
+            else:
+                self.plain[chunk] = ids
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        simple = [not ODD.search(x) and not any(r in x for r in RUNS) and x.strip() == x and SPECIAL not in x for x in texts]
+        lines = [[line.split(" ") for line in x.split("\n")] if s else [] for x, s in zip(texts, simple)]
+        self.learn(set().union(*(w[1:] for ls in lines for w in ls)), {w[0] for ls in lines for w in ls} | {"\n"})
+        odd = iter(self.whole([x for x, s in zip(texts, simple) if not s]))
+        plain, spaced, feed = self.plain, self.after_space.__getitem__, self.plain["\n"]
+        return [feed.join([plain[w[0]] + b"".join(map(spaced, w[1:])) for w in ls]) if s else next(odd) for ls, s in zip(lines, simple)]
+
+
+_encoders: dict[str, Encoder] = {}
 
-        def ids(texts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+def _encoded(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _encoders.setdefault(path, Encoder(path)) if path not in _encoders else _encoders[path]
+        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                texts = [x or "" for x in part.column("text").to_pylist()]
-                split = [PIECES.findall(x) if not PLAIN.search(x) and SPECIAL not in x else None for x in texts]
-                if len(cache) > CACHE_PIECES:
-                    cache.clear()
-                new = list({p for pieces in split if pieces for p in pieces if p not in cache})
-                cache.update(zip(new, ids(new)))
-                odd = iter(ids([x for x, pieces in zip(texts, split) if pieces is None]))
-                rows = [(b"".join(map(cache.__getitem__, pieces)) if pieces is not None else next(odd)) + end for pieces in split]
+            for a in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(a, TEXTS_AT_ONCE)
+                rows = [x + end for x in encode([x or "" for x in part.column("text").to_pylist()])]
                 ends = np.cumsum([0] + [len(r) // 4 for r in rows])
                 tokens = pa.array(np.frombuffer(b"".join(rows), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens)], names=["doc_id", "tokens"])
@@ -61,6 +104,18 @@ def _encoded(path: str):
     return run
 
 
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_ROWS rows for the writes inside; the session's own setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Writes ORC files of (doc_id, tokens) in ascending order of the id, each document ended by id 0.
 
@@ -69,7 +124,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     out = rows.mapInArrow(_encoded(tokenizer), "doc_id long, tokens array<int>")
-    out.write.option("compression", "zstd").option("orc.create.index", "true").option("orc.row.index.stride", "1000").option("orc.stripe.size", str(16 << 20)).option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path)
+    with _small_batches(docs.sparkSession):
+        out.write.option("compression", "zstd").option("orc.create.index", "true").option("orc.row.index.stride", "1000").option("orc.stripe.size", str(16 << 20)).option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path)
     return path
 
 
@@ -94,7 +150,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     Files follow each other in the id's order. The sums of the files are one short row a file.
     """
     rows = read_tokens(spark, path).withColumn("chunk", F.regexp_extract(F.input_file_name(), "part-(\\d+)", 1).cast("int"))
-    rows = materialize(rows.select("doc_id", "chunk", "tokens").mapInArrow(_checked, "doc_id long, chunk int, n_tokens long, ids_crc32 long"), "token-index")
+    with _small_batches(spark):
+        rows = materialize(rows.select("doc_id", "chunk", "tokens").mapInArrow(_checked, "doc_id long, chunk int, n_tokens long, ids_crc32 long"), "token-index")
     sums = rows.groupBy("chunk").agg(F.sum("n_tokens").alias("n"))
     offsets = sums.select("chunk", F.coalesce(F.sum("n").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("chunk").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
