@@ -5,10 +5,11 @@ bin, later rounds only matter for bins that are still empty, and rounds T..2T-1
 r - T, so every coordinate is filled and estimates keep Chernoff-like concentration. Bands of coordinates
 find candidates, full sets confirm them.
 
-Texts with equal sets are one class from the start. A class is compared with the smallest class of each of
-its band buckets (a star); afterwards only buckets that still hold several components are compared pair by
-pair across components. Links inside one component cannot change any answer, so no component is lost and a
-large group costs a star, not all its pairs.
+Texts with equal sets are one class from the start. A class is compared first with one class that it shares a
+bucket with, the one with most such neighbours (a star's centre; in a group of edits mostly their original).
+Afterwards only buckets that still hold several components are compared pair by pair across components, each
+pair in its first common bucket. Links inside one component cannot change any answer, so no component is
+lost and a large group costs a star, not all its pairs.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from dialogue_etl.llm.textkit import mix, shingle_sets, slices
 
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
-#: A pair whose share of equal coordinates is this far below the threshold is given up: five standard
-#: deviations of the estimate at the threshold, sqrt(0.8 * 0.2 / 160) = 0.032 each.
-SLACK = 0.16
+#: A pair whose share of equal coordinates is this far below the threshold is given up. One standard deviation of
+#: the estimate at the threshold is 0.025 as measured (coordinates are drawn without replacement; independent
+#: ones would have 0.032), so a true pair is given up less than once in a million.
+SLACK = 0.125
 #: Members of one star that are verified in one task.
 STAR_ROWS = 512
 
@@ -94,47 +96,56 @@ def _verified(width: int, percent: int):
         centre, centre_of = np.zeros(0, np.uint64), None
         for batch in batches:
             star, role, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("star", "role", "id"))
-            a_out, b_out = [], []
+            a_out, b_out, far, linked = [], [], [], []
             for a, z, data, ends in slices(batch.column("text")):
                 s, at = shingle_sets(data, ends, width)
                 for k in range(a, z):
                     own = s[at[k - a] : at[k - a + 1]]
                     if role[k] == 0:
                         centre, centre_of = own.copy(), star[k]
-                    elif star[k] == centre_of:
+                    elif star[k] == centre_of and len(own):
                         small, large = (own, centre) if len(own) <= len(centre) else (centre, own)
-                        if not len(small) or 100 * len(small) < percent * len(large):
-                            continue
                         spot = np.searchsorted(large, small)
                         spot[spot == len(large)] = 0
                         both = int((large[spot] == small).sum())
-                        if 100 * both >= percent * (len(own) + len(centre) - both):
-                            a_out.append(ids[k])
-                            b_out.append(star[k])
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+                        either = len(own) + len(centre) - both
+                        a_out.append(ids[k])
+                        b_out.append(star[k])
+                        far.append(1 - both / either)
+                        linked.append(100 * both >= percent * either)
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(far, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "far", "linked"])
 
     return run
 
 
-def _across(threshold: float):
-    """Candidate pairs of different components inside each bucket, by the share of equal coordinates."""
+def _across(threshold: float, most_far: float):
+    """Candidate pairs of different components inside each bucket, by the share of equal coordinates.
+
+    A pair comes from its first common band only. Where both have been measured against the same centre, a
+    difference of their distances from it beyond most_far rules the pair out: the distance is a metric.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches, ["band", "key", "blk_i", "blk_j"]):
-            columns = {c: table.column(c).to_numpy() for c in ("band", "key", "blk_i", "blk_j", "blk", "id", "component")}
+        names = ["band", "key", "blk_i", "blk_j"]
+        for table in whole_runs(batches, names):
+            columns = {c: table.column(c).to_numpy() for c in (*names, "blk", "id", "component", "centre", "far")}
             marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            starts = run_starts([columns[c] for c in ("band", "key", "blk_i", "blk_j")])
+            bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            starts = run_starts([columns[c] for c in names])
             found_a, found_b = [], []
             for a, z in zip(starts, [*starts[1:], len(marks)]):
-                ids, comp, blk, m = (columns["id"][a:z], columns["component"][a:z], columns["blk"][a:z], marks[a:z])
+                ids, comp, blk, centre, far = (columns[c][a:z] for c in ("id", "component", "blk", "centre", "far"))
+                m, keys, band = marks[a:z], bands[a:z], columns["band"][a]
                 split = columns["blk_i"][a] != columns["blk_j"][a]
                 for k in range(len(ids)):
                     other = (comp != comp[k]) & (ids > ids[k])
                     if split:
                         other &= blk != blk[k]
+                    other &= ~((centre == centre[k]) & (np.abs(far - far[k]) > most_far))
                     other = np.flatnonzero(other)
-                    if len(other):
-                        good = other[(m[other] == m[k]).mean(axis=1) >= threshold]
+                    other = other[(m[other] == m[k]).mean(axis=1) >= threshold]
+                    good = other[(keys[other] == keys[k]).argmax(axis=1) == band]
+                    if len(good):
                         found_a.append(np.full(len(good), ids[k]))
                         found_b.append(ids[good])
             a = np.concatenate([np.zeros(0, np.int64), *found_a])
@@ -145,14 +156,15 @@ def _across(threshold: float):
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, star) whose full sets reach the threshold; each star is verified in parts of bounded size."""
+    """The pairs (a, star) with their distance and whether their full sets reach the threshold; each star is
+    verified in parts of bounded size."""
     parts = pairs.groupBy("star").count().select("star", F.ceil(F.col("count") / STAR_ROWS).cast("int").alias("parts"))
     parts = materialize(parts, f"{name}-stars")
     members = pairs.join(parts, "star").select("star", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("a").alias("id"))
     centres = parts.select("star", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("star").alias("id"))
     rows = members.unionByName(centres).join(texts, "id")
     rows = rows.repartition("star", "part").sortWithinPartitions("star", "part", "role")
-    out = materialize(rows.select("star", "role", "id", "text").mapInArrow(_verified(width, percent), "a long, b long"), f"{name}-links")
+    out = materialize(rows.select("star", "role", "id", "text").mapInArrow(_verified(width, percent), "a long, b long, far double, linked boolean"), f"{name}-links")
     drop(parts)
     return out
 
@@ -174,29 +186,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = materialize(with_id.join(classes, (with_id.digest == classes.digest) & (with_id.id == classes.class_id), "left_semi").dropDuplicates(["id", "digest"]).select("id", "bands", "marks"), "mh-reps")
 
     banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
-    buckets = materialize(banded.groupBy("band", "key").agg(F.min("id").alias("star"), F.count("*").alias("bucket_size")).filter("bucket_size > 1"), "mh-buckets")
-    stars = banded.join(buckets, ["band", "key"]).filter("id <> star").select(F.col("id").alias("a"), "star").distinct()
+    buckets = materialize(banded.groupBy("band", "key").agg(F.count("*").alias("bucket_size")).filter("bucket_size > 1"), "mh-buckets")
+    shared = materialize(banded.join(buckets, ["band", "key"]), "mh-shared")
+    # The member with most neighbours leads a bucket; each class takes the leader with most of all its buckets.
+    known = materialize(shared.groupBy("id").agg(F.sum("bucket_size").alias("known")), "mh-known")
+    leads = shared.join(known, "id").groupBy("band", "key").agg(F.max(F.struct("known", (-F.col("id")).alias("minus"))).alias("lead"))
+    stars = shared.join(materialize(leads, "mh-leads"), ["band", "key"]).groupBy("id").agg(F.max("lead").alias("lead"))
+    stars = materialize(stars.select(F.col("id").alias("a"), (-F.col("lead.minus")).alias("star")).filter("a <> star"), "mh-stars")
     marks_a = reps.select(F.col("id").alias("a"), F.col("marks").alias("marks_a"))
     marks_b = reps.select(F.col("id").alias("star"), F.col("marks").alias("marks_b"))
-    stars = materialize(stars, "mh-stars")
-    kept = stars.join(marks_a, "a").join(marks_b, "star").mapInArrow(_alike(percent / 100 - SLACK), "a long, star long")
-    stars2 = materialize(kept, "mh-alike")
-    links = _confirm(stars2, texts, width, percent, "mh-round1")
-    drop(stars)
-    drop(stars2)
-    comps = materialize(connected_components(links, "mh-cc1"), "mh-comps1")
+    near = materialize(stars.join(marks_a, "a").join(marks_b, "star").select("a", "star", "marks_a", "marks_b").mapInArrow(_alike(percent / 100 - SLACK), "a long, star long"), "mh-alike")
+    measured = _confirm(near, texts, width, percent, "mh-round1")
+    comps = materialize(connected_components(measured.filter("linked").select("a", "b"), "mh-cc1"), "mh-comps1")
 
     # Buckets that still hold several components: their pairs across components, by blocks.
-    placed = reps.join(comps, reps.id == comps.node, "left").select("id", "bands", F.coalesce("component", "id").alias("component"))
-    placed = placed.select("id", "component", F.posexplode("bands").alias("band", "key"))
+    centres = measured.select(F.col("b").alias("id")).distinct()
+    far = measured.select(F.col("a").alias("id"), F.col("b").alias("centre"), "far").join(centres, "id", "left_anti").unionByName(centres.select("id", F.col("id").alias("centre"), F.lit(0.0).alias("far")))
+    placed = shared.join(comps, shared.id == comps.node, "left").select("id", "band", "key", F.coalesce("component", "id").alias("component"))
+    placed = materialize(placed, "mh-placed")
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("bucket_size")).filter("low <> high").drop("low", "high")
     mixed = materialize(mixed, "mh-mixed")
-    rows = block_rows(placed, mixed, ["band", "key"], "id").join(reps.select("id", "marks"), "id")
-    rows = rows.repartition("band", "key", "blk_i", "blk_j").sortWithinPartitions("band", "key", "blk_i", "blk_j")
-    more = rows.mapInArrow(_across(percent / 100 - SLACK), "a long, b long").distinct().select(F.col("b").alias("a"), F.col("a").alias("star"))
+    rows = block_rows(placed, mixed, ["band", "key"], "id").join(reps.select("id", "bands", "marks"), "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
+    order = ["band", "key", "blk_i", "blk_j"]
+    rows = rows.repartition(*order).sortWithinPartitions(*order)
+    more = rows.mapInArrow(_across(percent / 100 - SLACK, 1 - percent / 100 + 1e-9), "a long, b long").select(F.col("b").alias("a"), F.col("a").alias("star"))
     more = materialize(more, "mh-across")
-    late = _confirm(more, texts, width, percent, "mh-round2")
-    drop(more)
+    late = _confirm(more, texts, width, percent, "mh-round2").filter("linked")
+    for used in (buckets, shared, known, stars, near, placed, mixed):
+        drop(used)
     named_a = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     named_b = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     joined = late.join(named_a, "a", "left").join(named_b, "b", "left")
