@@ -138,9 +138,9 @@ def op6_warc_archive(spark, sf_dir: str) -> DataFrame:
 SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
 q AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, h, max(page_id) OVER (PARTITION BY body) AS top FROM p),
-k AS (SELECT *, list_transform(range(0, 40), i -> strpos('0123456789abcdef', substr(h, CAST(i + 1 AS INTEGER), 1)) - 1) AS x FROM q),
-b AS (SELECT *, list_transform(range(0, 32), i -> CAST((x[CAST(5 * i // 4 AS INTEGER) + 1] * 16 + coalesce(x[CAST(5 * i // 4 AS INTEGER) + 2], 0)) // CAST(pow(2, 3 - (5 * i) % 4) AS INTEGER) % 32 AS INTEGER)) AS v FROM k)
-SELECT page_id, payload_bytes, array_to_string(list_transform(v, d -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', d + 1, 1)), '') AS payload_digest,
+k AS (SELECT *, list_transform(range(0, 40), lambda i: strpos('0123456789abcdef', substr(h, CAST(i + 1 AS INTEGER), 1)) - 1) AS x FROM q),
+b AS (SELECT *, list_transform(range(0, 32), lambda i: CAST((x[CAST(5 * i // 4 AS INTEGER) + 1] * 16 + coalesce(x[CAST(5 * i // 4 AS INTEGER) + 2], 0)) // CAST(pow(2, 3 - (5 * i) % 4) AS INTEGER) % 32 AS INTEGER)) AS v FROM k)
+SELECT page_id, payload_bytes, array_to_string(list_transform(v, lambda d: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', d + 1, 1)), '') AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b
 """
