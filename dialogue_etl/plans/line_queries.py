@@ -100,7 +100,7 @@ def f1(spark, sf):
     return D.extract_dialogue(typed(spark, sf), ["user"])
 
 
-@query("f2_dialogue_pipeline", TRANSCRIPT + "SELECT version, speaker, count(*) AS n, sum(length(text)) AS chars FROM (SELECT '3.' || (conv_id % 8) AS version, speaker, text FROM said) GROUP BY version, speaker")
+@query("f2_dialogue_pipeline", TRANSCRIPT + "SELECT version, speaker, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM (SELECT '3.' || (conv_id % 8) AS version, speaker, text FROM said) GROUP BY version, speaker")
 def f2(spark, sf):
     """HTML pages to dialogue rows: visible text, numbered lines, repair, sections, extraction."""
     from dialogue_etl.functions.pages import visible_text

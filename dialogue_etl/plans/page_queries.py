@@ -44,7 +44,7 @@ def markdown(spark, sf):
 # --- page structure ---
 
 
-@query("c1_visible_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(style|script)>.*?</(style|script)>', '', 'g'), '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages".replace(r"\s+', '', 'g')) AS", r"\s+', '', 'g')) AS"))
+@query("c1_visible_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(style|script)>.*?</(style|script)>', '', 'g'), '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages")
 def c1(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(F.regexp_replace(P.visible_text(C("html")), "\\s+", "")).alias("digest"))
 
@@ -157,12 +157,10 @@ def c12(spark, sf):
     """Links whose text or the 120 characters around them, without tags, give a hint."""
     filler = F.repeat(F.lit("x"), 150)
     page = F.concat(F.when(C("page_id") % 2 == 0, F.lit("详细对话内容 ")).otherwise(F.lit("other ")), F.lit('<i>see</i> <a href="/sr/d">go</a>'), filler, F.lit('<a href="/sr/n">继续</a>'), filler, F.lit('<a href="/sr/z">no</a>'), filler)
-    pattern = "(?is)(?=(?<=(.{0,120}))(<a\\s+[^>]*href=[\"']([^\"']+)[\"'][^>]*>.*?</a>)(.{0,120}))"
-    groups = F.arrays_zip(*[F.regexp_extract_all("html", F.lit(pattern), k).alias(f"g{k}") for k in (1, 2, 3, 4)])
-    rows = table(spark, sf, "pages").select("page_id", page.alias("html")).select("page_id", F.explode(groups).alias("g"))
-    context = F.regexp_replace(F.concat("g.g1", "g.g2", "g.g4"), "<[^>]+>", "")
+    rows = table(spark, sf, "pages").select("page_id", F.explode(P.link_contexts()(page)).alias("g"))
+    context = C("g.context")
     hinted = context.contains("详细对话内容") | context.rlike("(?i)下一|后续|继续|next")
-    return rows.filter(hinted).select("page_id", T.resolver("w.example", "/sr/")(C("g.g3"), F.lit("https://w.example/sr/a")).alias("url")).filter("url IS NOT NULL").distinct()
+    return rows.filter(hinted).select("page_id", T.resolver("w.example", "/sr/")(C("g.href"), F.lit("https://w.example/sr/a")).alias("url")).filter("url IS NOT NULL").distinct()
 
 
 @query("c13_profile_dialogue", STORY_LINES + "SELECT conv_id AS page, count(*) AS items, coalesce(min(CASE WHEN conv_id % 2 = 1 THEN 'no heading 角色台词' END), '') AS error FROM (SELECT conv_id, l FROM sl UNION ALL SELECT DISTINCT conv_id, NULL FROM sl) WHERE (conv_id % 2 = 0 AND l IS NOT NULL) OR (conv_id % 2 = 1 AND l IS NULL) GROUP BY conv_id")
