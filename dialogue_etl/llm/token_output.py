@@ -27,55 +27,45 @@ CACHE_CHUNKS = 300_000
 TEXTS_AT_ONCE = 256
 #: Rows that one Arrow batch holds while texts and ids pass to and from the tasks.
 BATCH_ROWS = 1000
-#: Characters on which the pattern below and the tokenizer's own agree: ASCII but its rarer controls, and Latin letters.
-ODD = re.compile("[^\\n\\x20-\\x7eÀ-ÖØ-öø-ſ]")
-#: White space that isn't one space or one line feed between words.
+#: White space other than the space and the line feed, and runs of those two.
+ODD = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200f\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff]")
 RUNS = ("  ", "\n\n", " \n", "\n ")
-#: The byte-level BPE's public splitting pattern, for the standard library's re.
-PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
-WORD = re.compile(r" [^\W\d_]+")
 SPECIAL = "<|endoftext|>"
+#: New chunks that are joined into one text for the tokenizer.
+JOINED = 1000
 
 
 class Encoder:
-    """Ids of texts as bytes. Chunks between single spaces and line feeds are split and merged independently of
-    each other, and repeat far more often than texts, so each is encoded once and looked up from then on."""
+    """Ids of texts as bytes. The byte-level pattern never joins what a single space or line feed parts, and
+    gives the space to the chunk after it; chunks repeat far more often than texts, so each is encoded once and
+    looked up from then on. Texts with other white space, or with the special token's string, go whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: By id: whether the token starts with the space (its stand-in in a byte-level vocabulary is U+0120).
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.after_space: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {"": b""}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of single pieces. Words that start with a space are joined: their borders stay borders."""
-        words = [p for p in new if WORD.fullmatch(p)]
-        others = [p for p in new if not WORD.fullmatch(p)]
-        out = dict(zip(others, self.whole(others)))
-        for k in range(0, len(words), 500):
-            part = words[k : k + 500]
-            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids, ends = np.array(e.ids, "<u4"), np.searchsorted(np.array(e.word_ids), np.arange(1, len(part) + 1))
-            raw = ids.tobytes()
-            out.update((p, raw[4 * a : 4 * z]) for p, a, z in zip(part, [0, *ends], ends))
-        return out
-
     def learn(self, spaced: set[str], plain: set[str]) -> None:
         if len(self.after_space) + len(self.plain) > CACHE_CHUNKS:
             self.after_space.clear()
             self.plain = {"": b""}
-        split = {" " + w: PIECES.findall(" " + w) for w in spaced.difference(self.after_space)} | {w: PIECES.findall(w) for w in plain.difference(self.plain)}
-        known = self.pieces(list({p for ps in split.values() for p in ps}))
-        for chunk, ps in split.items():
-            ids = b"".join([known[p] for p in ps])
-            if chunk[:1] == " ":
-                self.after_space[chunk[1:]] = ids
-            else:
-                self.plain[chunk] = ids
+        new = list(plain.difference(self.plain))
+        self.plain.update(zip(new, self.whole(new)))
+        new = list(spaced.difference(self.after_space))
+        parts = [new[k : k + JOINED] for k in range(0, len(new), JOINED)]
+        for part, raw in zip(parts, self.whole([" " + " ".join(part) for part in parts])):
+            # Each chunk has one space, at its start.
+            ends = (4 * np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")])).tolist() + [len(raw)]
+            self.after_space.update((c, raw[a:z]) for c, a, z in zip(part, ends, ends[1:]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         simple = [not ODD.search(x) and not any(r in x for r in RUNS) and x.strip() == x and SPECIAL not in x for x in texts]
