@@ -6,12 +6,14 @@ Spark sorts a document's lines once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from dialogue_etl.functions import text as T
 
-ORDER = Window.partitionBy("source").orderBy("line_no")
+
+def in_order() -> WindowSpec:
+    return Window.partitionBy("source").orderBy("line_no")
 
 
 def numbered_lines(docs: DataFrame, source: str = "source", text: str = "text", unescape: bool = True) -> DataFrame:
@@ -27,7 +29,7 @@ def kept_lines(lines: DataFrame) -> DataFrame:
 
 
 def drop_consecutive_duplicates(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("before", F.lag("line").over(ORDER)).filter("NOT line <=> before").drop("before")
+    return lines.withColumn("before", F.lag("line").over(in_order())).filter("NOT line <=> before").drop("before")
 
 
 def speaker_hints(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -52,7 +54,7 @@ def repair_speaker_pairs(lines: DataFrame) -> DataFrame:
     alone = T.is_standalone_speaker(F.col("line"), F.col("hinted"))
     payload = T.is_dialogue_payload(F.col("line"), F.col("hinted"))
     flagged = lines.withColumns({"alone": alone, "payload": payload})
-    flagged = flagged.withColumns({"next_line": F.lead("line").over(ORDER), "next_payload": F.lead("payload").over(ORDER), "before_alone": F.lag("alone").over(ORDER)})
+    flagged = flagged.withColumns({"next_line": F.lead("line").over(in_order()), "next_payload": F.lead("payload").over(in_order()), "before_alone": F.lag("alone").over(in_order())})
     merged = F.when(F.col("alone") & F.coalesce("next_payload", F.lit(False)), F.concat("line", F.lit("："), "next_line")).otherwise(F.col("line"))
     return flagged.filter(~(F.col("payload") & F.coalesce("before_alone", F.lit(False)))).select("source", "line_no", merged.alias("line"))
 
@@ -73,8 +75,8 @@ def with_sections(lines: DataFrame) -> DataFrame:
     """Adds section_no and marker version; a 所属版本 line starts a section, lines before the first form one too."""
     version = F.nullif(F.regexp_extract("text", "(?d)^所属版本(?U:\\s+)(.+)$", 1), F.lit(""))
     lines = lines.withColumn("marker", T.strip(version))
-    number = F.sum(F.col("marker").isNotNull().cast("int")).over(ORDER)
-    prelude = F.first(F.col("marker").isNull()).over(ORDER)
+    number = F.sum(F.col("marker").isNotNull().cast("int")).over(in_order())
+    prelude = F.first(F.col("marker").isNull()).over(in_order())
     return lines.withColumn("section_no", (number + prelude.cast("int")).cast("int"))
 
 
@@ -114,8 +116,8 @@ def repair_markdown_pairs(lines: DataFrame, names: list[str] | None = None) -> D
     dialogue line; the blanks between vanish only then."""
     known = F.col("line").isin(names or T.DEFAULT_SPEAKERS)
     payload = (T.strip(F.col("line")) != "") & ~T.any_prefix(T.strip(F.col("line")), ["#", "-", ">", "<!--"]) & ~T.strip(F.col("line")).isin(names or T.DEFAULT_SPEAKERS)
-    later = ORDER.rowsBetween(1, Window.unboundedFollowing)
-    earlier = ORDER.rowsBetween(Window.unboundedPreceding, -1)
+    later = in_order().rowsBetween(1, Window.unboundedFollowing)
+    earlier = in_order().rowsBetween(Window.unboundedPreceding, -1)
     full = F.when(F.col("line") != "", F.struct("line", "known", "payload"))
     rows = lines.withColumns({"known": known, "payload": payload}).withColumn("full", full)
     rows = rows.withColumns({"after": F.first("full", ignorenulls=True).over(later), "before": F.last("full", ignorenulls=True).over(earlier)})
@@ -133,9 +135,9 @@ def tidy_lines(lines: DataFrame) -> DataFrame:
     """Runs of blank lines become one, ends are trimmed, blank lines at both ends of a document go."""
     line = F.regexp_replace("line", "(?U)\\s+$", "")
     rows = lines.withColumn("tidy", line).withColumn("blank", F.col("line") == "")
-    rows = rows.withColumn("before", F.lag("blank").over(ORDER)).filter("NOT (blank AND coalesce(before, false))")
-    first = F.first(F.when(F.col("tidy") != "", F.col("line_no")), ignorenulls=True).over(Window.partitionBy("source").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    last = F.last(F.when(F.col("tidy") != "", F.col("line_no")), ignorenulls=True).over(Window.partitionBy("source").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = rows.withColumn("before", F.lag("blank").over(in_order())).filter("NOT (blank AND coalesce(before, false))")
+    first = F.first(F.when(F.col("tidy") != "", F.col("line_no")), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    last = F.last(F.when(F.col("tidy") != "", F.col("line_no")), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return rows.withColumns({"a": first, "z": last}).filter("line_no BETWEEN a AND z").select("source", "line_no", F.col("tidy").alias("line"))
 
 
