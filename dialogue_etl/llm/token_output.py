@@ -9,6 +9,7 @@ plus the sums of the files before it.
 from __future__ import annotations
 
 import contextlib
+import os
 import re
 import uuid
 import zlib
@@ -23,7 +24,7 @@ from dialogue_etl.llm.common import materialize, note_scratch, scratch_dir
 
 END_ID = 0
 #: Distinct chunks whose ids one worker keeps, about 200 bytes each; the cache starts anew beyond it.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 TEXTS_AT_ONCE = 256
 #: Rows that one Arrow batch holds while texts and ids pass to and from the tasks.
 BATCH_ROWS = 1000
@@ -43,6 +44,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark's tasks are the parallelism; the library's own threads would compete with them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         #: By id: whether the token starts with the space (its stand-in in a byte-level vocabulary is U+0120).
