@@ -49,6 +49,12 @@ def c1(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(F.regexp_replace(P.visible_text(C("html")), "\\s+", "")).alias("digest"))
 
 
+@query("c2_main_content_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages WHERE html LIKE '%</article>%'")
+def c2(spark, sf):
+    pages = table(spark, sf, "pages").filter(C("html").contains("</article>"))
+    return pages.select("page_id", F.md5(F.regexp_replace(P.main_content_text(C("html")), "\\s+", "")).alias("digest"))
+
+
 @query("c3_scope_section", STORY_ITEMS + "SELECT conv_id AS page, count(*) AS items FROM it GROUP BY conv_id")
 def c3(spark, sf):
     return P.source_items(inventory(spark, sf)).groupBy("page").agg(F.count("*").alias("items"))
