@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one bucket that are compared in one task; larger buckets are dealt as pairs of blocks of this size.
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
 
 _made: list[str] = []
 
