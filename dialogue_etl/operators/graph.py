@@ -35,14 +35,15 @@ def fetch_plan(candidates: DataFrame, manifest: DataFrame, force: bool = False)
     return candidates.join(known, "url", "left").select("url", "version_status", action.alias("action"), (~skipped).alias("store"))
 
 
-def dense_numbers(rows: DataFrame, order: Column | str, start: int = 1, name: str = "number") -> DataFrame:
+def dense_numbers(rows: DataFrame, order: Column | str, save, start: int = 1, name: str = "number") -> DataFrame:
     """Consecutive numbers over a global order without one task that sees all rows.
 
     Rows are dealt by ranges of the order; each range is counted, and a range's first number is the sum of the
-    counts before it (one short row a range).
+    counts before it (one short row a range). `save(df)` fixes which rows are in which range, as both the counts
+    and the rows are read from it.
     """
     key = F.col(order) if isinstance(order, str) else order
-    dealt = rows.repartitionByRange(key).withColumn("__part", F.spark_partition_id())
+    dealt = save(rows.repartitionByRange(key).withColumn("__part", F.spark_partition_id()))
     dealt = dealt.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(key)))
     counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))

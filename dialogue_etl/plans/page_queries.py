@@ -349,7 +349,7 @@ def e5(spark, sf):
 
 @query("e6_assign_page_index", "SELECT page_id, 100 + row_number() OVER (ORDER BY page_id) AS number FROM pages")
 def e6(spark, sf):
-    return G.dense_numbers(table(spark, sf, "pages").select("page_id"), "page_id", start=101)
+    return G.dense_numbers(table(spark, sf, "pages").select("page_id"), "page_id", save, start=101)
 
 
 @query(
