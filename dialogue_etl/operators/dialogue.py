@@ -10,12 +10,10 @@ from dialogue_etl.operators import lines as L
 
 def extract_dialogue(lines: DataFrame, speakers: list[str] | None = None) -> DataFrame:
     """source, line_no, speaker, text, section_title, version of the dialogue lines; no speakers given: all."""
-    chosen = lines.filter("kind = 'dialogue' AND speaker IS NOT NULL")
+    rows = L.with_section_names(lines).filter("kind = 'dialogue' AND speaker IS NOT NULL")
     if speakers:
-        chosen = chosen.filter(F.col("speaker").isin(speakers))
-    sections = L.build_sections(lines).select("source", F.col("start_line").alias("line_no"), F.struct("title", "version").alias("section"))
-    found = L.as_of(chosen.select("source", "line_no", "speaker", "text"), sections, ["source"], "line_no", "section")
-    return found.select("source", "line_no", "speaker", "text", F.col("section.title").alias("section_title"), F.col("section.version").alias("version"))
+        rows = rows.filter(F.col("speaker").isin(speakers))
+    return rows.select("source", "line_no", "speaker", "text", "section_title", "version")
 
 
 def kind_counts(lines: DataFrame, by: str = "source") -> DataFrame:

@@ -80,6 +80,18 @@ def with_sections(lines: DataFrame) -> DataFrame:
     return lines.withColumn("section_no", (number + prelude.cast("int")).cast("int"))
 
 
+def section_title(version: Column, friendly: Column, number: Column) -> Column:
+    return F.when(version.isNull(), F.concat(F.lit("Prelude section "), number)).otherwise(F.coalesce(friendly, F.concat(F.lit("Version "), version, F.lit(" section "), number)))
+
+
+def with_section_names(lines: DataFrame) -> DataFrame:
+    """Adds section_title and version of each line's section, over the lines' own partitioning: no join."""
+    whole = Window.partitionBy("source", "section_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heading = F.when((F.col("kind") == "heading") & ~F.col("text").startswith(T.EXTRA_HEADING), F.col("text"))
+    rows = with_sections(lines).withColumns({"version": F.first("marker", ignorenulls=True).over(whole), "friendly": F.first(heading, ignorenulls=True).over(whole)})
+    return rows.withColumn("section_title", section_title(F.col("version"), F.col("friendly"), F.col("section_no"))).drop("marker", "friendly")
+
+
 def build_sections(lines: DataFrame) -> DataFrame:
     """One row a section: source, section_no, title, start_line, version, description, cast."""
     rows = with_sections(lines)
@@ -94,7 +106,7 @@ def build_sections(lines: DataFrame) -> DataFrame:
         F.max_by(F.when(described, T.strip(F.substring("text", 5, 1 << 30))), F.when(described, F.col("line_no"))).alias("description"),
         F.max_by(F.when(cast, T.parse_cast(F.col("text"))), F.when(cast, F.col("line_no"))).alias("cast"),
     )
-    name = F.when(F.col("version").isNull(), F.concat(F.lit("Prelude section "), "section_no")).otherwise(F.coalesce("friendly", F.concat(F.lit("Version "), "version", F.lit(" section "), "section_no")))
+    name = section_title(F.col("version"), F.col("friendly"), F.col("section_no"))
     return out.select("source", "section_no", name.alias("title"), "start_line", "version", "description", F.coalesce("cast", F.array().cast("array<string>")).alias("cast"))
 
 
