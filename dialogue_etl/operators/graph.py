@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialogue_etl.functions import text as T
+
 
 def latest_wins(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Insert or update by key: fields of new that aren't null overwrite, keys only in old stay."""
@@ -21,9 +23,13 @@ def first_by_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return picked.select(*keys, *[F.col(f"r.{c}").alias(c) for c in fields], order)
 
 
-def recover_unlisted(local: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Local pages that no manifest row points at."""
-    return local.join(manifest.select("local_path"), "local_path", "left_anti")
+def recover_unlisted(local: DataFrame, manifest: DataFrame, page_prefix: str, field: str, low: Column, high: Column) -> DataFrame:
+    """Manifest rows of local pages (local_path, html) that no manifest row points at, read from the pages
+    themselves; pages without a source URL are skipped."""
+    page = F.col("html")
+    rows = local.join(manifest.select("local_path"), "local_path", "left_anti")
+    rows = rows.select("local_path", T.normalize_url(T.page_source_url(page, page_prefix)).alias("url"), T.page_title(page).alias("title"), T.infobox_field(page, field).alias("version"))
+    return rows.filter("url IS NOT NULL").select("url", "title", "version", "local_path", F.lit("recovered").alias("status"), T.classify_version(F.col("version"), low, high).alias("version_status"))
 
 
 def fetch_plan(candidates: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:

@@ -315,11 +315,17 @@ def g9(spark, sf):
 # --- manifest and graph ---
 
 
-@query("e1_recover_unlisted", GRAPH + "SELECT page_id, url, version_status FROM (SELECT page_id, 'p' || page_id AS url FROM pg) JOIN nodes USING (url) WHERE local_path IS NOT NULL AND page_id % 3 = 0")
+@query(
+    "e1_recover_unlisted",
+    GRAPH + """SELECT 'https://w.example/sr/' || page_id AS url, 'Page ' || page_id AS title, version, local_path, 'recovered' AS status,
+    CASE WHEN page_id % 12 < 1 THEN 'skipped_by_min_version' WHEN page_id % 12 >= 9 THEN 'skipped_by_max_version' ELSE 'in_range' END AS version_status FROM pg WHERE local_path IS NOT NULL AND page_id % 3 = 0 AND page_id % 2 = 0""",
+)
 def e1(spark, sf):
-    nodes = graph_nodes(spark, sf)
-    local = nodes.filter("local_path IS NOT NULL")
-    return G.recover_unlisted(local, local.filter("page_id % 3 <> 0")).select("page_id", "url", "version_status")
+    """Two of three local pages are listed; every second page names its source."""
+    nodes = graph_nodes(spark, sf).filter("local_path IS NOT NULL")
+    link = F.when(C("page_id") % 2 == 0, F.concat(F.lit('<link rel="canonical" href="https://w.example/sr/'), "page_id", F.lit('#top">'))).otherwise(F.lit(""))
+    html = F.concat(link, F.lit("<title>"), "title", F.lit("_BWIKI</title><table><tr><th>所属版本</th><td>"), "version", F.lit("</td></tr></table>"))
+    return G.recover_unlisted(nodes.select("local_path", html.alias("html")), nodes.filter("page_id % 3 <> 0"), "https://w.example/sr/", "所属版本", F.lit("3.1"), F.lit("3.9"))
 
 
 @query("e2_upsert_pages", GRAPH + "SELECT url, version, CASE WHEN CAST(substr(url, 2) AS BIGINT) % 4 = 0 THEN 'new' ELSE 'old' END AS title FROM nodes")
