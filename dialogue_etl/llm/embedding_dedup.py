@@ -199,3 +199,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def op1_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+ok AS (SELECT * FROM u WHERE n > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) >= 0.95 * a.n * b.n),
+reach(id, r) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.a, reach.r FROM reach JOIN l ON l.b = reach.id),
+c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(k.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept FROM v JOIN c ON v.vec_id = c.id LEFT JOIN k ON v.vec_id = k.a
+"""

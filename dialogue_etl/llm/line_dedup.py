@@ -220,3 +220,17 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup_summary(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = """
+WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS t FROM documents),
+l AS (SELECT doc_id, i, regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM (SELECT doc_id, unnest(t) AS x, generate_subscripts(t, 1) - 1 AS i FROM a)),
+k AS (SELECT doc_id, i, w, array_to_string(w, ' ') AS k FROM l WHERE len(w) > 0),
+d AS (SELECT k, any_value(w) AS w, min((doc_id, i)) AS f FROM k GROUP BY k),
+v AS (SELECT k, f, i, hash(array_to_string(list_concat(w[1 : i - 1], w[i + 1 : len(w)]), ' ')) AS h FROM (SELECT k, f, w, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= 8)),
+g AS (SELECT k, f, hash(k) AS h FROM d WHERE len(w) >= 8),
+near AS (SELECT b.k FROM v a JOIN v b ON a.h = b.h AND a.i = b.i WHERE a.f < b.f UNION SELECT v.k FROM v JOIN g ON v.h = g.h WHERE g.f < v.f UNION SELECT g.k FROM v JOIN g ON v.h = g.h WHERE v.f < g.f),
+s AS (SELECT k.doc_id, k.i, (k.doc_id, k.i) <> d.f OR near.k IS NOT NULL AS gone FROM k JOIN d ON k.k = d.k LEFT JOIN near ON near.k = k.k)
+SELECT a.doc_id, count(s.i) AS n_lines, count(s.i) FILTER (WHERE NOT gone) AS n_kept, coalesce(string_agg(CAST(CASE WHEN gone THEN s.i END AS VARCHAR), ',' ORDER BY s.i), '') AS dropped_lines
+FROM (SELECT DISTINCT doc_id FROM documents) a LEFT JOIN s ON a.doc_id = s.doc_id GROUP BY a.doc_id
+"""

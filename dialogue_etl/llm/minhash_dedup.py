@@ -249,3 +249,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 def op10_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2, percent=80)
+
+
+SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(x) AS x FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS x FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+p AS (SELECT i.a, i.b FROM i JOIN n x ON i.a = x.doc_id JOIN n y ON i.b = y.doc_id WHERE 100 * i.both >= 80 * (x.n + y.n - i.both)),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach(id, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT l.a, reach.r FROM reach JOIN l ON l.b = reach.id),
+c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept FROM w JOIN c ON w.doc_id = c.id LEFT JOIN n ON w.doc_id = n.doc_id
+"""

@@ -21,4 +21,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.SQL, "op3_mix_sources": mixing.SQL, "op6_warc_archive": warc.SQL}
+    return {
+        "op1_embedding_near_dedup": embedding_dedup.SQL,
+        "op2_decontaminate": decontaminate.SQL,
+        "op3_mix_sources": mixing.SQL,
+        "op4_line_dedup": line_dedup.SQL,
+        "op6_warc_archive": warc.SQL,
+        "op10_minhash_near_dedup": minhash_dedup.SQL,
+    }

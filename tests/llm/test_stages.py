@@ -2,7 +2,6 @@
 
 import zlib
 
-import duckdb
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
@@ -43,14 +42,6 @@ def test_decontaminated_rows(spark):
     assert decontaminate.contamination(frame.limit(0), bench(spark)).collect() == []
 
 
-@pytest.mark.parametrize("name, query, sql, tables", [("op2", decontaminate.op2_decontaminate, decontaminate.SQL, ["documents", "benchmark"]), ("op3", mixing.op3_mix_sources, mixing.SQL, ["documents"])])
-def test_against_sql(spark, sf_dir, name, query, sql, tables):
-    con = duckdb.connect()
-    for t in tables:
-        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    got, want = query(spark, sf_dir).toPandas().sort_values("doc_id"), con.sql(sql).df().sort_values("doc_id")
-    for c in want.columns:
-        assert got[c].tolist() == want[c].tolist()
 
 
 def test_mix_edges(spark):
