@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from dialogue_etl.llm.common import materialize, note_scratch, scratch_dir
 
 END_ID = 0
-#: Distinct chunks whose ids one worker keeps, about 200 bytes each; the cache starts anew beyond it.
-CACHE_CHUNKS = 200_000
+#: Distinct chunks whose ids one worker keeps, about 200 bytes each; beyond it only those that came again stay.
+CACHE_CHUNKS = 350_000
 TEXTS_AT_ONCE = 256
 #: Rows that one Arrow batch holds while texts and ids pass to and from the tasks.
 BATCH_ROWS = 1000
@@ -32,6 +32,8 @@ BATCH_ROWS = 1000
 ODD = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200f\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff]")
 RUNS = ("  ", "\n\n", " \n", "\n ")
 SPECIAL = "<|endoftext|>"
+#: Marks that the pattern always parts from the letters before them.
+ENDS = {",", ".", ";", ":", "!", "?"}
 #: New chunks that are joined into one text for the tokenizer.
 JOINED = 1000
 
@@ -52,28 +54,38 @@ class Encoder:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.after_space: dict[str, bytes] = {}
+        self.again: set[str] = set()
         self.plain: dict[str, bytes] = {"": b""}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, spaced: set[str], plain: set[str]) -> None:
-        if len(self.after_space) + len(self.plain) > CACHE_CHUNKS:
-            self.after_space.clear()
+        if len(self.plain) > CACHE_CHUNKS // 4:
             self.plain = {"": b""}
+        if len(self.after_space) > CACHE_CHUNKS:
+            # What came again in a later batch stays; the many chunks that came once go.
+            kept = self.after_space.keys() & self.again if len(self.again) < CACHE_CHUNKS // 2 else set()
+            self.after_space, self.again = {c: self.after_space[c] for c in kept}, kept
+        self.again.update(spaced.intersection(self.after_space))
         new = list(plain.difference(self.plain))
         self.plain.update(zip(new, self.whole(new)))
-        new = list(spaced.difference(self.after_space))
+        new = spaced.difference(self.after_space)
+        # A word with a mark after it is the word's ids and the mark's.
+        marked = [c for c in new if c[-1:] in ENDS and c[:-1].isalpha()]
+        new = list(new.difference(marked).union(w for c in marked if (w := c[:-1]) not in self.after_space))
         parts = [new[k : k + JOINED] for k in range(0, len(new), JOINED)]
         for part, raw in zip(parts, self.whole([" " + " ".join(part) for part in parts])):
             # Each chunk has one space, at its start.
             ends = (4 * np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")])).tolist() + [len(raw)]
             self.after_space.update((c, raw[a:z]) for c, a, z in zip(part, ends, ends[1:]))
+        known = self.after_space
+        known.update([(c, known[c[:-1]] + self.plain[c[-1]]) for c in marked])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         simple = [not ODD.search(x) and not any(r in x for r in RUNS) and x.strip() == x and SPECIAL not in x for x in texts]
         lines = [[line.split(" ") for line in x.split("\n")] if s else [] for x, s in zip(texts, simple)]
-        self.learn(set().union(*(w[1:] for ls in lines for w in ls)), {w[0] for ls in lines for w in ls} | {"\n"})
+        self.learn(set().union(*(w[1:] for ls in lines for w in ls)), {w[0] for ls in lines for w in ls} | ENDS | {"\n"})
         odd = iter(self.whole([x for x, s in zip(texts, simple) if not s]))
         plain, spaced, feed = self.plain, self.after_space.__getitem__, self.plain["\n"]
         return [feed.join([plain[w[0]] + b"".join(map(spaced, w[1:])) for w in ls]) if s else next(odd) for ls, s in zip(lines, simple)]
