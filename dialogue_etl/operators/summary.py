@@ -9,6 +9,13 @@ from dialogue_etl.functions import text as T
 
 NOT_SPEAKERS = ["旁白", "系统", "选项", "奖励", "获得物品"]
 NO_TITLE, NO_VERSION, NO_SOURCE, NO_SPEAKER = "未识别标题", "unknown", "未记录", "未识别"
+# The usual themes and their patterns.
+THEMES = {
+    "世界观要点": "翁法罗斯|轮回|火种|泰坦|半神|再创世|权杖|铁墓|毁灭|负世|岁月|记忆|忘却|流光忆庭|神权|命途|冥界|冥河|死亡|塞纳托斯|玻吕|浮黎|博识尊",
+    "关系变化": "伙伴|同伴|朋友|信任|保护|牺牲|告别|重逢|拥抱|体温|愿望|承诺|谢谢|抱歉|对不起|一起|同行|开拓者|丹恒|三月七|长夜月|昔涟|白厄|遐蝶|阿格莱雅|刻律德菈|海瑟音|来古士|赞达尔",
+    "遐蝶 roleplay 相关信息": "遐蝶|死亡|冥河|冥界|塞纳托斯|玻吕|入殓|哀地里亚|奥赫玛|阿格莱雅|拥抱|体温|安提灵|缇安|缇宝|万敌|白厄|花海|灵魂",
+    "易错点/待复核点": "不是|并非|不复存在|真相|误会|混淆|欺骗|篡改|忘却|无法|只有|敌人|代价|牺牲|我不是|她不是|这件事，从来没有发生过",
+}
 DIALOGUE_LINE = "^(?U:\\s*)-(?U:\\s+)\\*\\*(.+?)\\*\\*："
 
 
@@ -49,13 +56,13 @@ def section_headings(lines: DataFrame, top: int = 16) -> DataFrame:
     return rows.filter(F.col("place") <= top)
 
 
-def theme_anchors(lines: DataFrame, themes: dict[str, str], top: int = 10) -> DataFrame:
+def theme_anchors(lines: DataFrame, themes: dict[str, str] | None = None, top: int = 10) -> DataFrame:
     """(source, theme, place, line_no, anchor): for each theme the first lines that match its pattern.
 
     A line may hit several themes; the themes are tested in one pass, and the row limit of each group is
     applied before the shuffle by Spark's window group limit.
     """
-    hits = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.lit(name)) for name, p in themes.items()]))
+    hits = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.lit(name)) for name, p in (themes or THEMES).items()]))
     text = T.snippet(F.col("line"))
     rows = lines.filter(text != "").select("source", "line_no", text.alias("anchor"), F.explode(hits).alias("theme"))
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("source", "theme").orderBy("line_no")))

@@ -8,6 +8,7 @@ from dialogue_etl.functions import text as T
 from dialogue_etl.functions.render import story_markdown
 from dialogue_etl.operators import coverage as V
 from dialogue_etl.operators import lines as L
+from dialogue_etl.operators import summary as S
 from dialogue_etl.sources import io as IO
 
 
@@ -83,3 +84,10 @@ def test_markdown_pairs_over_blanks(spark):
     frame = spark.createDataFrame(lines, "source string, line_no int, line string")
     got = [r.line for r in L.repair_markdown_pairs(frame).orderBy("line_no").collect()]
     assert got == ["- **星**：hi", "", "穹", "", "- no", "丹恒", "- **星**：bye"]
+
+
+def test_usual_themes(spark):
+    lines = spark.createDataFrame([("p", k, x) for k, x in enumerate(["  轮回  的 朋友", "plain", "不是"] + ["记忆"] * 12)], "source string, line_no int, line string")
+    got = S.theme_anchors(lines).collect()
+    assert {(r.theme, r.anchor) for r in got if r.line_no < 3} == {("世界观要点", "轮回 的 朋友"), ("关系变化", "轮回 的 朋友"), ("易错点/待复核点", "不是")}
+    assert sum(r.theme == "世界观要点" for r in got) == 10
