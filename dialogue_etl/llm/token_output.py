@@ -94,9 +94,16 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def encoder(path: str) -> Encoder:
+    """This worker's encoder: it outlives a task, as this function is looked up in the module and not shipped."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoders.setdefault(path, Encoder(path)) if path not in _encoders else _encoders[path]
+        encode = encoder(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for a in range(0, batch.num_rows, TEXTS_AT_ONCE):
