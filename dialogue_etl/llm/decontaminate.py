@@ -172,40 +172,68 @@ def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, pa.int64()), batch.column(3)], names=["row_key", "n_words", "n_hit", "items"])
 
 
-def _pattern_blocks(benchmark: DataFrame, item_col: str, item_text: str, window: int, max_windows: int) -> Iterator:
-    """Broadcast pattern sets, each of at most about max_windows windows."""
+def _pattern_blocks(benchmark: DataFrame, item_col: str, item_text: str, window: int, max_windows: int) -> tuple[int, Iterator]:
+    """The number of blocks of items, and their broadcast pattern sets, each of at most about max_windows windows."""
     bench = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
     # An item has at most as many windows as half its characters, rounded up.
     total = bench.agg(F.sum(F.ceil(F.length("text") / 2))).first()[0] or 0
     blocks = max(1, -(-int(total) // max_windows))
-    for b in range(blocks):
-        own = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        yield bench.sparkSession.sparkContext.broadcast(build([(r[0], r[1]) for r in own.toLocalIterator()], window))
 
+    def built() -> Iterator:
+        for b in range(blocks):
+            own = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
+            yield bench.sparkSession.sparkContext.broadcast(build([(r[0], r[1]) for r in own.toLocalIterator()], window))
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Returns for every row of docs: row_key (its id), n_words, n_hit, items (sorted array of item ids).
+    return blocks, built()
 
-    Words are runs of ASCII letters and digits and of any other character beyond ASCII, A-Z folded. An item
-    of fewer words than the window is one window; an item without words has none. Null texts have no words.
-    Null item ids are left out. With several blocks of items the rows of one id are merged by that id.
+
+def _searched(rows: DataFrame, sets: Iterator, blocks: int) -> DataFrame:
+    """row_key, n_words, n_hit, items of every row of rows (row_key, text).
+
+    With several blocks the rows must be stored and their keys unique: each block's spans are written before the
+    next block is built, and merged by the key.
     """
-    texts = docs.select(F.col(id_col).alias("row_key"), F.col(text_col).alias("text"))
-    kind = dict(texts.dtypes)["row_key"]
-    found, blocks = None, 0
-    for shared in _pattern_blocks(benchmark, item_col, item_text, window, max_windows):
-        part = texts.mapInArrow(_search(shared), f"row_key {kind}, n_words long, spans array<int>, items array<long>")
-        found, blocks = part if found is None else found.unionByName(part), blocks + 1
+    kind = dict(rows.dtypes)["row_key"]
+    found = None
+    for shared in sets:
+        part = rows.select("row_key", "text").mapInArrow(_search(shared), f"row_key {kind}, n_words long, spans array<int>, items array<long>")
+        if blocks > 1:
+            # The first block writes every row, for its number of words; the others only add what they found.
+            part = materialize(part if found is None else part.filter("size(spans) > 0"), "decon-spans")
+            shared.unpersist()
+        found = part if found is None else found.unionByName(part)
     if blocks > 1:
-        found = found.groupBy("row_key", "n_words").agg(F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        found = found.groupBy("row_key").agg(F.max("n_words").alias("n_words"), F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     else:
         found = found.select("row_key", "n_words", F.array("spans").alias("spans"), "items")
     return found.select("row_key", "n_words", "spans", "items").mapInArrow(_merge_spans, f"row_key {kind}, n_words long, n_hit long, items array<long>")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **names) -> DataFrame:
-    """Adds the digest and the verdict to occurrences(): contaminated if n_hit > 0 and 20 * n_hit >= n_words."""
-    found = occurrences(docs, benchmark, id_col, text_col, window=window, **names)
+def _row_by_row(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, window: int, max_windows: int) -> tuple[DataFrame, int]:
+    """occurrences() of every row, rows that repeat an id too, and the number of blocks."""
+    texts = docs.select(F.col(id_col).alias("row_key"), F.col(text_col).alias("text"))
+    blocks, sets = _pattern_blocks(benchmark, item_col, item_text, window, max_windows)
+    if blocks == 1:
+        return _searched(texts, sets, blocks), blocks
+    keyed = materialize(texts.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("row_key").alias("id")).alias("row_key"), "text"), "decon-rows")
+    return _searched(keyed, sets, blocks).withColumn("row_key", F.col("row_key.id")), blocks
+
+
+def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """Returns for every row of docs: row_key (its id), n_words, n_hit, items (sorted array of item ids).
+
+    Words are runs of ASCII letters and digits and of any other character beyond ASCII, A-Z folded. An item
+    of fewer words than the window is one window; an item without words has none. Null texts have no words.
+    Null item ids are left out. With several blocks of items equal answers of one id are given once;
+    contamination() and decontaminate() answer row by row with any number of blocks.
+    """
+    found, blocks = _row_by_row(docs, benchmark, id_col, text_col, item_col, item_text, window, max_windows)
+    return found if blocks == 1 else found.distinct()
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """Adds the digest and the verdict to the occurrences of every row: contaminated if n_hit > 0 and 20 * n_hit >= n_words."""
+    found, _ = _row_by_row(docs, benchmark, id_col, text_col, item_col, item_text, window, max_windows)
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
         F.col("row_key").alias(id_col),
@@ -213,18 +241,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        _contaminated().alias("contaminated"),
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def _contaminated():
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """docs without the contaminated documents, judged row by row, with all their columns."""
-    blocks = list(_pattern_blocks(benchmark, "item_id", "text", window, MAX_WINDOWS))
-    if len(blocks) == 1:
-        return docs.mapInArrow(_clean_rows(blocks[0], text_col), docs.schema)
-    # A hit may be made up of several blocks' items, so the verdict needs all blocks' spans of a text.
-    bad = contamination(docs, benchmark, id_col, text_col, window).filter("contaminated").select(F.col(id_col).alias("__bad")).filter("__bad IS NOT NULL").distinct()
-    return docs.join(materialize(bad, "contaminated"), F.col(id_col) == F.col("__bad"), "left_anti")
+    blocks, sets = _pattern_blocks(benchmark, "item_id", "text", window, max_windows)
+    if blocks == 1:
+        return docs.mapInArrow(_clean_rows(next(sets), text_col), docs.schema)
+    # A hit may be made up of several blocks' items, so the verdict needs all blocks' spans of a row.
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "decon-rows")
+    found = _searched(keyed.select(F.col("__row").alias("row_key"), F.col(text_col).alias("text")), sets, blocks)
+    bad = materialize(found.filter(_contaminated()).select(F.col("row_key").alias("__row")), "contaminated")
+    return keyed.join(bad, "__row", "left_anti").select(*docs.columns)
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -42,6 +42,20 @@ def test_decontaminated_rows(spark):
     assert decontaminate.contamination(frame.limit(0), bench(spark)).collect() == []
 
 
+def test_blocks_judge_row_by_row(spark):
+    """With several blocks too, rows that share an id or have none are judged on their own texts."""
+    dirty, clean = "short one and", "nothing else here"
+    rows = [(1, dirty), (1, clean), (1, clean), (2, dirty), (2, dirty), (None, dirty), (None, clean), (None, None), (3, "a b c d e f g h i j k l m"), (4, "short one a b c d e f g h i j k l m")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def answers(most):
+        return sorted(str(tuple(r)) for r in decontaminate.contamination(frame, bench(spark), max_windows=most).collect())
+
+    assert len(answers(20)) == len(rows) and answers(20) == answers(500_000)
+    bad = [t for _, t in rows for n, h, _ in [brute.hits(t, ITEMS)] if h and 20 * h >= n]
+    for most in (20, 500_000):
+        kept = decontaminate.decontaminate(frame, bench(spark), max_windows=most)
+        assert sorted(map(str, kept.collect())) == sorted(str(r) for r in frame.collect() if r.text not in bad)
 
 
 def test_mix_edges(spark):
