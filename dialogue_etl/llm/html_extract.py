@@ -163,11 +163,11 @@ def candidates(page: str) -> list[tuple[str, float]]:
 def extract(page: str, path: str | None) -> str:
     """The text under the containers of that path; of the whole page if path is null or not there."""
     parts: list[str] = []
-    inside = 0 if path else 1
+    inside, there = 0 if path else 1, not path
     for kind, frame, text in walk(page):
         if kind == "open":
             if path and frame.tag in CONTAINERS and frame.path == path:
-                inside += 1
+                inside, there = inside + 1, True
             if frame.tag not in INLINE:
                 parts.append(" ")
         elif kind == "close":
@@ -179,7 +179,7 @@ def extract(page: str, path: str | None) -> str:
             parts.append(" ")
         elif kind == "text" and inside > 0 and not frame.skip:
             parts.append(entities.unescape(text) if "&" in text else text)
-    return " ".join("".join(parts).split())
+    return " ".join("".join(parts).split()) if there else extract(page, None)
 
 
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +199,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """Returns (id, url, text, n_chars) for every row of pages; nothing is cut.
 
     Defined cases: a null or empty page, and one without text, gives the empty text; pages with a null or
-    odd URL vote together as one host; rows that repeat an id are read one by one where the host votes fit a
-    broadcast, and else share the path of that id; a page without candidates is read whole.
+    odd URL vote together as one host; rows that repeat an id or have none are read one by one; a page without
+    candidates is read whole.
     """
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
     kind = dict(rows.dtypes)["page"]
@@ -222,16 +222,19 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
         out = rows.mapInArrow(read, f"page {kind}, url string, text string, n_chars long")
     else:
-        listed = own.select("page", "host", F.posexplode("paths").alias("rank", "path"))
-        listed = listed.join(votes, ["host", "path"], "left").groupBy("page").agg(F.max_by("path", F.struct(F.coalesce("votes", F.lit(0)), -F.col("rank"))).alias("path"))
-        chosen = materialize(listed.filter("page IS NOT NULL").withColumnRenamed("page", "p"), "html-chosen")
+        # Pages are stored under a key of their own, as ids may repeat or be null.
+        keyed = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "html-rows")
+        listed = keyed.select(F.col("row").alias("page"), "host", "html").mapInArrow(_scored, "page long, host string, paths array<string>")
+        listed = listed.select(F.col("page").alias("own"), "host", F.posexplode("paths").alias("rank", "path"))
+        chosen = listed.join(votes, ["host", "path"], "left").groupBy("own").agg(F.max_by("path", F.struct(F.coalesce("votes", F.lit(0)), -F.col("rank"))).alias("path"))
+        chosen = materialize(chosen, "html-chosen")
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 both = zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())
                 yield _answer(batch, [extract(page, path) if page else "" for page, path in both])
 
-        out = rows.join(chosen, F.col("page") == F.col("p"), "left").select("page", "url", "html", "path").mapInArrow(read, f"page {kind}, url string, text string, n_chars long")
+        out = keyed.join(chosen, F.col("row") == F.col("own"), "left").select("page", "url", "html", "path").mapInArrow(read, f"page {kind}, url string, text string, n_chars long")
     return out.withColumnsRenamed({"page": id_col, "url": url_col} if url_col != "url" else {"page": id_col})
 
 

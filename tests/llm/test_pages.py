@@ -52,6 +52,21 @@ def test_hosts_agree(spark):
     assert all(t == ("story text " * 20).strip() for t in got.values())
 
 
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_rows_are_read_one_by_one(spark, rows):
+    """Rows that share an id, or have none, are read under paths of their own."""
+    story, other = page('<div class="story"><p>' + "story text " * 20 + "</p></div><p>loose end</p>"), page('<section class="text"><p>' + "other words " * 30 + "</p></section>")
+    pages = [(k, "http://a.example/", story) for k in range(5)] + [(7, "http://a.example/", story), (7, "http://a.example/", other), (None, "http://a.example/", story), (None, "http://a.example/", other), (None, None, None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = sorted(str((r.page_id, r.text)) for r in html_extract.extract_pages(frame, max_broadcast_rows=rows).collect())
+    want = {story: ("story text " * 20).strip(), other: ("other words " * 30).strip(), None: ""}
+    assert got == sorted(str((k, want[h])) for k, _, h in pages)
+
+
+def test_missing_path_reads_the_whole_page():
+    assert html_extract.extract("<div><p>one</p></div> two", "> body>div.story") == "one two"
+
+
 def archive_rows():
     rng = random.Random(3)
     bodies = ["", None, "<p>é</p>", "x\r\n\r\nWARC/1.1\r\n", "long " * 50_000] + [f"<p>{k}</p>" for k in range(20)]
