@@ -56,23 +56,25 @@ def dense_numbers(rows: DataFrame, order: Column | str, save, start: int = 1, na
     return dealt.join(before, "__part").withColumn(name, F.col("__at") + F.col("__before") + F.lit(start - 1)).drop("__part", "__at", "__before", "__n")
 
 
-def link_closure(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, types: list[str], save, max_hops: int = 50) -> DataFrame:
+def link_closure(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, types: list[str], save, max_hops: int | None = None) -> DataFrame:
     """(url, hop) of all pages reached from the seeds along edges of the types; only in-range pages are expanded.
 
     Breadth first; every hop is one join and one anti join by url, saved by `save(df)` so that the plan doesn't grow.
+    A closure that isn't complete after max_hops, where that is given, raises an error.
     """
     live = edges.filter(F.col("type").isin(types)).join(nodes.filter("version_status = 'in_range'").select(F.col("url").alias("from")), "from", "left_semi").select("from", "to").distinct()
     live = save(live)
     seen = save(seeds.select("url").distinct().withColumn("hop", F.lit(0)))
     front, hop = seen, 0
-    while hop < max_hops:
+    while True:
         hop += 1
         step = front.join(live, front.url == live["from"]).select(F.col("to").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("hop", F.lit(hop))
         front = save(step)
         if front.isEmpty():
-            break
+            return seen
+        if max_hops is not None and hop > max_hops:
+            raise ValueError(f"pages beyond {max_hops} hops")
         seen = save(seen.unionByName(front))
-    return seen
 
 
 def graph_checks(nodes: DataFrame, edges: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from dialogue_etl.functions import pages as P
 from dialogue_etl.functions import text as T
 from dialogue_etl.functions.render import story_markdown
 from dialogue_etl.operators import coverage as V
+from dialogue_etl.operators import graph as G
 from dialogue_etl.operators import lines as L
 from dialogue_etl.operators import summary as S
 from dialogue_etl.sources import io as IO
@@ -91,3 +92,13 @@ def test_usual_themes(spark):
     got = S.theme_anchors(lines).collect()
     assert {(r.theme, r.anchor) for r in got if r.line_no < 3} == {("世界观要点", "轮回 的 朋友"), ("关系变化", "轮回 的 朋友"), ("易错点/待复核点", "不是")}
     assert sum(r.theme == "世界观要点" for r in got) == 10
+
+
+def test_long_chain_is_followed_to_its_end(spark):
+    nodes = spark.range(110).select(F.concat(F.lit("p"), "id").alias("url"), F.lit("in_range").alias("version_status"))
+    edges = spark.range(109).select(F.concat(F.lit("p"), "id").alias("from"), F.concat(F.lit("p"), F.col("id") + 1).alias("to"), F.lit("next_task").alias("type"))
+    seeds = nodes.filter("url = 'p0'").select("url")
+    got = {r.url: r.hop for r in G.link_closure(seeds, edges.coalesce(1), nodes.coalesce(1), ["next_task"], lambda df: df.coalesce(1).localCheckpoint()).collect()}
+    assert got == {f"p{k}": k for k in range(110)}
+    with pytest.raises(ValueError, match="beyond 2 hops"):
+        G.link_closure(seeds, edges, nodes, ["next_task"], lambda df: df.localCheckpoint(), max_hops=2)
