@@ -15,6 +15,7 @@ cost extra variants). Witnesses are verified by edit distance on the words thems
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ MIN_WORDS = 8
 #: Bits of the table of half keys and of the table of suspected lines: 8 MB each.
 TABLE_BITS = 26
 FULL = -1
+#: Words as the keys see them: between ASCII white space, other spaces are part of a word.
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 class Lines:
@@ -135,7 +138,7 @@ def _texts(shared):
                 on = np.flatnonzero((lines.n > 0) & _set_in(shared.value, lines.key))
                 _, once = np.unique(lines.key[on], return_index=True)
                 on = on[once]
-                texts = [data[lines.ends[k] : lines.ends[k + 1]].tobytes().decode("utf-8", "replace").lower() for k in on]
+                texts = [data[lines.ends[k] : lines.ends[k + 1]].tobytes().lower().decode("utf-8", "replace") for k in on]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.key[on].astype(np.int64)), pa.array(texts, pa.string())], names=["line", "text"])
 
     return run
@@ -153,7 +156,7 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = [within_one(x.split(), y.split()) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())]
+        keep = [within_one(_WORD.findall(x), _WORD.findall(y)) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column("line").filter(pa.array(keep, pa.bool_()))], names=["line"])
 
 

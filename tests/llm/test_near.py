@@ -135,6 +135,14 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_summary(frame.limit(0)).collect() == []
 
 
+def test_words_with_other_spaces(spark):
+    """A no-break or ideographic space is part of a word, so one changed word stays one edit."""
+    pairs = [("Bonjour\u00a0!", "Salut\u00a0?"), ("日\u3000本", "中\u3000国"), ("x\u0085y", "v\u0085w")]
+    docs = [(2 * k + n, f"k{k} " + " ".join(f"u{k}x{j}" for j in range(8)) + " " + word) for k, pair in enumerate(pairs) for n, word in enumerate(pair)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.dropped_lines for r in line_dedup.dedup_summary(frame).collect()} == {0: "", 1: "0", 2: "", 3: "0", 4: "", 5: "0"}
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(1000, k) for k in range(1001, 1400)] + [(k, k + 1) for k in range(2000, 2100)]
