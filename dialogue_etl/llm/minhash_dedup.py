@@ -78,12 +78,13 @@ def _sketched(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, z - a),
+                        batch.column(2).slice(a, z - a),
                         pa.array(sizes, pa.int64()),
                         pa.array([hashlib.blake2b(s[i:j].tobytes(), digest_size=16).digest() if j > i else None for i, j in zip(at[:-1], at[1:])], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1))),
                         pa.array([x.tobytes() for x in low], pa.binary()),
                     ],
-                    names=["id", "n_shingles", "digest", "bands", "marks"],
+                    names=["id", "text_mark", "n_shingles", "digest", "bands", "marks"],
                 )
 
     return run
@@ -155,14 +156,14 @@ def _across(threshold: float, most_far: float):
     return run
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, names: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, star) with their distance and whether their full sets reach the threshold; each star is
-    verified in parts of bounded size."""
+    verified in parts of bounded size. names gives each class's document and text mark, by which texts are found."""
     parts = pairs.groupBy("star").count().select("star", F.ceil(F.col("count") / STAR_ROWS).cast("int").alias("parts"))
     parts = materialize(parts, f"{name}-stars")
     members = pairs.join(parts, "star").select("star", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("a").alias("id"))
     centres = parts.select("star", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("star").alias("id"))
-    rows = members.unionByName(centres).join(texts, "id")
+    rows = members.unionByName(centres).join(names, "id").join(texts, ["doc", "text_mark"])
     rows = rows.repartition("star", "part").sortWithinPartitions("star", "part", "role")
     out = materialize(rows.select("star", "role", "id", "text").mapInArrow(_verified(width, percent), "a long, b long, far double, linked boolean"), f"{name}-links")
     drop(parts)
@@ -176,14 +177,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (lower-cased, words between white space; a shorter text is one shingle). component_id is the smallest id
     reachable over links. Defined cases: a null or empty text has an empty set, no link and itself as its
     component; a row with a null id keeps a null component_id and kept = true and links with nothing; rows
-    that repeat an id are answered row by row (equal rows get equal answers); other columns are ignored.
+    that repeat an id are answered row by row, each by its own text (equal rows get equal answers); other
+    columns are ignored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    base = materialize(texts.mapInArrow(_sketched(width), "id long, n_shingles long, digest binary, bands array<long>, marks binary"), "mh-sketch")
+    return _answered(docs, id_col, text_col, width, percent).drop("text_mark")
+
+
+def _answered(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """near_duplicates() with the mark of the row's text, which tells apart the texts of one id."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_mark"))
+    base = materialize(texts.mapInArrow(_sketched(width), "id long, text_mark long, n_shingles long, digest binary, bands array<long>, marks binary"), "mh-sketch")
     with_id = base.filter("id IS NOT NULL")
-    # Equal sets are one class, named by its smallest id.
-    classes = materialize(with_id.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("class_id")), "mh-classes")
-    reps = materialize(with_id.join(classes, (with_id.digest == classes.digest) & (with_id.id == classes.class_id), "left_semi").dropDuplicates(["id", "digest"]).select("id", "bands", "marks"), "mh-reps")
+    # Equal sets are one class under a key of its own, as one id may have several texts; its first text stands for it.
+    first = with_id.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("id", "text_mark")).alias("first"))
+    classes = materialize(first.select("digest", F.monotonically_increasing_id().alias("key"), F.col("first.id").alias("class_id"), F.col("first.text_mark").alias("class_mark")), "mh-classes")
+    named = classes.select("key", F.col("digest").alias("class_digest"), "class_id", "class_mark")
+    reps = with_id.join(named, (F.col("digest") == F.col("class_digest")) & (F.col("id") == F.col("class_id")) & (F.col("text_mark") == F.col("class_mark")))
+    reps = materialize(reps.dropDuplicates(["key"]).select(F.col("key").alias("id"), "bands", "marks"), "mh-reps")
+    names = classes.select(F.col("key").alias("id"), F.col("class_id").alias("doc"), F.col("class_mark").alias("text_mark"))
 
     banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = materialize(banded.groupBy("band", "key").agg(F.count("*").alias("bucket_size")).filter("bucket_size > 1"), "mh-buckets")
@@ -196,7 +207,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks_a = reps.select(F.col("id").alias("a"), F.col("marks").alias("marks_a"))
     marks_b = reps.select(F.col("id").alias("star"), F.col("marks").alias("marks_b"))
     near = materialize(stars.join(marks_a, "a").join(marks_b, "star").select("a", "star", "marks_a", "marks_b").mapInArrow(_alike(percent / 100 - SLACK), "a long, star long"), "mh-alike")
-    measured = _confirm(near, texts, width, percent, "mh-round1")
+    measured = _confirm(near, names, texts, width, percent, "mh-round1")
     comps = materialize(connected_components(measured.filter("linked").select("a", "b"), "mh-cc1"), "mh-comps1")
 
     # Buckets that still hold several components: their pairs across components, by blocks.
@@ -211,7 +222,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.repartition(*order).sortWithinPartitions(*order)
     more = rows.mapInArrow(_across(percent / 100 - SLACK, 1 - percent / 100 + 1e-9), "a long, b long").select(F.col("b").alias("a"), F.col("a").alias("star"))
     more = materialize(more, "mh-across")
-    late = _confirm(more, texts, width, percent, "mh-round2").filter("linked")
+    late = _confirm(more, names, texts, width, percent, "mh-round2").filter("linked")
     for used in (buckets, shared, known, stars, near, placed, mixed):
         drop(used)
     named_a = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -221,12 +232,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     final = comps.join(second.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
     final = final.select("node", F.coalesce("whole", "component").alias("component")).unionByName(second.join(comps, "node", "left_anti"))
-    named_classes = classes.join(final, classes.class_id == final.node, "left").select(F.col("digest").alias("class_digest"), F.coalesce("component", "class_id").alias("component"))
+    rooted = materialize(classes.join(final, classes.key == final.node, "left").select("digest", "class_id", F.coalesce("component", "key").alias("root")), "mh-roots")
+    lowest = materialize(rooted.groupBy("root").agg(F.min("class_id").alias("component")), "mh-lowest")
+    named_classes = rooted.join(lowest, "root").select(F.col("digest").alias("class_digest"), "component")
     named_classes = materialize(named_classes, "mh-answer")
     drop(reps)
-    out = base.select("id", "n_shingles", "digest").join(named_classes, F.col("digest") == F.col("class_digest"), "left")
+    out = base.select("id", "text_mark", "n_shingles", "digest").join(named_classes, F.col("digest") == F.col("class_digest"), "left")
     component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "id"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "text_mark")
 
 
 def _alike(threshold: float):
@@ -242,9 +255,12 @@ def _alike(threshold: float):
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the near duplicates: the document with the smallest id of each component stays, whole."""
-    gone = near_duplicates(docs, id_col, text_col, width, percent).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    """docs without the near duplicates: the document with the smallest id of each component stays, whole.
+
+    Rows that repeat an id are judged one by one, each by its own text; equal rows, and rows without an id, stay.
+    """
+    gone = _answered(docs, id_col, text_col, width, percent).filter("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_mark").alias("__mark"))
+    return docs.join(gone, (docs[id_col].cast("long") == gone["__gone"]) & (F.xxhash64(docs[text_col]) == gone["__mark"]), "left_anti")
 
 
 def op10_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

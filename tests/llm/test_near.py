@@ -55,6 +55,17 @@ def test_near_duplicate_edges(spark):
     assert minhash_dedup.near_duplicates(empty).collect() == [] and minhash_dedup.keep_one(empty).columns == frame.columns
 
 
+def test_repeated_ids_with_different_texts(spark):
+    """Only the row whose own text is a near copy goes, and each text of an id keeps its links."""
+    copy, clean, other = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40)), " ".join(f"c{k}" for k in range(40))
+    rows = [(1, copy), (5, copy + " end"), (5, clean), (6, clean + " end"), (4, other), (4, copy + " last"), (9, other + " end"), (None, copy)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, ((r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(frame, width=2).collect())))
+    assert got == sorted(map(str, [(1, 1, True), (5, 1, False), (5, 5, True), (6, 5, False), (4, 4, True), (4, 1, False), (9, 4, False), (None, None, True)]))
+    kept = sorted(str(tuple(r)) for r in minhash_dedup.keep_one(frame, width=2).collect())
+    assert kept == sorted(str(r) for r in [(1, copy), (5, clean), (4, other), (None, copy)])
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(3)
     shared, own = rng.integers(0, 1 << 63, 3000, dtype=np.uint64), rng.integers(0, 1 << 63, (40, 2, 375), dtype=np.uint64)
