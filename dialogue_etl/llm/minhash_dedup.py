@@ -7,9 +7,13 @@ find candidates, full sets confirm them.
 
 Texts with equal sets are one class from the start. A class is compared first with one class that it shares a
 bucket with, the one with most such neighbours (a star's centre; in a group of edits mostly their original).
-Afterwards only buckets that still hold several components are compared pair by pair across components, each
-pair in its first common bucket. Links inside one component cannot change any answer, so no component is
-lost and a large group costs a star, not all its pairs.
+Afterwards only buckets that still hold several components are compared across components, each pair in its
+first common bucket, and of a bucket's largest component only against the rest. A pair is ruled out inside the
+task by the sizes of both sets, by the sketch, by a common centre, and last by the multisets of 16 bits of every
+shingle's hash, whose overlap can't be less than that of the sets. What is left names one pair for each two
+components of the bucket, so a task gives out fewer pairs than it has rows. Named pairs are confirmed on the
+full sets; if one fails, all pairs that are left are named and confirmed. Links inside one component cannot
+change any answer, so no component is lost and a large group costs a star, not all its pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_etl.llm.common import block_rows, connected_components, drop, local_roots, materialize, run_starts, whole_runs
+from dialogue_etl.llm.common import BLOCK_ROWS, connected_components, drop, local_roots, materialize, run_starts, whole_runs
 from dialogue_etl.llm.textkit import mix, shingle_sets, slices
 
 BANDS, ROWS = 32, 5
@@ -75,6 +79,7 @@ def _sketched(width: int):
                 marks = sketch(s, at)
                 keys, low = band_keys(marks).astype(np.int64), (mix(marks) & np.uint64(0xFF)).astype(np.uint8)
                 sizes = np.diff(at)
+                short = (s & np.uint64(0xFFFF)).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, z - a),
@@ -83,8 +88,9 @@ def _sketched(width: int):
                         pa.array([hashlib.blake2b(s[i:j].tobytes(), digest_size=16).digest() if j > i else None for i, j in zip(at[:-1], at[1:])], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1))),
                         pa.array([x.tobytes() for x in low], pa.binary()),
+                        pa.array([x.tobytes() for x in np.split(short, at[1:-1])], pa.binary()),
                     ],
-                    names=["id", "text_mark", "n_shingles", "digest", "bands", "marks"],
+                    names=["id", "text_mark", "n_shingles", "digest", "bands", "marks", "short"],
                 )
 
     return run
@@ -119,43 +125,90 @@ def _verified(width: int, percent: int):
     return run
 
 
-def _across(threshold: float, most_far: float):
-    """Candidate pairs of different components inside each bucket, by the share of equal coordinates.
+def _ranked(short: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Each set's values made distinct by their place among equal ones, so that sets of them overlap as multisets do."""
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    order = np.lexsort((short, owner))
+    same = np.zeros(len(short), bool)
+    same[1:] = (short[order][1:] == short[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    spot = np.arange(len(short))
+    place = spot - np.maximum.accumulate(np.where(same, 0, spot))
+    out = np.empty(len(short), np.int64)
+    out[order] = short[order].astype(np.int64) | (place << 16)
+    return out
 
-    A pair comes from its first common band only. Where both have been measured against the same centre, a
-    difference of their distances from it beyond most_far rules the pair out: the distance is a metric.
-    """
+
+def _across(threshold: float, percent: int, most_far: float, one_each: bool):
+    """Pairs (a, star) of different components inside each bucket that no bound rules out, each pair in its first
+    common band only. Where both have been measured against the same centre, a difference of their distances from
+    it beyond most_far rules the pair out: the distance is a metric. With one_each a pair joins its two components
+    for the rest of the bucket, so at most one pair for each component is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["band", "key", "blk_i", "blk_j"]
         for table in whole_runs(batches, names):
-            columns = {c: table.column(c).to_numpy() for c in (*names, "blk", "id", "component", "centre", "far")}
+            columns = {c: table.column(c).to_numpy() for c in (*names, "blk", "id", "component", "centre", "far", "n_shingles")}
             marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
             bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            raw = table.column("short").to_pylist()
+            ends = np.concatenate([[0], np.cumsum(columns["n_shingles"])])
+            ranked = _ranked(np.frombuffer(b"".join(raw), "<u2"), ends)
+            present = np.zeros(int(ranked.max(initial=0)) + 1, bool)
             starts = run_starts([columns[c] for c in names])
             found_a, found_b = [], []
             for a, z in zip(starts, [*starts[1:], len(marks)]):
-                ids, comp, blk, centre, far = (columns[c][a:z] for c in ("id", "component", "blk", "centre", "far"))
+                ids, label, blk, centre, far, n = (columns[c][a:z] for c in ("id", "component", "blk", "centre", "far", "n_shingles"))
+                label = label.copy()
                 m, keys, band = marks[a:z], bands[a:z], columns["band"][a]
                 split = columns["blk_i"][a] != columns["blk_j"][a]
                 for k in range(len(ids)):
-                    other = (comp != comp[k]) & (ids > ids[k])
+                    other = (label != label[k]) & (ids > ids[k])
                     if split:
                         other &= blk != blk[k]
-                    other &= ~((centre == centre[k]) & (np.abs(far - far[k]) > most_far))
+                    other &= (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k])) & ~((centre == centre[k]) & (np.abs(far - far[k]) > most_far))
                     other = np.flatnonzero(other)
-                    other = other[(m[other] == m[k]).mean(axis=1) >= threshold]
-                    good = other[(keys[other] == keys[k]).argmax(axis=1) == band]
-                    if len(good):
-                        found_a.append(np.full(len(good), ids[k]))
-                        found_b.append(ids[good])
-            a = np.concatenate([np.zeros(0, np.int64), *found_a])
-            b = np.concatenate([np.zeros(0, np.int64), *found_b])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    if len(other):
+                        other = other[(m[other] == m[k]).mean(axis=1) >= threshold]
+                    if len(other):
+                        other = other[(keys[other] == keys[k]).argmax(axis=1) == band]
+                    if not len(other):
+                        continue
+                    present[ranked[ends[a + k] : ends[a + k + 1]]] = True
+                    both = np.array([np.count_nonzero(present[ranked[ends[a + j] : ends[a + j + 1]]]) for j in other])
+                    present[ranked[ends[a + k] : ends[a + k + 1]]] = False
+                    other = other[100 * both >= percent * (n[other] + n[k] - both)]
+                    if one_each and len(other):
+                        joined, first = np.unique(label[other], return_index=True)
+                        other = other[first]
+                        label[np.isin(label, joined)] = label[k]
+                    found_a.append(ids[other])
+                    found_b.append(np.full(len(other), ids[k]))
+            pair = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (found_a, found_b)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pair], names=["a", "star"])
 
     return run
 
 
+def _dealt(placed: DataFrame, name: str) -> DataFrame:
+    """The rows (id, band, key, component) of buckets with several components, dealt to pairs of blocks.
+
+    A bucket's largest component is never compared with itself: its blocks meet the blocks of the rest only, so
+    its rows are copied as often as the rest has blocks, however large the component is.
+    """
+    sizes = placed.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    top = F.max(F.struct("n", "component"))
+    mixed = sizes.groupBy("band", "key").agg(F.sum("n").alias("size"), top.alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    mixed = materialize(mixed.select("band", "key", "size", F.col("top.component").alias("main"), F.col("top.n").alias("main_size")), name)
+    whole = F.col("size") <= BLOCK_ROWS
+    is_main = F.col("component") == F.col("main")
+    mains, rest = (F.ceil(x / F.lit(BLOCK_ROWS)).cast("int") for x in (F.col("main_size"), F.col("size") - F.col("main_size")))
+    h = F.xxhash64("id")
+    own = F.when(whole, 0).when(is_main, F.pmod(h, mains)).otherwise(mains + F.pmod(h, rest)).cast("int")
+    others = F.when(whole, F.array(F.lit(0))).when(is_main, F.sequence(mains, mains + rest - 1)).otherwise(F.sequence(F.lit(0), mains + rest - 1))
+    rows = placed.join(mixed, ["band", "key"]).select("id", "band", "key", "component", own.alias("blk"), F.explode(others).alias("other"))
+    return rows.select("id", "band", "key", "component", "blk", F.least("blk", "other").alias("blk_i"), F.greatest("blk", "other").alias("blk_j"))
+
+
 def _confirm(pairs: DataFrame, names: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, star) with their distance and whether their full sets reach the threshold; each star is
     verified in parts of bounded size. names gives each class's document and text mark, by which texts are found."""
@@ -180,21 +233,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     that repeat an id are answered row by row, each by its own text (equal rows get equal answers); other
     columns are ignored.
     """
-    return _answered(docs, id_col, text_col, width, percent).drop("text_mark")
+    base, rooted = _rooted(docs, id_col, text_col, width, percent, null_ids=False)
+    lowest = materialize(rooted.groupBy("root").agg(F.min("class_id").alias("component")), "mh-lowest")
+    named = materialize(rooted.join(lowest, "root").select(F.col("digest").alias("class_digest"), "component"), "mh-answer")
+    out = base.select("id", "n_shingles", "digest").join(named, F.col("digest") == F.col("class_digest"), "left")
+    component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _answered(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """near_duplicates() with the mark of the row's text, which tells apart the texts of one id."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, null_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows (id, text_mark, n_shingles, digest) and, for every class of equal sets, (digest, class_id,
+    class_mark, root): its first row, rows without an id last, and its component. text_mark tells apart the texts
+    of one id; null_ids says whether rows without an id belong to classes."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_mark"))
-    base = materialize(texts.mapInArrow(_sketched(width), "id long, text_mark long, n_shingles long, digest binary, bands array<long>, marks binary"), "mh-sketch")
-    with_id = base.filter("id IS NOT NULL")
+    base = materialize(texts.mapInArrow(_sketched(width), "id long, text_mark long, n_shingles long, digest binary, bands array<long>, marks binary, short binary"), "mh-sketch")
+    own = base.filter("digest IS NOT NULL") if null_ids else base.filter("digest IS NOT NULL AND id IS NOT NULL")
     # Equal sets are one class under a key of its own, as one id may have several texts; its first text stands for it.
-    first = with_id.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("id", "text_mark")).alias("first"))
+    first = own.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_mark")).alias("first"))
     classes = materialize(first.select("digest", F.monotonically_increasing_id().alias("key"), F.col("first.id").alias("class_id"), F.col("first.text_mark").alias("class_mark")), "mh-classes")
     named = classes.select("key", F.col("digest").alias("class_digest"), "class_id", "class_mark")
-    reps = with_id.join(named, (F.col("digest") == F.col("class_digest")) & (F.col("id") == F.col("class_id")) & (F.col("text_mark") == F.col("class_mark")))
-    reps = materialize(reps.dropDuplicates(["key"]).select(F.col("key").alias("id"), "bands", "marks"), "mh-reps")
-    names = classes.select(F.col("key").alias("id"), F.col("class_id").alias("doc"), F.col("class_mark").alias("text_mark"))
+    reps = own.join(named, (F.col("digest") == F.col("class_digest")) & F.col("id").eqNullSafe(F.col("class_id")) & (F.col("text_mark") == F.col("class_mark")))
+    reps = materialize(reps.dropDuplicates(["key"]).select(F.col("key").alias("id"), "n_shingles", "bands", "marks", "short"), "mh-reps")
+    # Texts are found by the id (0 for none: the mark tells them apart) and the mark.
+    names = classes.select(F.col("key").alias("id"), F.coalesce("class_id", F.lit(0)).alias("doc"), F.col("class_mark").alias("text_mark"))
+    texts = texts.withColumn("doc", F.coalesce("doc", F.lit(0)))
 
     banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = materialize(banded.groupBy("band", "key").agg(F.count("*").alias("bucket_size")).filter("bucket_size > 1"), "mh-buckets")
@@ -208,38 +270,40 @@ def _answered(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     marks_b = reps.select(F.col("id").alias("star"), F.col("marks").alias("marks_b"))
     near = materialize(stars.join(marks_a, "a").join(marks_b, "star").select("a", "star", "marks_a", "marks_b").mapInArrow(_alike(percent / 100 - SLACK), "a long, star long"), "mh-alike")
     measured = _confirm(near, names, texts, width, percent, "mh-round1")
-    comps = materialize(connected_components(measured.filter("linked").select("a", "b"), "mh-cc1"), "mh-comps1")
+    comps = materialize(connected_components(measured.filter("linked").select("a", "b"), "mh-cc1"), "mh-comps")
+    for used in (buckets, known, stars, near):
+        drop(used)
 
-    # Buckets that still hold several components: their pairs across components, by blocks.
+    # Buckets that still hold several components: pairs across them.
     centres = measured.select(F.col("b").alias("id")).distinct()
     far = measured.select(F.col("a").alias("id"), F.col("b").alias("centre"), "far").join(centres, "id", "left_anti").unionByName(centres.select("id", F.col("id").alias("centre"), F.lit(0.0).alias("far")))
-    placed = shared.join(comps, shared.id == comps.node, "left").select("id", "band", "key", F.coalesce("component", "id").alias("component"))
-    placed = materialize(placed, "mh-placed")
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("bucket_size")).filter("low <> high").drop("low", "high")
-    mixed = materialize(mixed, "mh-mixed")
-    rows = block_rows(placed, mixed, ["band", "key"], "id").join(reps.select("id", "bands", "marks"), "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
+    far = materialize(far, "mh-far")
     order = ["band", "key", "blk_i", "blk_j"]
-    rows = rows.repartition(*order).sortWithinPartitions(*order)
-    more = rows.mapInArrow(_across(percent / 100 - SLACK, 1 - percent / 100 + 1e-9), "a long, b long").select(F.col("b").alias("a"), F.col("a").alias("star"))
-    more = materialize(more, "mh-across")
-    late = _confirm(more, names, texts, width, percent, "mh-round2").filter("linked")
-    for used in (buckets, shared, known, stars, near, placed, mixed):
-        drop(used)
+    for one_each in (True, False):
+        placed = shared.join(comps, shared.id == comps.node, "left").select("id", "band", "key", F.coalesce("component", "id").alias("component"))
+        rows = _dealt(materialize(placed, "mh-placed"), "mh-mixed").join(reps, "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
+        # Bands and sets are read from the table of classes; no component is compared with itself.
+        rows = rows.repartition(*order).sortWithinPartitions(*order)
+        more = rows.mapInArrow(_across(percent / 100 - SLACK, percent, 1 - percent / 100 + 1e-9, one_each), "a long, star long")
+        late = _confirm(materialize(more.distinct(), "mh-across"), names, texts, width, percent, "mh-round2")
+        comps = _merged(comps, late.filter("linked"))
+        if late.filter("NOT linked").isEmpty():
+            break
+    drop(shared)
+    drop(reps)
+    rooted = classes.join(comps, classes.key == comps.node, "left").select("digest", "class_id", "class_mark", F.coalesce("component", "key").alias("root"))
+    return base.select("id", "text_mark", "n_shingles", "digest"), materialize(rooted, "mh-roots")
+
+
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after more links (a, b)."""
     named_a = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     named_b = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = late.join(named_a, "a", "left").join(named_b, "b", "left")
+    joined = links.join(named_a, "a", "left").join(named_b, "b", "left")
     second = materialize(connected_components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "mh-cc2"), "mh-comps2")
-
-    final = comps.join(second.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
-    final = final.select("node", F.coalesce("whole", "component").alias("component")).unionByName(second.join(comps, "node", "left_anti"))
-    rooted = materialize(classes.join(final, classes.key == final.node, "left").select("digest", "class_id", F.coalesce("component", "key").alias("root")), "mh-roots")
-    lowest = materialize(rooted.groupBy("root").agg(F.min("class_id").alias("component")), "mh-lowest")
-    named_classes = rooted.join(lowest, "root").select(F.col("digest").alias("class_digest"), "component")
-    named_classes = materialize(named_classes, "mh-answer")
-    drop(reps)
-    out = base.select("id", "text_mark", "n_shingles", "digest").join(named_classes, F.col("digest") == F.col("class_digest"), "left")
-    component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "id"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "text_mark")
+    moved = comps.join(second.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
+    moved = moved.select("node", F.coalesce("whole", "component").alias("component"))
+    return materialize(moved.unionByName(second.join(comps, "node", "left_anti").select("node", "component")), "mh-comps")
 
 
 def _alike(threshold: float):
@@ -255,15 +319,35 @@ def _alike(threshold: float):
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the near duplicates: the document with the smallest id of each component stays, whole.
+    """docs with exactly one row of each group of near duplicates, whole and with all its columns.
 
-    Rows that repeat an id are judged one by one, each by its own text; equal rows, and rows without an id, stay.
+    The row with the smallest id stays; rows without an id are documents too and come last. Of rows that repeat
+    an id and its text one stays. Each text of a repeated id is judged by itself. Rows without a word all stay.
     """
-    gone = _answered(docs, id_col, text_col, width, percent).filter("NOT kept").select(F.col("doc_id").alias("__gone"), F.col("text_mark").alias("__mark"))
-    return docs.join(gone, (docs[id_col].cast("long") == gone["__gone"]) & (F.xxhash64(docs[text_col]) == gone["__mark"]), "left_anti")
+    base, rooted = _rooted(docs, id_col, text_col, width, percent, null_ids=True)
+    lead = F.min(F.struct(F.col("class_id").isNull().alias("no_id"), F.col("class_id").alias("lead_id"), F.col("class_mark").alias("lead_mark")))
+    leads = materialize(rooted.groupBy("root").agg(lead.alias("lead")).select("root", "lead.lead_id", "lead.lead_mark"), "mh-leads")
+    led = rooted.join(leads, "root").select(F.col("digest").alias("class_digest"), "lead_id", "lead_mark")
+    rows = base.filter("digest IS NOT NULL").groupBy("id", "text_mark").agg(F.first("digest").alias("digest"), F.count("*").alias("times"))
+    judged = rows.join(led, F.col("digest") == F.col("class_digest")).select("id", "text_mark", "times", (F.col("id").eqNullSafe(F.col("lead_id")) & (F.col("text_mark") == F.col("lead_mark"))).alias("leads"))
+    judged = materialize(judged.filter("NOT leads OR times > 1").select(F.col("id").alias("__id"), F.col("text_mark").alias("__mark"), "leads"), "mh-judged")
+    same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__mark"))
+    out = docs.join(judged.drop("leads"), same, "left_anti")
+    again = judged.filter("leads").drop("leads")
+    if again.isEmpty():
+        return out
+    # One row of each set of rows that repeat an id and its text: the least by a hash of its columns.
+    named = [docs[c].alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    plain = [docs[c] for c in docs.columns if "map<" not in dict(docs.dtypes)[c]]
+    packed = docs.select(docs[id_col].cast("long").alias("__i"), F.xxhash64(docs[text_col]).alias("__m"), F.xxhash64(*plain).alias("__h"), F.struct(*named).alias("__row"))
+    packed = packed.join(again, F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__m") == F.col("__mark")), "left_semi")
+    one = packed.groupBy("__i", "__m").agg(F.min_by("__row", "__h").alias("__row"))
+    return out.unionByName(one.select(*[F.col(f"__row.c{k}").alias(c) for k, c in enumerate(docs.columns)]))
 
 
 def op10_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """near_duplicates() of all documents: two words a shingle, similarity 0.8. Null and empty texts have no
+    shingle and stay; repeated rows are answered alike; null ids have a null component."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2, percent=80)
 
 
