@@ -12,6 +12,7 @@ SLICE_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240601)
 _VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_EXACT = _VALUE.copy()
 _VALUE[65:91] = _VALUE[97:123]  # A-Z as a-z
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -79,11 +80,11 @@ def word_spans(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray) -> tuple
     return starts, stops, np.searchsorted(starts, ends)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, A-Z taken as a-z; equal spans have equal hashes anywhere."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, with fold A-Z taken as a-z; equal spans have equal hashes anywhere."""
     up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * up[: len(data)], out=total[1:])
+    np.cumsum((_VALUE if fold else _EXACT)[data] * up[: len(data)], out=total[1:])
     return mix((total[stops] - total[starts]) * down[starts])
 
 

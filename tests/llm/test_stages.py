@@ -96,6 +96,59 @@ def test_token_output(spark, tmp_path):
     assert token_output.tokenize(frame.limit(0), token_output.default_tokenizer()).collect() == []
 
 
+def test_repeated_ids_keep_the_order_of_the_files(spark, tmp_path):
+    texts = ["b", "a longer text, here", "", None, "b", "x y"]
+    frame = spark.createDataFrame([(k // 6, t) for k, t in enumerate(texts * 20)], "doc_id long, text string")
+    path = token_output.write_tokens(frame, f"file://{tmp_path}/ids", token_output.default_tokenizer())
+    files = sorted((f.path for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").collect()), key=lambda x: x.rpartition("/")[2])
+    start, want = 0, []
+    for f in files:
+        for r in spark.read.schema(token_output.SCHEMA).orc(f).collect():
+            want.append((r.doc_id, start, len(r.tokens), zlib.crc32(np.array(r.tokens, "<u4").tobytes())))
+            start += len(r.tokens)
+    assert sorted(tuple(r) for r in token_output.token_index(spark, path).collect()) == sorted(want) and len(want) == 120
+
+
+def rows_of_scan(frame):
+    """Rows that the frame's file scan gave out."""
+    frame.write.format("noop").mode("overwrite").save()
+    todo, found = [frame._jdf.queryExecution().executedPlan()], []
+    frame.collect()
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif node.nodeName().startswith("Scan"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_lookups_skip_rows(spark, tmp_path):
+    frame = spark.range(20_000).selectExpr("id * 2 AS doc_id", "concat('text ', id) AS text")
+    path = token_output.write_tokens(frame, f"file://{tmp_path}/ids", token_output.default_tokenizer())
+    wanted = spark.createDataFrame([(10,), (20_010,), (20_011,), (None,)], "doc_id long")
+    found = token_output.read_tokens(spark, path, wanted)
+    assert {r.doc_id for r in found.collect()} == {10, 20_010}
+    assert sum(rows_of_scan(found)) <= 2_000
+    assert {r.doc_id for r in token_output.read_tokens(spark, path, spark.range(3000, 6000).toDF("doc_id")).collect()} == set(range(3000, 6000, 2))
+
+
+@pytest.mark.parametrize("most", [60, 1 << 20])
+def test_encoder_gives_the_tokenizers_ids(most):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    parts = ["word", "Wörter", "it's", "x2", "12", "...", "end.", "wow!!", "l'été", "日本", "ß", "ª½", "a_b", "\n", " ", "\t", "\u00a0", "<|endoftext|>", "(", "é\u0301", "don't", "-", "Ⅷ", "\x00", "😀"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.integers(0, 12))) for _ in range(3000)]
+    encode = token_output.Encoder(token_output.default_tokenizer(), max_words=most)
+    tokenizer = Tokenizer.from_file(token_output.default_tokenizer())
+    for k in range(0, len(texts), 250):
+        got = encode(pa.array(texts[k : k + 250])).to_pylist()
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts[k : k + 250]]
+
+
 def quality_tables(spark):
     rng = np.random.default_rng(1)
     rows = []
