@@ -216,10 +216,13 @@ def _confirm(pairs: DataFrame, names: DataFrame, texts: DataFrame, width: int, p
     parts = materialize(parts, f"{name}-stars")
     members = pairs.join(parts, "star").select("star", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("a").alias("id"))
     centres = parts.select("star", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("star").alias("id"))
-    rows = members.unionByName(centres).join(names, "id").join(texts, ["doc", "text_mark"])
+    # Written first: where the list is short by its size on disk, the texts meet it without a shuffle of their own.
+    listed = materialize(members.unionByName(centres).join(names, "id"), f"{name}-rows")
+    rows = listed.join(texts, ["doc", "text_mark"])
     rows = rows.repartition("star", "part").sortWithinPartitions("star", "part", "role")
     out = materialize(rows.select("star", "role", "id", "text").mapInArrow(_verified(width, percent), "a long, b long, far double, linked boolean"), f"{name}-links")
     drop(parts)
+    drop(listed)
     return out
 
 
@@ -254,6 +257,8 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     named = classes.select("key", F.col("digest").alias("class_digest"), "class_id", "class_mark")
     reps = own.join(named, (F.col("digest") == F.col("class_digest")) & F.col("id").eqNullSafe(F.col("class_id")) & (F.col("text_mark") == F.col("class_mark")))
     reps = materialize(reps.dropDuplicates(["key"]).select(F.col("key").alias("id"), "n_shingles", "bands", "marks", "short"), "mh-reps")
+    lite = materialize(base.select("id", "text_mark", "n_shingles", "digest"), "mh-rows")
+    drop(base)
     # Texts are found by the id (0 for none: the mark tells them apart) and the mark.
     names = classes.select(F.col("key").alias("id"), F.coalesce("class_id", F.lit(0)).alias("doc"), F.col("class_mark").alias("text_mark"))
     texts = texts.withColumn("doc", F.coalesce("doc", F.lit(0)))
@@ -281,18 +286,22 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     order = ["band", "key", "blk_i", "blk_j"]
     for one_each in (True, False):
         placed = shared.join(comps, shared.id == comps.node, "left").select("id", "band", "key", F.coalesce("component", "id").alias("component"))
-        rows = _dealt(materialize(placed, "mh-placed"), "mh-mixed").join(reps, "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
+        placed, before = materialize(placed, "mh-placed"), comps
+        rows = _dealt(placed, "mh-mixed").join(reps, "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
         # Bands and sets are read from the table of classes; no component is compared with itself.
         rows = rows.repartition(*order).sortWithinPartitions(*order)
         more = rows.mapInArrow(_across(percent / 100 - SLACK, percent, 1 - percent / 100 + 1e-9, one_each), "a long, star long")
-        late = _confirm(materialize(more.distinct(), "mh-across"), names, texts, width, percent, "mh-round2")
-        comps = _merged(comps, late.filter("linked"))
+        more = materialize(more.distinct(), "mh-across")
+        drop(placed)
+        late = _confirm(more, names, texts, width, percent, "mh-round2")
+        comps = _merged(before, late.filter("linked"))
+        drop(before)
         if late.filter("NOT linked").isEmpty():
             break
-    drop(shared)
-    drop(reps)
+    for used in (shared, reps, far, measured):
+        drop(used)
     rooted = classes.join(comps, classes.key == comps.node, "left").select("digest", "class_id", "class_mark", F.coalesce("component", "key").alias("root"))
-    return base.select("id", "text_mark", "n_shingles", "digest"), materialize(rooted, "mh-roots")
+    return lite, materialize(rooted, "mh-roots")
 
 
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
