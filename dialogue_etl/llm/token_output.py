@@ -25,11 +25,11 @@ from dialogue_etl.llm.textkit import raw, slices, span_hashes
 
 END_ID = 0
 #: Distinct words whose ids one worker keeps, about 60 bytes each; when it is full the more used half stays.
-MAX_WORDS = 1 << 20
+MAX_WORDS = 1 << 18
 #: Rows that one Arrow batch holds while texts and ids pass to and from the tasks.
 BATCH_ROWS = 1000
 #: Bytes of text that are encoded at once; a longer text is encoded alone.
-BYTES_AT_ONCE = 8 << 20
+BYTES_AT_ONCE = 1 << 20
 #: Texts that go to the tokenizer whole: with white space other than single spaces and line feeds between
 #: words, or with the special token's string.
 WHOLE = (
@@ -109,7 +109,7 @@ class Encoder:
         if len(missing):
             new = words.take(pa.array(missing))
             parts = [new.slice(k, JOINED).to_pylist() for k in range(0, len(new), JOINED)]
-            ids = np.concatenate(self.whole([" " + " ".join(part) for part in parts]))
+            ids = np.concatenate([self.whole([" " + " ".join(part)])[0] for part in parts])
             # Each word has one space, at its start.
             starts = np.flatnonzero(self.spaced[ids])
             at[missing] = len(self.words) + np.arange(len(new))
