@@ -1,120 +1,101 @@
-"""Markdown of story pages: one list of lines a page, with its dialogue and choice-group counts."""
+"""Markdown of story pages: each block of a page's outline is a row, its lines are expressions, and speaker pairs
+and blank lines are mended by the line operators."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialogue_etl.functions.pages import BLOCKS, LABEL, STORY_HEADING, UNSEEN, UNSEEN_CLASSES, Element, content, frame_parts, scope, speech
-
-NO_REPLY, NO_CONTENT = "  - 回复：无额外文本", "  - 回复：未在 HTML 中找到对应 content 块"
-
-
-class Page:
-    def __init__(self) -> None:
-        self.lines: list[str] = []
-        self.spoken = self.groups = 0
-
-    def gap(self) -> None:
-        if self.lines and self.lines[-1]:
-            self.lines.append("")
-
-    def say(self, text: str, plain: str, gap: bool) -> None:
-        said = speech(text)
-        if said:
-            self.lines.append(f"- **{said[0]}**：{said[1]}")
-            self.spoken += 1
-        elif text:
-            self.lines.append(plain + text)
-            if gap:
-                self.gap()
-
-    def titled(self, mark: str, title: str) -> None:
-        self.gap()
-        self.lines.append(f"{mark} {title}")
-        self.gap()
-
-    def put_all(self, elements: list[Element]) -> None:
-        for e in elements:
-            if e.tag == "#text":
-                self.say(content(e), "", True)
-            else:
-                self.put(e)
-
-    def put(self, e: Element) -> None:
-        if e.tag in UNSEEN or e.classes & UNSEEN_CLASSES:
-            return
-        level = re.fullmatch("h([2-6])", e.tag)
-        if level:
-            title = content(e.first("mw-headline")) or content(e)
-            if title:
-                self.titled("#" * min(int(level[1]), 5), title)
-        elif "sr-collapse-frame" in e.classes:
-            head, body = e.first("sr-collapse-title"), e.first("sr-collapse-content")
-            self.titled("####", content(head) if head else "折叠内容")
-            self.put_all(body.kids if body else [])
-        elif "plotFrame" in e.classes:
-            self.choices(e)
-        elif "messageContent" in e.classes:
-            for box in (x for x in e.walk() if "NM-Container" in x.classes):
-                who, said = content(box.first("SenderName")), content(box.first("MessageLeft", "MessageRight"))
-                if who and said:
-                    self.lines.append(f"- **{who}**：{said}")
-                    self.spoken += 1
-        elif e.tag in ("ul", "ol"):
-            for k in e.elements:
-                if k.tag == "li":
-                    self.say(content(k), "- ", False)
-        elif any(k.tag in BLOCKS for k in e.elements):
-            self.put_all(e.kids)
-        elif e.tag == "li":
-            self.say(content(e), "- ", False)
-        else:
-            self.say(content(e), "", True)
-
-    def choices(self, frame: Element) -> None:
-        options, contents = frame_parts(frame)
-        if not options:
-            self.put_all(frame.kids)
-            return
-        self.groups += 1
-        self.gap()
-        self.lines.append(f"> 选项组 {self.groups}：{len(options)} 个选项")
-        self.gap()
-        for k, o in enumerate(options):
-            icon = next((x.attrs["alt"] for x in o.walk() if x.tag == "img" and x.attrs.get("alt")), "")
-            m = LABEL.search(icon)
-            shown = "，默认显示" if "plotActive" in o.classes else ""
-            self.lines.append(f"- 选项 {k + 1}（{m[1] if m else '选项'}{shown}）：{content(o) or '(空选项)'}")
-            branch = Page()
-            if k < len(contents):
-                branch.put_all(contents[k].kids)
-            lines = [x for x in branch.lines if x]
-            if k >= len(contents) or not lines:
-                self.lines.append(NO_CONTENT if k >= len(contents) else NO_REPLY)
-                continue
-            self.lines += ["  - 回复：", *("    " + x for x in lines)]
-            self.spoken += sum(x.startswith("- **") for x in lines)
-        self.gap()
+from dialogue_etl.functions.pages import STORY_HEADING, read_pages
+from dialogue_etl.operators import lines as L
+
+# Lines of the Markdown format.
+NO_REPLY, NO_CONTENT, REPLY = "  - 回复：无额外文本", "  - 回复：未在 HTML 中找到对应 content 块", "  - 回复："
+GENERATED = "> Generated from story HTML. Review branch choices before using as evidence."
+
+
+def block_lines(b: Column) -> Column:
+    """The lines of one block, blank ones included, without the indentation of its depth."""
+    text, number, note, gap = b["text"], b["number"].cast("string"), b["note"], F.lit("")
+    return (
+        F.when(b["kind"] == "said", F.array(F.concat(F.lit("- **"), note, F.lit("**："), text)))
+        .when(b["kind"] == "text", F.array(text, gap))
+        .when(b["kind"] == "bullet", F.array(F.concat(F.lit("- "), text)))
+        .when(b["kind"] == "heading", F.array(gap, F.concat(F.repeat(F.lit("#"), b["number"]), F.lit(" "), text), gap))
+        .when(b["kind"] == "group", F.array(gap, F.concat(F.lit("> 选项组 "), number, F.lit("："), text, F.lit(" 个选项")), gap))
+        .when(b["kind"] == "option", F.array(F.concat(F.lit("- 选项 "), number, F.lit("（"), note, F.lit("）："), text)))
+        .when(b["kind"] == "reply", F.array(F.lit(REPLY)))
+        .when(b["kind"] == "no_reply", F.array(F.lit(NO_REPLY)))
+        .when(b["kind"] == "no_content", F.array(F.lit(NO_CONTENT)))
+        .otherwise(F.array(gap))
+    )
+
+
+def outline_lines(blocks: Column) -> Column:
+    """All lines of an outline; inside a branch lines are indented by its depth and blank ones go."""
+
+    def lines(b: Column) -> Column:
+        inside = F.transform(F.filter(block_lines(b), lambda x: x != ""), lambda x: F.concat(F.repeat(F.lit("    "), b["depth"]), x))
+        return F.when(b["depth"] > 0, inside).otherwise(block_lines(b))
+
+    return F.flatten(F.transform(blocks, lines))
+
+
+def header(title: Column, source: Column, version: Column, *parts: str) -> Column:
+    """The lines before a page's story; parts are the headings under the title."""
+    stem = F.regexp_replace(F.element_at(F.split(source, "/"), -1), "\\.[^.]*$", "")
+    named = F.coalesce(F.nullif(title, F.lit("")), stem, F.lit(""))
+    top = [F.concat(F.lit("# "), named), F.lit(""), F.lit(GENERATED), F.lit(""), F.concat(F.lit("- Source: "), F.coalesce(source, F.lit(""))), F.concat(F.lit("- Version: "), F.coalesce(F.nullif(version, F.lit("")), F.lit("(unknown)"))), F.lit("")]
+    return F.array(*top, *[F.lit(x) for p in parts for x in (p, "")])
+
+
+def mended(pages: DataFrame) -> DataFrame:
+    """(source, line_no, line) of rows (page, lines): speaker pairs joined, blank lines tidied; one shuffle by page."""
+    rows = pages.select(F.col("page").alias("source"), F.posexplode("lines").alias("pos", "line")).select("source", (F.col("pos") + 1).alias("line_no"), "line")
+    return L.tidy_lines(L.repair_markdown_pairs(rows))
+
+
+def _packed(rows: DataFrame, page: str, order: str) -> DataFrame:
+    """(page, lines): each page's lines in order."""
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(order, "line"))), lambda x: x["line"])
+    return rows.groupBy(F.col(page).alias("page")).agg(lines.alias("lines"))
+
+
+def rendered(read: DataFrame, meta: DataFrame, parts: tuple[str, ...] = (f"## {STORY_HEADING}",), suffix: str = "") -> DataFrame:
+    """(page, lines, dialogue_count, choice_group_count, error) of pages that read_pages() has read.
+
+    meta has (page, title, source, version). A page with an error has no lines. Lines inside a branch of a branch
+    don't count as dialogue, and only groups outside any branch count, as readers of the counts expect.
+    """
+    spoken = F.size(F.filter("blocks", lambda b: (b["kind"] == "said") & (b["depth"] <= 1)))
+    groups = F.size(F.filter("blocks", lambda b: (b["kind"] == "group") & (b["depth"] == 0)))
+    rows = read.join(meta, "page").withColumns({"raw": F.concat(header(F.concat("title", F.lit(suffix)), F.col("source"), F.col("version"), *parts), outline_lines(F.col("blocks"))), "dialogue_count": spoken, "choice_group_count": groups})
+    lines = mended(rows.filter("error IS NULL").select("page", F.col("raw").alias("lines")))
+    whole = _packed(lines, "source", "line_no")
+    return rows.select("page", "dialogue_count", "choice_group_count", "error").join(whole, "page", "left").select("page", "lines", "dialogue_count", "choice_group_count", "error")
 
 
 def story_markdown(pages: DataFrame, id_col: str, html_col: str, title: str, source: str, version: str, heading: str = STORY_HEADING) -> DataFrame:
-    """(page, lines, dialogue_count, choice_group_count) of the page's Markdown with its header lines."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                page = Page()
-                page.lines = [f"# {row.title or row.source}", "", "> Generated from story HTML. Review branch choices before using as evidence.", "", f"- Source: {row.source}", f"- Version: {row.version or '(unknown)'}", "", f"## {heading}", ""]
-                for e in scope(row.html or "", heading) or []:
-                    page.put(e)
-                out.append((row.page, page.lines, page.spoken, page.groups))
-            yield pd.DataFrame(out, columns=["page", "lines", "dialogue_count", "choice_group_count"])
-
-    rows = pages.select(F.col(id_col).alias("page"), F.col(html_col).alias("html"), F.col(title).alias("title"), F.col(source).alias("source"), F.col(version).alias("version"))
-    return rows.mapInPandas(run, f"page {dict(rows.dtypes)['page']}, lines array<string>, dialogue_count int, choice_group_count int")
+    """rendered() of raw pages."""
+    meta = pages.select(F.col(id_col).alias("page"), F.col(title).alias("title"), F.col(source).alias("source"), F.col(version).alias("version"))
+    return rendered(read_pages(pages, id_col, html_col, heading), meta, (f"## {heading}",))
+
+
+def profile_markdown(pages: DataFrame, id_col: str, html_col: str, title: str, source: str, version: str, heading: str = "大世界对话", part: str = "角色对话") -> DataFrame:
+    """(page, lines, dialogue_count, choice_group_count, error) of one section of profile pages.
+
+    Groups are numbered through the page, those inside branches too, and both counts are taken from the lines; the
+    last line states them. A page without the heading has an error and no lines.
+    """
+    meta = pages.select(F.col(id_col).alias("page"), F.coalesce(F.nullif(F.col(title), F.lit("")), F.lit("角色资料")).alias("title"), F.col(source).alias("source"), F.col(version).alias("version"))
+    done = rendered(read_pages(pages, id_col, html_col, heading), meta, (f"## {part}", f"### {heading}"), f" - {heading}").select("page", "lines", "error")
+    # An entry may hold line ends of its own.
+    rows = done.select("page", F.posexplode(F.split(F.array_join("lines", "\n"), "\n")).alias("pos", "line"))
+    group = "^(\\s*)> 选项组 \\d+："
+    number = F.count_if(F.col("line").rlike(group)).over(Window.partitionBy("page").orderBy("pos"))
+    renumbered = F.when(F.col("line").rlike(group), F.concat(F.regexp_extract("line", group, 1), F.lit("> 选项组 "), number, F.lit("："), F.regexp_replace("line", group, ""))).otherwise(F.col("line"))
+    rows = rows.withColumn("line", renumbered)
+    whole = _packed(rows, "page", "pos").withColumns({"dialogue_count": F.size(F.filter("lines", lambda x: x.rlike("^\\s*- \\*\\*[^*]+\\*\\*："))), "choice_group_count": F.size(F.filter("lines", lambda x: x.rlike(group)))})
+    out = done.select("page", "error").join(meta, "page").join(whole, "page", "left")
+    stats = F.format_string("<!-- parser_stats: title=%s; version=%s; dialogue_count=%d; choice_group_count=%d -->", "title", F.coalesce(F.nullif("version", F.lit("")), F.lit("(unknown)")), "dialogue_count", "choice_group_count")
+    return out.select("page", F.concat("lines", F.array(F.lit(""), stats)).alias("lines"), F.coalesce("dialogue_count", F.lit(0)).alias("dialogue_count"), F.coalesce("choice_group_count", F.lit(0)).alias("choice_group_count"), "error")

@@ -28,7 +28,6 @@ HEADINGS = ["剧情内容", "剧情梗概", "过场动画"]
 EXTRA_HEADING = "额外对话"
 DEFAULT_SPEAKERS = ["开拓者", "星", "穹", "帕姆", "姬子", "瓦尔特", "丹恒", "三月七", "黑天鹅", "星期日", "白厄", "缇宝", "万敌", "遐蝶", "阿格莱雅", "那刻夏", "风堇", "赛飞儿", "黄泉", "卡芙卡", "流萤"]
 SENTENCE_ENDS = ["。", "！", "？", "…", "」", "）"]
-SPEAKER = "(?d)^([^:：]{1,32})[:：](?U:\\s*)(.+)$"
 CHOICE = "(?d)^\\[choice:([^\\]]+)\\](?U:\\s*)(.*)$"
 
 
@@ -42,9 +41,13 @@ def html_unescape(text: Column) -> Column:
     return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
 
 
+#: Unicode white space.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
     """Unicode white space off both ends."""
-    return F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def plain_spaces(text: Column) -> Column:
@@ -58,7 +61,7 @@ def clean_text(text: Column, unescape: bool = True) -> Column:
 
 def match_key(text: Column, unescape: bool = True) -> Column:
     """clean_text without any white space and with full-width colons: what coverage compares by."""
-    return F.replace(F.regexp_replace(clean_text(text, unescape), "(?U)\\s+", ""), F.lit(":"), F.lit("："))
+    return F.replace(F.regexp_replace(html_unescape(text) if unescape else text, "(?U)[\\s\\x1c-\\x1f]+", ""), F.lit(":"), F.lit("："))
 
 
 def choice_markup(line: Column) -> Column:
@@ -88,17 +91,24 @@ def choice_text(line: Column) -> Column:
     return F.when(line.rlike(CHOICE), strip(F.regexp_extract(line, CHOICE, 2)))
 
 
-def _said(line: Column) -> Column:
-    name, text = strip(F.regexp_extract(line, SPEAKER, 1)), strip(F.regexp_extract(line, SPEAKER, 2))
-    return line.rlike(SPEAKER) & (name != "") & (text != "") & ~name.contains("\n") & ~name.startswith("[choice")
+def spoken(line: Column) -> Column:
+    """struct(name, text) of a spoken line, else null: at most 32 characters before the first colon. No pattern is
+    tried, as most lines have no colon."""
+    narrow, wide = F.instr(line, ":"), F.instr(line, "：")
+    at = F.least(F.when(narrow > 0, narrow), F.when(wide > 0, wide))
+    name = strip(F.substring(line, F.lit(1), at - 1))
+    rest = F.ltrim(F.substring(line, at + 1, F.length(line)), F.lit(SPACES))
+    text = strip(rest)
+    good = (at > 1) & (at <= 33) & (name != "") & (text != "") & ~name.contains("\n") & ~name.startswith("[choice") & ~F.regexp_replace(rest, "\\n$", "").contains("\n")
+    return F.when(good, F.struct(name.alias("name"), text.alias("text")))
 
 
 def speaker_name(line: Column) -> Column:
-    return F.when(_said(line), strip(F.regexp_extract(line, SPEAKER, 1)))
+    return spoken(line)["name"]
 
 
 def speaker_text(line: Column) -> Column:
-    return F.when(_said(line), strip(F.regexp_extract(line, SPEAKER, 2)))
+    return spoken(line)["text"]
 
 
 def any_prefix(line: Column, prefixes: list[str]) -> Column:
@@ -108,18 +118,19 @@ def any_prefix(line: Column, prefixes: list[str]) -> Column:
     return out
 
 
-def line_kind(line: Column) -> Column:
+def line_kind(line: Column, said: Column | None = None) -> Column:
+    """choice, dialogue, meta, heading or text; said is spoken(line), where it is known."""
     return (
         F.when(line.rlike(CHOICE), "choice")
-        .when(_said(line), "dialogue")
+        .when((spoken(line) if said is None else said).isNotNull(), "dialogue")
         .when(any_prefix(line, META_PREFIXES), "meta")
         .when(line.isin(HEADINGS) | line.startswith(EXTRA_HEADING), "heading")
         .otherwise("text")
     )
 
 
-def line_text(line: Column) -> Column:
-    return F.coalesce(choice_text(line), speaker_text(line), line)
+def line_text(line: Column, said: Column | None = None) -> Column:
+    return F.coalesce(choice_text(line), (spoken(line) if said is None else said)["text"], line)
 
 
 def is_standalone_speaker(line: Column, hinted: Column) -> Column:
@@ -169,10 +180,13 @@ def normalize_url(url: Column) -> Column:
 
 
 def resolver(host: str | None, path_prefix: str):
-    """A function (href, base) -> absolute URL, null for fragments and for other hosts or paths."""
+    """A function (href, base) -> absolute URL, null for fragments and for other hosts or paths.
+
+    Paths from the root of the base's own site are joined by expressions; only the rest goes through the helper.
+    """
 
     @pandas_udf(StringType())
-    def resolve(hrefs: pd.Series, bases: pd.Series) -> pd.Series:
+    def joined(hrefs: pd.Series, bases: pd.Series) -> pd.Series:
         def one(href: str | None, base: str | None) -> str | None:
             if href is None or base is None or href.startswith("#"):
                 return None
@@ -186,19 +200,27 @@ def resolver(host: str | None, path_prefix: str):
 
         return pd.Series([one(h, b) for h, b in zip(hrefs, bases)], dtype=object)
 
+    def resolve(href: Column, base: Column) -> Column:
+        site = F.regexp_extract(base, "^(https?://[^/?#;]+)(?:[/?#]|$)", 1)
+        plain = href.rlike("^/(?:[A-Za-z0-9_~,-][^#?;:\\\\\\x00-\\x20./]*/?)*(?:\\?[^#;\\x00-\\x20]+)?(?:#.*)?$") & (site != "")
+        path = F.regexp_replace(href, "#.*$", "")
+        good = path.startswith(path_prefix) & (F.lit(True) if host is None else F.regexp_extract(site, "//(.*)$", 1) == host)
+        near = F.when(good, F.concat(site, path))
+        return F.when(plain, near).otherwise(joined(F.when(~plain, href), base))
+
     return resolve
 
 
 def version_parts(version: Column) -> Column:
-    """The first dotted number as ints; null without one."""
+    """The first dotted number as integers; null without one."""
     found = F.regexp_extract(version, "\\d+(?:\\.\\d+)*", 0)
-    return F.when(found != "", F.transform(F.split(found, "\\."), lambda x: x.cast("int")))
+    return F.when(found != "", F.transform(F.split(found, "\\."), lambda x: x.try_cast("long")))
 
 
 def version_key(version: Column, width: int = 6) -> Column:
     """Parts padded with zeros to one length, so that arrays compare as versions do: 3 = 3.0."""
     parts = version_parts(version)
-    return F.slice(F.concat(parts, F.array_repeat(F.lit(0), width)), 1, F.greatest(F.lit(width), F.size(parts)))
+    return F.slice(F.concat(parts, F.array_repeat(F.lit(0).cast("long"), width)), 1, F.greatest(F.lit(width), F.size(parts)))
 
 
 def classify_version(version: Column, low: Column, high: Column) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialogue_etl.functions import pages as P
+from dialogue_etl.functions import text as T
+
 MAX_ITEMS = 80
 
 
@@ -15,12 +18,13 @@ def occurrences(text: Column, key: Column) -> Column:
 
 def group_items(items: DataFrame) -> DataFrame:
     """(page, key, expected, first_pos, occurrences[]) of items (page, pos, kind, text, key) with a key."""
-    packed = F.array_sort(F.collect_list(F.struct("pos", "kind", "text")))
+    path = F.col("path") if "path" in items.columns else F.lit(None).cast("string")
+    packed = F.array_sort(F.collect_list(F.struct("pos", "kind", "text", path.alias("path"))))
     return items.filter("key <> ''").groupBy("page", "key").agg(F.count("*").cast("int").alias("expected"), F.min("pos").alias("first_pos"), packed.alias("items"))
 
 
 def missing_items(items: DataFrame, targets: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
-    """(page, kind, text, expected, observed) of every occurrence short in the target text.
+    """(page, place, kind, text, path, pos, expected, observed) of every occurrence short in the target text.
 
     targets has (page, target), the target without white space. Keys of a page are packed into one array
     before they meet the target, so each target text exists once. The cap counts in order of first
@@ -32,14 +36,14 @@ def missing_items(items: DataFrame, targets: DataFrame, max_items: int | None =
     short = F.transform("keys", lambda k: F.struct(k["first_pos"].alias("first_pos"), k["expected"].alias("expected"), occurrences(F.coalesce("target", F.lit("")), k["key"]).alias("observed"), k["items"].alias("items")))
     rows = joined.select("page", F.explode(F.filter(short, lambda k: k["observed"] < k["expected"])).alias("k"))
     rows = rows.select("page", "k.first_pos", "k.expected", "k.observed", F.posexplode(F.slice("k.items", F.col("k.observed") + 1, F.col("k.expected") - F.col("k.observed"))).alias("nth", "item"))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("page").orderBy("first_pos", "nth")))
     if max_items is not None:
-        place = F.row_number().over(Window.partitionBy("page").orderBy("first_pos", "nth"))
-        rows = rows.withColumn("place", place).filter(F.col("place") <= max_items)
-    return rows.select("page", F.col("item.kind").alias("kind"), F.col("item.text").alias("text"), F.col("item.pos").alias("pos"), "expected", "observed")
+        rows = rows.filter(F.col("place") <= max_items)
+    return rows.select("page", "place", *[F.col(f"item.{c}").alias(c) for c in ("kind", "text", "path", "pos")], "expected", "observed")
 
 
 def extra_items(items: DataFrame, sources: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
-    """(page, kind, text, observed, source_count) where the target has an item more often than the source text.
+    """(page, place, kind, text, observed, source_count) where the target has an item more often than the source text.
 
     items are the target's (page, pos, kind, text, key); sources has (page, target): the source's joined text.
     """
@@ -48,9 +52,10 @@ def extra_items(items: DataFrame, sources: DataFrame, max_items: int | None = MA
     joined = packed.join(sources, "page", "left")
     counted = F.transform("keys", lambda k: F.struct(k["first_pos"].alias("first_pos"), k["kind"].alias("kind"), k["text"].alias("text"), k["observed"].alias("observed"), occurrences(F.coalesce("target", F.lit("")), k["key"]).alias("source_count")))
     rows = joined.select("page", F.explode(F.filter(counted, lambda k: k["source_count"] < k["observed"])).alias("k")).select("page", "k.*")
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("page").orderBy("first_pos", "kind", "text")))
     if max_items is not None:
-        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("page").orderBy("first_pos", "kind", "text"))).filter(F.col("place") <= max_items)
-    return rows.select("page", "kind", "text", "observed", "source_count")
+        rows = rows.filter(F.col("place") <= max_items)
+    return rows.select("page", "place", "kind", "text", "observed", "source_count")
 
 
 def status(missing: Column, mismatches: Column, extra: Column) -> Column:
@@ -66,3 +71,50 @@ def frame_locator(frames: DataFrame) -> DataFrame:
     """frames (page, index, options, contents) with the number of the visible choice group: frames without options have none."""
     seen = F.sum((F.col("options") > 0).cast("int")).over(Window.partitionBy("page").orderBy("index"))
     return frames.withColumn("group_no", F.when(F.col("options") > 0, seen).cast("int"))
+
+
+COUNTS = ["source_items", "source_dialogue_items", "source_message_dialogue", "source_plot_frames", "source_plot_options", "source_plot_contents", "markdown_dialogue_lines", "markdown_choice_groups", "markdown_option_lines", "missing_groups", "extra_groups", "plot_mismatches"]
+LISTS = ["mismatches", "missing", "extra"]
+
+
+def joined_keys(rows: DataFrame) -> DataFrame:
+    """(page, target): the keys of rows (page, pos, key) in order as one text."""
+    packed = F.array_sort(F.collect_list(F.struct("pos", "key")))
+    return rows.groupBy("page").agg(F.array_join(F.transform(packed, lambda x: x["key"]), "").alias("target"))
+
+
+def page_reports(read: DataFrame, markdown: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
+    """(page, status, error, the twelve counts, and the lists mismatches, missing and extra) of every page.
+
+    read is what read_pages() gives, markdown what rendered() gives of it. A page that couldn't be read is a row of
+    status error without counts; the other pages go on.
+    """
+    items = P.source_items(read).withColumn("key", T.match_key(F.col("text"), unescape=False))
+    text = F.array_join("lines", "\n")
+    target = markdown.select("page", T.match_key(T.markdown_plain_text(text), unescape=False).alias("target"))
+    found = F.struct("place", "kind", "text", "path", "expected", "observed")
+    missing = missing_items(items, target, max_items).groupBy("page").agg(F.count("*").alias("missing_groups"), F.array_sort(F.collect_list(found)).alias("missing"))
+    lines = markdown.select("page", F.posexplode(F.split(text, "\n")).alias("pos", "line")).withColumn("line", T.strip(F.col("line"))).filter(~T.is_skipped_markdown(F.col("line")))
+    targets = lines.select("page", "pos", T.markdown_item(F.col("line")).alias("i")).select("page", "pos", "i.kind", "i.text").withColumn("key", T.match_key(F.col("text"), unescape=False))
+    surplus = F.struct("place", "kind", "text", "observed", "source_count")
+    extra = extra_items(targets, joined_keys(items), max_items).groupBy("page").agg(F.count("*").alias("extra_groups"), F.array_sort(F.collect_list(surplus)).alias("extra"))
+    patterns = {"markdown_dialogue_lines": "(?m)^-\\s+\\*\\*[^*]+\\*\\*[：:]", "markdown_choice_groups": "(?m)^\\s*>\\s+选项组\\s+\\d+", "markdown_option_lines": "(?m)^\\s*-\\s+选项\\s+\\d+（"}
+    counted = markdown.select("page", *[F.regexp_count(text, F.lit(p)).alias(name) for name, p in patterns.items()])
+
+    def total(column: str) -> Column:
+        return F.aggregate("frames", F.lit(0), lambda s, f: s + f[column])
+
+    def kinds(*names: str) -> Column:
+        return F.size(F.filter("items", lambda i: i["kind"].isin(*names)))
+
+    odd = F.filter("frames", lambda f: f["options"] != f["contents"])
+    source = read.select(
+        "page", "error", F.size("items").alias("source_items"), kinds("dialogue", "message_dialogue").alias("source_dialogue_items"), F.size("messages").alias("source_message_dialogue"),
+        F.size("frames").alias("source_plot_frames"), total("options").alias("source_plot_options"), total("contents").alias("source_plot_contents"),
+        F.size(odd).alias("plot_mismatches"), (odd if max_items is None else F.slice(odd, 1, max_items)).alias("mismatches"),
+    )
+    rows = source.join(counted, "page", "left").join(missing, "page", "left").join(extra, "page", "left").fillna(0, ["missing_groups", "extra_groups"])
+    state = F.when(F.col("error").isNotNull(), "error").otherwise(status(F.col("missing_groups"), F.col("plot_mismatches"), F.col("extra_groups")))
+    counts = [F.when(F.col("error").isNull(), F.col(c)).cast("long").alias(c) for c in COUNTS]
+    lists = [F.coalesce(c, F.array().cast(rows.schema[c].dataType)).alias(c) for c in LISTS]
+    return rows.select("page", state.alias("status"), "error", *counts, *lists)

@@ -16,6 +16,21 @@ def latest_wins(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys, "full").select(*keys, *[F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in fields])
 
 
+def upsert_in_order(old: DataFrame, new: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
+    """latest_wins() of rows with a position: keys that are there keep their place, new ones follow in their own order."""
+    last = old.agg(F.max(pos)).first()[0]
+    placed = new.withColumn(pos, F.col(pos) + F.lit(0 if last is None else last + 1))
+    merged = latest_wins(old.drop(pos), new.drop(pos), keys)
+    place = old.select(*keys, F.col(pos).alias("__old")).join(placed.select(*keys, F.col(pos).alias("__new")), keys, "full")
+    return merged.join(place.select(*keys, F.coalesce("__old", "__new").alias(pos)), keys)
+
+
+def next_page_index(manifest: DataFrame) -> int:
+    """One more than the largest number before the first '_' of a local file's name; 1 without any."""
+    number = F.regexp_extract(F.element_at(F.split("local_path", "/"), -1), "^(\\d+)_", 1).try_cast("long")
+    return (manifest.agg(F.max(number)).first()[0] or 0) + 1
+
+
 def first_by_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row a key: the one with the smallest order; partial sums before the shuffle."""
     fields = [c for c in rows.columns if c not in keys and c != order]

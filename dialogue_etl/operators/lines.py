@@ -32,22 +32,30 @@ def drop_consecutive_duplicates(lines: DataFrame) -> DataFrame:
     return lines.withColumn("before", F.lag("line").over(in_order())).filter("NOT line <=> before").drop("before")
 
 
-def speaker_hints(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """(source, name) of every speaker that a document names itself."""
+def own_speakers(lines: DataFrame) -> DataFrame:
+    """(source, name) of every speaker that a document names itself: its cast and who speaks in it."""
     cast = F.when(F.col("line").startswith("出场人物"), T.parse_cast(F.col("line"))).otherwise(F.array(T.speaker_name(F.col("line"))))
-    named = lines.select("source", F.explode(cast).alias("name")).filter("name IS NOT NULL")
-    return named.distinct()
+    return lines.select("source", F.explode(cast).alias("name")).filter("name IS NOT NULL").distinct()
+
+
+def speaker_hints(lines: DataFrame, extra: list[str] | None = None, known: list[str] | None = None) -> DataFrame:
+    """(source, name) of every name that counts as a speaker in a document: its own, those known everywhere and extra ones."""
+    named = [x.strip() for x in extra or [] if x.strip()] + list(T.DEFAULT_SPEAKERS if known is None else known)
+    rows = own_speakers(lines)
+    if named:
+        rows = rows.unionByName(lines.select("source").distinct().select("source", F.explode(F.array(*map(F.lit, named))).alias("name"))).distinct()
+    return rows
 
 
 def with_hint_flag(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Adds hinted: the line is one of its document's speaker names, or one known everywhere."""
-    names = speaker_hints(lines).select("source", F.col("name").alias("line"), F.lit(True).alias("own"))
-    known = F.col("line").isin([*T.DEFAULT_SPEAKERS, *(extra or [])])
+    """Adds hinted: whether the line is in speaker_hints(); names known everywhere are compared without a join."""
+    names = own_speakers(lines).select("source", F.col("name").alias("line"), F.lit(True).alias("own"))
+    known = F.col("line").isin([*T.DEFAULT_SPEAKERS, *(x.strip() for x in extra or [])])
     return lines.join(names, ["source", "line"], "left").select("source", "line_no", "line", (F.coalesce("own", F.lit(False)) | known).alias("hinted"))
 
 
 def repair_speaker_pairs(lines: DataFrame) -> DataFrame:
-    """A lone speaker line and the payload after it become one line at the first one's number.
+    """A lone speaker line and the payload after it become one line at the first one's number, marked as merged.
 
     A payload is never a lone speaker, so pairs don't overlap and neighbours decide.
     """
@@ -55,14 +63,16 @@ def repair_speaker_pairs(lines: DataFrame) -> DataFrame:
     payload = T.is_dialogue_payload(F.col("line"), F.col("hinted"))
     flagged = lines.withColumns({"alone": alone, "payload": payload})
     flagged = flagged.withColumns({"next_line": F.lead("line").over(in_order()), "next_payload": F.lead("payload").over(in_order()), "before_alone": F.lag("alone").over(in_order())})
-    merged = F.when(F.col("alone") & F.coalesce("next_payload", F.lit(False)), F.concat("line", F.lit("："), "next_line")).otherwise(F.col("line"))
-    return flagged.filter(~(F.col("payload") & F.coalesce("before_alone", F.lit(False)))).select("source", "line_no", merged.alias("line"))
+    merged = F.col("alone") & F.coalesce("next_payload", F.lit(False))
+    line = F.when(merged, F.concat("line", F.lit("："), "next_line")).otherwise(F.col("line"))
+    return flagged.filter(~(F.col("payload") & F.coalesce("before_alone", F.lit(False)))).select("source", "line_no", line.alias("line"), merged.alias("merged"))
 
 
 def classified(lines: DataFrame) -> DataFrame:
     """source, line_no, kind, text, speaker, choice_kind."""
-    line = F.col("line")
-    return lines.select("source", "line_no", T.line_kind(line).alias("kind"), T.line_text(line).alias("text"), F.when(T.choice_kind(line).isNull(), T.speaker_name(line)).alias("speaker"), T.choice_kind(line).alias("choice_kind"))
+    line, said = F.col("line"), F.col("said")
+    rows = lines.select("source", "line_no", "line", T.spoken(line).alias("said"))
+    return rows.select("source", "line_no", T.line_kind(line, said).alias("kind"), T.line_text(line, said).alias("text"), F.when(T.choice_kind(line).isNull(), said["name"]).alias("speaker"), T.choice_kind(line).alias("choice_kind"))
 
 
 def normalized(docs: DataFrame, source: str = "source", text: str = "text", extra: list[str] | None = None, unescape: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_etl.functions import text as T
@@ -29,9 +29,9 @@ def page_header(lines: DataFrame) -> DataFrame:
 
 
 def speaker_stats(names: DataFrame, top: int | None = 12) -> DataFrame:
-    """(source, speaker, n, place) of rows (source, speaker), most frequent first, ties by name."""
+    """(source, speaker, n, place) of rows (source, speaker), most frequent first, ties in zh-Hans order."""
     counted = names.filter(F.col("speaker").isNotNull() & ~F.col("speaker").isin(NOT_SPEAKERS)).groupBy("source", "speaker").agg(F.count("*").alias("n"))
-    ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), "speaker")))
+    ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), F.collate("speaker", "zh_Hans"), "speaker")))
     return ranked if top is None else ranked.filter(F.col("place") <= top)
 
 
@@ -63,12 +63,38 @@ def theme_anchors(lines: DataFrame, themes: dict[str, str] | None = None, top: i
     applied before the shuffle by Spark's window group limit.
     """
     hits = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.lit(name)) for name, p in (themes or THEMES).items()]))
-    text = T.snippet(F.col("line"))
-    rows = lines.filter(text != "").select("source", "line_no", text.alias("anchor"), F.explode(hits).alias("theme"))
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("source", "theme").orderBy("line_no")))
-    return rows.filter(F.col("place") <= top)
+    rows = lines.select("source", "line_no", "line", F.explode(hits).alias("theme")).filter(T.strip(F.col("line")) != "")
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("source", "theme").orderBy("line_no"))).filter(F.col("place") <= top)
+    return rows.select("source", "line_no", T.snippet(F.col("line")).alias("anchor"), "theme", "place")
 
 
 def line_counts(lines: DataFrame) -> DataFrame:
     """(source, dialogue_lines, choice_groups) of rendered Markdown."""
     return lines.groupBy("source").agg(F.count_if(F.col("line").rlike(DIALOGUE_LINE)).alias("dialogue_lines"), F.count_if(F.col("line").rlike("^>(?U:\\s+)选项组(?U:\\s+)\\d+")).alias("choice_groups"))
+
+
+def summary_documents(lines: DataFrame, themes: dict[str, str] | None = None) -> DataFrame:
+    """(source, text): each file's summary with its facts, leading speakers, headings and anchors of every theme."""
+    named = list((themes or THEMES).items())
+    none = F.array().cast("array<string>")
+
+    def listed(rows: DataFrame, line: Column, name: str, order: str) -> DataFrame:
+        return rows.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x["l"]).alias(name))
+
+    speakers = listed(speaker_stats(markdown_speakers(lines)), F.concat(F.lit("- "), "speaker", F.lit("："), "n", F.lit(" 行")), "speakers", "place")
+    headings = listed(section_headings(lines), F.concat(F.lit("- "), "heading"), "headings", "place")
+    anchors = theme_anchors(lines, themes)
+    found = anchors.groupBy("source").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("theme") == t, F.struct("line_no", "anchor")))), lambda x: F.concat(F.lit("- L"), x["line_no"], F.lit(": "), x["anchor"])).alias(f"theme{k}") for k, (t, _) in enumerate(named)])
+    rows = page_header(lines).join(line_counts(lines), "source")
+    for part in (speakers, headings, found):
+        rows = rows.join(part, "source", "left")
+
+    def block(title: str, items: str, empty: str) -> list[Column]:
+        return [F.array(F.lit(f"## {title}"), F.lit("")), F.when(F.size(F.coalesce(items, none)) > 0, F.col(items)).otherwise(F.array(F.lit(empty))), F.array(F.lit(""))]
+
+    facts = [F.concat(F.lit("# "), "title"), F.lit(""), F.lit("## 基本信息"), F.lit("")]
+    facts += [F.concat(F.lit(f"- {name}："), F.col(c).cast("string")) for name, c in (("原始静态页", "source_path"), ("所属版本", "version"), ("章节名", "title"), ("对话行数", "dialogue_lines"), ("选项组数", "choice_groups"))]
+    parts = [F.array(*facts, F.lit("")), *block("关键角色", "speakers", "- 未自动识别到对话角色；需要人工阅读原文。"), *block("章节结构索引", "headings", "- 未自动识别到章节结构。")]
+    for k, (theme, _) in enumerate(named):
+        parts += block(theme, f"theme{k}", "- 未自动抽取到明显锚点；需要人工阅读原文确认。")
+    return rows.select("source", F.rtrim(F.array_join(F.concat(*parts), "\n"), F.lit("\n")).alias("text"))

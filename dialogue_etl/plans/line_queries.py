@@ -10,6 +10,7 @@ from dialogue_etl.operators import evidence as E
 from dialogue_etl.operators import lines as L
 from dialogue_etl.operators import summary as S
 from dialogue_etl.plans.shared import GRAPH, TRANSCRIPT, graph_nodes, query, table, transcripts
+from dialogue_etl.sources import io as IO
 
 C = F.col
 DOC_LINES = "SELECT doc_id AS source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents"
@@ -37,28 +38,45 @@ def d2(spark, sf):
     return L.drop_consecutive_duplicates(L.kept_lines(doc_lines(spark, sf))).groupBy(C("source").alias("doc_id")).agg(F.count("*").alias("kept"))
 
 
-@query("d3_speaker_hints", TRANSCRIPT + "SELECT DISTINCT source, name FROM (SELECT source, unnest(['user', 'assistant', 'system']) AS name FROM head UNION ALL SELECT source, speaker FROM said)")
+SPEAKS = "'^([^:：]{1,32})[:：]\\s*(.+)$'"
+
+
+@query(
+    "d3_speaker_hints",
+    TRANSCRIPT + f"""SELECT DISTINCT source, name FROM (SELECT source, unnest(['user', 'assistant', 'system', 'Extra']) AS name FROM head
+    UNION ALL SELECT source, unnest({T.DEFAULT_SPEAKERS}) FROM head
+    UNION ALL SELECT source, trim(regexp_extract(trim(raw), {SPEAKS}, 1)) FROM raw WHERE turn >= 0 AND regexp_matches(trim(raw), {SPEAKS})) WHERE name <> ''""",
+)
 def d3(spark, sf):
+    """All names of each document: its cast, everyone who speaks in it, the known ones and an extra one."""
     lines = L.drop_consecutive_duplicates(L.kept_lines(L.numbered_lines(transcripts(spark, sf), unescape=False)))
-    return L.speaker_hints(lines).filter(C("name").isin("user", "assistant", "system"))
+    return L.speaker_hints(lines, [" Extra ", ""])
 
 
 @query("d4_repair_speaker_pairs", TRANSCRIPT + "SELECT source, line_no, speaker || '：' || text AS line FROM said WHERE turn % 3 = 2")
 def d4(spark, sf):
     lines = L.drop_consecutive_duplicates(L.kept_lines(L.numbered_lines(transcripts(spark, sf), unescape=False)))
-    mended = L.repair_speaker_pairs(L.with_hint_flag(lines)).withColumn("now", C("line")).drop("line")
-    return mended.join(lines.withColumnRenamed("line", "was"), ["source", "line_no"]).filter("now <> was").select("source", "line_no", C("now").alias("line"))
+    return L.repair_speaker_pairs(L.with_hint_flag(lines)).filter("merged").select("source", "line_no", "line")
 
 
 @query(
     "d5_repair_markdown_pairs",
-    "SELECT conv_id AS source, CAST(sum(CASE WHEN turn % 2 = 0 THEN 2 ELSE 5 END) AS BIGINT) AS lines, CAST(sum(CASE WHEN turn % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS merged FROM (SELECT DISTINCT conv_id, turn FROM conversations) GROUP BY conv_id",
+    """WITH t AS (SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM conversations),
+    x AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k) AS n, line FROM (SELECT conv_id, turn, k + 1 AS k, l AS line FROM t UNION ALL SELECT conv_id, turn, unnest([0, 1]), unnest([role, '']) FROM conversations)),
+    g AS (SELECT *, sum(CASE WHEN line <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY n) AS g FROM x),
+    f AS (SELECT conv_id, g, n, line, line IN ('user', 'assistant', 'system') AS known, trim(line) <> '' AND NOT regexp_matches(trim(line), '^(#|-|>|<!--)') AND trim(line) NOT IN ('user', 'assistant', 'system') AS good FROM g WHERE line <> ''),
+    s AS (SELECT *, known AND coalesce(lead(good) OVER w, false) AS starts, lead(line) OVER w AS following FROM f WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+    e AS (SELECT *, coalesce(lag(starts) OVER (PARTITION BY conv_id ORDER BY n), false) AS taken FROM s),
+    o AS (SELECT conv_id, n, CASE WHEN starts THEN '- **' || trim(line) || '**：' || trim(following) ELSE line END AS line FROM e WHERE NOT taken UNION ALL SELECT g.conv_id, g.n, '' FROM g LEFT JOIN s ON s.conv_id = g.conv_id AND s.g = g.g WHERE g.line = '' AND NOT coalesce(s.starts, false))
+    SELECT conv_id AS source, count(*) AS lines, md5(string_agg(line, '|' ORDER BY n)) AS digest FROM o GROUP BY conv_id""",
 )
 def d5(spark, sf):
-    turn = table(spark, sf, "conversations").select("conv_id", "turn").distinct()
-    text = F.when(C("turn") % 2 == 0, F.array(F.lit("丹恒"), F.lit(""), F.lit("said"), F.lit(""))).otherwise(F.array(F.lit("丹恒"), F.lit(""), F.lit("- list"), F.lit("丹恒 "), F.lit("")))
-    lines = turn.select(C("conv_id").alias("source"), "turn", F.posexplode(text).alias("p", "line")).select("source", (C("turn") * 10 + C("p")).cast("int").alias("line_no"), "line")
-    return L.repair_markdown_pairs(lines).groupBy("source").agg(F.count("*").alias("lines"), F.count_if(C("line") == "- **丹恒**：said").alias("merged"))
+    """Every turn as its role on a line of its own, a blank line and the turn's text."""
+    turns = table(spark, sf, "conversations").filter("text IS NOT NULL")
+    rows = turns.select(C("conv_id").alias("source"), "turn", F.posexplode(F.concat(F.array("role", F.lit("")), F.split("text", "\n"))).alias("k", "line"))
+    rows = L.renumber(rows, ["source"], ["turn", "k"], "line_no").select("source", "line_no", "line")
+    done = L.repair_markdown_pairs(rows, ["user", "assistant", "system"])
+    return L.joined_text(done, ["source"], "line_no", "line").select("source", F.size(F.split("text", "\n")).cast("long").alias("lines"), F.md5(F.replace("text", F.lit("\n"), F.lit("|"))).alias("digest"))
 
 
 @query(
@@ -116,11 +134,14 @@ def f3(spark, sf):
     return D.kind_counts(typed(spark, sf))
 
 
-@query("a7_lines_to_text", TRANSCRIPT + "SELECT source, md5(string_agg(line, chr(10) ORDER BY line_no)) AS digest FROM (SELECT source, line_no, line FROM head UNION ALL SELECT source, line_no, speaker || '：' || text FROM said) GROUP BY source")
+@query(
+    "a7_lines_to_text",
+    TRANSCRIPT + f"SELECT source, md5('{IO.PARSED}## ' || upper(source) || chr(10) || chr(10) || '- Source: ' || source || chr(10) || '- Source type: text' || chr(10) || '- Parsed: 2024' || chr(10) || '- Sections: 1' || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY line_no)) AS digest FROM (SELECT source, line_no, line FROM head UNION ALL SELECT source, line_no, speaker || '：' || text FROM said) GROUP BY source",
+)
 def a7(spark, sf):
-    from dialogue_etl.sources.io import document_text
-
-    return document_text(typed(spark, sf)).select("source", F.md5("text").alias("digest"))
+    lines = typed(spark, sf)
+    sources = lines.select("source").distinct().select("source", F.upper("source").alias("title"), F.lit("text").alias("kind"))
+    return IO.parsed_documents(lines, sources, "2024").select("source", F.md5("text").alias("digest"))
 
 
 @query("e9_bind_task_metadata", TRANSCRIPT + "SELECT source, line_no, CASE WHEN conv_id % 2 = 0 THEN 'Task ' || conv_id END AS task_title, CASE WHEN conv_id % 2 = 0 THEN '3.' || (conv_id % 8) END AS task_version FROM said")
@@ -209,18 +230,22 @@ def h7(spark, sf):
 # --- evidence ---
 
 CITED = """
-WITH cites AS (SELECT doc_id AS source, CAST(2 AS INTEGER) AS line_no, 'docs/' || (doc_id // 2) || '.md' AS path, CAST(1 + doc_id % 40 AS INTEGER) AS target_line FROM documents
- UNION ALL SELECT doc_id, 2, 'docs/missing' || doc_id || '.md', NULL FROM documents WHERE doc_id % 9 = 0
- UNION ALL SELECT doc_id, 3, '/abs/' || doc_id || '.md', 4 FROM documents WHERE doc_id % 7 = 0),
+WITH l AS (SELECT doc_id AS source, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS line_no FROM documents),
+cites AS (SELECT source, line_no, 'docs/' || (source // 2) || '.md' AS path, CAST(1 + (source + 7 * line_no) % 40 AS INTEGER) AS target_line FROM l WHERE line_no % 2 = 1
+ UNION ALL SELECT source, line_no, 'docs/missing' || source || '.md', NULL FROM l WHERE line_no % 2 = 1 AND source % 9 = 0
+ UNION ALL SELECT source, line_no, '/abs/' || source || '.md', 4 FROM l WHERE line_no % 2 = 1 AND source % 7 = 0),
 files AS (SELECT 'docs/' || doc_id || '.md' AS path, max(len(string_split(text, chr(10)))) AS n_lines FROM documents GROUP BY doc_id)
 """
 
 
 def cited_lines(spark, sf):
-    docs = table(spark, sf, "documents")
-    one = F.concat(F.lit("see `docs/"), F.expr("doc_id div 2"), F.lit(".md:"), 1 + C("doc_id") % 40, F.lit("` `verbatim`"), F.when(C("doc_id") % 9 == 0, F.concat(F.lit(" and `docs/missing"), "doc_id", F.lit(".md` `inference`"))).otherwise(F.lit("")))
-    two = F.when(C("doc_id") % 7 == 0, F.concat(F.lit("`/abs/"), "doc_id", F.lit(".md:4`")))
-    return docs.select(C("doc_id").alias("source"), F.posexplode(F.array_compact(F.array(F.lit("no `code` here"), one, two))).alias("p", "line")).select("source", (C("p") + 1).alias("line_no"), "line")
+    """Every line of the documents; odd ones cite lines of other documents, missing files and absolute paths."""
+    docs = table(spark, sf, "documents").select(C("doc_id").alias("source"), F.posexplode(F.split(F.replace("text", F.lit("`"), F.lit("'")), "\n")).alias("p", "own"))
+    line_no = C("p") + 1
+    one = F.concat(F.lit(" see `docs/"), F.expr("source div 2"), F.lit(".md:"), 1 + (C("source") + 7 * line_no) % 40, F.lit("` `verbatim` `code`"))
+    two = F.when(C("source") % 9 == 0, F.concat(F.lit(" and `docs/missing"), "source", F.lit(".md` `inference`"))).otherwise(F.lit(""))
+    three = F.when(C("source") % 7 == 0, F.concat(F.lit(" `/abs/"), "source", F.lit(".md:4`"))).otherwise(F.lit(""))
+    return docs.select("source", line_no.alias("line_no"), F.when(line_no % 2 == 1, F.concat("own", one, two, three)).otherwise(C("own")).alias("line"))
 
 
 @query("i1_extract_citations", CITED + "SELECT source, line_no, path, coalesce(target_line, 0) AS target_line FROM cites")
@@ -237,18 +262,17 @@ def i2(spark, sf):
     return E.unresolved(E.citations(cited_lines(spark, sf)), files).fillna({"target_line": 0})
 
 
-@query("i3_evidence_grades", "SELECT doc_id AS source, CAST(1 AS BIGINT) AS verbatim, CAST(0 AS BIGINT) AS artifact, CAST(0 AS BIGINT) AS impression, CAST(doc_id % 9 = 0 AS BIGINT) AS inference FROM documents")
+@query("i3_evidence_grades", CITED + "SELECT source, count(*) FILTER (WHERE line_no % 2 = 1) AS verbatim, CAST(0 AS BIGINT) AS artifact, CAST(0 AS BIGINT) AS impression, count(*) FILTER (WHERE line_no % 2 = 1 AND source % 9 = 0) AS inference FROM l GROUP BY source")
 def i3(spark, sf):
     return E.evidence_grades(cited_lines(spark, sf))
 
 
 @query(
     "i4_phase_tagging",
-    GRAPH + "SELECT page_id, CASE WHEN page_id % 12 < 2 THEN 'early' WHEN page_id % 12 = 2 THEN 'netherworld' WHEN page_id % 12 < 5 THEN 'post_3.2' ELSE 'late' END AS phase FROM pg WHERE page_id % 12 < 8",
+    GRAPH + "SELECT page_id, CASE WHEN page_id % 12 < 2 THEN 'early' WHEN page_id % 12 = 2 THEN 'netherworld' WHEN page_id % 12 < 5 THEN 'post_3.2' ELSE 'late' END AS phase, CAST(CASE WHEN page_id % 12 < 2 THEN 0 WHEN page_id % 12 = 2 THEN 1 WHEN page_id % 12 < 5 THEN 2 ELSE 3 END AS INTEGER) AS phase_rank FROM pg",
 )
 def i4(spark, sf):
-    rows = graph_nodes(spark, sf).filter(C("page_id") % 12 < 8)
-    return E.phase_tagged(rows).filter("phase_rank <= 3").select("page_id", "phase")
+    return E.phase_tagged(graph_nodes(spark, sf)).select("page_id", "phase", "phase_rank")
 
 
 @query("i5_exclude_sources", "SELECT source, count(*) AS n FROM documents WHERE source NOT IN ('src0', 'src3') GROUP BY source")

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from dialogue_etl.functions import pages as P
 from dialogue_etl.functions import text as T
-from dialogue_etl.functions.render import story_markdown
+from dialogue_etl.functions.render import GENERATED, NO_CONTENT, REPLY, profile_markdown, rendered
 from dialogue_etl.operators import coverage as V
 from dialogue_etl.operators import graph as G
 from dialogue_etl.operators import lines as L
 from dialogue_etl.operators import summary as S
+from dialogue_etl.plans.line_queries import MARKDOWN as MD_LINES
 from dialogue_etl.plans.line_queries import SUMMARY, markdown_lines, summary_index, typed
 from dialogue_etl.plans.shared import GRAPH, STORY_LINES, TRANSCRIPT, graph_edges, graph_nodes, query, save, scratch, story_lines, story_pages, table
 from dialogue_etl.sources import io as IO
@@ -37,8 +38,28 @@ def inventory(spark, sf):
     return P.read_pages(story_pages(spark, sf), "page", "html")
 
 
-def markdown(spark, sf):
-    return story_markdown(story_pages(spark, sf), "page", "html", "title", "url", "version")
+def meta(spark, sf):
+    return story_pages(spark, sf).select("page", "title", C("url").alias("source"), "version")
+
+
+def markdown(spark, sf, read=None):
+    return rendered(inventory(spark, sf) if read is None else read, meta(spark, sf))
+
+
+#: The Markdown of every story page, blank lines tidied: md(conv_id, rn, line).
+MARKDOWN_LINES = STORY_ITEMS + f""",
+ml AS (
+ SELECT conv_id, -1 AS turn, 0 AS k, unnest(x) AS line, generate_subscripts(x, 1) AS sub FROM (SELECT conv_id, ['# Story ' || conv_id, '', '{GENERATED}', '', '- Source: https://wiki.example/sr/' || conv_id, '- Version: 3.' || (conv_id % 8), '', '## 剧情内容', '', '### Part ' || conv_id, ''] AS x FROM (SELECT DISTINCT conv_id FROM sl))
+ UNION ALL SELECT conv_id, turn, k, '- **' || role || '**：' || l, 0 FROM sl WHERE turn % 2 = 0
+ UNION ALL SELECT conv_id, turn, -1, unnest(['', '> 选项组 ' || f || '：' || n || ' 个选项', '']), unnest([1, 2, 3]) FROM fr
+ UNION ALL SELECT conv_id, turn, k, unnest(x), generate_subscripts(x, 1) FROM (SELECT s.conv_id, s.turn, s.k, list_concat(['- 选项 ' || (s.k + 1) || '（' || CASE WHEN s.k = 0 THEN '对话，默认显示' ELSE '选项' END || '）：' || s.l], CASE WHEN s.told IS NULL THEN ['{NO_CONTENT}'] ELSE ['{REPLY}', '    - **' || s.role || '**：reply ' || s.told] END) AS x
+   FROM (SELECT sl.*, CASE WHEN turn % 8 = 1 THEN lead(l) OVER (PARTITION BY conv_id, turn ORDER BY k) ELSE l END AS told FROM sl WHERE turn % 4 = 1) s)
+ UNION ALL SELECT conv_id, turn, 1000000, '', 0 FROM fr
+ UNION ALL SELECT conv_id, turn, -1, unnest(['', '#### turn ' || turn, '']), unnest([1, 2, 3]) FROM n WHERE turn % 4 = 3
+ UNION ALL SELECT conv_id, turn, k, unnest([l, '']), unnest([1, 2]) FROM sl WHERE turn % 4 = 3),
+mt AS (SELECT *, lag(line) OVER (PARTITION BY conv_id ORDER BY turn, k, sub) AS before, max(CASE WHEN line <> '' THEN (turn, k, sub) END) OVER (PARTITION BY conv_id) AS final FROM ml),
+md AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k, sub) AS rn, line FROM mt WHERE NOT (line = '' AND coalesce(before, '') = '') AND (turn, k, sub) <= final)
+"""
 
 
 # --- page structure ---
@@ -49,15 +70,14 @@ def c1(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(F.regexp_replace(P.visible_text(C("html")), "\\s+", "")).alias("digest"))
 
 
-@query("c2_main_content_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages WHERE html LIKE '%</article>%'")
+@query("c2_main_content_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(CASE WHEN html LIKE '%</article>%' THEN regexp_extract(html, '(?s)<article>(.*)</article>', 1) ELSE html END, '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages ")
 def c2(spark, sf):
-    pages = table(spark, sf, "pages").filter(C("html").contains("</article>"))
-    return pages.select("page_id", F.md5(F.regexp_replace(P.main_content_text(C("html")), "\\s+", "")).alias("digest"))
+    return table(spark, sf, "pages").select("page_id", F.md5(F.regexp_replace(P.main_content_text(C("html")), "\\s+", "")).alias("digest"))
 
 
-@query("c3_scope_section", STORY_ITEMS + "SELECT conv_id AS page, count(*) AS items FROM it GROUP BY conv_id")
+@query("c3_scope_section", STORY_ITEMS + "SELECT conv_id AS page, count(*) AS items, md5(string_agg(text, '|' ORDER BY turn, o, k)) AS digest FROM it GROUP BY conv_id")
 def c3(spark, sf):
-    return P.source_items(inventory(spark, sf)).groupBy("page").agg(F.count("*").alias("items"))
+    return inventory(spark, sf).select("page", F.size("items").cast("long").alias("items"), F.md5(F.array_join(F.transform("items", lambda i: i["text"]), "|")).alias("digest"))
 
 
 @query("c4_source_items", STORY_ITEMS + "SELECT conv_id AS page, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, o, k) - 1 AS INTEGER) AS pos, kind, text, path FROM it")
@@ -85,19 +105,21 @@ def c7(spark, sf):
     return P.message_lines(inventory(spark, sf))
 
 
-@query("c8_ruby_text", "SELECT conv_id AS page, turn, role || '（note ' || turn || '）' || chr(10) || 'end' AS text FROM conversations")
+@query("c8_ruby_text", STORY_LINES + "SELECT conv_id AS page, turn, k, role || '（' || l || '）' || chr(10) || 'end ' || l AS text FROM sl")
 def c8(spark, sf):
-    html = F.concat(F.lit("<p><ruby><rb>"), "role", F.lit("</rb><rp>(</rp><rt>note "), "turn", F.lit("</rt></ruby><br/>end<img alt='x'/><span class='plotIcon'>icon</span></p>"))
-    rows = table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("id"), html.alias("html"))
-    return P.source_items(P.read_pages(rows, "id", "html")).select(C("page.conv_id").alias("page"), C("page.turn").alias("turn"), "text")
+    lines = story_lines(spark, sf).select("conv_id", "turn", "role", F.posexplode("lines").alias("k", "l"))
+    html = F.concat(F.lit("<p><ruby><rb>"), "role", F.lit("</rb><rp>(</rp><rt>"), "l", F.lit("</rt></ruby><br/>end <img alt='x'/><span class='plotIcon'>icon</span><ruby><rb>"), "l", F.lit("</rb>z</ruby></p>"))
+    rows = lines.select(F.struct("conv_id", "turn", "k").alias("id"), html.alias("html"))
+    return P.source_items(P.read_pages(rows, "id", "html")).select(C("page.conv_id").alias("page"), C("page.turn").alias("turn"), C("page.k").alias("k"), "text")
 
 
-@query(
-    "c9_render_story_markdown",
-    STORY_ITEMS + "SELECT s.conv_id AS page, count(*) FILTER (WHERE turn % 4 IN (0, 2)) + count(*) FILTER (WHERE turn % 4 = 1) - count(*) FILTER (WHERE turn % 8 = 1 AND k = 0) AS dialogue_count, (SELECT count(*) FROM fr WHERE fr.conv_id = s.conv_id) AS choice_group_count FROM sl s GROUP BY s.conv_id",
-)
+MARKDOWN_TEXT = MARKDOWN_LINES + ", mx AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY rn) AS text FROM md GROUP BY conv_id) "
+SPOKEN = "(SELECT count(*) FROM sl x WHERE x.conv_id = s.conv_id AND (x.turn % 4 IN (0, 2) OR x.turn % 4 = 1 AND NOT (x.turn % 8 = 1 AND x.k = 0)))"
+
+
+@query("c9_render_story_markdown", MARKDOWN_TEXT + f"SELECT s.conv_id AS page, md5(text) AS digest, {SPOKEN} AS dialogue_count, (SELECT count(*) FROM fr WHERE fr.conv_id = s.conv_id) AS choice_group_count FROM mx s")
 def c9(spark, sf):
-    return markdown(spark, sf).select("page", C("dialogue_count").cast("long").alias("dialogue_count"), C("choice_group_count").cast("long").alias("choice_group_count"))
+    return markdown(spark, sf).select("page", F.md5(F.array_join("lines", "\n")).alias("digest"), C("dialogue_count").cast("long").alias("dialogue_count"), C("choice_group_count").cast("long").alias("choice_group_count"))
 
 
 ANCHORS = """WITH m AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')) AS a, generate_subscripts(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>'), 1) AS n FROM pages),
@@ -130,15 +152,14 @@ def section_links(pages, column="html", base="url", host="w.example", prefix="/s
         found = anchors(pages.select("page_id", block.alias("block")), "block")
         one = found.withColumns({"type": F.lit(kind), "label": F.lit(label)})
         parts = one if parts is None else parts.unionByName(one)
-    # Each distinct href of a page is resolved once.
     links = parts.select("page_id", "n", "href", F.when(C("title") != "", C("title")).otherwise(C("text")).alias("title"), "type", "label")
     links = links.join(pages.select("page_id", C(base).alias("base")), "page_id")
     return links.withColumn("url", T.resolver(host, prefix)(C("href"), C("base"))).filter("url IS NOT NULL").select("page_id", "n", "url", F.trim("title").alias("title"), "type", "label")
 
 
 def linked_pages(spark, sf):
-    """Pages with three headline blocks of links, some of them out of the site."""
-    pages = table(spark, sf, "pages").select("page_id", F.lit("https://w.example/sr/a/x").alias("url"))
+    """Pages with three headline blocks of links in the midst of their own HTML, some of them out of the site."""
+    pages = table(spark, sf, "pages").select("page_id", F.lit("https://w.example/sr/a/x").alias("url"), C("html").alias("own"))
 
     def block(label: str, links):
         return F.concat(F.lit(f'<h2><span class="mw-headline" id="{label}">{label}</span></h2>'), links)
@@ -146,7 +167,7 @@ def linked_pages(spark, sf):
     one = F.concat(F.lit('<a title="Need '), "page_id", F.lit('" href="/sr/'), "page_id", F.lit('?a=1&amp;b=2#f">n</a><a href="#x">x</a>'))
     two = F.concat(F.lit('<ul><li><a class="k" href="../b/'), "page_id", F.lit('"><b>Next</b> </a></li></ul><a href="https://out.example/sr/1">o</a>'))
     three = F.concat(F.lit('<a href="/sr/hub">Hub</a><a href="/sr/hub">Again</a>'))
-    return pages.withColumn("html", F.concat(block("任务条件", one), block("后续任务", two), F.when(C("page_id") % 2 == 0, block("系列任务", three)).otherwise(F.lit("")), F.lit("<h3>end</h3><a href='/sr/after'>a</a>")))
+    return pages.withColumn("html", F.concat("own", block("任务条件", one), block("后续任务", two), F.when(C("page_id") % 2 == 0, block("系列任务", three)).otherwise(F.lit("")), F.lit("<h3>end</h3><a href='/sr/after'>a</a>"), "own"))
 
 
 @query(
@@ -162,21 +183,34 @@ def c10(spark, sf):
 def c12(spark, sf):
     """Links whose text or the 120 characters around them, without tags, give a hint."""
     filler = F.repeat(F.lit("x"), 150)
-    page = F.concat(F.when(C("page_id") % 2 == 0, F.lit("详细对话内容 ")).otherwise(F.lit("other ")), F.lit('<i>see</i> <a href="/sr/d">go</a>'), filler, F.lit('<a href="/sr/n">继续</a>'), filler, F.lit('<a href="/sr/z">no</a>'), filler)
+    page = F.concat("html", filler, F.when(C("page_id") % 2 == 0, F.lit("详细对话内容 ")).otherwise(F.lit("other ")), F.lit('<i>see</i> <a href="/sr/d">go</a>'), filler, F.lit('<a href="/sr/n">继续</a>'), filler, F.lit('<a href="/sr/z">no</a>'), filler, "html")
     rows = table(spark, sf, "pages").select("page_id", F.explode(P.link_contexts()(page)).alias("g"))
     context = C("g.context")
     hinted = context.contains("详细对话内容") | context.rlike("(?i)下一|后续|继续|next")
     return rows.filter(hinted).select("page_id", T.resolver("w.example", "/sr/")(C("g.href"), F.lit("https://w.example/sr/a")).alias("url")).filter("url IS NOT NULL").distinct()
 
 
-@query("c13_profile_dialogue", STORY_LINES + "SELECT conv_id AS page, count(*) AS items, coalesce(min(CASE WHEN conv_id % 2 = 1 THEN 'no heading 角色台词' END), '') AS error FROM (SELECT conv_id, l FROM sl UNION ALL SELECT DISTINCT conv_id, NULL FROM sl) WHERE (conv_id % 2 = 0 AND l IS NOT NULL) OR (conv_id % 2 = 1 AND l IS NULL) GROUP BY conv_id")
+@query(
+    "c13_profile_dialogue",
+    STORY_LINES + f""", pl AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k) AS i, l FROM sl), t AS (SELECT conv_id, string_agg('- **s**：' || l, chr(10) ORDER BY i) AS said, max(l) FILTER (WHERE i = 1) AS one, count(*) AS n FROM pl GROUP BY conv_id)
+    SELECT conv_id AS page, CASE WHEN conv_id % 3 = 1 THEN 'no heading 大世界对话' ELSE '' END AS error, CASE WHEN conv_id % 3 <> 1 THEN md5('# Page ' || conv_id || ' - 大世界对话' || chr(10) || chr(10) || '{GENERATED}' || chr(10) || chr(10) || '- Source: s' || conv_id || chr(10) || '- Version: (unknown)' || chr(10) || chr(10) || '## 角色对话' || chr(10) || chr(10) || '### 大世界对话' || chr(10) || chr(10) || said || chr(10) || chr(10)
+      || '> 选项组 1：1 个选项' || chr(10) || chr(10) || '- 选项 1（选项）：' || one || chr(10) || '  - 回复：' || chr(10) || '    > 选项组 2：1 个选项' || chr(10) || '    - 选项 1（选项）：in' || chr(10) || '      - 回复：' || chr(10) || '        - **s**：' || one || chr(10) || chr(10)
+      || '<!-- parser_stats: title=Page ' || conv_id || '; version=(unknown); dialogue_count=' || (n + 1) || '; choice_group_count=2 -->') ELSE '' END AS digest FROM t""",
+)
 def c13(spark, sf):
+    """The section of a profile page with a choice inside a choice; a third of the pages lacks its heading."""
     lines = story_lines(spark, sf).groupBy("conv_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("turn", "lines"))), lambda x: x["lines"])).alias("lines"))
     body = F.array_join(F.transform("lines", lambda x: F.concat(F.lit("<p>s："), x, F.lit("</p>"))), "")
-    title = F.when(C("conv_id") % 2 == 0, F.lit("角色台词")).otherwise(F.lit("其他"))
-    html = F.concat(F.lit("<h2>a</h2><p>x</p><h3>"), title, F.lit("</h3>"), body, F.lit("<h2>b</h2><p>y</p>"))
-    read = P.read_pages(lines.select("conv_id", html.alias("html")), "conv_id", "html", heading="角色台词")
-    return read.select("page", F.when(C("error").isNull(), F.size("items")).otherwise(1).cast("long").alias("items"), F.coalesce("error", F.lit("")).alias("error"))
+
+    def frame(option, content):
+        return F.concat(F.lit('<div class="plotFrame"><div class="plotOptions">'), option, F.lit('</div><div class="content">'), content, F.lit("</div></div>"))
+
+    inner = frame(F.lit("in"), F.concat(F.lit("<p>s："), C("lines")[0], F.lit("</p>")))
+    name = F.when(C("conv_id") % 3 != 1, F.lit("大世界对话")).otherwise(F.lit("其他"))
+    html = F.concat(F.lit("<h2>a</h2><p>x</p><h3>"), name, F.lit("</h3>"), body, frame(C("lines")[0], inner), F.lit("<h2>b</h2><p>y</p>"))
+    pages = lines.select("conv_id", html.alias("html"), F.concat(F.lit("Page "), "conv_id").alias("title"), F.concat(F.lit("s"), "conv_id").alias("source"), F.lit(None).cast("string").alias("version"))
+    done = profile_markdown(pages, "conv_id", "html", "title", "source", "version")
+    return done.select("page", F.coalesce("error", F.lit("")).alias("error"), F.coalesce(F.md5(F.array_join("lines", "\n")), F.lit("")).alias("digest"))
 
 
 @query("d10_branch_dialogue", CHOICES + "SELECT page, frame, option, text AS branch_choice, active AS is_default_branch, role AS speaker, 'reply ' || told AS text FROM ch WHERE told IS NOT NULL")
@@ -189,15 +223,15 @@ def d10(spark, sf):
 # --- coverage: documents against copies with lines dropped, doubled or added ---
 
 EDITED = """
-WITH l AS (SELECT doc_id, i, regexp_replace(replace(x, ':', '：'), '\\s+', '', 'g') AS key FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+WITH l AS (SELECT doc_id, i, key, row_number() OVER (PARTITION BY doc_id, key ORDER BY i) AS nth FROM (SELECT doc_id, i, regexp_replace(replace(x, ':', '：'), '\\s+', '', 'g') AS key FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents))),
 edit AS (SELECT doc_id, i, key, CASE WHEN doc_id % 5 = 0 AND i % 2 = 1 THEN 0 WHEN doc_id % 5 = 1 AND i = 1 THEN 2 ELSE 1 END AS times FROM l UNION ALL SELECT doc_id, 1000000, 'added' || doc_id, 1 FROM documents WHERE doc_id % 5 = 2),
 src AS (SELECT doc_id, string_agg(key, '' ORDER BY i) AS t FROM l GROUP BY doc_id),
 tgt AS (SELECT doc_id, string_agg(repeat(key, times), '' ORDER BY i) AS t FROM edit GROUP BY doc_id),
 exp AS (SELECT doc_id, key, count(*) AS expected, min(i) AS first FROM l WHERE key <> '' GROUP BY doc_id, key),
 obs AS (SELECT e.doc_id, e.key, e.expected, e.first, (length(t.t) - length(replace(t.t, e.key, ''))) // length(e.key) AS observed FROM exp e JOIN tgt t ON e.doc_id = t.doc_id),
-mis AS (SELECT doc_id, least(80, sum(greatest(0, expected - observed))) AS missing FROM obs GROUP BY doc_id),
+mis AS (SELECT l.doc_id, l.i - 1 AS pos, o.expected, o.observed FROM l JOIN obs o ON l.doc_id = o.doc_id AND l.key = o.key WHERE l.nth > o.observed),
 tex AS (SELECT doc_id, key, sum(times) AS observed FROM edit WHERE key <> '' GROUP BY doc_id, key HAVING sum(times) > 0),
-ext AS (SELECT x.doc_id, least(80, count(*) FILTER (WHERE (length(s.t) - length(replace(s.t, x.key, ''))) // length(x.key) < x.observed)) AS extra FROM tex x JOIN src s ON x.doc_id = s.doc_id GROUP BY x.doc_id)
+ext AS (SELECT x.doc_id, x.key, x.observed, (length(s.t) - length(replace(s.t, x.key, ''))) // length(x.key) AS source_count FROM tex x JOIN src s ON x.doc_id = s.doc_id)
 """
 
 
@@ -207,34 +241,31 @@ def source_lines(spark, sf):
     return lines.select("page", "pos", F.lit("text").alias("kind"), "text", T.match_key(C("text"), unescape=False).alias("key"))
 
 
-def edited_lines(spark, sf):
+def edited_lines(spark, sf, lines=None):
     """The same lines with known edits: odd ones dropped, the first doubled, or one added, by doc_id modulo 5."""
-    rows, k = source_lines(spark, sf), C("page") % 5
+    rows, k = source_lines(spark, sf) if lines is None else lines, C("page") % 5
     times = F.when((k == 0) & (C("pos") % 2 == 0), 0).when((k == 1) & (C("pos") == 0), 2).otherwise(1)
     kept = rows.withColumn("again", F.explode(F.sequence(F.lit(0), times))).filter("again > 0").drop("again")
     added = table(spark, sf, "documents").filter("doc_id % 5 = 2").select(C("doc_id").alias("page"), F.lit(1000000).alias("pos"), F.lit("text").alias("kind"), F.concat(F.lit("added"), "doc_id").alias("text"))
     return kept.unionByName(added.withColumn("key", C("text")))
 
 
-def joined_keys(rows):
-    packed = F.array_sort(F.collect_list(F.struct("pos", "key")))
-    return rows.groupBy("page").agg(F.array_join(F.transform(packed, lambda x: x["key"]), "").alias("target"))
-
-
 @query("g1_group_source_items", EDITED + "SELECT doc_id AS page, key, CAST(expected AS INTEGER) AS expected, CAST(first - 1 AS INTEGER) AS first_pos FROM exp")
 def g1(spark, sf):
     return V.group_items(source_lines(spark, sf)).select("page", "key", "expected", "first_pos")
 
 
-@query("g2_missing_items", EDITED + "SELECT doc_id AS page, CAST(missing AS BIGINT) AS missing FROM mis WHERE missing > 0")
+@query("g2_missing_items", EDITED + "SELECT doc_id AS page, CAST(pos AS INTEGER) AS pos, CAST(expected AS INTEGER) AS expected, CAST(observed AS INTEGER) AS observed FROM mis")
 def g2(spark, sf):
-    return V.missing_items(source_lines(spark, sf), joined_keys(edited_lines(spark, sf))).groupBy("page").agg(F.count("*").alias("missing"))
+    lines = save(source_lines(spark, sf), "lines")
+    return V.missing_items(lines, V.joined_keys(edited_lines(spark, sf, lines)), None).select("page", "pos", "expected", "observed")
 
 
-@query("g3_extra_items", EDITED + "SELECT doc_id AS page, CAST(extra AS BIGINT) AS extra FROM ext WHERE extra > 0")
+@query("g3_extra_items", EDITED + "SELECT doc_id AS page, md5(key) AS digest, CAST(observed AS INTEGER) AS observed, CAST(source_count AS INTEGER) AS source_count FROM ext WHERE source_count < observed")
 def g3(spark, sf):
-    target = edited_lines(spark, sf).withColumn("text", C("key"))
-    return V.extra_items(target, joined_keys(source_lines(spark, sf))).groupBy("page").agg(F.count("*").alias("extra"))
+    lines = save(source_lines(spark, sf), "lines")
+    target = edited_lines(spark, sf, lines).withColumn("text", C("key"))
+    return V.extra_items(target, V.joined_keys(lines), None).select("page", F.md5("text").alias("digest"), "observed", "source_count")
 
 
 @query("g4_plot_mismatches", STORY_ITEMS + "SELECT conv_id AS page, f AS index, CAST(n AS INTEGER) AS options, CAST(c AS INTEGER) AS contents FROM fr WHERE n <> c")
@@ -242,37 +273,11 @@ def g4(spark, sf):
     return P.plot_frames(inventory(spark, sf)).filter("options <> contents").drop("path")
 
 
-COUNTS = ["source_items", "source_dialogue_items", "source_message_dialogue", "source_plot_frames", "source_plot_options", "source_plot_contents", "markdown_dialogue_lines", "markdown_choice_groups", "markdown_option_lines", "missing_groups", "extra_groups", "plot_mismatches"]
-
-
 def coverage_report(spark, sf):
-    """One row a page: title, version, the twelve counts and the status; pages are read and rendered once."""
+    """One row a page: title, version, status, counts and lists; pages are read once, and rendered from that."""
     read = save(inventory(spark, sf), "inventory")
-    md = save(markdown(spark, sf), "markdown")
-    items = P.source_items(read).withColumn("key", T.match_key(C("text"), unescape=False))
-    text = F.array_join("lines", "\n")
-    target = md.select("page", F.regexp_replace(T.markdown_plain_text(text), "(?U)\\s+", "").alias("target")).withColumn("target", F.replace("target", F.lit(":"), F.lit("：")))
-    missing = V.missing_items(items, target).groupBy("page").agg(F.count("*").alias("missing_groups"))
-    lines = md.select("page", F.posexplode("lines").alias("pos", "line")).withColumn("line", T.strip(C("line"))).filter(~T.is_skipped_markdown(C("line")))
-    found = lines.select("page", "pos", T.markdown_item(C("line")).alias("i")).select("page", "pos", "i.kind", "i.text").withColumn("key", T.match_key(C("text"), unescape=False))
-    extra = V.extra_items(found, joined_keys(items)).groupBy("page").agg(F.count("*").alias("extra_groups"))
-    counts = md.select("page", F.regexp_count(text, F.lit("(?m)^-\\s+\\*\\*[^*]+\\*\\*[：:]")).alias("markdown_dialogue_lines"), F.regexp_count(text, F.lit("(?m)^\\s*>\\s+选项组\\s+\\d+")).alias("markdown_choice_groups"), F.regexp_count(text, F.lit("(?m)^\\s*-\\s+选项\\s+\\d+（")).alias("markdown_option_lines"))
-
-    def total(column):
-        return F.coalesce(F.aggregate("frames", F.lit(0), lambda s, f: s + f[column]), F.lit(0))
-
-    def kinds(*names):
-        return F.size(F.filter("items", lambda i: i["kind"].isin(*names)))
-
-    source = read.select(
-        "page", F.size("items").alias("source_items"), kinds("dialogue", "message_dialogue").alias("source_dialogue_items"), F.size("messages").alias("source_message_dialogue"),
-        F.size("frames").alias("source_plot_frames"), total("options").alias("source_plot_options"), total("contents").alias("source_plot_contents"),
-        F.size(F.filter("frames", lambda f: f["options"] != f["contents"])).alias("plot_mismatches"), "error",
-    )
-    rows = source.join(counts, "page").join(missing, "page", "left").join(extra, "page", "left").fillna(0, ["missing_groups", "extra_groups"])
-    status = F.when(C("error").isNotNull(), "error").otherwise(V.status(C("missing_groups"), C("plot_mismatches"), C("extra_groups")))
-    meta = story_pages(spark, sf).select("page", "title", "version")
-    return rows.withColumn("status", status).join(meta, "page").select("page", "title", "version", "status", *[C(c).cast("long").alias(c) for c in COUNTS])
+    md = save(markdown(spark, sf, read), "markdown")
+    return V.page_reports(read, md).join(meta(spark, sf).select("page", "title", "version"), "page")
 
 
 STATUS = STORY_ITEMS + """, cov AS (SELECT p.conv_id AS page,
@@ -286,7 +291,7 @@ STATUS = STORY_ITEMS + """, cov AS (SELECT p.conv_id AS page,
 
 @query("g5_coverage_counts", STATUS + "SELECT * FROM cov")
 def g5(spark, sf):
-    return coverage_report(spark, sf).drop("title", "version", "status", "missing_groups", "extra_groups")
+    return coverage_report(spark, sf).drop("title", "version", "status", "error", "missing_groups", "extra_groups", *V.LISTS)
 
 
 @query("g6_coverage_status", STATUS + "SELECT page, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, CAST(0 AS BIGINT) AS missing_groups, CAST(0 AS BIGINT) AS extra_groups FROM cov")
@@ -306,10 +311,12 @@ def g8(spark, sf):
     return frames.filter("options <> contents").join(reviewed, ["page", "index"], "left_anti").select("page", "index", "group_no")
 
 
-@query("g9_exact_multiset_diff", EDITED + "SELECT side, count(*) AS n FROM (SELECT 'missing' AS side FROM l WHERE doc_id % 5 = 0 AND i % 2 = 1 UNION ALL SELECT 'extra' FROM edit WHERE times = 2 UNION ALL SELECT 'extra' FROM edit WHERE i = 1000000) GROUP BY side")
+@query("g9_exact_multiset_diff", EDITED + ", c AS (SELECT doc_id, key, sum(a) AS a, sum(b) AS b FROM (SELECT doc_id, key, 1 AS a, 0 AS b FROM l UNION ALL SELECT doc_id, key, 0, times FROM edit) GROUP BY doc_id, key) SELECT doc_id AS page, md5(key) AS digest, CASE WHEN a > b THEN 'missing' ELSE 'extra' END AS side, CAST(abs(a - b) AS BIGINT) AS n FROM c WHERE a <> b")
 def g9(spark, sf):
-    missing, extra = V.multiset_diff(source_lines(spark, sf).select("page", "key"), edited_lines(spark, sf).select("page", "key"))
-    return missing.select(F.lit("missing").alias("side")).unionByName(extra.select(F.lit("extra").alias("side"))).groupBy("side").agg(F.count("*").alias("n"))
+    lines = save(source_lines(spark, sf), "lines")
+    missing, extra = V.multiset_diff(lines.select("page", "key"), edited_lines(spark, sf, lines).select("page", "key"))
+    both = missing.select("*", F.lit("missing").alias("side")).unionByName(extra.select("*", F.lit("extra").alias("side")))
+    return both.groupBy("page", F.md5("key").alias("digest"), "side").agg(F.count("*").alias("n"))
 
 
 # --- manifest and graph ---
@@ -321,19 +328,24 @@ def g9(spark, sf):
     CASE WHEN page_id % 12 < 1 THEN 'skipped_by_min_version' WHEN page_id % 12 >= 9 THEN 'skipped_by_max_version' ELSE 'in_range' END AS version_status FROM pg WHERE local_path IS NOT NULL AND page_id % 3 = 0 AND page_id % 2 = 0""",
 )
 def e1(spark, sf):
-    """Two of three local pages are listed; every second page names its source."""
-    nodes = graph_nodes(spark, sf).filter("local_path IS NOT NULL")
+    """Two of three local pages are listed; every second page names its source before its own HTML."""
+    nodes = graph_nodes(spark, sf).filter("local_path IS NOT NULL").join(table(spark, sf, "pages").select("page_id", C("html").alias("own")), "page_id")
     link = F.when(C("page_id") % 2 == 0, F.concat(F.lit('<link rel="canonical" href="https://w.example/sr/'), "page_id", F.lit('#top">'))).otherwise(F.lit(""))
-    html = F.concat(link, F.lit("<title>"), "title", F.lit("_BWIKI</title><table><tr><th>所属版本</th><td>"), "version", F.lit("</td></tr></table>"))
+    html = F.concat(link, F.lit("<title>"), "title", F.lit("_BWIKI</title><table><tr><th>所属版本</th><td>"), "version", F.lit("</td></tr></table>"), "own")
     return G.recover_unlisted(nodes.select("local_path", html.alias("html")), nodes.filter("page_id % 3 <> 0"), "https://w.example/sr/", "所属版本", F.lit("3.1"), F.lit("3.9"))
 
 
-@query("e2_upsert_pages", GRAPH + "SELECT url, version, CASE WHEN CAST(substr(url, 2) AS BIGINT) % 4 = 0 THEN 'new' ELSE 'old' END AS title FROM nodes")
+@query(
+    "e2_upsert_pages",
+    GRAPH + ", o AS (SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS pos FROM pg WHERE page_id % 8 <> 0), w AS (SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS pos FROM pg WHERE page_id % 4 = 0) SELECT url, version, CASE WHEN CAST(substr(url, 2) AS BIGINT) % 4 = 0 THEN 'new' ELSE 'old' END AS title, CAST(coalesce(o.pos, w.pos + (SELECT count(*) FROM o)) AS BIGINT) AS pos FROM nodes LEFT JOIN o ON url = 'p' || o.page_id LEFT JOIN w ON url = 'p' || w.page_id",
+)
 def e2(spark, sf):
+    """Keys that are there keep their place, new ones follow."""
     nodes = graph_nodes(spark, sf)
-    old = nodes.filter("page_id % 8 <> 0").select("url", "version", F.lit("old").alias("title"))
-    new = nodes.filter("page_id % 4 = 0").select("url", F.when(C("page_id") % 8 == 0, C("version")).alias("version"), F.lit("new").alias("title"))
-    return G.latest_wins(old, new, ["url"])
+    old = nodes.filter("page_id % 8 <> 0").select("page_id", "url", "version", F.lit("old").alias("title"))
+    new = nodes.filter("page_id % 4 = 0").select("page_id", "url", F.when(C("page_id") % 8 == 0, C("version")).alias("version"), F.lit("new").alias("title"))
+    old, new = (G.dense_numbers(x, "page_id", save, start=0, name="pos").drop("page_id") for x in (old, new))
+    return G.upsert_in_order(old, new, ["url"])
 
 
 @query("e3_upsert_nodes_edges", GRAPH + "SELECT \"from\", \"to\", type, 'b' AS label FROM edges WHERE \"to\" IS NOT NULL")
@@ -353,18 +365,22 @@ def e5(spark, sf):
     return G.fetch_plan(nodes.select("url", "version_status"), nodes)
 
 
-@query("e6_assign_page_index", "SELECT page_id, 100 + row_number() OVER (ORDER BY page_id) AS number FROM pages")
+@query("e6_assign_page_index", "SELECT page_id, (SELECT max(page_id) FROM pages WHERE page_id % 7 <> 0) + row_number() OVER (ORDER BY page_id) AS number FROM pages WHERE page_id % 7 = 0")
 def e6(spark, sf):
-    return G.dense_numbers(table(spark, sf, "pages").select("page_id"), "page_id", save, start=101)
+    """Pages without a file are numbered on from the largest number in the names of the files."""
+    nodes = graph_nodes(spark, sf).withColumn("local_path", F.concat(F.lit("pages/"), F.when(C("local_path").isNotNull(), C("page_id")), F.lit("_x.html")))
+    new = nodes.filter("local_path IS NULL").select("page_id")
+    return G.dense_numbers(new, "page_id", save, start=G.next_page_index(nodes)).select("page_id", "number")
 
 
 @query(
     "e7_follow_links",
-    GRAPH.replace("WITH pg", "WITH RECURSIVE pg") + ", live AS (SELECT \"from\", \"to\" FROM edges JOIN nodes ON nodes.url = edges.\"from\" WHERE version_status = 'in_range' AND type = 'next_task' AND \"to\" IS NOT NULL), walk(url) AS (SELECT 'p1' UNION SELECT 'p2' UNION SELECT live.\"to\" FROM walk JOIN live ON live.\"from\" = walk.url) SELECT url FROM walk",
+    GRAPH.replace("WITH pg", "WITH RECURSIVE pg") + ", live AS (SELECT \"from\", \"to\" FROM edges JOIN nodes ON nodes.url = edges.\"from\" WHERE version_status = 'in_range' AND type = 'next_task' AND \"to\" IS NOT NULL), walk(url) AS (SELECT 'p' || min(page_id) FROM pg GROUP BY host UNION SELECT live.\"to\" FROM walk JOIN live ON live.\"from\" = walk.url) SELECT url FROM walk",
 )
 def e7(spark, sf):
     nodes = graph_nodes(spark, sf)
-    seeds = nodes.filter(C("url").isin("p1", "p2")).select("url")
+    host = F.regexp_extract("url", "//([^/?#]*)", 1)
+    seeds = table(spark, sf, "pages").groupBy(host.alias("host")).agg(F.min("page_id").alias("first")).select(F.concat(F.lit("p"), "first").alias("url"))
     return G.link_closure(seeds, graph_edges(spark, sf), nodes, ["next_task"], save).select("url")
 
 
@@ -429,40 +445,71 @@ def a5(spark, sf):
 
 @query(
     "a6_dialogue_markdown",
-    TRANSCRIPT + "SELECT source, line_no, '- L' || line_no || ' **' || speaker || '**: ' || text AS out FROM said UNION ALL SELECT source, min(line_no), unnest(['## ' || upper(source), '### 剧情内容 (3.' || min(conv_id % 8) || ')']) FROM said GROUP BY source",
+    TRANSCRIPT + f"SELECT source, md5('{IO.LISTING}## ' || upper(source) || chr(10) || chr(10) || '- Source: ' || source || chr(10) || chr(10) || '### 剧情内容 (3.' || min(conv_id % 8) || ')' || chr(10) || chr(10) || string_agg('- L' || line_no || ' **' || speaker || '**: ' || text, chr(10) ORDER BY line_no) || chr(10)) AS digest FROM said GROUP BY source",
 )
 def a6(spark, sf):
-    return IO.dialogue_markdown(dialogue_rows(spark, sf)).select("source", "line_no", "out")
+    path = scratch(spark, "dialogue")
+    IO.write_documents(IO.dialogue_documents(dialogue_rows(spark, sf)), path, "source")
+    return IO.read_documents(spark, path, "source").select("source", F.md5("text").alias("digest"))
 
 
-@query("a8_story_pages_sink", STORY_LINES + "SELECT printf('%03d', conv_id) || '_3.' || (conv_id % 8) || '_Story_' || conv_id AS stem, count(*) FILTER (WHERE turn % 2 = 0) AS spoken FROM sl GROUP BY conv_id")
+@query("a8_story_pages_sink", MARKDOWN_TEXT + "SELECT printf('%03d', conv_id) || '_3.' || (conv_id % 8) || '_Story_' || conv_id AS stem, md5(text || chr(10)) AS digest FROM mx")
 def a8(spark, sf):
     path = scratch(spark, "story")
     stems = story_pages(spark, sf).select("page", T.page_stem(C("page"), C("version"), C("title")).alias("stem"))
-    rows = markdown(spark, sf).join(stems, "page").select("stem", F.posexplode("lines").alias("pos", "line"))
-    IO.write_text_by(rows, path, "stem", ["pos"], "line")
-    back = spark.read.schema("value string, stem string").text(path)
-    return back.groupBy("stem").agg(F.count_if(C("value").startswith("- **")).alias("spoken"))
+    IO.write_documents(markdown(spark, sf).join(stems, "page").select("stem", F.array_join("lines", "\n").alias("text")), path, "stem")
+    return IO.read_documents(spark, path, "stem").select("stem", F.md5("text").alias("digest"))
+
+
+ITEM_COUNTS = ["source_items", "source_dialogue_items", "source_message_dialogue", "source_plot_frames", "source_plot_options", "source_plot_contents", "markdown_dialogue_lines", "markdown_choice_groups", "markdown_option_lines", "plot_mismatches"]
 
 
-@query("a9_coverage_report_sink", STATUS + "SELECT page, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, CAST(source_items AS INTEGER) AS source_items FROM cov")
+@query(
+    "a9_coverage_report_sink",
+    STATUS + "SELECT page, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, " + ", ".join(ITEM_COUNTS) + ", coalesce((SELECT string_agg('- `剧情内容 / plotFrame[' || f || ']`: options=' || n || ', contents=' || c, chr(10) ORDER BY f) FROM fr WHERE fr.conv_id = page AND n <> c), '- 未发现 `plotOptions` 与 `content` 数量不一致的选项组。') AS shown FROM cov",
+)
 def a9(spark, sf):
-    path = scratch(spark, "report")
-    IO.coverage_report_json(coverage_report(spark, sf), "page", COUNTS).select(C("report").alias("value")).write.text(path)
-    back = spark.read.schema("page long, status string, counts map<string,int>").json(path)
-    return back.select("page", "status", C("counts")["source_items"].alias("source_items"))
+    """The JSON report's counts and the Markdown report's part on frames, both written and read back."""
+    report = save(coverage_report(spark, sf), "coverage")
+    path, texts = scratch(spark, "report"), scratch(spark, "report-md")
+    IO.coverage_report_json(report, V.COUNTS).select(C("report").alias("value")).write.text(path)
+    named = report.withColumns({"html": F.concat("page", F.lit(".html")), "markdown": F.concat("page", F.lit(".md"))})
+    IO.write_documents(IO.coverage_report_markdown(named, V.COUNTS), texts, "page")
+    part = F.regexp_extract("text", "(?s)## 选项结构异常\n\n(.*?)\n\n## ", 1)
+    written = IO.read_documents(spark, texts, "page").select(C("page").cast("long").alias("page"), part.alias("shown"))
+    back = spark.read.schema("page long, status string, counts map<string,long>").json(path)
+    return back.select("page", "status", *[C("counts")[c].alias(c) for c in ITEM_COUNTS]).join(written, "page")
 
 
-@query("a10_coverage_summary_sink", STATUS + "SELECT page, '| ' || page || ' | Story ' || page || ' | 3.' || (page % 8) || ' | ' || CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END || ' | 0 | 0 | ' || plot_mismatches || ' |' AS row FROM cov")
+@query(
+    "a10_coverage_summary_sink",
+    STATUS + """, s AS (SELECT *, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status FROM cov)
+    SELECT 0 AS part, CAST(0 AS BIGINT) AS place, '- 页面数：' || count(*) AS line FROM s UNION ALL SELECT 1, 0, '- `' || status || '`：' || count(*) FROM s GROUP BY status
+    UNION ALL SELECT 2, page, '| ' || page || ' | Story ' || page || ' | 3.' || (page % 8) || ' | ' || status || ' | 0 | 0 | ' || plot_mismatches || ' |' FROM s
+    UNION ALL SELECT 3, page, '- `warn` ' || printf('%03d', page) || ' Story ' || page || '：missing=0, extra=0, plot_mismatches=' || plot_mismatches FROM s WHERE status <> 'pass'""",
+)
 def a10(spark, sf):
-    return IO.coverage_summary_rows(coverage_report(spark, sf), "page")
+    path = scratch(spark, "summary")
+    IO.coverage_summary(save(coverage_report(spark, sf), "coverage"), "page").write.json(path)
+    return spark.read.schema("part int, place long, line string").json(path)
+
+
+SHOWN = MD_LINES + """, f AS (SELECT source, count(*) FILTER (WHERE regexp_matches(line, '^- \\*\\*[^*]+\\*\\*：')) AS d, count(*) FILTER (WHERE line LIKE '> 选项组 %') AS g FROM md GROUP BY source),
+ p AS (SELECT source, string_agg('- ' || speaker || '：' || n || ' 行', chr(10) ORDER BY place) AS s FROM ranked WHERE place <= 12 GROUP BY source),
+ h AS (SELECT source, string_agg('- L' || line_no || ': H3 ' || substr(line, 5), chr(10) ORDER BY line_no) FILTER (WHERE place <= 16) AS s FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY line_no) AS place FROM md WHERE line LIKE '### %') GROUP BY source),
+ z AS (SELECT source, string_agg('- L' || line_no || ': ' || CASE WHEN length(x) > 130 THEN substr(x, 1, 130) || '...' ELSE x END, chr(10) ORDER BY line_no) FILTER (WHERE place <= 10) AS s FROM (SELECT source, line_no, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS x, row_number() OVER (PARTITION BY source ORDER BY line_no) AS place FROM md WHERE regexp_matches(line, 'with|from')) GROUP BY source)
+ SELECT m.source, md5(concat_ws(chr(10), '# Story ' || m.source, '', '## 基本信息', '', '- 原始静态页：未记录', '- 所属版本：' || CASE WHEN m.source % 5 <> 0 THEN '3.' || (m.source % 8) ELSE 'unknown' END, '- 章节名：Story ' || m.source, '- 对话行数：' || f.d, '- 选项组数：' || f.g, '', '## 关键角色', '', coalesce(p.s, '- 未自动识别到对话角色；需要人工阅读原文。'), '',
+  '## 章节结构索引', '', coalesce(h.s, '- 未自动识别到章节结构。'), '', '## place', '', coalesce(z.s, '- 未自动抽取到明显锚点；需要人工阅读原文确认。')) || chr(10)) AS digest FROM (SELECT DISTINCT source FROM md) m JOIN f USING (source) LEFT JOIN p USING (source) LEFT JOIN h USING (source) LEFT JOIN z USING (source)"""
 
 
-@query("a11_summary_index_sink", SUMMARY)
+@query("a11_summary_index_sink", f"SELECT i.*, d.digest FROM ({SUMMARY}) i JOIN ({SHOWN}) d ON i.source = d.source")
 def a11(spark, sf):
-    path = scratch(spark, "index")
+    """The index and every file's summary, both written and read back."""
+    path, texts = scratch(spark, "index"), scratch(spark, "summaries")
     summary_index(spark, sf).write.mode("overwrite").json(path)
-    return spark.read.schema("source long, number string, title string, version string, link string, speakers string").json(path)
+    IO.write_documents(S.summary_documents(markdown_lines(spark, sf), {"place": "with|from"}), texts, "source")
+    index = spark.read.schema("source long, number string, title string, version string, link string, speakers string").json(path)
+    return index.join(IO.read_documents(spark, texts, "source").select(C("source").cast("long").alias("source"), F.md5("text").alias("digest")), "source")
 
 
 # --- incremental ingest ---

@@ -28,14 +28,22 @@ def b3(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(T.match_key(C("text"))).alias("digest"))
 
 
+CONV_LINES = "SELECT conv_id, turn, role, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k, unnest(string_split(text, chr(10))) AS l FROM conversations"
+
+
+def conversation_lines(spark, sf):
+    """(conv_id, turn, role, k, l): every line of every turn."""
+    return table(spark, sf, "conversations").select("conv_id", "turn", "role", F.posexplode(F.split("text", "\n")).alias("k", "l"))
+
+
 @query(
     "b4_clean_line",
-    r"""SELECT conv_id, turn, trim(regexp_replace(role || ' 图标-位置.png', '图标-位置\.png', '')) AS image, CASE WHEN turn % 2 = 0 THEN '[choice:对话] ' || role ELSE '[choice:对话]' END AS choice,
-        trim(regexp_replace(string_split(text, chr(10))[1], '[ \t]+', ' ', 'g')) AS line FROM conversations""",
+    rf"""SELECT conv_id, turn, CAST(k AS INTEGER) AS k, trim(regexp_replace(l || ' ', '[ \t]+', ' ', 'g')) AS image, CASE WHEN trim(l) <> '' THEN '[choice:对话] ' || trim(regexp_replace(l, '[ \t]+', ' ', 'g')) ELSE '[choice:对话]' END AS choice,
+        trim(regexp_replace(l, '[ \t]+', ' ', 'g')) AS line FROM ({CONV_LINES})""",
 )
 def b4(spark, sf):
-    choice = F.concat(F.lit("剧情选项-图标-对话.png "), F.when(C("turn") % 2 == 0, C("role")).otherwise(F.lit("")))
-    return table(spark, sf, "conversations").select("conv_id", "turn", T.clean_line(F.concat("role", F.lit(" a头像-2.png 图标-位置.png"))).alias("image"), T.clean_line(choice).alias("choice"), T.clean_line(F.split("text", "\n")[0]).alias("line"))
+    rows = conversation_lines(spark, sf)
+    return rows.select("conv_id", "turn", "k", T.clean_line(F.concat("l", F.lit(" a头像-2.png 图标-位置.png"))).alias("image"), T.clean_line(F.concat(F.lit("剧情选项-图标-对话.png "), "l")).alias("choice"), T.clean_line(C("l")).alias("line"))
 
 
 @query(
@@ -47,10 +55,10 @@ def b5(spark, sf):
     return rows.groupBy("doc_id").agg(F.count_if(~T.is_dropped(T.clean_line(C("l")))).alias("kept"), F.count("*").alias("lines"))
 
 
-@query("b6_parse_choice", "SELECT conv_id, turn, CASE WHEN role = 'user' THEN role END AS kind, CASE WHEN role = 'user' THEN 'go ' || turn END AS text FROM conversations")
+@query("b6_parse_choice", f"SELECT conv_id, turn, CAST(k AS INTEGER) AS k, CASE WHEN role = 'user' THEN role END AS kind, CASE WHEN role = 'user' THEN trim(l) END AS text FROM ({CONV_LINES})")
 def b6(spark, sf):
-    line = F.when(C("role") == "user", F.concat(F.lit("[choice:"), "role", F.lit("]  go "), "turn")).otherwise(F.concat("role", F.lit(" go")))
-    return table(spark, sf, "conversations").select("conv_id", "turn", T.choice_kind(line).alias("kind"), T.choice_text(line).alias("text"))
+    line = F.when(C("role") == "user", F.concat(F.lit("[choice:"), "role", F.lit("]  "), "l")).otherwise(C("l"))
+    return conversation_lines(spark, sf).select("conv_id", "turn", "k", T.choice_kind(line).alias("kind"), T.choice_text(line).alias("text"))
 
 
 @query(
@@ -62,21 +70,34 @@ def b7(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", T.speaker_name(line).alias("speaker"), T.speaker_text(line).alias("said"))
 
 
-@query(
-    "b8_classify_line",
-    "SELECT kind, count(*) AS n FROM (SELECT CASE turn % 6 WHEN 0 THEN 'choice' WHEN 1 THEN 'dialogue' WHEN 2 THEN 'meta' WHEN 3 THEN 'heading' WHEN 4 THEN 'heading' ELSE 'text' END AS kind FROM conversations) GROUP BY kind",
-)
+SPEAKS = "'^([^:：]{1,32})[:：]\\s*(.+)$'"
+HAS_SPEECH = f"(regexp_matches(x, {SPEAKS}) AND trim(regexp_extract(x, {SPEAKS}, 1)) <> '' AND trim(regexp_extract(x, {SPEAKS}, 2)) <> '')"
+
+
+def document_lines(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "x"))
+
+
+DOC_X = "SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k, unnest(string_split(text, chr(10))) AS x FROM documents"
+
+
+@query("b8_classify_line", f"SELECT doc_id, kind, count(*) AS n FROM (SELECT doc_id, CASE WHEN k % 5 = 1 THEN 'choice' WHEN {HAS_SPEECH} THEN 'dialogue' WHEN k % 5 = 2 THEN 'meta' WHEN k % 5 = 3 THEN 'heading' ELSE 'text' END AS kind FROM (SELECT doc_id, k, CASE WHEN k % 5 = 2 THEN '所属版本 ' || x WHEN k % 5 = 3 THEN '额外对话 ' || x ELSE x END AS x FROM ({DOC_X}))) GROUP BY doc_id, kind")
 def b8(spark, sf):
-    k = C("turn") % 6
-    line = F.when(k == 0, F.concat(F.lit("[choice:x] "), "role", F.lit("：y"))).when(k == 1, F.concat(F.lit("所属"), "role", F.lit("：y"))).when(k == 2, F.concat(F.lit("所属版本 "), "turn")).when(k == 3, F.lit("过场动画")).when(k == 4, F.concat(F.lit("额外对话"), "turn")).otherwise(F.concat("role", F.lit(" y")))
-    return table(spark, sf, "conversations").groupBy(T.line_kind(line).alias("kind")).agg(F.count("*").alias("n"))
+    """Every line of the documents, most of them with the start of a kind."""
+    k = C("k") % 5
+    line = F.when(k == 1, F.concat(F.lit("[choice:x] "), "x")).when(k == 2, F.concat(F.lit("所属版本 "), "x")).when(k == 3, F.concat(F.lit("额外对话 "), "x")).otherwise(C("x"))
+    return document_lines(spark, sf).groupBy("doc_id", T.line_kind(line).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("b9_speaker_predicates", "SELECT conv_id, turn, turn % 3 = 0 AS alone, turn % 3 = 1 AS payload FROM conversations")
+@query(
+    "b9_speaker_predicates",
+    f"WITH p AS (SELECT doc_id, k, x, k % 2 = 0 AND length(x) <= 16 AND NOT regexp_matches(x, '[:：，。？！；、]|[。！？…」）]$') AND regexp_matches(x, '[\\x{{4e00}}-\\x{{9fff}}A-Za-z]') AS alone FROM (SELECT doc_id, k, CASE WHEN k % 3 = 0 THEN string_split(x, ' ')[1] ELSE x END AS x FROM ({DOC_X}))) SELECT doc_id, CAST(k AS INTEGER) AS k, alone, x <> '' AND NOT alone AS payload FROM p",
+)
 def b9(spark, sf):
-    k = C("turn") % 3
-    line = F.when(k == 0, C("role")).when(k == 1, F.concat("role", F.lit("。"))).otherwise(F.lit("剧情梗概"))
-    return table(spark, sf, "conversations").select("conv_id", "turn", T.is_standalone_speaker(line, F.lit(True)).alias("alone"), T.is_dialogue_payload(line, F.lit(True)).alias("payload"))
+    """Every line of the documents, of every third one its first word; even ones count as names."""
+    x = F.when(C("k") % 3 == 0, F.split("x", " ")[0]).otherwise(C("x"))
+    rows = document_lines(spark, sf).select("doc_id", "k", x.alias("x"), (C("k") % 2 == 0).alias("hinted"))
+    return rows.select("doc_id", "k", T.is_standalone_speaker(C("x"), C("hinted")).alias("alone"), T.is_dialogue_payload(C("x"), C("hinted")).alias("payload"))
 
 
 @query("b10_strip_tags", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '^\s+|\s+$', '', 'g')) AS digest FROM pages".replace('\\"', '"'))
@@ -117,7 +138,7 @@ def b14(spark, sf):
     og = F.concat(F.lit('<meta property="og:url" content="https://a.example/og?a=1&amp;b='), "page_id", F.lit('">'))
     canonical = F.concat(F.lit('<link rel="canonical" href="https://a.example/c'), "page_id", F.lit('">'))
     name = F.concat(F.lit('{"wgPageName": "a 星'), "page_id", F.lit('"}'))
-    return table(spark, sf, "pages").select("page_id", T.page_source_url(F.when(k == 0, og).when(k == 1, canonical).otherwise(name), "https://a.example/sr/").alias("url"))
+    return table(spark, sf, "pages").select("page_id", T.page_source_url(F.concat("html", F.when(k == 0, og).when(k == 1, canonical).otherwise(name)), "https://a.example/sr/").alias("url"))
 
 
 @query("b15_normalize_url", "SELECT page_id, regexp_replace(url, '#.*$', '') AS url FROM pages")
@@ -125,24 +146,35 @@ def b15(spark, sf):
     return table(spark, sf, "pages").select("page_id", T.normalize_url(F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#part"))).alias("url"))
 
 
+HREFS = "SELECT page_id, url, unnest(h) AS h, generate_subscripts(h, 1) AS n FROM (SELECT page_id, url, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS h FROM pages)"
+
+
 @query(
     "b16_resolve_link",
-    "SELECT page_id, CASE page_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'https://w.example/sr/x?q=' || page_id WHEN 2 THEN 'https://w.example/sr/b/' || page_id WHEN 3 THEN NULL ELSE NULL END AS url FROM pages",
+    f"SELECT page_id, CAST(n AS INTEGER) AS n, CASE n % 4 WHEN 0 THEN NULL WHEN 1 THEN s || h WHEN 2 THEN s || '/b' || h ELSE s || h || '?q=1' END AS link FROM (SELECT page_id, n, replace(h, '&amp;', '&') AS h, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS s FROM ({HREFS})) WHERE regexp_matches(h, '^/[^#?;]+$')",
 )
 def b16(spark, sf):
-    k = C("page_id") % 5
-    href = F.when(k == 0, F.lit("#top")).when(k == 1, F.concat(F.lit("/sr/x;p?q="), "page_id", F.lit("#f"))).when(k == 2, F.concat(F.lit("../b/"), "page_id")).when(k == 3, F.lit("https://other.example/sr/x")).otherwise(F.lit("/other/x"))
-    return table(spark, sf, "pages").select("page_id", T.resolver("w.example", "/sr/")(href, F.lit("https://w.example/sr/a/page")).alias("url"))
+    """The links of every page as they are, below the page's folder, with parameters and fragment, and as fragments."""
+    links = table(spark, sf, "pages").select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("p", "h"))
+    rows = links.select("page_id", (C("p") + 1).alias("n"), F.regexp_extract("url", "^(https?://[^/?#]+)", 1).alias("s"), T.html_unescape(C("h")).alias("h")).filter(C("h").rlike("^/[^#?;]+$"))
+    k = C("n") % 4
+    href = F.when(k == 0, F.concat(F.lit("#"), "h")).when(k == 1, C("h")).when(k == 2, F.concat(F.lit("../b"), "h")).otherwise(F.concat("h", F.lit(";p?q=1#f")))
+    return rows.select("page_id", "n", T.resolver(None, "/")(href, F.concat("s", F.lit("/a/page"))).alias("link"))
 
 
 @query(
     "b17_version_parse_compare",
-    "SELECT page_id, page_id % 12 < 9 AS below, page_id % 12 = 0 AS same FROM pages",
+    """WITH v AS (SELECT doc_id, list_transform(string_split(nullif(regexp_extract(text, '\\d+(?:\\.\\d+)*'), ''), '.'), lambda x: TRY_CAST(x AS BIGINT)) AS p FROM documents UNION ALL SELECT page_id, [3, page_id % 12] FROM pages),
+    k AS (SELECT doc_id, p, list_concat(p, [0, 0, 0, 0, 0, 0])[1 : greatest(6, len(p))] AS k FROM v)
+    SELECT doc_id AS id, len(p) AS parts, k < [3, 9, 0, 0, 0, 0] AS below, k = [3, 0, 0, 0, 0, 0] AS same FROM k WHERE p IS NOT NULL AND list_count(p) = len(p)""",
 )
 def b17(spark, sf):
-    version = F.concat(F.lit("ver 3."), C("page_id") % 12, F.lit(" beta"))
-    key = T.version_key(version)
-    return table(spark, sf, "pages").select("page_id", (key < T.version_key(F.lit("3.9"))).alias("below"), (key == T.version_key(F.lit("3"))).alias("same"))
+    """The first number of every document's text, and versions of every page."""
+    texts = table(spark, sf, "documents").select(C("doc_id").alias("id"), C("text").alias("v"))
+    rows = texts.unionByName(table(spark, sf, "pages").select(C("page_id").alias("id"), F.concat(F.lit("ver 3."), C("page_id") % 12, F.lit(" beta")).alias("v")))
+    key, parts = T.version_key(C("v")), T.version_parts(C("v"))
+    rows = rows.filter(parts.isNotNull() & ~F.exists(parts, lambda x: x.isNull()))
+    return rows.select("id", F.size(parts).cast("long").alias("parts"), (key < T.version_key(F.lit("3.9"))).alias("below"), (key == T.version_key(F.lit("3"))).alias("same"))
 
 
 @query("b18_classify_version", GRAPH + "SELECT url, version_status FROM nodes")
@@ -161,20 +193,35 @@ def b19(spark, sf):
     return table(spark, sf, "pages").select("page_id", T.safe_file_name(C("url")).alias("safe"), T.cache_name(C("url")).alias("cache"), T.page_stem(C("page_id"), F.lit("3.1"), F.concat(F.lit("Page "), "page_id")).alias("stem"))
 
 
-@query("b20_markdown_plain_text", "SELECT conv_id, turn, 'T' || chr(10) || role || '：x' || chr(10) || 'quoted ' || turn || chr(10) || 'code' AS text FROM conversations")
+#: Each turn as Markdown: its role as a heading, its lines as list items, quotes and code.
+MD_TURN = f"SELECT conv_id, turn, '# ' || role || '<!-- a' || chr(10) || 'b -->' || chr(10) || string_agg(CASE k % 4 WHEN 0 THEN '- **' || role || '**：' || x WHEN 1 THEN '> ' || x WHEN 2 THEN '`' || x || '`' ELSE '  * ' || x END, chr(10) ORDER BY k) AS text FROM (SELECT conv_id, turn, role, k, replace(replace(l, '`', ''), '*', '') AS x FROM ({CONV_LINES})) GROUP BY conv_id, turn, role"
+
+
+def markdown_turns(spark, sf):
+    plain = F.split(F.translate("text", "`*", ""), "\n")
+
+    def line(x, k):
+        return F.when(k % 4 == 0, F.concat(F.lit("- **"), "role", F.lit("**："), x)).when(k % 4 == 1, F.concat(F.lit("> "), x)).when(k % 4 == 2, F.concat(F.lit("`"), x, F.lit("`"))).otherwise(F.concat(F.lit("  * "), x))
+
+    text = F.concat(F.lit("# "), "role", F.lit("<!-- a\nb -->\n"), F.array_join(F.transform(plain, line), "\n"))
+    return table(spark, sf, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", text.alias("text"))
+
+
+@query("b20_markdown_plain_text", rf"SELECT conv_id, turn, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)<!--.*?-->', '', 'g'), '\*\*([^*]+)\*\*[：:]', '\1：', 'g'), '(?m)^\s*[-*]\s+', '', 'g'), '(?m)^\s*>\s+', '', 'g'), '(?m)^#{{1,6}}\s*', '', 'g'), '`([^`]+)`', '\1', 'g')) AS digest FROM ({MD_TURN})")
 def b20(spark, sf):
-    text = F.concat(F.lit("# T<!-- a\nb -->\n- **"), "role", F.lit("**：x\n> quoted "), "turn", F.lit("\n`code`"))
-    return table(spark, sf, "conversations").select("conv_id", "turn", T.markdown_plain_text(text).alias("text"))
+    return markdown_turns(spark, sf).select("conv_id", "turn", F.md5(T.markdown_plain_text(C("text"))).alias("digest"))
 
 
 @query(
     "b21_markdown_items",
-    """SELECT kind, text, count(*) AS n FROM (SELECT unnest(['markdown_dialogue_text', 'markdown_option', 'markdown_heading', 'markdown_text', 'markdown_text']) AS kind, unnest([role || ' said', 'go', 'Part ' || role, 'item', 'quoted']) AS text FROM conversations) GROUP BY kind, text""",
+    rf"""WITH l AS (SELECT conv_id, turn, trim(unnest(string_split(text, chr(10)))) AS l FROM ({MD_TURN}))
+    SELECT conv_id, turn, kind, md5(string_agg(text, '|' ORDER BY text)) AS digest FROM (SELECT conv_id, turn, CASE WHEN regexp_matches(l, '^-\s+\*\*[^*]+\*\*[：:]\s*(.+)$') THEN 'markdown_dialogue_text' ELSE 'markdown_text' END AS kind,
+     CASE WHEN regexp_matches(l, '^-\s+\*\*[^*]+\*\*[：:]\s*(.+)$') THEN regexp_extract(l, '^-\s+\*\*[^*]+\*\*[：:]\s*(.+)$', 1) WHEN regexp_matches(l, '^-\s+(.+)$') THEN regexp_extract(l, '^-\s+(.+)$', 1) ELSE regexp_replace(l, '^\s*>\s+', '') END AS text FROM l WHERE l NOT IN ('', '>', '›') AND l NOT LIKE '# %' AND l NOT LIKE '<!--%') GROUP BY conv_id, turn, kind""",
 )
 def b21(spark, sf):
-    text = F.concat(F.lit("# title\n- Source: x\n\n> 选项组 1：2 个选项\n- **"), "role", F.lit("**："), "role", F.lit(" said\n  - 选项 1（对话，默认显示）：go\n### Part "), "role", F.lit("\n- item\n> quoted\n  - 回复：无额外文本"))
-    lines = table(spark, sf, "conversations").select(F.explode(F.split(text, "\n")).alias("l")).select(T.strip(C("l")).alias("l")).filter(~T.is_skipped_markdown(C("l")))
-    return lines.select(T.markdown_item(C("l")).alias("i")).groupBy("i.kind", "i.text").agg(F.count("*").alias("n"))
+    lines = markdown_turns(spark, sf).select("conv_id", "turn", F.explode(F.split("text", "\n")).alias("l")).withColumn("l", T.strip(C("l"))).filter(~T.is_skipped_markdown(C("l")))
+    items = lines.select("conv_id", "turn", T.markdown_item(C("l")).alias("i"))
+    return items.groupBy("conv_id", "turn", "i.kind").agg(F.md5(F.array_join(F.array_sort(F.collect_list("i.text")), "|")).alias("digest"))
 
 
 @query("b22_snippet", r"SELECT doc_id, CASE WHEN length(x) > 130 THEN substr(x, 1, 130) || '...' ELSE x END AS snippet FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS x FROM documents)")
@@ -201,13 +248,14 @@ def b25(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.size(names).alias("n"), names[0].alias("first")).filter("n > 0")
 
 
-@query("b26_source_title", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '07 a b' ELSE '07 host' || page_id || '.example' END AS title FROM pages")
+@query("b26_source_title", r"SELECT page_id, '07 ' || CASE WHEN leaf = '' THEN regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) ELSE leaf END AS title FROM (SELECT page_id, url, regexp_extract(regexp_replace(regexp_replace(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*', ''), '[?#].*$', ''), '/+$', ''), '([^/]*)$', 1) AS leaf FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN regexp_extract(url, '^[a-zA-Z]+://[^/?#]*') || '/' ELSE url END AS url FROM pages))")
 def b26(spark, sf):
-    value = F.when(C("page_id") % 2 == 0, F.lit("https://h.example/x/a%20b/?q=1")).otherwise(F.concat(F.lit("https://host"), "page_id", F.lit(".example/")))
+    value = F.when(C("page_id") % 3 == 0, F.concat(F.regexp_extract("url", "^[a-zA-Z]+://[^/?#]*", 0), F.lit("/"))).otherwise(C("url"))
     return table(spark, sf, "pages").select("page_id", T.source_title(F.lit(7), value).alias("title"))
 
 
-@query("b27_content_charset", "SELECT CASE WHEN page_id % 3 = 0 THEN 'utf-8' ELSE 'gb18030' END AS charset, count(*) AS n FROM pages GROUP BY 1")
+@query("b27_content_charset", r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'gb18030' ELSE coalesce(nullif(regexp_extract(html, '(?i)charset=["]?([\w\-]+)', 1), ''), 'utf-8') END AS charset FROM pages""")
 def b27(spark, sf):
-    header = F.when(C("page_id") % 3 != 0, F.lit("text/html; Charset=gb18030"))
-    return table(spark, sf, "pages").groupBy(T.content_charset(header).alias("charset")).agg(F.count("*").alias("n"))
+    """The charset that every page names, after a header line for every third."""
+    header = F.concat(F.when(C("page_id") % 3 == 0, F.lit("text/html; Charset=gb18030\n")).otherwise(F.lit("")), F.regexp_replace("html", "(?i)charset=\"", "charset="))
+    return table(spark, sf, "pages").select("page_id", T.content_charset(header).alias("charset"))

@@ -29,11 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; a local one where the session has none (tests)."""
+    """A new path in the shared folder of spark.checkpoint.dir; a local one where the session has none and is local."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file:///tmp/dialogue_etl-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

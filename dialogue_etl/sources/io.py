@@ -81,20 +81,38 @@ def read_dialogue_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dialogue_markdown(dialogue: DataFrame) -> DataFrame:
-    """(source, line_no, out_no, out) lines of a Markdown listing: a title at each new source, a section line at
-    each new (version, section), then the spoken line."""
+    """(source, line_no, out_no, out) lines of a Markdown listing: a title and the source at each new source, a section
+    heading at each new (version, section), then the spoken line; blank lines after headings."""
     w = Window.partitionBy("source").orderBy("line_no")
     rows = dialogue.withColumn("first", F.row_number().over(w) == 1).withColumn("before", F.lag(F.struct("version", "section_title")).over(w))
     new = F.col("first") | ~F.col("before").eqNullSafe(F.struct("version", "section_title"))
-    section = F.concat(F.lit("### "), F.coalesce("section_title", F.lit("(no section)")), F.when(F.col("version").isNotNull(), F.concat(F.lit(" ("), "version", F.lit(")"))).otherwise(F.lit("")))
+    section = F.concat(F.lit("### "), F.coalesce("section_title", F.lit("Untitled section")), F.when(F.col("version").isNotNull(), F.concat(F.lit(" ("), "version", F.lit(")"))).otherwise(F.lit("")))
     spoken = F.concat(F.lit("- L"), "line_no", F.lit(" **"), "speaker", F.lit("**: "), "text")
-    out = F.array_compact(F.array(F.when(F.col("first"), F.concat(F.lit("## "), "source_title")), F.when(new, section), spoken))
+    none = F.array().cast("array<string>")
+    top = F.when(F.col("first"), F.array(F.concat(F.lit("## "), "source_title"), F.lit(""), F.concat(F.lit("- Source: "), "source"), F.lit(""))).otherwise(none)
+    out = F.concat(top, F.when(new, F.array(section, F.lit(""))).otherwise(none), F.array(spoken))
     return rows.select("source", "line_no", F.posexplode(out).alias("out_no", "out"))
 
 
-def write_text_by(rows: DataFrame, path: str, key: str, order: list[str], line: str) -> None:
-    """One folder a key with its lines in order."""
-    rows.select(key, F.col(line).alias("value"), *order).repartition(key).sortWithinPartitions(key, *order).select(key, "value").write.mode("overwrite").partitionBy(key).text(path)
+LISTING = "# Dialogue Extract\n\n> Generated listing. Branch choices may need manual review.\n\n"
+PARSED = "# Parsed Story Sources\n\n> Generated. Review before using as evidence.\n\n"
+
+
+def write_documents(texts: DataFrame, path: str, key: str, text: str = "text") -> None:
+    """One folder a key (path/key=...) with its text; texts has one row a key."""
+    texts.select(key, F.col(text).alias("value")).write.mode("overwrite").partitionBy(key).option("lineSep", "\n").text(path)
+
+
+def read_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(key, text) of what write_documents() wrote, with the line end after the text."""
+    return spark.read.schema(f"value string, {key} string").text(path, wholetext=True).select(key, F.col("value").alias("text"))
+
+
+def dialogue_documents(dialogue: DataFrame) -> DataFrame:
+    """(source, text): the Markdown listing of each source, ready for write_documents()."""
+    rows = dialogue_markdown(dialogue)
+    packed = F.array_sort(F.collect_list(F.struct("line_no", "out_no", "out")))
+    return rows.groupBy("source").agg(F.concat(F.lit(LISTING), F.array_join(F.transform(packed, lambda x: x["out"]), "\n")).alias("text"))
 
 
 def document_text(lines: DataFrame) -> DataFrame:
@@ -102,10 +120,48 @@ def document_text(lines: DataFrame) -> DataFrame:
     return L.joined_text(lines, ["source"], "line_no", L.rendered(lines))
 
 
-def coverage_report_json(report: DataFrame, by: str, counts: list[str]) -> DataFrame:
-    """(page, report): status and a map of counts as JSON."""
-    pairs = [x for c in counts for x in (F.lit(c), F.col(c).cast("int"))]
-    return report.select(by, F.to_json(F.struct(F.col(by), "status", F.create_map(*pairs).alias("counts"))).alias("report"))
+def parsed_documents(lines: DataFrame, sources: DataFrame, parsed_at: str | None = None) -> DataFrame:
+    """(source, text): each document's typed lines under a header with title, source, kind, time and section count.
+
+    sources has (source, title, kind); parsed_at is the time to state, the current one by default.
+    """
+    sections = L.with_sections(lines).groupBy("source").agg(F.countDistinct("section_no").alias("sections"))
+    at = F.lit(parsed_at) if parsed_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    rows = document_text(lines).join(sections, "source").join(sources, "source")
+    top = F.format_string("## %s\n\n- Source: %s\n- Source type: %s\n- Parsed: %s\n- Sections: %d\n\n", "title", "source", "kind", at, "sections")
+    return rows.select("source", F.concat(F.lit(PARSED), top, "text").alias("text"))
+
+
+def coverage_report_json(report: DataFrame, counts: list[str]) -> DataFrame:
+    """(page, report) of coverage.page_reports(): status, counts, mismatches, missing and extra items as JSON."""
+    pairs = [x for c in counts for x in (F.lit(c), F.col(c))]
+    return report.select("page", F.to_json(F.struct("page", "status", "error", F.create_map(*pairs).alias("counts"), "mismatches", "missing", "extra")).alias("report"))
+
+
+def _bullets(items: Column, line, none: str) -> Column:
+    return F.when(F.size(items) == 0, F.array(F.lit(none))).otherwise(F.transform(items, line))
+
+
+def coverage_report_markdown(report: DataFrame, counts: list[str], html: str = "html", markdown: str = "markdown") -> DataFrame:
+    """(page, text) of coverage.page_reports() with the columns html and markdown that name both files."""
+
+    def code(x) -> Column:
+        return F.concat(F.lit("`"), x, F.lit("`"))
+
+    def text(*xs) -> list[Column]:
+        return [F.lit(x) for x in xs]
+
+    top = [*text("# 剧情 Markdown 覆盖率报告", ""), F.concat(F.lit("- HTML: "), code(html)), F.concat(F.lit("- Markdown: "), code(markdown)), F.concat(F.lit("- 状态: "), code("status")), *text("", "## 计数", "", "| 项目 | 数量 |", "| --- | ---: |")]
+    rows = [F.format_string(f"| `{c}` | %s |", F.coalesce(F.col(c).cast("string"), F.lit("-"))) for c in counts]
+    parts = [
+        F.array(*top, *rows, *text("", "## 选项结构异常", "")),
+        _bullets(F.col("mismatches"), lambda f: F.concat(F.lit("- "), code(f["path"]), F.lit(": options="), f["options"], F.lit(", contents="), f["contents"]), "- 未发现 `plotOptions` 与 `content` 数量不一致的选项组。"),
+        F.array(*text("", "## HTML 中有但 Markdown 中疑似缺失", "")),
+        _bullets(F.col("missing"), lambda m: F.concat(F.lit("- "), code(m["kind"]), F.lit(" "), code(F.coalesce(m["path"], F.lit(""))), F.lit(" expected="), m["expected"], F.lit(", observed="), m["observed"], F.lit(": "), m["text"]), "- 未发现缺失文本组。"),
+        F.array(*text("", "## Markdown 中有但 HTML 源清单中未匹配", "")),
+        _bullets(F.col("extra"), lambda m: F.concat(F.lit("- "), code(m["kind"]), F.lit(" observed="), m["observed"], F.lit(", source="), m["source_count"], F.lit(": "), m["text"]), "- 未发现额外文本组。"),
+    ]
+    return report.select("page", F.array_join(F.concat(*parts), "\n").alias("text"))
 
 
 def coverage_summary_rows(report: DataFrame, by: str) -> DataFrame:
@@ -114,3 +170,16 @@ def coverage_summary_rows(report: DataFrame, by: str) -> DataFrame:
         return F.coalesce(F.col(c).cast("string"), F.lit("-"))
     title = F.replace("title", F.lit("|"), F.lit("\\|"))
     return report.select(by, F.concat(F.lit("| "), F.concat_ws(" | ", F.col(by).cast("string"), title, shown("version"), "status", shown("missing_groups"), shown("extra_groups"), shown("plot_mismatches")), F.lit(" |")).alias("row"))
+
+
+def coverage_summary(report: DataFrame, by: str) -> DataFrame:
+    """(part, place, line) of a batch's summary: the number of pages, one line a status, the table, and a line for
+    every page that doesn't pass. Lines stay rows, so the table grows with the pages; sort by (part, place) to write it."""
+    none = F.lit(0).cast("long")
+    totals = report.groupBy("status").agg(F.count("*").alias("n"))
+    pages = report.agg(F.lit(0).alias("part"), none.alias("place"), F.concat(F.lit("- 页面数："), F.count("*")).alias("line"))
+    counts = totals.select(F.lit(1).alias("part"), none.alias("place"), F.concat(F.lit("- `"), "status", F.lit("`："), "n").alias("line"))
+    table = coverage_summary_rows(report, by).select(F.lit(2).alias("part"), F.col(by).cast("long").alias("place"), F.col("row").alias("line"))
+    detail = F.coalesce("error", F.format_string("missing=%d, extra=%d, plot_mismatches=%d", "missing_groups", "extra_groups", "plot_mismatches"))
+    odd = report.filter("status <> 'pass'").select(F.lit(3).alias("part"), F.col(by).cast("long").alias("place"), F.format_string("- `%s` %03d %s：%s", "status", by, "title", detail).alias("line"))
+    return pages.unionByName(counts).unionByName(table).unionByName(odd)
