@@ -1,39 +1,42 @@
 """Quality classifier by co-training.
 
-Two logistic regressions see different sides of a document: its text (hashed byte trigrams) and its page
-metadata (language, source, sizes and shape). Over some rounds each labels the pool documents it is sure of
-for the other; then each view is calibrated on held-out labels and the calibrated log-odds are combined by a
-last regression on the same held-out rows. All documents are scored, whole, in one pass without a shuffle.
+Two logistic regressions see different sides of a document: its text (hashed byte trigrams, repeated words and
+shares of characters) and its page metadata (language, source, size, number of lines). Over some rounds each
+labels the documents it is sure of, among all without a label, for the other; then each view is calibrated on
+held-out labels and the calibrated log-odds are combined by a last regression on the same held-out rows. All
+documents are scored, whole, in one pass without a shuffle.
+
+A fit is a few Newton steps. A step is one pass over the features, which are computed once: every task adds up
+its rows' gradient and Hessian, and the sums are added again in about the square root of as many tasks.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialogue_etl.llm.common import drop, materialize
 from dialogue_etl.llm.textkit import NOT_SPACE, slices, span_hashes, word_spans
 
-TEXT_DIMS, LANGS, SOURCES = 128, 8, 32
+GRAMS, LANGS, SOURCES = 128, 8, 32
 #: The text view also has the shares of words that repeat the word one, two or three places before.
 REPEATS = 3
-META_DIMS = 10 + LANGS + SOURCES
-#: The classifier is fitted on about this many labelled documents, and on a pool of as many unlabelled ones.
+TEXT_DIMS, META_DIMS = GRAMS + REPEATS + 6, 4 + LANGS + SOURCES
+#: The classifier is fitted on about this many labelled documents; all unlabelled ones are the pool.
 MAX_LABELLED = 20_000
-MAX_POOL = 20_000
-ROUNDS = 2
-#: Partitions of the bounded training table.
-TRAIN_TASKS = 6
+ROUNDS, STEPS = 2, 8
 #: A view labels a pool document for the other view if it is this sure.
 SURE = 0.95
+#: What all pseudo-labels of a fit weigh against all its labels.
+POOL_WEIGHT = 0.5
+REG = 1e-4
 
 
 @dataclass
@@ -63,38 +66,26 @@ def features(text: pa.Array, lang: pa.Array, source: pa.Array) -> Iterator[tuple
     for a, z, data, ends in slices(text):
         n, size = z - a, np.diff(ends)
         owner = np.repeat(np.arange(n), size)
-        view = np.zeros((n, TEXT_DIMS), np.float32)
+        view = np.zeros((n, GRAMS), np.float32)
         if len(data) > 2:
             wide = data.astype(np.uint32)
             gram = (wide[:-2] * np.uint32(2654435761) + wide[1:-1] * np.uint32(40503 * 65537) + wide[2:] * np.uint32(2246822519)) >> np.uint32(25)
             inside = owner[:-2] == owner[2:]
-            counts = np.bincount(owner[:-2][inside] * TEXT_DIMS + gram[inside].astype(np.int64), minlength=n * TEXT_DIMS).reshape(n, TEXT_DIMS)
+            counts = np.bincount(owner[:-2][inside] * GRAMS + gram[inside].astype(np.int64), minlength=n * GRAMS).reshape(n, GRAMS)
             view = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float32)
         starts, stops, first = word_spans(data, ends, NOT_SPACE)
         words = np.diff(first)
         h, doc = span_hashes(data, starts, stops), np.repeat(np.arange(n), words)
         again = [np.bincount(doc[k:][(h[k:] == h[:-k]) & (doc[k:] == doc[:-k])], minlength=n) / np.maximum(words, 1) for k in range(1, REPEATS + 1)]
-        view = np.concatenate([view, np.sqrt(np.stack(again, axis=1)).astype(np.float32)], axis=1)
 
-        def share(mask: np.ndarray) -> np.ndarray:
+        def count(mask: np.ndarray) -> np.ndarray:
             total = np.concatenate([[0], np.cumsum(mask[data])])
-            return (total[ends[1:]] - total[ends[:-1]]) / np.maximum(size, 1)
-
-        shape = np.stack(
-            [
-                np.log1p(size),
-                np.log1p(words),
-                size / np.maximum(words, 1) / 10,
-                share(_UPPER),
-                share(_DIGIT),
-                share(_PUNCT),
-                share(_LINE) * 20,
-                share(_SPACE),
-                share(_HIGH),
-                (size == 0),
-            ],
-            axis=1,
-        ).astype(np.float32)
+            return total[ends[1:]] - total[ends[:-1]]
+
+        shares = [count(m) / np.maximum(size, 1) for m in (_UPPER, _DIGIT, _PUNCT, _SPACE, _HIGH)]
+        view = np.concatenate([view, np.sqrt(np.stack(again, axis=1)), np.stack([size / np.maximum(words, 1) / 10, *shares], axis=1)], axis=1).astype(np.float32)
+        lines = count(_LINE) + 1
+        shape = np.stack([np.log1p(size), np.log1p(lines), np.log1p(size / lines), size == 0], axis=1).astype(np.float32)
         yield a, z, view, np.concatenate([shape, langs[a:z], sources[a:z]], axis=1)
 
 
@@ -111,65 +102,154 @@ _PUNCT = _mask((33, 47), (58, 64), (91, 96), (123, 126))
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, z, view, meta in features(*(batch.column(c) for c in ("text", "lang", "source"))):
-            arrays = [pa.ListArray.from_arrays(pa.array(np.arange(z - a + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).astype(np.float64))) for x in (view, meta)]
-            yield pa.RecordBatch.from_arrays([batch.column("y").slice(a, z - a), batch.column("fold").slice(a, z - a), *arrays], names=["y", "fold", "text_view", "meta_view"])
+        for a, z, *views in features(*(batch.column(c) for c in ("text", "lang", "source"))):
+            raw = [pa.array([row.tobytes() for row in v.astype("<f4")], pa.binary()) for v in views]
+            yield pa.RecordBatch.from_arrays([batch.column("y").slice(a, z - a), batch.column("fold").slice(a, z - a), *raw], names=["y", "fold", "text_view", "meta_view"])
 
 
-def _sample(rows: DataFrame, most: int, count: int) -> DataFrame:
-    """About `most` rows, chosen by the hash of the id alone."""
-    if count <= most:
-        return rows
-    return rows.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) < int((1 << 20) * most / count))
+VIEWS = (("text_view", TEXT_DIMS), ("meta_view", META_DIMS))
 
 
-def _fit(rows: DataFrame, view: str, reg: float = 1e-4) -> tuple[np.ndarray, float]:
-    model = LogisticRegression(featuresCol="v", labelCol="y", weightCol="w", maxIter=25, regParam=reg).fit(rows.select(array_to_vector(view).alias("v"), "y", "w"))
-    return model.coefficients.toArray(), float(model.intercept)
+def _matrices(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Both views of a batch, with a column of ones."""
+    views = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<f4").reshape(-1, d) for c, d in VIEWS]
+    return [np.concatenate([v, np.ones((len(v), 1), np.float32)], axis=1).astype(np.float64) for v in views]
 
 
-def _margin(view: str, model: tuple[np.ndarray, float]):
-    """The view's log-odds as an expression."""
-    weights = F.array(*[F.lit(float(x)) for x in model[0]])
-    return F.aggregate(F.zip_with(view, weights, lambda a, b: a * b), F.lit(float(model[1])), lambda s, x: s + x)
+def _summed(rows: DataFrame, size: int, add) -> np.ndarray:
+    """The sum over all batches of the vectors add(batch), each of `size` numbers, added up in two levels of tasks."""
 
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += add(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> Model | None:
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for raw in batch.column("total").to_pylist():
+                total += np.frombuffer(raw)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    sums = rows.mapInArrow(partial, "total binary")
+    tasks = max(1, math.isqrt(rows.rdd.getNumPartitions()))
+    return np.sum([np.frombuffer(r[0]) for r in sums.repartition(tasks).mapInArrow(again, "total binary").collect()], axis=0)
+
+
+def _step_sums(models: list[np.ndarray], scales: list[np.ndarray], teachers: list[np.ndarray] | None):
+    """add() for _summed(): for both views the gradient, Hessian and number of rows, of labels and pseudo-labels apart."""
+    odds = math.log(SURE / (1 - SURE))
+
+    def add(batch: pa.RecordBatch) -> np.ndarray:
+        raw = _matrices(batch)
+        fold, y = batch.column("fold").to_numpy(), batch.column("y").to_numpy(zero_copy_only=False)
+        out = []
+        for k in (0, 1):
+            # A view learns pseudo-labels from the other one.
+            margin = raw[1 - k] @ teachers[1 - k] if teachers else np.zeros(len(fold))
+            for taught in (False, True):
+                on = (fold < 0) & (np.abs(margin) >= odds) if taught else fold > 0
+                x, t = raw[k][on] / scales[k], (margin[on] > 0) if taught else y[on]
+                p = _sigmoid(x @ models[k])
+                out += [x.T @ (p - t), ((x.T * (p * (1 - p))) @ x).reshape(-1), [len(x)]]
+        return np.concatenate(out)
+
+    return add
+
+
+def _fit(rows: DataFrame, scales: list[np.ndarray], models: list[np.ndarray], teachers: list[np.ndarray] | None) -> list[np.ndarray]:
+    """Both views' weights on scaled features after Newton steps from `models`, fitted in the same passes."""
+    sizes = [d + 1 for _, d in VIEWS]
+    models = [m.copy() for m in models]
+    for _ in range(STEPS):
+        total, at, moved = _summed(rows, sum(2 * (d + d * d + 1) for d in sizes), _step_sums(models, scales, teachers)), 0, 0.0
+        for k, d in enumerate(sizes):
+            parts = []
+            for _ in range(2):
+                parts.append((total[at : at + d], total[at + d : at + d + d * d].reshape(d, d), total[at + d + d * d]))
+                at += d + d * d + 1
+            (g, h, n), (g_pool, h_pool, n_pool) = parts
+            weight = POOL_WEIGHT * n / n_pool if n_pool else 0.0
+            own = np.append(np.full(d - 1, REG), 0.0)
+            rows_seen = n + weight * n_pool
+            g, h = (g + weight * g_pool) / rows_seen + own * models[k], (h + weight * h_pool) / rows_seen + np.diag(own + 1e-9)
+            step = np.linalg.solve(h, g)
+            step *= min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+            models[k] -= step
+            moved = max(moved, float(np.abs(step).max()))
+        if moved < 1e-3:
+            break
+    return models
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, reg: float = 1e-3) -> np.ndarray:
+    """Weights and intercept of a regression on a few columns of held-out rows."""
+    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    w, own = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 1, reg), 0.0)
+    for _ in range(25):
+        p = _sigmoid(x @ w)
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x / len(x) + np.diag(own + 1e-9), x.T @ (p - y) / len(x) + own * w)
+        w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+    return w
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> Model | None:
     """Fits the model; None if the labels don't hold both classes.
 
     Labelled rows with a null label or id don't count; an id that is labelled several times has its lowest label.
+    About max_labelled labelled documents, chosen by the hash of the id, are fitted on or held out; a labelled
+    document beyond them is in the pool like one without a label.
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).filter("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.min("y").alias("y"))
-    n_labelled, n_docs = marks.count(), docs.count()
-    chosen = materialize(_sample(marks, max_labelled, n_labelled), "quality-labels")
+    n_labelled = marks.count()
+    if n_labelled > max_labelled:
+        marks = marks.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) < int((1 << 20) * max_labelled / n_labelled))
+    chosen = materialize(marks.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(4)).cast("int")), "quality-labels")
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[(F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(c) for c in ("lang", "source")])
-    known = base.join(chosen, "id").withColumn("fold", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(4)).cast("int"))
-    pool = _sample(base, max_pool, n_docs).join(marks, "id", "left_anti").select("*", F.lit(None).cast("double").alias("y"), F.lit(-1).alias("fold"))
-    rows = known.unionByName(pool).select("text", "lang", "source", "y", "fold")
-    table = rows.mapInArrow(_featured, "y double, fold int, text_view array<double>, meta_view array<double>")
-    table = materialize(table.repartition(TRAIN_TASKS), "quality-train")
-    fitted = table.filter("fold > 0").withColumn("w", F.lit(1.0)).select("y", "w", "text_view", "meta_view")
-    if fitted.select("y").distinct().count() < 2 or table.filter("fold = 0").select("y").distinct().count() < 2:
+    # The chosen labels are few by max_labelled, so they meet the texts without a shuffle of texts.
+    rows = base.join(F.broadcast(chosen), "id", "left").select("text", "lang", "source", "y", F.coalesce("fold", F.lit(-1)).alias("fold"))
+    table = materialize(rows.mapInArrow(_featured, "y double, fold int, text_view binary, meta_view binary"), "quality-features")
+    # Fitted on, and held out, at least once in each class.
+    classes = {(r[0], r[1]) for r in table.filter("fold >= 0").select((F.col("fold") > 0).alias("f"), "y").distinct().collect()}
+    if len(classes) < 4:
         drop(table)
+        drop(chosen)
         return None
-    views = {"text_view": _fit(fitted, "text_view"), "meta_view": _fit(fitted, "meta_view")}
-    unknown = table.filter("fold = -1")
-    odds = float(np.log(SURE / (1 - SURE)))
+    known = materialize(table.filter("fold >= 0").coalesce(8), "quality-known")
+
+    def moments(batch: pa.RecordBatch) -> np.ndarray:
+        on = batch.column("fold").to_numpy() > 0
+        return np.concatenate([f(x[on]) for x in _matrices(batch) for f in (lambda v: v.sum(axis=0), lambda v: (v * v).sum(axis=0))])
+
+    sizes = [d + 1 for _, d in VIEWS]
+    parts = np.split(_summed(known, 2 * sum(sizes), moments), np.cumsum([sizes[0], sizes[0], sizes[1]]))
+    scales = []
+    for first, second in (parts[:2], parts[2:]):
+        deviation = np.sqrt(np.maximum(second / first[-1] - (first / first[-1]) ** 2, 0))
+        scales.append(np.where(deviation > 1e-6, deviation, 1.0))
+    views = _fit(known, scales, [np.zeros(d) for d in sizes], None)
     for _ in range(rounds):
-        scored = unknown.withColumn("m_text", _margin("text_view", views["text_view"])).withColumn("m_meta", _margin("meta_view", views["meta_view"]))
-        taught = {
-            "text_view": scored.filter(F.abs("m_meta") >= odds).withColumn("y", (F.col("m_meta") > 0).cast("double")),
-            "meta_view": scored.filter(F.abs("m_text") >= odds).withColumn("y", (F.col("m_text") > 0).cast("double")),
-        }
-        views = {v: _fit(fitted.unionByName(taught[v].withColumn("w", F.lit(0.25)).select("y", "w", "text_view", "meta_view")), v) for v in views}
-    held = table.filter("fold = 0").select("y", F.lit(1.0).alias("w"), _margin("text_view", views["text_view"]).alias("m_text"), _margin("meta_view", views["meta_view"]).alias("m_meta"))
-    held = materialize(held, "quality-held")
-    slopes = {m: _fit(held.withColumn("x", F.array(m)), "x", 1e-3) for m in ("m_text", "m_meta")}
-    calibrated = [F.col(m) * float(slopes[m][0][0]) + slopes[m][1] for m in ("m_text", "m_meta")]
-    both, bias = _fit(held.withColumn("x", F.array(*calibrated)), "x", 1e-3)
-    drop(table)
-    drop(held)
-    return Model(views["text_view"], views["meta_view"], (float(slopes["m_text"][0][0]), slopes["m_text"][1]), (float(slopes["m_meta"][0][0]), slopes["m_meta"][1]), (float(both[0]), float(both[1]), bias))
+        views = _fit(table.filter("fold <> 0"), scales, views, [w / s for w, s in zip(views, scales)])
+    raw = [w / s for w, s in zip(views, scales)]
+    shared = docs.sparkSession.sparkContext.broadcast(raw)
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                m = [x @ w for x, w in zip(_matrices(batch), shared.value)]
+                yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(m[0]), pa.array(m[1])], names=["y", "m_text", "m_meta"])
+
+    # Held-out rows: a quarter of the chosen labels, three numbers each.
+    held = known.filter("fold = 0").mapInArrow(margins, "y double, m_text double, m_meta double").toPandas()
+    y = held["y"].to_numpy()
+    slopes = [_logistic(held[[m]].to_numpy(), y) for m in ("m_text", "m_meta")]
+    calibrated = np.stack([held[m].to_numpy() * w[0] + w[1] for m, w in zip(("m_text", "m_meta"), slopes)], axis=1)
+    both = _logistic(calibrated, y)
+    for used in (table, known, chosen):
+        drop(used)
+    return Model((raw[0][:-1], float(raw[0][-1])), (raw[1][:-1], float(raw[1][-1])), tuple(map(float, slopes[0])), tuple(map(float, slopes[1])), tuple(map(float, both)))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -223,4 +303,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
 
 def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from the labels of some. Null and empty texts have the features of an
+    empty one, null language and source none; null ids are scored too; equal rows score alike."""
     return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

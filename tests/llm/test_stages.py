@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dialogue_etl.llm import decontaminate, mixing, quality, token_output
@@ -163,12 +164,12 @@ def quality_tables(spark):
 def test_quality(spark):
     docs, rows = quality_tables(spark)
     labels = spark.createDataFrame([(i, q) for i, _, _, _, q in rows if i % 3] + [(5, 1), (None, 1), (7, None)], "doc_id long, quality int")
-    got = {r.doc_id: r for r in quality.score(docs, labels, max_labelled=400, max_pool=300).collect()}
+    got = {r.doc_id: r for r in quality.score(docs, labels, max_labelled=400).collect()}
     held = [i for i, *_ in rows if i % 3 == 0]
     truth = {i: bool(q) for i, _, _, _, q in rows}
     assert np.mean([got[i].keep == truth[i] for i in held]) > 0.97
     assert all(0 <= r.score <= 1 and 0 <= r.p_text <= 1 and 0 <= r.p_meta <= 1 for r in got.values()) and len(got) == len(rows) + 3
-    kept = quality.keep_good(docs, labels, max_labelled=400, max_pool=300)
+    kept = quality.keep_good(docs, labels, max_labelled=400)
     assert kept.columns == docs.columns and abs(kept.count() - sum(r.keep for r in got.values())) <= 3
     one_class = labels.filter("quality = 1")
     assert {r.score for r in quality.score(docs, one_class).collect()} == {1.0}
@@ -176,6 +177,20 @@ def test_quality(spark):
     assert quality.score(docs.limit(0), labels).collect() == []
 
 
+def test_quality_on_held_out_labels(spark):
+    """Documents whose labels the classifier hasn't seen, and the share of views: no feature is in both."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    got = quality.score(docs, labels.filter(fold > 0)).join(labels.filter(fold == 0), "doc_id").select("score", "p_text", "p_meta", "quality").toPandas()
+    good = got.loc[got.quality == 1]
+    bad = got.loc[got.quality == 0]
+    auc = {c: np.mean([(good[c].to_numpy()[:, None] > bad[c].to_numpy()).mean(), (good[c].to_numpy()[:, None] >= bad[c].to_numpy()).mean()]) for c in ("score", "p_text", "p_meta")}
+    print(len(got), auc, ((got.score > 0.5) == (got.quality == 1)).mean())
+    assert auc["score"] > 0.85 and auc["score"] >= max(auc["p_text"], auc["p_meta"]) - 0.03
+    assert ((got.score > 0.5) == (got.quality == 1)).mean() > max(len(good), len(bad)) / len(got)
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
