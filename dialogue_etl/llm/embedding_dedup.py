@@ -23,7 +23,7 @@ from dialogue_etl.llm.common import block_rows, connected_components, drop, loca
 
 THRESHOLD = 0.95
 #: A pair that is exactly at the threshold is missed with this probability, a closer one with less.
-MISS = 1e-3
+MISS = 1e-6
 #: Standard deviations of the confidence bound.
 SIGMAS = 5.0
 SMALL_RUN = 24
@@ -52,20 +52,32 @@ def keys_of(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, dim, vec, digest); vec and digest are null for vectors that can't link."""
+    """(id, dim, vec, digest, code, factor); all but the first two are null for vectors that can't link.
+
+    vec holds the components in the input's own width; code is the packed signs of the rotated unit vector.
+    """
     for batch in batches:
+        width = "<f4" if pa.types.is_float32(batch.column(1).type.value_type) else "<f8"
         vectors = [np.asarray(x, np.float64) if x is not None and None not in x else None for x in batch.column(1).to_pylist()]
-        good = [x is not None and len(x) > 0 and bool(np.isfinite(x).all()) and bool(x.any()) and np.isfinite(x @ x) and x @ x > 0 for x in vectors]
-        raw = [x.tobytes() if g else None for x, g in zip(vectors, good)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) if g else 0 for x, g in zip(vectors, good)], pa.int32()), pa.array(raw, pa.binary()), pa.array([hashlib.blake2b(x, digest_size=16).digest() if x else None for x in raw], pa.binary())],
-            names=["id", "dim", "vec", "digest"],
-        )
-
-
-def _unit(column) -> np.ndarray:
-    x = np.frombuffer(b"".join(column.to_pylist()), np.float64)
-    x = x.reshape(len(column), -1)
+        good = np.array([x is not None and len(x) > 0 and bool(np.isfinite(x).all()) and bool(x.any()) and bool(np.isfinite(x @ x)) and bool(x @ x > 0) for x in vectors], bool)
+        raw = [x.astype(width).tobytes() if g else None for x, g in zip(vectors, good)]
+        dims = np.array([len(x) if g else 0 for x, g in zip(vectors, good)])
+        code: list = [None] * len(raw)
+        factor = np.full(len(raw), np.nan)
+        for dim in np.unique(dims[good]):
+            at = np.flatnonzero(good & (dims == dim))
+            x = np.stack([vectors[k] for k in at])
+            turned = x / np.linalg.norm(x, axis=1, keepdims=True) @ rotation(int(dim), 0).T
+            factor[at] = np.abs(turned).sum(axis=1) / math.sqrt(dim)
+            for k, bits in zip(at, np.packbits(turned >= 0, axis=1)):
+                code[k] = bits.tobytes()
+        digest = [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in raw]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dims, pa.int32()), pa.array(raw, pa.binary()), pa.array(digest, pa.binary()), pa.array(code, pa.binary()), pa.array(factor, mask=np.isnan(factor))], names=["id", "dim", "vec", "digest", "code", "factor"])
+
+
+def _unit(column, dim: int) -> np.ndarray:
+    raw = b"".join(column.to_pylist())
+    x = np.frombuffer(raw, "<f4" if len(raw) == 4 * dim * len(column) else "<f8").reshape(-1, dim).astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -75,7 +87,7 @@ def _keyed(bits: int, tables: int):
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 for part in _parts(batch.filter(pa.array(dims == dim)), 2000):
-                    keys = keys_of(_unit(part.column("vec")), bits, tables)
+                    keys = keys_of(_unit(part.column("vec"), int(dim)), bits, tables)
                     n = len(keys)
                     ids = part.column("id").to_numpy()
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n * tables, dim), pa.int32()), pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(keys.reshape(-1)), pa.array(np.repeat(ids, tables))], names=["dim", "tab", "key", "id"])
@@ -112,10 +124,13 @@ def _compared(bits: int, tables: int, threshold: float):
             found_i, found_j = [], []
             for dim in np.unique(columns[0]):
                 own = np.flatnonzero(columns[0] == dim)
-                base, unit = own[0], _unit(table.slice(own[0], len(own)).column("vec"))
+                part = table.slice(own[0], len(own))
+                base, unit = own[0], _unit(part.column("vec"), int(dim))
                 turned = unit @ rotation(int(dim), 0).T
-                code = np.where(turned >= 0, 1.0, -1.0) / math.sqrt(dim)
-                factor = (code * turned).sum(axis=1)
+                # Codes and factors as stored with the vectors.
+                signs = np.unpackbits(np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(len(own), -1), axis=1, count=int(dim))
+                code = (2.0 * signs - 1) / math.sqrt(dim)
+                factor = part.column("factor").to_numpy()
                 runs = [(a - base, z - base) for a, z in zip(starts, ends) if base <= a <= own[-1]]
                 for i, j in _pairs(runs):
                     keep = ~split[i + base] | (blk[i + base] != blk[j + base])
@@ -173,17 +188,17 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     lengths don't link; equal vectors under different ids link; rows that repeat an id and its vector count once.
     """
     base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    base = materialize(base.mapInArrow(_parsed, "id long, dim int, vec binary, digest binary"), "emb-base")
+    base = materialize(base.mapInArrow(_parsed, "id long, dim int, vec binary, digest binary, code binary, factor double"), "emb-base")
     usable = base.filter("id IS NOT NULL AND digest IS NOT NULL")
     # Equal vectors are one class with a weight, named by its smallest id.
     classes = usable.select("digest", "id").distinct().groupBy("digest").agg(F.min("id").alias("class_id"), F.count("*").alias("n"))
     classes = materialize(classes, "emb-classes")
     named = classes.select(F.col("digest").alias("d"), F.col("class_id").alias("c"), "n")
-    reps = materialize(usable.join(named, (usable.digest == F.col("d")) & (usable.id == F.col("c"))).dropDuplicates(["id", "digest"]).select("id", "dim", "vec", "n"), "emb-reps")
+    reps = materialize(usable.join(named, (usable.digest == F.col("d")) & (usable.id == F.col("c"))).dropDuplicates(["id", "digest"]).select("id", "dim", "vec", "code", "factor", "n"), "emb-reps")
     bits, tables = plan_tables(reps.count(), threshold, miss)
     keyed = materialize(reps.select("id", "dim", "vec").mapInArrow(_keyed(bits, tables), "dim int, tab int, key long, id long"), "emb-keys")
     sizes = materialize(keyed.groupBy("dim", "tab", "key").agg(F.count("*").alias("bucket_size")).filter("bucket_size > 1"), "emb-sizes")
-    rows = block_rows(keyed, sizes, ["dim", "tab", "key"], "id").join(reps.select("id", "vec", "n"), "id")
+    rows = block_rows(keyed, sizes, ["dim", "tab", "key"], "id").join(reps.select("id", "vec", "code", "factor", "n"), "id")
     order = ["dim", "tab", "key", "blk_i", "blk_j"]
     rows = rows.repartition(*order).sortWithinPartitions(*order)
     links = materialize(rows.mapInArrow(_compared(bits, tables, threshold), "id long, links long, root long"), "emb-links")
@@ -198,6 +213,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 
 def op1_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """near_vectors() of all embeddings at cosine 0.95. Null, empty, zero and non-finite vectors link with nothing."""
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
