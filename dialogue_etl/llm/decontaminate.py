@@ -23,7 +23,8 @@ from dialogue_etl.llm.textkit import ALNUM, combine, slices, span_hashes, word_s
 WINDOW = 13
 #: Windows searched for, and so broadcast, in one pass: about 300 bytes each.
 MAX_WINDOWS = 500_000
-TABLE_BITS = 18
+#: Bits of the shift table's slots: by the number of blocks of two words, between these.
+LEAST_BITS, MOST_BITS = 12, 24
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -45,7 +46,10 @@ class Patterns:
     def __init__(self, length: int, windows: dict[bytes, list[int]]):
         self.length, self.block = length, min(2, length)
         self.items = windows
-        self.shift = np.full(1 << TABLE_BITS, length - self.block + 1, np.int64)
+        # Four slots for every block keep most of them empty, so positions are still skipped with many windows.
+        blocks = max(1, len(windows)) * (length - self.block + 1)
+        self.bits = min(MOST_BITS, max(LEAST_BITS, (4 * blocks).bit_length()))
+        self.shift = np.full(1 << self.bits, length - self.block + 1, np.uint8 if length < 256 else np.int64)
         ends = []
         for text in windows:
             words = text.split(b" ")
@@ -61,7 +65,7 @@ class Patterns:
     def slots(self, h: np.ndarray) -> np.ndarray:
         """The table's slot of the block that starts at each word of a window."""
         x = combine(h[:-1], h[1:]) if self.block == 2 else h
-        return (x >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return (x >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Candidate start words of occurrences: every text (words first[k]..first[k + 1]) has a cursor that skips."""
@@ -79,7 +83,7 @@ class Patterns:
         found = []
         while len(at):
             block = combine(h[at - 1], h[at]) if b == 2 else h[at]
-            step = self.shift[(block >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+            step = self.shift[(block >> np.uint64(64 - self.bits)).astype(np.int64)]
             hit = step == 0
             if hit.any():
                 last = at[hit]
@@ -87,7 +91,7 @@ class Patterns:
                 spot = np.searchsorted(self.suffixes, near)
                 spot[spot == len(self.suffixes)] = 0
                 found.append(last[self.suffixes[spot] == near] - m + 1)
-            at = at + np.maximum(step, 1)
+            at = at + np.maximum(step, 1).astype(np.int64)
             on = at < limit
             at, limit = at[on], limit[on]
         return np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -262,6 +266,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
+    """contamination() of all documents by the benchmark. Null and empty texts have no words and are clean; every
+    row is judged by itself, those that repeat an id and those without one too."""
     return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
