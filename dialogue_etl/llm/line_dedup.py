@@ -26,12 +26,13 @@ from pyspark.sql import functions as F
 from dialogue_etl.llm.common import drop, materialize
 from dialogue_etl.llm.textkit import NOT_SPACE, mix, powers, slices, span_hashes, word_spans
 
-#: Lines of fewer words are only compared for equality.
+#: Lines of fewer words are only compared for equality: one word is much of what they say ("Chapter 1", "Chapter 2").
 MIN_WORDS = 8
-#: Bits of the table of half keys and of the table of suspected lines: 8 MB each.
-TABLE_BITS = 26
+#: Bits of the table of half keys and of the table of suspected lines, by their number; 128 MB each at most.
+LEAST_BITS, MOST_BITS = 16, 30
 FULL = -1
 #: Words as the keys see them: between ASCII white space, other spaces are part of a word.
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -100,18 +101,21 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def bit_table(keys: DataFrame) -> np.ndarray:
-    """A table of 2**TABLE_BITS bits, set where a key (column key) falls; its size doesn't depend on the data."""
-    slot = F.shiftrightunsigned("key", 64 - TABLE_BITS)
-    rows = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - TABLE_BITS}) & 63 AS int))")).alias("bits"))
-    out = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
+def bit_table(keys: DataFrame) -> tuple[int, np.ndarray]:
+    """(bits, table): 2**bits bits, set where a key (column key) falls; about 32 bits a key up to 2**MOST_BITS. A
+    fuller table gives more false alarms, which cost variants and change nothing."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (32 * keys.count()).bit_length()))
+    slot = F.shiftrightunsigned("key", 64 - bits)
+    rows = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 AS int))")).alias("bits"))
+    out = np.zeros(1 << (bits - 6), np.uint64)
     table = rows.toArrow()
     out[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.uint64)
-    return out
+    return bits, out
 
 
-def _set_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = keys.astype(np.uint64) >> np.uint64(64 - TABLE_BITS)
+def _set_in(shared: tuple[int, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    bits, table = shared
+    slot = keys.astype(np.uint64) >> np.uint64(64 - bits)
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -138,7 +142,7 @@ def _texts(shared):
                 on = np.flatnonzero((lines.n > 0) & _set_in(shared.value, lines.key))
                 _, once = np.unique(lines.key[on], return_index=True)
                 on = on[once]
-                texts = [data[lines.ends[k] : lines.ends[k + 1]].tobytes().lower().decode("utf-8", "replace") for k in on]
+                texts = [data[lines.ends[k] : lines.ends[k + 1]].tobytes().decode("utf-8", "replace").translate(_LOWER) for k in on]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.key[on].astype(np.int64)), pa.array(texts, pa.string())], names=["line", "text"])
 
     return run
@@ -170,7 +174,9 @@ def line_status(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct = listed.groupBy("line").agg(F.min(order).alias("first"), F.first("n_words").alias("n_words"), *[F.first(k).alias(k) for k in ("k0", "k1", "k2")])
     distinct = materialize(distinct, "line-distinct")
     halves = distinct.filter(F.col("n_words") >= min_words).select(F.explode(F.array_distinct(F.array("k0", "k1", "k2"))).alias("key"))
-    shared = spark.sparkContext.broadcast(bit_table(halves.groupBy("key").count().filter("count > 1").select("key")))
+    twice = materialize(halves.groupBy("key").count().filter("count > 1").select("key"), "line-halves")
+    shared = spark.sparkContext.broadcast(bit_table(twice))
+    drop(twice)
     variants = texts.select("text").mapInArrow(_varied(shared, min_words), "key long, place int, line long").distinct()
     variants = materialize(variants, "line-variants")
     shared_keys = materialize(variants.groupBy("key").count().filter("count > 1").select("key"), "line-keys")
@@ -222,6 +228,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """dedup_summary() of all documents. Null and empty texts have no lines; rows that repeat an id are one
+    document; a null id comes last."""
     return dedup_summary(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
