@@ -1,8 +1,10 @@
 """Main text of web pages by consensus host paths.
 
-Each page's containers are scored by the share of the page's own text that they hold; the page votes for its
-best one as a generalised path of tags and classes. Votes are summed by host in Spark. Every page is then read
-again under the path, of those it has itself, that most of its host's votes went to.
+Each page's containers are scored; those that hold nearly all of the page's own text (what is no part of a menu,
+notice, form and the like, and no link) are candidates, and the page votes for the innermost or best named of
+them as a generalised path of tags and classes. Votes are summed by host in Spark. Every page is then read again
+under the candidate, of its own, that most of its host's votes went to. A path that holds less than nearly all of
+a page's text is never taken there, however many votes it has: the page is read under an ancestor instead.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from dialogue_etl.llm.common import materialize
 #: Votes of hosts are broadcast up to this many rows; beyond, pages are joined with their paths instead.
 MAX_BROADCAST_ROWS = 200_000
 #: A container is a candidate if it holds this share of the page's own text.
-LEAST_SHARE = 0.5
+NEARLY_ALL = 0.95
 
 # Tags of HTML by their role.
-RAW_TAGS = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "canvas", "object"}
+RAW_TAGS = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe"}
 BOILER_TAGS = {"nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "head"}
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTAINERS = {"body", "main", "article", "section", "div", "td", "center"}
@@ -38,6 +40,7 @@ BOILER_WORDS = {
 CONTENT_WORDS = {"article", "body", "container", "content", "entry", "layout", "main", "page", "post", "story", "wrapper"}
 STATE_WORDS = {"has", "with", "no", "without", "is", "js"}
 BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar"}
+#: What decides between candidates: how likely the tag is to hold an article, then the depth.
 BONUS = {"article": 0.4, "main": 0.3, "section": 0.05, "div": 0.1, "td": 0.05}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
@@ -135,7 +138,7 @@ def walk(page: str) -> Iterator[tuple[str, object, str]]:
 
 
 def candidates(page: str) -> list[tuple[str, float]]:
-    """(path, score) of the containers with enough of the page's own text, best first."""
+    """(path, score) of the containers with nearly all of the page's own text, best first."""
     held: dict[str, int] = {}
     open_frames: list[Frame] = [Frame("", "", False)]
     total = 0
@@ -154,9 +157,9 @@ def candidates(page: str) -> list[tuple[str, float]]:
                 held[frame.path] = max(held.get(frame.path, 0), frame.chars)
     out = []
     for path, chars in held.items():
-        if total and chars >= LEAST_SHARE * total:
+        if total and chars >= NEARLY_ALL * total:
             last = path.rpartition(">")[2].partition(".")[0]
-            out.append((path, chars / total + BONUS.get(last, 0.0) + 0.01 * path.count(">")))
+            out.append((path, BONUS.get(last, 0.0) + 0.01 * path.count(">")))
     return sorted(out, key=lambda x: (-x[1], x[0]))
 
 
@@ -243,4 +246,6 @@ def _answer(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
 
 
 def op5_html_extract(spark, sf_dir: str) -> DataFrame:
+    """The main text of all pages. Null, empty and textless pages give the empty text; rows that repeat an id or have
+    none are read one by one; a null URL's pages vote as one host."""
     return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
