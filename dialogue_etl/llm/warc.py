@@ -39,7 +39,7 @@ def _header(kind: Column, own: Column, url: Column, date: str, digest: Column, r
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(EOL))
 
-    target = F.regexp_replace(F.coalesce(url, F.lit("")), "[\\r\\n]+", " ")
+    target = F.regexp_replace(F.coalesce(url, F.lit("")), "[\\x00-\\x1f\\x7f]+", " ")
     more = F.when(kind == "revisit", F.concat(line("WARC-Refers-To", F.concat(F.lit(f"<{RECORD_URN}"), refers.cast("string"), F.lit(">"))), line("WARC-Profile", F.lit(REVISIT_PROFILE)))).otherwise(F.lit(""))
     return F.concat(
         F.lit(f"WARC/1.1{EOL}"),
@@ -76,7 +76,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """(header, payload) of every record, rebuilt by a join; payload is the full one for revisits too.
+    """(header, payload, record) of every record, rebuilt by a join: payload is the full one for revisits too, record
+    the bytes as they stand in a WARC file, header block, block and two line ends.
 
     Both digests are computed again from the stored bytes; a mismatch ends the job.
     """
@@ -84,28 +85,38 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     sound = (F.sha1("payload") == F.col("sha1")) & (F.sha2("payload", 256) == F.col("sha256"))
     checked = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload doesn't match its digest "), F.col("sha1"))).cast("binary"))
     headers = spark.read.schema("sha1 string, sha256 string, header string").parquet(f"{path}/headers")
-    return headers.join(payloads.select("sha1", "sha256", checked.alias("payload")), ["sha1", "sha256"]).select("header", "payload")
+    rows = headers.join(payloads.select("sha1", "sha256", checked.alias("payload")), ["sha1", "sha256"])
+    block = F.when(_named("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    return rows.select("header", "payload", F.concat(F.encode("header", "UTF-8"), block, F.lit((EOL + EOL).encode())).alias("record"))
 
 
-def _field(name: str) -> Column:
-    return F.nullif(F.regexp_extract("header", f"(?m)^{name}: <?(?:{RECORD_URN}|sha1:)?([^>\\r\\n]*)", 1), F.lit(""))
+def _named(name: str, header: str = "header") -> Column:
+    """A header line's value: lines end at CR LF only, whatever else a value holds."""
+    lines = F.filter(F.split(header, EOL), lambda x: x.startswith(f"{name}: "))
+    return F.substring(F.get(lines, F.lit(0)), len(name) + 3, 1 << 30)
+
+
+def _page_of(name: str) -> Column:
+    return F.regexp_extract(_named(name), f"^<{RECORD_URN}(-?\\d+)>$", 1).try_cast("long")
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """One row a record of an archive, from its header block and its payload."""
-    return read_archive(spark, path).select(
-        _field("WARC-Record-ID").cast("long").alias("page_id"),
+    """One row a record of an archive, read from the record's bytes: its header block ends at the first empty line."""
+    end = F.instr(F.decode("record", "ISO-8859-1"), EOL + EOL)
+    rows = read_archive(spark, path).select(F.decode(F.substring("record", F.lit(1), end + 1), "UTF-8").alias("header"), "payload")
+    return rows.select(
+        _page_of("WARC-Record-ID").alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
-        _field("WARC-Payload-Digest").alias("payload_digest"),
-        _field("WARC-Type").alias("record_type"),
-        _field("WARC-Refers-To").cast("long").alias("refers_to"),
+        F.regexp_replace(_named("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
+        _named("WARC-Type").alias("record_type"),
+        _page_of("WARC-Refers-To").alias("refers_to"),
     )
 
 
 def export_warc(spark: SparkSession, archive: str, path: str) -> None:
-    """The archive as WARC files: header block and payload, each record ended by two line ends."""
-    block = F.when(F.col("header").contains("WARC-Type: revisit"), F.lit("")).otherwise(F.decode("payload", "UTF-8"))
-    read_archive(spark, archive).select(F.concat("header", block).alias("value")).write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path)
+    """The archive as WARC files, written by Spark's text sink as one gzip stream a file."""
+    record = F.decode("record", "UTF-8")
+    read_archive(spark, archive).select(F.substring(record, F.lit(1), F.length(record) - 4).alias("value")).write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path)
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,6 +141,8 @@ def import_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op6_warc_archive(spark, sf_dir: str) -> DataFrame:
+    """All pages written to an archive and read back from its records. A null page is an empty payload, a null id
+    is below all others, rows that repeat an id and its payload have the same type."""
     path = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex[:12]}"
     note_scratch(path)
     return records(spark, write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path))

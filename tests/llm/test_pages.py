@@ -44,12 +44,40 @@ def test_extract(spark, rows):
 
 
 def test_hosts_agree(spark):
-    """The container that most pages of a host vote for wins on a page where another one is larger."""
-    usual = page('<div class="story"><p>' + "story text " * 20 + '</p></div><div class="more"><p>x</p></div>')
-    odd = page('<div class="story"><p>' + "story text " * 20 + '</p></div><div class="more"><p>' + "other words " * 18 + "</p></div>")
+    """Of the containers that hold nearly all of a page's text the one that most pages of the host vote for wins."""
+    usual = page('<div class="story"><p>' + "story text " * 40 + '</p><p>end</p></div>')
+    odd = page('<div class="story"><p>lead</p><div class="inner"><p>' + "story text " * 40 + "</p></div></div>")
     frame = spark.createDataFrame([(k, "http://a.example/", usual if k else odd) for k in range(9)], "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_extract.extract_pages(frame).collect()}
-    assert all(t == ("story text " * 20).strip() for t in got.values())
+    assert got[0] == "lead " + ("story text " * 40).strip() and all(got[k] == ("story text " * 40) + "end" for k in range(1, 9))
+
+
+def test_no_part_of_an_article_is_lost(spark):
+    """A path that holds only a part of a page's text isn't taken there, whatever its votes; nor is its tag's name."""
+    usual = page('<div class="layout"><article><p>' + "usual words " * 30 + "</p></article></div>")
+    parted = page('<div class="layout"><p>' + "lead " * 40 + "</p><article><p>" + "rest " * 60 + "</p></article></div>")
+    beside = page("<h1>Headline here</h1><article><p>" + "word " * 20 + '</p></article><div class="part"><p>' + "second " * 12 + "</p></div>")
+    frame = spark.createDataFrame([(k, "http://a.example/", usual) for k in range(8)] + [(8, "http://a.example/", parted), (9, "http://a.example/", beside)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(frame).collect()}
+    assert got[8].split() == ["lead"] * 40 + ["rest"] * 60
+    assert got[9].split() == ["Headline", "here"] + ["word"] * 20 + ["second"] * 12
+
+
+def test_extract_against_plain_reading(spark, sf_dir):
+    """The given pages by an independent rule: the article element without its marked parts."""
+    import html as entities
+    import re
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    right = 0
+    for r in pages.collect():
+        part = re.search(r"<article[^>]*>(.*)</article>", r.html, re.S)[1]
+        part = re.sub(r"<!--.*?-->|<(script|style|aside|nav|form|footer|header)\b.*?</\1>", "", part, flags=re.S)
+        part = re.sub(r'<(div|section|p)[^>]*class="(?:ad|ads|advert|share|related|comments?|newsletter|promo|cookie)[^"]*".*?</\1>', "", part, flags=re.S)
+        part = re.sub(r"</?(?:b|i|em|strong|a|span|code)\b[^>]*>", "", part)
+        right += " ".join(entities.unescape(re.sub(r"<[^>]+>", " ", part)).split()) == got[r.page_id]
+    assert right >= 0.98 * len(got)
 
 
 @pytest.mark.parametrize("rows", [200_000, 0])
@@ -108,6 +136,33 @@ def test_damaged_archive(spark, tmp_path):
 WORDS = {"aa": ["the", "and", "with", "thing", "house"], "bb": ["der", "und", "mit", "schön", "haus"], "cc": ["le", "et", "avec", "été", "maison"]}
 
 
+def test_letters_of_any_script_only(spark):
+    rows = [(k, t, None) for k, t in enumerate(["½ ² ③", "Ⅷ", "٣", "_", "ª", "日", "5 é"])] + [(100 + k, "the and with house", "aa") for k in range(40)]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[k] for k in range(7)] == ["und"] * 4 + ["aa"] * 3
+
+
+def test_held_out_languages_of_documents(spark):
+    """Accuracy on the documents that aren't learned from, long texts and repeated rows too."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    more = docs.limit(3).selectExpr("doc_id", "repeat(text, 60) AS text", "lang").unionByName(docs.limit(2).select("doc_id", "text", "lang")).unionByName(docs.limit(2).select("doc_id", "text", "lang"))
+    got = language_id.identify(docs.select("doc_id", "text", "lang").unionByName(more)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out and r.lang is not None and r.lang_pred != "und"]
+    assert len(held) > 200 and np.mean([r.lang_pred == r.lang for r in held]) > 0.97
+    alike = {}
+    for r in got:
+        alike.setdefault(r.doc_id, set()).add(r.lang_pred)
+    assert sum(len(v) > 1 for v in alike.values()) <= 1
+
+
+def test_forged_header_lines(spark, tmp_path):
+    """A header line ends at CR LF only, so no character in a URL makes another one."""
+    urls = [f"http://h/{c}WARC-Payload-Digest: sha1:FORGED{c}WARC-Type: revisit" for c in ("\u2028", "\u2029", "\u0085", "\r\n", "\n", "\r", "\x0b", "\x0c", "\x00")]
+    frame = spark.createDataFrame([(k, u, f"<p>{k}</p>\r\n\r\nWARC/1.1\r\n") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    got = warc.records(spark, warc.write_archive(frame, f"file://{tmp_path}/f")).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(urls))) and all(r.record_type == "response" and len(r.payload_digest) == 32 for r in got)
+
+
 def test_languages(spark):
     rng = np.random.default_rng(0)
     rows = [(k, " ".join(rng.choice(WORDS[lang], 4 + k % 30)), lang) for k in range(600) for lang in [list(WORDS)[k % 3]]]
