@@ -8,12 +8,12 @@ predicts, and a text farther from it than nearly all of its training texts is ma
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ REJECT_SHARE = 0.005
 UNKNOWN = "und"
 TEXTS_AT_ONCE, BYTES_AT_ONCE = 200, 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _KEEP = np.full(256, 0x20, np.uint8)
 _KEEP[97:123] = np.arange(97, 123)
 _KEEP[128:] = np.arange(128, 256)
@@ -154,4 +154,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that aren't held out. A null text and one without a letter is
+    `und` with score 0; rows that repeat an id are judged one by one; a null id counts as the empty text in the fold."""
     return identify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
