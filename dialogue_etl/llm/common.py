@@ -17,11 +17,12 @@ _made: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir, or a local one where the session has none (tests)."""
+    """The shared folder of spark.checkpoint.dir; a local one only where the session has none and is local itself."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file:///tmp/dialogue_etl-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

@@ -93,7 +93,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed(docs: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
     """The mix itself: every row of docs as often as it is taken. Empty documents are taken as their hash says.
 
-    Copies are looked up by id and source, so rows that repeat an id count once in the lookup.
+    The threshold of a row's source decides on each row; rows that repeat an id have the same hash.
     """
     source = names.get("source_col", "source")
     # The same expressions on the same columns: the threshold of the row's source decides, no join by id.
@@ -107,6 +107,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:
+    """mix() of all documents. A null text has size 0; null sources are one source, the last; repeated ids are taken
+    alike."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
