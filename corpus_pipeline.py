@@ -14,15 +14,16 @@ from dialogue_etl.llm.common import materialize, remove, tables_made
 _earlier: list[str] = []
 
 
-def _clean_start(spark: SparkSession) -> None:
-    """Removes the scratch tables of the stage before: its result has been written by now."""
-    for path in _earlier:
+def _clean_start(spark: SparkSession, docs: DataFrame) -> None:
+    """Removes the scratch tables of earlier stages that docs doesn't read: their results have been written."""
+    read = docs.inputFiles()
+    for path in [p for p in _earlier if not any(p.rstrip("/").rpartition("/")[2] in f for f in read)]:
         remove(spark, path)
-    _earlier.clear()
+        _earlier.remove(path)
 
 
-def _stage(spark: SparkSession, work) -> DataFrame:
-    _clean_start(spark)
+def _stage(spark: SparkSession, docs: DataFrame, work) -> DataFrame:
+    _clean_start(spark, docs)
     known = set(tables_made())
     out = work()
     _earlier.extend(p for p in tables_made() if p not in known)
@@ -30,28 +31,33 @@ def _stage(spark: SparkSession, work) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return _stage(spark, lambda: quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """Documents that the quality classifier rejects go. Null and empty texts are judged like any other, by the
+    features of an empty text; rows that repeat an id are judged alike if they are equal; without labels all stay."""
+    return _stage(spark, docs, lambda: quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five words a shingle, similarity 0.8."""
-    return _stage(spark, lambda: minhash_dedup.keep_one(docs))
+    """One document of each group of near duplicates stays: five words a shingle, similarity 0.8. The smallest id
+    stays; rows without an id come last; of equal rows one stays; null and empty texts all stay."""
+    return _stage(spark, docs, lambda: minhash_dedup.keep_one(docs))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold too much of a benchmark go."""
-    return _stage(spark, lambda: decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    """Documents that hold too much of a benchmark go: 20 * n_hit >= n_words. Null and empty texts stay; every row is
+    judged by itself, those that repeat an id and those without one too."""
+    return _stage(spark, docs, lambda: decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def weighted_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    return _stage(spark, lambda: mixing.mixed(docs))
+    """Every document as often as the mix takes it. A null source is one of the sources; null and empty texts have no
+    size and are taken as their hash says; rows that repeat an id are taken alike."""
+    return _stage(spark, docs, lambda: mixing.mixed(docs))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as token ids in ORC files, and the index read back from them."""
-    return _stage(spark, lambda: token_output.tokenize(docs, token_output.default_tokenizer()))
+    """The mix as token ids in ORC files, and the index read back from them. Null and empty texts are the end id
+    alone; rows that repeat an id all have places of their own; null ids come first."""
+    return _stage(spark, docs, lambda: token_output.tokenize(docs, token_output.default_tokenizer()))
 
 
 STAGES = [
