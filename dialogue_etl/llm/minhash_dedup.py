@@ -84,13 +84,14 @@ def _sketched(width: int):
                     [
                         batch.column(0).slice(a, z - a),
                         batch.column(2).slice(a, z - a),
+                        batch.column(3).slice(a, z - a),
                         pa.array(sizes, pa.int64()),
                         pa.array([hashlib.blake2b(s[i:j].tobytes(), digest_size=16).digest() if j > i else None for i, j in zip(at[:-1], at[1:])], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1))),
                         pa.array([x.tobytes() for x in low], pa.binary()),
                         pa.array([x.tobytes() for x in np.split(short, at[1:-1])], pa.binary()),
                     ],
-                    names=["id", "text_mark", "n_shingles", "digest", "bands", "marks", "short"],
+                    names=["id", "text_mark", "row", "n_shingles", "digest", "bands", "marks", "short"],
                 )
 
     return run
@@ -209,15 +210,17 @@ def _dealt(placed: DataFrame, name: str) -> DataFrame:
     return rows.select("id", "band", "key", "component", "blk", F.least("blk", "other").alias("blk_i"), F.greatest("blk", "other").alias("blk_j"))
 
 
-def _confirm(pairs: DataFrame, names: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, names: DataFrame, texts: DataFrame, width: int, percent: int, name: str, few: bool = False) -> DataFrame:
     """The pairs (a, star) with their distance and whether their full sets reach the threshold; each star is
     verified in parts of bounded size. names gives each class's document and text mark, by which texts are found."""
     parts = pairs.groupBy("star").count().select("star", F.ceil(F.col("count") / STAR_ROWS).cast("int").alias("parts"))
     parts = materialize(parts, f"{name}-stars")
     members = pairs.join(parts, "star").select("star", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("a").alias("id"))
     centres = parts.select("star", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("star").alias("id"))
-    # Written first: where the list is short by its size on disk, the texts meet it without a shuffle of their own.
-    listed = materialize(members.unionByName(centres).join(names, "id"), f"{name}-rows")
+    listed = members.unionByName(centres).join(names, "id")
+    if few:
+        # Written first: a list that is short by its size on disk meets the texts without a shuffle of all of them.
+        listed = materialize(listed, f"{name}-rows")
     rows = listed.join(texts, ["doc", "text_mark"])
     rows = rows.repartition("star", "part").sortWithinPartitions("star", "part", "role")
     out = materialize(rows.select("star", "role", "id", "text").mapInArrow(_verified(width, percent), "a long, b long, far double, linked boolean"), f"{name}-links")
@@ -249,14 +252,16 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     class_mark, root): its first row, rows without an id last, and its component. text_mark tells apart the texts
     of one id; null_ids says whether rows without an id belong to classes."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_mark"))
-    base = materialize(texts.mapInArrow(_sketched(width), "id long, text_mark long, n_shingles long, digest binary, bands array<long>, marks binary, short binary"), "mh-sketch")
+    numbered = texts.withColumn("row", F.monotonically_increasing_id())
+    base = materialize(numbered.mapInArrow(_sketched(width), "id long, text_mark long, row long, n_shingles long, digest binary, bands array<long>, marks binary, short binary"), "mh-sketch")
     own = base.filter("digest IS NOT NULL") if null_ids else base.filter("digest IS NOT NULL AND id IS NOT NULL")
-    # Equal sets are one class under a key of its own, as one id may have several texts; its first text stands for it.
-    first = own.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_mark")).alias("first"))
-    classes = materialize(first.select("digest", F.monotonically_increasing_id().alias("key"), F.col("first.id").alias("class_id"), F.col("first.text_mark").alias("class_mark")), "mh-classes")
-    named = classes.select("key", F.col("digest").alias("class_digest"), "class_id", "class_mark")
-    reps = own.join(named, (F.col("digest") == F.col("class_digest")) & F.col("id").eqNullSafe(F.col("class_id")) & (F.col("text_mark") == F.col("class_mark")))
-    reps = materialize(reps.dropDuplicates(["key"]).select(F.col("key").alias("id"), "n_shingles", "bands", "marks", "short"), "mh-reps")
+    # Equal sets are one class; its first row stands for it, and that row's number, fixed by the write, is its key.
+    first = own.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_mark", "row")).alias("first"))
+    classes = materialize(first.select("digest", F.col("first.row").alias("key"), F.col("first.id").alias("class_id"), F.col("first.text_mark").alias("class_mark")), "mh-classes")
+    named = classes.select("key", F.col("digest").alias("class_digest"))
+    # Only the numbers of the copies meet the sketches, so these aren't shuffled where copies are few.
+    copies = materialize(own.select("row", "digest").join(named, (F.col("digest") == F.col("class_digest")) & (F.col("row") != F.col("key"))).select("row"), "mh-copies")
+    reps = materialize(own.join(copies, "row", "left_anti").select(F.col("row").alias("id"), "n_shingles", "bands", "marks", "short"), "mh-reps")
     lite = materialize(base.select("id", "text_mark", "n_shingles", "digest"), "mh-rows")
     drop(base)
     # Texts are found by the id (0 for none: the mark tells them apart) and the mark.
@@ -293,7 +298,7 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
         more = rows.mapInArrow(_across(percent / 100 - SLACK, percent, 1 - percent / 100 + 1e-9, one_each), "a long, star long")
         more = materialize(more.distinct(), "mh-across")
         drop(placed)
-        late = _confirm(more, names, texts, width, percent, "mh-round2")
+        late = _confirm(more, names, texts, width, percent, "mh-round2", few=True)
         comps = _merged(before, late.filter("linked"))
         drop(before)
         if late.filter("NOT linked").isEmpty():
