@@ -102,8 +102,7 @@ def _page_of(name: str) -> Column:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """One row a record of an archive, read from the record's bytes: its header block ends at the first empty line."""
-    end = F.instr(F.decode("record", "ISO-8859-1"), EOL + EOL)
-    rows = read_archive(spark, path).select(F.decode(F.substring("record", F.lit(1), end + 1), "UTF-8").alias("header"), "payload")
+    rows = read_archive(spark, path).select(F.substring_index(F.col("record").cast("string"), EOL + EOL, 1).alias("header"), "payload")
     return rows.select(
         _page_of("WARC-Record-ID").alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
