@@ -30,6 +30,8 @@ from dialogue_etl.llm.textkit import NOT_SPACE, mix, powers, slices, span_hashes
 MIN_WORDS = 8
 #: Bits of the table of half keys and of the table of suspected lines, by their number; 128 MB each at most.
 LEAST_BITS, MOST_BITS = 16, 30
+#: Bits set for a key: all of them must be set, so few lines without a shared half pass.
+BITS_A_KEY = 4
 FULL = -1
 #: Words as the keys see them: between ASCII white space, other spaces are part of a word.
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -102,11 +104,12 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bit_table(keys: DataFrame) -> tuple[int, np.ndarray]:
-    """(bits, table): 2**bits bits, set where a key (column key) falls; about 32 bits a key up to 2**MOST_BITS. A
-    fuller table gives more false alarms, which cost variants and change nothing."""
+    """(bits, table): a table of 2**bits bits in words of 64, about 32 bits a key up to 2**MOST_BITS. The high bits of
+    a key (column key) name its word, its low bits BITS_A_KEY places in it. A fuller table gives more false alarms,
+    which cost variants and change nothing."""
     bits = min(MOST_BITS, max(LEAST_BITS, (32 * keys.count()).bit_length()))
-    slot = F.shiftrightunsigned("key", 64 - bits)
-    rows = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 AS int))")).alias("bits"))
+    places = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(key, {6 * k}) & 63 AS int))" for k in range(BITS_A_KEY))
+    rows = keys.groupBy(F.shiftrightunsigned("key", 70 - bits).alias("word")).agg(F.bit_or(F.expr(places)).alias("bits"))
     out = np.zeros(1 << (bits - 6), np.uint64)
     table = rows.toArrow()
     out[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.uint64)
@@ -115,8 +118,11 @@ def bit_table(keys: DataFrame) -> tuple[int, np.ndarray]:
 
 def _set_in(shared: tuple[int, np.ndarray], keys: np.ndarray) -> np.ndarray:
     bits, table = shared
-    slot = keys.astype(np.uint64) >> np.uint64(64 - bits)
-    return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    keys = keys.astype(np.uint64)
+    places = np.zeros(len(keys), np.uint64)
+    for k in range(BITS_A_KEY):
+        places |= np.uint64(1) << (keys >> np.uint64(6 * k) & np.uint64(63))
+    return table[(keys >> np.uint64(70 - bits)).astype(np.int64)] & places == places
 
 
 def _varied(shared, min_words: int):
