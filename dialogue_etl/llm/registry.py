@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialogue_etl.llm import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, minhash_dedup, mixing, quality, token_output, warc
+from dialogue_etl.llm import decontaminate, embedding_dedup, hard_negatives, html_extract, language_id, line_dedup, minhash_dedup, mixing, quality, token_output, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_token_output": token_output.op8_token_output,
         "op9_language_id": language_id.op9_language_id,
         "op10_minhash_near_dedup": minhash_dedup.op10_minhash_near_dedup,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": line_dedup.SQL,
         "op6_warc_archive": warc.SQL,
         "op10_minhash_near_dedup": minhash_dedup.SQL,
+        "op11_hard_negatives": hard_negatives.SQL,
     }
