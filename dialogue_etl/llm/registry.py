@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialogue_etl.llm import decontaminate, embedding_dedup, hard_negatives, html_extract, language_id, line_dedup, minhash_dedup, mixing, quality, token_output, warc
+from dialogue_etl.llm import decontaminate, embedding_dedup, hard_negatives, html_extract, language_id, licenses, line_dedup, minhash_dedup, mixing, quality, ranked_search, token_output, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "op9_language_id": language_id.op9_language_id,
         "op10_minhash_near_dedup": minhash_dedup.op10_minhash_near_dedup,
         "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_ranked_search": ranked_search.op12_ranked_search,
+        "op13_license_scan": licenses.op13_license_scan,
     }
 
 
@@ -30,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_warc_archive": warc.SQL,
         "op10_minhash_near_dedup": minhash_dedup.SQL,
         "op11_hard_negatives": hard_negatives.SQL,
+        "op12_ranked_search": ranked_search.SQL,
     }

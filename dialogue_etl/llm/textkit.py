@@ -21,6 +21,9 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: Bytes that are words' bytes under the two rules of words.
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
+#: Each byte with A-Z as a-z.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -127,3 +130,42 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.nda
     new[1:] = (s[1:] != s[:-1]) | (o[1:] != o[:-1])
     s, o = s[new], o[new]
     return s, np.searchsorted(o, np.arange(len(n) + 1))
+
+
+class Vocabulary:
+    """A set of words (A-Z folded), numbered by the order of their hashes."""
+
+    def __init__(self, words: set[bytes]):
+        listed = sorted(words)
+        data = np.frombuffer(b"".join(listed), np.uint8)
+        stops = np.cumsum([len(w) for w in listed]).astype(np.int64)
+        starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)
+        h = span_hashes(data, starts, stops)
+        order = np.argsort(h)
+        self.hashes, self.data = h[order], data
+        self.starts, self.sizes = starts[order], (stops - starts)[order]
+        self.number = {listed[k]: n for n, k in enumerate(order.tolist())}
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, term) for the words that are terms: hashes select, the words themselves are compared."""
+        if not len(self) or not len(starts):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        h = span_hashes(data, starts, stops)
+        term = np.searchsorted(self.hashes, h)
+        term[term == len(self)] = 0
+        at = np.flatnonzero(self.hashes[term] == h)
+        term = term[at]
+        same = self.sizes[term] == stops[at] - starts[at]
+        at, term = at[same], term[same]
+        size = self.sizes[term]
+        first = np.cumsum(size) - size
+        step = np.arange(int(size.sum())) - np.repeat(first, size)
+        differ = FOLD[data[np.repeat(starts[at], size) + step]] != self.data[np.repeat(self.starts[term], size) + step]
+        if differ.any():
+            right = np.ones(len(at), bool)
+            right[np.repeat(np.arange(len(at)), size)[differ]] = False
+            at, term = at[right], term[right]
+        return at, term
