@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, IntegerType
 
 from dialogue_etl.functions import pages as P
 from dialogue_etl.functions import text as T
@@ -11,9 +15,46 @@ from dialogue_etl.functions import text as T
 MAX_ITEMS = 80
 
 
-def occurrences(text: Column, key: Column) -> Column:
-    """Non-overlapping occurrences of key in text."""
-    return F.when(F.length(key) == 0, 0).otherwise(((F.length(text) - F.length(F.replace(text, key, F.lit("")))) / F.length(key)).cast("int"))
+def counts_in(keys: list[str], text: str) -> list[int]:
+    """Occurrences of each key in text, those of one key without overlap: one scan, whatever the number of keys."""
+    number = {key: n for n, key in enumerate(dict.fromkeys(k for k in keys if k))}
+    if not number or not text:
+        return [0] * len(keys)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+    for key, n in number.items():
+        automaton.add_word(key, (n, len(key)))
+    automaton.make_automaton()
+    found, free = [0] * len(number), [0] * len(number)
+    for end, (n, size) in automaton.iter(text):
+        if end - size >= free[n] - 1:
+            found[n] += 1
+            free[n] = end + 1
+    return [found[number[k]] if k else 0 for k in keys]
+
+
+@pandas_udf(ArrayType(IntegerType()))
+def _occurrences(keys: pd.Series, text: pd.Series) -> pd.Series:
+    return pd.Series([counts_in(list(k), t) for k, t in zip(keys, text)], dtype=object)
+
+
+def _unsettled(grouped: DataFrame, whole: DataFrame | None, wanted: str) -> DataFrame:
+    """Groups (page, key, ...) of which `whole` (page, key), whose keys in a row are the text, has fewer than `wanted`.
+    Lines of the text that equal a key are occurrences of it, so the others need no look at the text."""
+    if whole is None:
+        return grouped
+    lines = whole.filter("key <> ''").groupBy("page", "key").agg(F.count("*").alias("__lines"))
+    return grouped.join(lines, ["page", "key"], "left").filter(F.coalesce("__lines", F.lit(0)) < F.col(wanted)).drop("__lines")
+
+
+def _counted(groups: DataFrame, texts: DataFrame, fields: list[str], name: str) -> DataFrame:
+    """groups (page, key, fields) with the column `name`, the key's occurrences in the page's text (page, target).
+
+    A page's keys are packed into one array before they meet its text, so each text exists once and is read once.
+    """
+    packed = groups.groupBy("page").agg(F.collect_list(F.struct("key", *fields)).alias("keys")).join(texts, "page", "left")
+    found = packed.select("page", "keys", _occurrences(F.transform("keys", lambda k: k["key"]), F.coalesce("target", F.lit(""))).alias("n"))
+    rows = found.select("page", F.explode(F.arrays_zip("keys", "n")).alias("k"))
+    return rows.select("page", *[F.col(f"k.keys.{c}").alias(c) for c in ["key", *fields]], F.col("k.n").alias(name))
 
 
 def group_items(items: DataFrame) -> DataFrame:
@@ -23,35 +64,29 @@ def group_items(items: DataFrame) -> DataFrame:
     return items.filter("key <> ''").groupBy("page", "key").agg(F.count("*").cast("int").alias("expected"), F.min("pos").alias("first_pos"), packed.alias("items"))
 
 
-def missing_items(items: DataFrame, targets: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
+def missing_items(items: DataFrame, targets: DataFrame, max_items: int | None = MAX_ITEMS, whole: DataFrame | None = None) -> DataFrame:
     """(page, place, kind, text, path, pos, expected, observed) of every occurrence short in the target text.
 
-    targets has (page, target), the target without white space. Keys of a page are packed into one array
-    before they meet the target, so each target text exists once. The cap counts in order of first
-    appearance of keys; None lifts it.
+    targets has (page, target), the target without white space; whole, if given, (page, key) of the lines that it
+    consists of. The cap counts in order of first appearance of keys; None lifts it.
     """
-    grouped = group_items(items)
-    packed = grouped.groupBy("page").agg(F.collect_list(F.struct("first_pos", "key", "expected", "items")).alias("keys"))
-    joined = packed.join(targets, "page", "left")
-    short = F.transform("keys", lambda k: F.struct(k["first_pos"].alias("first_pos"), k["expected"].alias("expected"), occurrences(F.coalesce("target", F.lit("")), k["key"]).alias("observed"), k["items"].alias("items")))
-    rows = joined.select("page", F.explode(F.filter(short, lambda k: k["observed"] < k["expected"])).alias("k"))
-    rows = rows.select("page", "k.first_pos", "k.expected", "k.observed", F.posexplode(F.slice("k.items", F.col("k.observed") + 1, F.col("k.expected") - F.col("k.observed"))).alias("nth", "item"))
+    groups = _unsettled(group_items(items), whole, "expected")
+    rows = _counted(groups, targets, ["first_pos", "expected", "items"], "observed").filter("observed < expected")
+    rows = rows.select("page", "first_pos", "expected", "observed", F.posexplode(F.slice("items", F.col("observed") + 1, F.col("expected") - F.col("observed"))).alias("nth", "item"))
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("page").orderBy("first_pos", "nth")))
     if max_items is not None:
         rows = rows.filter(F.col("place") <= max_items)
     return rows.select("page", "place", *[F.col(f"item.{c}").alias(c) for c in ("kind", "text", "path", "pos")], "expected", "observed")
 
 
-def extra_items(items: DataFrame, sources: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
+def extra_items(items: DataFrame, sources: DataFrame, max_items: int | None = MAX_ITEMS, whole: DataFrame | None = None) -> DataFrame:
     """(page, place, kind, text, observed, source_count) where the target has an item more often than the source text.
 
-    items are the target's (page, pos, kind, text, key); sources has (page, target): the source's joined text.
+    items are the target's (page, pos, kind, text, key); sources has (page, target): the source's joined text; whole,
+    if given, (page, key) of the lines that it consists of.
     """
-    grouped = items.filter("key <> ''").groupBy("page", "kind", "key", "text").agg(F.count("*").cast("int").alias("observed"), F.min("pos").alias("first_pos"))
-    packed = grouped.groupBy("page").agg(F.collect_list(F.struct("first_pos", "kind", "key", "text", "observed")).alias("keys"))
-    joined = packed.join(sources, "page", "left")
-    counted = F.transform("keys", lambda k: F.struct(k["first_pos"].alias("first_pos"), k["kind"].alias("kind"), k["text"].alias("text"), k["observed"].alias("observed"), occurrences(F.coalesce("target", F.lit("")), k["key"]).alias("source_count")))
-    rows = joined.select("page", F.explode(F.filter(counted, lambda k: k["source_count"] < k["observed"])).alias("k")).select("page", "k.*")
+    groups = items.filter("key <> ''").groupBy("page", "kind", "key", "text").agg(F.count("*").cast("int").alias("observed"), F.min("pos").alias("first_pos"))
+    rows = _counted(_unsettled(groups, whole, "observed"), sources, ["first_pos", "kind", "text", "observed"], "source_count").filter("source_count < observed")
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("page").orderBy("first_pos", "kind", "text")))
     if max_items is not None:
         rows = rows.filter(F.col("place") <= max_items)
@@ -62,6 +97,16 @@ def status(missing: Column, mismatches: Column, extra: Column) -> Column:
     return F.when(missing > 0, "fail").when((mismatches > 0) | (extra > 0), "warn").otherwise("pass")
 
 
+def status_totals(report: DataFrame) -> DataFrame:
+    """(status, n): pages of each status."""
+    return report.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def batch_failed(report: DataFrame) -> bool:
+    """Whether a page of the batch failed or couldn't be read."""
+    return not report.filter(F.col("status").isin("fail", "error")).isEmpty()
+
+
 def multiset_diff(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of each side minus the other's, with multiplicity."""
     return left.exceptAll(right), right.exceptAll(left)
@@ -91,13 +136,15 @@ def page_reports(read: DataFrame, markdown: DataFrame, max_items: int | None = M
     """
     items = P.source_items(read).withColumn("key", T.match_key(F.col("text"), unescape=False))
     text = F.array_join("lines", "\n")
-    target = markdown.select("page", T.match_key(T.markdown_plain_text(text), unescape=False).alias("target"))
+    plain = markdown.select("page", T.markdown_plain_text(text).alias("plain"))
+    target = plain.select("page", T.match_key(F.col("plain"), unescape=False).alias("target"))
+    plain_lines = plain.select("page", F.explode(F.split("plain", "\n")).alias("line")).select("page", T.match_key(F.col("line"), unescape=False).alias("key"))
     found = F.struct("place", "kind", "text", "path", "expected", "observed")
-    missing = missing_items(items, target, max_items).groupBy("page").agg(F.count("*").alias("missing_groups"), F.array_sort(F.collect_list(found)).alias("missing"))
+    missing = missing_items(items, target, max_items, plain_lines).groupBy("page").agg(F.count("*").alias("missing_groups"), F.array_sort(F.collect_list(found)).alias("missing"))
     lines = markdown.select("page", F.posexplode(F.split(text, "\n")).alias("pos", "line")).withColumn("line", T.strip(F.col("line"))).filter(~T.is_skipped_markdown(F.col("line")))
     targets = lines.select("page", "pos", T.markdown_item(F.col("line")).alias("i")).select("page", "pos", "i.kind", "i.text").withColumn("key", T.match_key(F.col("text"), unescape=False))
     surplus = F.struct("place", "kind", "text", "observed", "source_count")
-    extra = extra_items(targets, joined_keys(items), max_items).groupBy("page").agg(F.count("*").alias("extra_groups"), F.array_sort(F.collect_list(surplus)).alias("extra"))
+    extra = extra_items(targets, joined_keys(items), max_items, items).groupBy("page").agg(F.count("*").alias("extra_groups"), F.array_sort(F.collect_list(surplus)).alias("extra"))
     patterns = {"markdown_dialogue_lines": "(?m)^-\\s+\\*\\*[^*]+\\*\\*[：:]", "markdown_choice_groups": "(?m)^\\s*>\\s+选项组\\s+\\d+", "markdown_option_lines": "(?m)^\\s*-\\s+选项\\s+\\d+（"}
     counted = markdown.select("page", *[F.regexp_count(text, F.lit(p)).alias(name) for name, p in patterns.items()])
 

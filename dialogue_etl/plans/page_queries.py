@@ -15,6 +15,7 @@ from dialogue_etl.operators import summary as S
 from dialogue_etl.plans.line_queries import MARKDOWN as MD_LINES
 from dialogue_etl.plans.line_queries import SUMMARY, markdown_lines, summary_index, typed
 from dialogue_etl.plans.shared import GRAPH, STORY_LINES, TRANSCRIPT, graph_edges, graph_nodes, query, save, scratch, story_lines, story_pages, table
+from dialogue_etl.sources import documents as D
 from dialogue_etl.sources import io as IO
 from dialogue_etl.streaming import ingest as J
 
@@ -258,14 +259,15 @@ def g1(spark, sf):
 @query("g2_missing_items", EDITED + "SELECT doc_id AS page, CAST(pos AS INTEGER) AS pos, CAST(expected AS INTEGER) AS expected, CAST(observed AS INTEGER) AS observed FROM mis")
 def g2(spark, sf):
     lines = save(source_lines(spark, sf), "lines")
-    return V.missing_items(lines, V.joined_keys(edited_lines(spark, sf, lines)), None).select("page", "pos", "expected", "observed")
+    target = edited_lines(spark, sf, lines)
+    return V.missing_items(lines, V.joined_keys(target), None, target).select("page", "pos", "expected", "observed")
 
 
 @query("g3_extra_items", EDITED + "SELECT doc_id AS page, md5(key) AS digest, CAST(observed AS INTEGER) AS observed, CAST(source_count AS INTEGER) AS source_count FROM ext WHERE source_count < observed")
 def g3(spark, sf):
     lines = save(source_lines(spark, sf), "lines")
     target = edited_lines(spark, sf, lines).withColumn("text", C("key"))
-    return V.extra_items(target, V.joined_keys(lines), None).select("page", F.md5("text").alias("digest"), "observed", "source_count")
+    return V.extra_items(target, V.joined_keys(lines), None, lines).select("page", F.md5("text").alias("digest"), "observed", "source_count")
 
 
 @query("g4_plot_mismatches", STORY_ITEMS + "SELECT conv_id AS page, f AS index, CAST(n AS INTEGER) AS options, CAST(c AS INTEGER) AS contents FROM fr WHERE n <> c")
@@ -274,9 +276,17 @@ def g4(spark, sf):
 
 
 def coverage_report(spark, sf):
-    """One row a page: title, version, status, counts and lists; pages are read once, and rendered from that."""
-    read = save(inventory(spark, sf), "inventory")
-    md = save(markdown(spark, sf, read), "markdown")
+    """One row a page: title, version, status, counts and lists; pages are read once, and rendered from that.
+
+    Known faults: every seventh page's Markdown lacks its heading, the ones after them have a line of their own, and
+    of eleven pages one can't be read.
+    """
+    k = C("page")
+    read = inventory(spark, sf).withColumn("error", F.when(k % 11 == 3, F.lit("ValueError: broken")))
+    read = save(read.withColumns({c: F.when(C("error").isNull(), C(c)).otherwise(F.array().cast(read.schema[c].dataType)) for c in ("items", "frames", "messages")}), "inventory")
+    md = markdown(spark, sf, read).filter("page % 11 <> 3")
+    cut = F.filter("lines", lambda x: x != F.concat(F.lit("### Part "), k))
+    md = save(md.withColumn("lines", F.when(k % 7 == 0, cut).when(k % 7 == 1, F.array_append("lines", F.concat(F.lit("- added line "), k))).otherwise(C("lines"))), "markdown")
     return V.page_reports(read, md).join(meta(spark, sf).select("page", "title", "version"), "page")
 
 
@@ -285,23 +295,35 @@ STATUS = STORY_ITEMS + """, cov AS (SELECT p.conv_id AS page,
  (SELECT count(*) FROM it WHERE it.conv_id = p.conv_id AND kind = 'message_dialogue') AS source_message_dialogue, (SELECT count(*) FROM fr WHERE fr.conv_id = p.conv_id) AS source_plot_frames,
  (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM fr WHERE fr.conv_id = p.conv_id) AS source_plot_options, (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) FROM fr WHERE fr.conv_id = p.conv_id) AS source_plot_contents,
  (SELECT count(*) FROM sl WHERE sl.conv_id = p.conv_id AND turn % 2 = 0) AS markdown_dialogue_lines, (SELECT count(*) FROM fr WHERE fr.conv_id = p.conv_id) AS markdown_choice_groups,
- (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM fr WHERE fr.conv_id = p.conv_id) AS markdown_option_lines, (SELECT count(*) FROM fr WHERE fr.conv_id = p.conv_id AND n <> c) AS plot_mismatches FROM (SELECT DISTINCT conv_id FROM sl) p)
+ (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM fr WHERE fr.conv_id = p.conv_id) AS markdown_option_lines, CAST(p.conv_id % 7 = 0 AS BIGINT) AS missing_groups, CAST(p.conv_id % 7 = 1 AS BIGINT) AS extra_groups,
+ (SELECT count(*) FROM fr WHERE fr.conv_id = p.conv_id AND n <> c) AS plot_mismatches FROM (SELECT DISTINCT conv_id FROM sl) p),
+rep AS (SELECT page, CASE WHEN page % 11 = 3 THEN 'error' WHEN page % 7 = 0 THEN 'fail' WHEN page % 7 = 1 OR plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, """ + ", ".join(f"CASE WHEN page % 11 <> 3 THEN {c} END AS {c}" for c in V.COUNTS) + """ FROM cov)
 """
 
 
-@query("g5_coverage_counts", STATUS + "SELECT * FROM cov")
+def shown_counts(names):
+    """Counts as columns; -1 where the page couldn't be read."""
+    return [F.coalesce(c, F.lit(-1)).alias(c) for c in names]
+
+
+SHOWN_COUNTS = {c: f"coalesce({c}, -1) AS {c}" for c in V.COUNTS}
+
+
+@query("g5_coverage_counts", STATUS + "SELECT page, " + ", ".join(SHOWN_COUNTS.values()) + " FROM rep")
 def g5(spark, sf):
-    return coverage_report(spark, sf).drop("title", "version", "status", "error", "missing_groups", "extra_groups", *V.LISTS)
+    return coverage_report(spark, sf).select("page", *shown_counts(V.COUNTS))
 
 
-@query("g6_coverage_status", STATUS + "SELECT page, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, CAST(0 AS BIGINT) AS missing_groups, CAST(0 AS BIGINT) AS extra_groups FROM cov")
+@query("g6_coverage_status", STATUS + f"SELECT page, status, {SHOWN_COUNTS['missing_groups']}, {SHOWN_COUNTS['extra_groups']}, CASE WHEN page % 11 = 3 THEN 'ValueError: broken' END AS error FROM rep")
 def g6(spark, sf):
-    return coverage_report(spark, sf).select("page", "status", "missing_groups", "extra_groups")
+    return coverage_report(spark, sf).select("page", "status", *shown_counts(["missing_groups", "extra_groups"]), "error")
 
 
-@query("g7_status_totals", STATUS + "SELECT CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, count(*) AS n FROM cov GROUP BY 1")
+@query("g7_status_totals", STATUS + "SELECT status, count(*) AS n, (SELECT bool_or(status IN ('fail', 'error')) FROM rep) AS batch_failed FROM rep GROUP BY 1")
 def g7(spark, sf):
-    return coverage_report(spark, sf).groupBy("status").agg(F.count("*").alias("n")).orderBy("status")
+    """Pages of each status, and whether the batch failed."""
+    report = save(coverage_report(spark, sf).select("page", "status"), "status")
+    return V.status_totals(report).withColumn("batch_failed", F.lit(V.batch_failed(report)))
 
 
 @query("g8_frame_locator", STORY_ITEMS + "SELECT conv_id AS page, f AS index, f AS group_no FROM fr WHERE n <> c AND conv_id % 3 <> 0")
@@ -449,49 +471,58 @@ def a5(spark, sf):
 )
 def a6(spark, sf):
     path = scratch(spark, "dialogue")
-    IO.write_documents(IO.dialogue_documents(dialogue_rows(spark, sf)), path, "source")
-    return IO.read_documents(spark, path, "source").select("source", F.md5("text").alias("digest"))
+    D.write_documents(IO.dialogue_documents(dialogue_rows(spark, sf)), path, "source")
+    return D.read_documents(spark, path, "source").select("source", F.md5("text").alias("digest"))
 
 
 @query("a8_story_pages_sink", MARKDOWN_TEXT + "SELECT printf('%03d', conv_id) || '_3.' || (conv_id % 8) || '_Story_' || conv_id AS stem, md5(text || chr(10)) AS digest FROM mx")
 def a8(spark, sf):
     path = scratch(spark, "story")
     stems = story_pages(spark, sf).select("page", T.page_stem(C("page"), C("version"), C("title")).alias("stem"))
-    IO.write_documents(markdown(spark, sf).join(stems, "page").select("stem", F.array_join("lines", "\n").alias("text")), path, "stem")
-    return IO.read_documents(spark, path, "stem").select("stem", F.md5("text").alias("digest"))
+    D.write_documents(markdown(spark, sf).join(stems, "page").select("stem", F.array_join("lines", "\n").alias("text")), path, "stem")
+    return D.read_documents(spark, path, "stem").select("stem", F.md5("text").alias("digest"))
 
 
-ITEM_COUNTS = ["source_items", "source_dialogue_items", "source_message_dialogue", "source_plot_frames", "source_plot_options", "source_plot_contents", "markdown_dialogue_lines", "markdown_choice_groups", "markdown_option_lines", "plot_mismatches"]
+def quoted(lines: list[str]) -> str:
+    return ", ".join(f"'{x}'" for x in lines)
 
 
-@query(
-    "a9_coverage_report_sink",
-    STATUS + "SELECT page, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status, " + ", ".join(ITEM_COUNTS) + ", coalesce((SELECT string_agg('- `剧情内容 / plotFrame[' || f || ']`: options=' || n || ', contents=' || c, chr(10) ORDER BY f) FROM fr WHERE fr.conv_id = page AND n <> c), '- 未发现 `plotOptions` 与 `content` 数量不一致的选项组。') AS shown FROM cov",
-)
+REPORT_TEXT = f"""concat_ws(chr(10), '# 剧情 Markdown 覆盖率报告', '', '- HTML: `' || page || '.html`', '- Markdown: `' || page || '.md`', '- 状态: `' || status || '`', '', '## 计数', '', '| 项目 | 数量 |', '| --- | ---: |',
+ {", ".join(f"'| `{c}` | ' || coalesce(CAST({c} AS VARCHAR), '-') || ' |'" for c in V.COUNTS)}, '', '## 选项结构异常', '',
+ coalesce((SELECT string_agg('- `剧情内容 / plotFrame[' || f || ']`: options=' || n || ', contents=' || c, chr(10) ORDER BY f) FROM fr WHERE fr.conv_id = page AND n <> c AND page % 11 <> 3), '- 未发现 `plotOptions` 与 `content` 数量不一致的选项组。'),
+ '', '## HTML 中有但 Markdown 中疑似缺失', '', CASE WHEN missing_groups = 1 THEN '- `heading` `剧情内容` expected=1, observed=0: Part ' || page ELSE '- 未发现缺失文本组。' END,
+ '', '## Markdown 中有但 HTML 源清单中未匹配', '', CASE WHEN extra_groups = 1 THEN '- `markdown_text` observed=1, source=0: added line ' || page ELSE '- 未发现额外文本组。' END, {quoted(IO.NOTES)}) || chr(10)"""
+
+
+@query("a9_coverage_report_sink", STATUS + "SELECT page, status, " + ", ".join(SHOWN_COUNTS.values()) + f", md5({REPORT_TEXT}) AS digest FROM rep")
 def a9(spark, sf):
-    """The JSON report's counts and the Markdown report's part on frames, both written and read back."""
+    """The JSON report's counts and the whole Markdown report, both written and read back."""
     report = save(coverage_report(spark, sf), "coverage")
     path, texts = scratch(spark, "report"), scratch(spark, "report-md")
     IO.coverage_report_json(report, V.COUNTS).select(C("report").alias("value")).write.text(path)
     named = report.withColumns({"html": F.concat("page", F.lit(".html")), "markdown": F.concat("page", F.lit(".md"))})
-    IO.write_documents(IO.coverage_report_markdown(named, V.COUNTS), texts, "page")
-    part = F.regexp_extract("text", "(?s)## 选项结构异常\n\n(.*?)\n\n## ", 1)
-    written = IO.read_documents(spark, texts, "page").select(C("page").cast("long").alias("page"), part.alias("shown"))
-    back = spark.read.schema("page long, status string, counts map<string,long>").json(path)
-    return back.select("page", "status", *[C("counts")[c].alias(c) for c in ITEM_COUNTS]).join(written, "page")
+    D.write_documents(IO.coverage_report_markdown(named, V.COUNTS), texts, "page")
+    written = D.read_documents(spark, texts, "page").select(C("page").cast("long").alias("page"), F.md5("text").alias("digest"))
+    back = spark.read.schema("page long, status string, counts map<string, long>").json(path)
+    return back.select("page", "status", *[F.coalesce(C("counts")[c], F.lit(-1)).alias(c) for c in V.COUNTS]).join(written, "page")
 
 
 @query(
     "a10_coverage_summary_sink",
-    STATUS + """, s AS (SELECT *, CASE WHEN plot_mismatches > 0 THEN 'warn' ELSE 'pass' END AS status FROM cov)
-    SELECT 0 AS part, CAST(0 AS BIGINT) AS place, '- 页面数：' || count(*) AS line FROM s UNION ALL SELECT 1, 0, '- `' || status || '`：' || count(*) FROM s GROUP BY status
-    UNION ALL SELECT 2, page, '| ' || page || ' | Story ' || page || ' | 3.' || (page % 8) || ' | ' || status || ' | 0 | 0 | ' || plot_mismatches || ' |' FROM s
-    UNION ALL SELECT 3, page, '- `warn` ' || printf('%03d', page) || ' Story ' || page || '：missing=0, extra=0, plot_mismatches=' || plot_mismatches FROM s WHERE status <> 'pass'""",
+    STATUS + f""", x AS (SELECT 0 AS part, CAST(generate_subscripts(x, 1) AS BIGINT) AS place, unnest(x) AS line FROM (SELECT [{quoted(IO.SUMMARY_HEAD)}] AS x)
+    UNION ALL SELECT 1, 0, '- 页面数：' || count(*) FROM rep UNION ALL SELECT 2, row_number() OVER (ORDER BY status), '- `' || status || '`：' || count(*) FROM rep GROUP BY status
+    UNION ALL SELECT 3, generate_subscripts(x, 1), unnest(x) FROM (SELECT [{quoted(IO.TABLE_HEAD)}] AS x)
+    UNION ALL SELECT 4, page, concat_ws(' | ', '| ' || page, '3.' || (page % 8), '`' || status || '`', 'Story ' || page, coalesce(CAST(missing_groups AS VARCHAR), '-'), coalesce(CAST(extra_groups AS VARCHAR), '-'), coalesce(CAST(plot_mismatches AS VARCHAR), '-'), '[coverage/' || page || '.md](coverage/' || page || '.md) |') FROM rep
+    UNION ALL SELECT 5, generate_subscripts(x, 1), unnest(x) FROM (SELECT [{quoted(IO.ODD_HEAD)}] AS x)
+    UNION ALL SELECT 6, page, '- `' || status || '` ' || printf('%03d', page) || ' Story ' || page || '：' || CASE WHEN status = 'error' THEN 'ValueError: broken' ELSE 'missing=' || missing_groups || ', extra=' || extra_groups || ', plot_mismatches=' || plot_mismatches END FROM rep WHERE status <> 'pass')
+    SELECT row_number() OVER (ORDER BY part, place) AS line_no, line FROM x""",
 )
 def a10(spark, sf):
+    """The batch's summary, written as Markdown and read back in order."""
     path = scratch(spark, "summary")
-    IO.coverage_summary(save(coverage_report(spark, sf), "coverage"), "page").write.json(path)
-    return spark.read.schema("part int, place long, line string").json(path)
+    report = save(coverage_report(spark, sf), "coverage").withColumn("coverage", F.concat(F.lit("coverage/"), "page", F.lit(".md")))
+    IO.write_summary(IO.coverage_summary(report, "page"), path)
+    return IO.read_lines(spark, path)
 
 
 SHOWN = MD_LINES + """, f AS (SELECT source, count(*) FILTER (WHERE regexp_matches(line, '^- \\*\\*[^*]+\\*\\*：')) AS d, count(*) FILTER (WHERE line LIKE '> 选项组 %') AS g FROM md GROUP BY source),
@@ -507,29 +538,42 @@ def a11(spark, sf):
     """The index and every file's summary, both written and read back."""
     path, texts = scratch(spark, "index"), scratch(spark, "summaries")
     summary_index(spark, sf).write.mode("overwrite").json(path)
-    IO.write_documents(S.summary_documents(markdown_lines(spark, sf), {"place": "with|from"}), texts, "source")
+    D.write_documents(S.summary_documents(markdown_lines(spark, sf), {"place": "with|from"}), texts, "source")
     index = spark.read.schema("source long, number string, title string, version string, link string, speakers string").json(path)
-    return index.join(IO.read_documents(spark, texts, "source").select(C("source").cast("long").alias("source"), F.md5("text").alias("digest")), "source")
+    return index.join(D.read_documents(spark, texts, "source").select(C("source").cast("long").alias("source"), F.md5("text").alias("digest")), "source")
 
 
 # --- incremental ingest ---
 
 
-@query("j1_incremental_ingest", "SELECT regexp_replace(url, '#.*$', '') AS url FROM pages GROUP BY 1")
+def delivered(pages, rule: str, version: int):
+    return pages.filter(rule).withColumn("html", F.concat("html", F.lit(f"<!-- {version} -->")))
+
+
+DELIVERIES = """WITH p AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS url, html FROM pages),
+d AS (SELECT 1 AS v, * FROM p WHERE page_id % 3 <> 0 UNION ALL SELECT 2, * FROM p WHERE page_id % 2 = 0 OR page_id % 3 = 0 UNION ALL SELECT 3, * FROM p WHERE page_id % 5 = 0),
+f AS (SELECT v, url, min(page_id) AS page_id FROM d GROUP BY v, url),
+w AS (SELECT url, CASE WHEN max(v) = 3 THEN 3 ELSE min(v) END AS v FROM f GROUP BY url)
+"""
+
+
+@query("j1_incremental_ingest", DELIVERIES + "SELECT url, page_id, md5(p.html || '<!-- ' || v || ' -->') AS digest FROM w JOIN f USING (url, v) JOIN p USING (url, page_id)")
 def j1(spark, sf):
-    """Pages in two deliveries, the second with pages of the first: each URL is stored once."""
+    """Pages in three deliveries: the second has pages of the first, which stay; the third replaces what it brings."""
     incoming, out, log = (scratch(spark, x) for x in ("incoming", "table", "log"))
-    pages = table(spark, sf, "pages").select(*[C(c) for c in ("page_id", "url", "html")])
-    pages.filter("page_id % 3 <> 0").write.mode("append").parquet(incoming)
-    J.ingest(spark, incoming, out, log)
-    pages.filter("page_id % 2 = 0 OR page_id % 3 = 0").write.mode("append").parquet(incoming)
-    J.ingest(spark, incoming, out, log)
-    return J.seen(spark, out).select("url")
+    pages, kept = table(spark, sf, "pages").select(*[C(c) for c in ("page_id", "url", "html")]), J.pages_table(out, 8)
+    for version, rule in ((1, "page_id % 3 <> 0"), (2, "page_id % 2 = 0 OR page_id % 3 = 0"), (3, "page_id % 5 = 0")):
+        delivered(pages, rule, version).coalesce(1).write.mode("append").parquet(incoming)
+        J.ingest(spark, incoming, kept, log, force=version == 3)
+    return kept.rows(spark).select("url", "page_id", F.md5("html").alias("digest"))
 
 
 @query("j2_stream_seen_urls", "SELECT regexp_replace(url, '#.*$', '') AS url FROM pages GROUP BY 1")
 def j2(spark, sf):
+    """The URLs of two deliveries that share pages, each URL once over both."""
     out, log, incoming = (scratch(spark, x) for x in ("urls", "log", "incoming"))
-    table(spark, sf, "pages").select("page_id", "url", "html").write.parquet(incoming)
-    J.distinct_urls(spark, incoming, out, log)
-    return spark.read.schema("url string").parquet(out)
+    pages, kept = table(spark, sf, "pages").select("page_id", "url", "html"), J.urls_table(out, 8)
+    for rule in ("page_id % 3 <> 0", "page_id % 2 = 0 OR page_id % 3 = 0"):
+        pages.filter(rule).write.mode("append").parquet(incoming)
+        J.distinct_urls(spark, incoming, kept, log)
+    return kept.rows(spark).select("url")

@@ -9,6 +9,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 from dialogue_etl.functions import text as T
+from dialogue_etl.operators import coverage as V
 from dialogue_etl.operators import lines as L
 
 DIALOGUE_FIELDS = ["source", "source_title", "line_no", "speaker", "text", "section_title", "version"]
@@ -98,18 +99,8 @@ LISTING = "# Dialogue Extract\n\n> Generated listing. Branch choices may need ma
 PARSED = "# Parsed Story Sources\n\n> Generated. Review before using as evidence.\n\n"
 
 
-def write_documents(texts: DataFrame, path: str, key: str, text: str = "text") -> None:
-    """One folder a key (path/key=...) with its text; texts has one row a key."""
-    texts.select(key, F.col(text).alias("value")).write.mode("overwrite").partitionBy(key).option("lineSep", "\n").text(path)
-
-
-def read_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """(key, text) of what write_documents() wrote, with the line end after the text."""
-    return spark.read.schema(f"value string, {key} string").text(path, wholetext=True).select(key, F.col("value").alias("text"))
-
-
 def dialogue_documents(dialogue: DataFrame) -> DataFrame:
-    """(source, text): the Markdown listing of each source, ready for write_documents()."""
+    """(source, text): the Markdown listing of each source, ready for documents.write_documents()."""
     rows = dialogue_markdown(dialogue)
     packed = F.array_sort(F.collect_list(F.struct("line_no", "out_no", "out")))
     return rows.groupBy("source").agg(F.concat(F.lit(LISTING), F.array_join(F.transform(packed, lambda x: x["out"]), "\n")).alias("text"))
@@ -138,6 +129,14 @@ def coverage_report_json(report: DataFrame, counts: list[str]) -> DataFrame:
     return report.select("page", F.to_json(F.struct("page", "status", "error", F.create_map(*pairs).alias("counts"), "mismatches", "missing", "extra")).alias("report"))
 
 
+# Fixed values of the report's format.
+NOTES = ["", "## 说明", "", "- 该报告使用空白无关匹配，因此换行、缩进、Markdown 标记不会造成误报。", "- `source_plot_frames` 是 HTML 中所有选项组数量，包含嵌套分支。", "- 缺失项为强信号；额外项可能来自解析器添加的结构化说明，需要人工判断。"]
+SUMMARY_HEAD = ["# 剧情 Markdown 批量覆盖率汇总", "", "## 总览", ""]
+TABLE_HEAD = ["", "## 页面明细", "", "| # | 版本 | 状态 | 标题 | 缺失 | 额外 | 选项异常 | 覆盖率报告 |", "| ---: | --- | --- | --- | ---: | ---: | ---: | --- |"]
+ODD_HEAD = ["", "## 异常页", ""]
+NOTHING_ODD = "- 未发现异常页。"
+
+
 def _bullets(items: Column, line, none: str) -> Column:
     return F.when(F.size(items) == 0, F.array(F.lit(none))).otherwise(F.transform(items, line))
 
@@ -160,26 +159,50 @@ def coverage_report_markdown(report: DataFrame, counts: list[str], html: str = "
         _bullets(F.col("missing"), lambda m: F.concat(F.lit("- "), code(m["kind"]), F.lit(" "), code(F.coalesce(m["path"], F.lit(""))), F.lit(" expected="), m["expected"], F.lit(", observed="), m["observed"], F.lit(": "), m["text"]), "- 未发现缺失文本组。"),
         F.array(*text("", "## Markdown 中有但 HTML 源清单中未匹配", "")),
         _bullets(F.col("extra"), lambda m: F.concat(F.lit("- "), code(m["kind"]), F.lit(" observed="), m["observed"], F.lit(", source="), m["source_count"], F.lit(": "), m["text"]), "- 未发现额外文本组。"),
+        F.array(*text(*NOTES)),
     ]
     return report.select("page", F.array_join(F.concat(*parts), "\n").alias("text"))
 
 
-def coverage_summary_rows(report: DataFrame, by: str) -> DataFrame:
-    """Table rows of a batch: '-' for absent counts, '|' escaped in titles."""
-    def shown(c):
-        return F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    title = F.replace("title", F.lit("|"), F.lit("\\|"))
-    return report.select(by, F.concat(F.lit("| "), F.concat_ws(" | ", F.col(by).cast("string"), title, shown("version"), "status", shown("missing_groups"), shown("extra_groups"), shown("plot_mismatches")), F.lit(" |")).alias("row"))
+def coverage_summary(report: DataFrame, by: str, link: str = "coverage") -> DataFrame:
+    """(part, place, line) of a batch's summary: title and number of pages, a line a status, the table, and a line for
+    every page that doesn't pass. report has the columns title, version and link, the report's path from the summary.
+
+    Lines stay rows, as the table grows with the pages; write_summary() writes them in order.
+    """
+    long = F.lit(0).cast("long")
 
+    def fixed(part: int, lines: list[str]) -> DataFrame:
+        return report.sparkSession.createDataFrame([(part, k, line) for k, line in enumerate(lines)], "part int, place long, line string")
 
-def coverage_summary(report: DataFrame, by: str) -> DataFrame:
-    """(part, place, line) of a batch's summary: the number of pages, one line a status, the table, and a line for
-    every page that doesn't pass. Lines stay rows, so the table grows with the pages; sort by (part, place) to write it."""
-    none = F.lit(0).cast("long")
-    totals = report.groupBy("status").agg(F.count("*").alias("n"))
-    pages = report.agg(F.lit(0).alias("part"), none.alias("place"), F.concat(F.lit("- 页面数："), F.count("*")).alias("line"))
-    counts = totals.select(F.lit(1).alias("part"), none.alias("place"), F.concat(F.lit("- `"), "status", F.lit("`："), "n").alias("line"))
-    table = coverage_summary_rows(report, by).select(F.lit(2).alias("part"), F.col(by).cast("long").alias("place"), F.col("row").alias("line"))
+    def shown(c) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit("-"))
+
+    place = F.col(by).cast("long")
+    pages = report.agg(F.lit(1).alias("part"), long.alias("place"), F.concat(F.lit("- 页面数："), F.count("*")).alias("line"))
+    totals = V.status_totals(report).select(F.lit(2).alias("part"), F.row_number().over(Window.orderBy("status")).cast("long").alias("place"), F.concat(F.lit("- `"), "status", F.lit("`："), "n").alias("line"))
+    title = F.replace("title", F.lit("|"), F.lit("\\|"))
+    cells = [F.col(by).cast("string"), F.coalesce("version", F.lit("")), F.concat(F.lit("`"), "status", F.lit("`")), title, shown("missing_groups"), shown("extra_groups"), shown("plot_mismatches"), F.concat(F.lit("["), link, F.lit("]("), link, F.lit(")"))]
+    table = report.select(F.lit(4).alias("part"), place.alias("place"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
     detail = F.coalesce("error", F.format_string("missing=%d, extra=%d, plot_mismatches=%d", "missing_groups", "extra_groups", "plot_mismatches"))
-    odd = report.filter("status <> 'pass'").select(F.lit(3).alias("part"), F.col(by).cast("long").alias("place"), F.format_string("- `%s` %03d %s：%s", "status", by, "title", detail).alias("line"))
-    return pages.unionByName(counts).unionByName(table).unionByName(odd)
+    odd = report.filter("status <> 'pass'").select(F.lit(6).alias("part"), place.alias("place"), F.format_string("- `%s` %03d %s：%s", "status", place, "title", detail).alias("line"))
+    none = report.agg(F.lit(6).alias("part"), long.alias("place"), F.when(F.coalesce(F.max(F.col("status") != "pass"), F.lit(False)), F.lit(None)).otherwise(F.lit(NOTHING_ODD)).alias("line")).filter("line IS NOT NULL")
+    out = fixed(0, SUMMARY_HEAD)
+    for part in (pages, totals, fixed(3, TABLE_HEAD), table, fixed(5, ODD_HEAD), odd, none):
+        out = out.unionByName(part)
+    return out
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """Writes the lines of coverage_summary() in order: sorted by ranges, so the part files one after the other are
+    the Markdown file; a summary of one range is one file."""
+    lines = summary.orderBy("part", "place").select(F.col("line").alias("value"))
+    lines.write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line) of text files that are one document in the order of their names."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.split(F.regexp_replace("value", "\\n$", ""), "\n").alias("lines"))
+    # One short row a file.
+    before = files.select("name", F.coalesce(F.sum(F.size("lines")).over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return files.join(before, "name").select("before", F.posexplode("lines").alias("pos", "line")).select((F.col("before") + F.col("pos") + 1).alias("line_no"), "line")

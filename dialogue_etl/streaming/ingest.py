@@ -6,45 +6,43 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialogue_etl.functions import text as T
+from dialogue_etl.sources.keyed import KeyedTable
 
 PAGE_SCHEMA = "page_id long, url string, html string"
 
 
-def ingest(spark: SparkSession, incoming: str, table: str, checkpoint: str, files_per_trigger: int = 4) -> None:
-    """Merges all new page files into the versioned table at `table` and stops.
+def pages_table(path: str, slots: int = 64) -> KeyedTable:
+    return KeyedTable(path, PAGE_SCHEMA, "url", slots)
 
-    Each batch writes a partition of its own, named by the batch id, so a batch that is repeated after a crash
-    replaces itself. URLs that the table has already are not written again: an anti join on the table, so no
-    state grows in the stream.
+
+def urls_table(path: str, slots: int = 64) -> KeyedTable:
+    return KeyedTable(path, "url string", "url", slots)
+
+
+def ingest(spark: SparkSession, incoming: str, table: KeyedTable, checkpoint: str, files_per_trigger: int = 4, force: bool = False) -> None:
+    """Merges all new page files into the table and stops.
+
+    Of the pages of one normalised URL the smallest page_id counts; pages without a URL are left out. URLs that the
+    table has already keep their row; with force the new page replaces it. No state grows in the stream: each batch
+    reads only the table's partitions that its URLs fall into, and of these only what the filter of URLs lets through.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+    def merge(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("url", T.normalize_url(F.col("url")))
-        rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("url").orderBy("page_id"))).filter("nth = 1").drop("nth")
-        known = seen(session, table, batch_id)
-        if known is not None:
-            rows = rows.join(known.select("url"), "url", "left_anti")
-        rows.select("page_id", "url", "html").write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        first = F.row_number().over(Window.partitionBy("url").orderBy(F.asc_nulls_last("page_id"), F.asc_nulls_last("html")))
+        table.merge(rows.withColumn("nth", first).filter("nth = 1").drop("nth"), base + number, force)
+
+    base = table.first_batch(spark, checkpoint)
+    stream = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(incoming)
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def distinct_urls(spark: SparkSession, incoming: str, table: KeyedTable, checkpoint: str, files_per_trigger: int = 4) -> None:
+    """Each normalised URL of the new files once into the table, over all runs; the stream itself keeps no URL."""
+
+    def merge(batch: DataFrame, number: int) -> None:
+        table.merge(batch.select(T.normalize_url(F.col("url")).alias("url")).distinct(), base + number)
 
+    base = table.first_batch(spark, checkpoint)
     stream = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(incoming)
-    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-
-
-def seen(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """Rows of the table, of earlier batches only where `before` is given; None if there are none yet."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return None
-    rows = spark.read.schema(f"{PAGE_SCHEMA}, batch int").parquet(table)
-    return rows if before is None else rows.filter(F.col("batch") < before)
-
-
-def distinct_urls(spark: SparkSession, incoming: str, table: str, checkpoint: str) -> None:
-    """Each normalised URL at most once over the run, by streaming deduplication; its state is one key a URL."""
-    stream = spark.readStream.schema(PAGE_SCHEMA).parquet(incoming)
-    urls = stream.select(T.normalize_url(F.col("url")).alias("url")).dropDuplicates(["url"])
-    query = urls.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(table)
-    query.awaitTermination()
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

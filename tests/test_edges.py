@@ -136,11 +136,14 @@ def test_deep_and_bad_pages(spark, monkeypatch):
     md = story_markdown(frame.filter("page <> 2"), "page", "html", "title", "source", "version")
     report = V.page_reports(broken, md)
     assert {r.page: (r.status, r.source_items) for r in report.collect()} == {1: ("pass", 1), 2: ("error", None), 3: ("pass", 0)}
-    named = report.withColumns({"title": F.lit("T|x"), "version": F.lit("3"), "html": F.lit("h"), "markdown": F.lit("m")})
-    lines = {(r.part, r.place): r.line for r in IO.coverage_summary(named, "page").collect() if r.part != 1}
-    assert lines[0, 0] == "- 页面数：3" and lines[2, 2] == "| 2 | T\\|x | 3 | error | - | - | - |" and lines[3, 2] == "- `error` 002 T|x：ValueError: x"
+    named = report.withColumns({"title": F.lit("T|x"), "version": F.lit("3"), "html": F.lit("h"), "markdown": F.lit("m"), "coverage": F.lit("c.md")})
+    lines = {(r.part, r.place): r.line for r in IO.coverage_summary(named, "page").collect()}
+    assert lines[1, 0] == "- 页面数：3" and lines[4, 2] == "| 2 | 3 | `error` | T\\|x | - | - | - | [c.md](c.md) |" and lines[6, 2] == "- `error` 002 T|x：ValueError: x"
+    assert lines[2, 1] == "- `error`：1" and lines[2, 2] == "- `pass`：2" and (6, 0) not in lines and V.batch_failed(named)
+    calm = named.filter("status = 'pass'")
+    assert not V.batch_failed(calm) and [r.line for r in IO.coverage_summary(calm, "page").filter("part = 6").collect()] == ["- 未发现异常页。"]
     text = {r.page: r.text for r in IO.coverage_report_markdown(named, V.COUNTS).collect()}
-    assert "| `source_items` | 1 |" in text[1] and "| `source_items` | - |" in text[2] and text[1].endswith("- 未发现额外文本组。")
+    assert "| `source_items` | 1 |" in text[1] and "| `source_items` | - |" in text[2] and text[1].endswith("\n".join(["- 未发现额外文本组。", *IO.NOTES]))
 
 
 def test_report_lists(spark):
