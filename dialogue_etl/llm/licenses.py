@@ -9,6 +9,7 @@ degree of freedom: or takes the freer side, and the less free one, with an excep
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -53,11 +54,13 @@ def freedom(name: str) -> float:
 
 
 class Value(NamedTuple):
-    """What an expression stands for: its tokens in postfix order, the identifiers that it names and its freedom."""
+    """What an expression stands for: its tokens in postfix order, the identifiers that it names, its freedom, and the
+    number of tokens that were read for it."""
 
     postfix: list[str]
     names: set[str]
     free: float
+    read: int
 
 
 def evaluate(tokens: Iterator[str]) -> Value | None:
@@ -78,7 +81,7 @@ def evaluate(tokens: Iterator[str]) -> Value | None:
             free.append((left + 1) / 2 if op == "with" else max(left, right) if op == "or" else min(left, right))
             postfix.append(op)
 
-    open_brackets, wants_operand = 0, True
+    open_brackets, wants_operand, read = 0, True, 0
     for word in map(str.lower, tokens):
         exception = bool(waiting) and waiting[-1] == "with" and wants_operand
         if wants_operand and word == "(" and not exception:
@@ -100,6 +103,7 @@ def evaluate(tokens: Iterator[str]) -> Value | None:
             open_brackets -= 1
         else:
             break
+        read += 1
     while wants_operand and waiting:  # brackets without content, then the operator that lacks its right side
         if waiting.pop() in _RANK:
             break
@@ -107,13 +111,13 @@ def evaluate(tokens: Iterator[str]) -> Value | None:
         release(1)
         if waiting:
             waiting.pop()
-    return Value(postfix, names, free[0]) if free else None
+    return Value(postfix, names, free[0], read) if free else None
 
 
-def tokens_of(text: str) -> Iterator[str]:
-    at = 0
+def tokens_of(text: str, at: int = 0) -> Iterator[tuple[str, int]]:
+    """Tokens of an expression and where they end, as far as there are any."""
     while m := _TOKEN.match(text, at):
-        yield m[1]
+        yield m[1], m.end()
         at = m.end()
 
 
@@ -172,7 +176,8 @@ def _scan(phrases):
             for a, z, data, ends in slices(batch.column(1)):
                 starts, stops, first = word_spans(data, ends, ALNUM)
                 found = _places(phrases, data, starts, stops, first)
-                rows = [_read(sorted(found[k]), data, starts, stops, int(first[k]), int(ends[k + 1])) if k in found else _NOTHING for k in range(z - a)]
+                lines = np.flatnonzero(data == 10)
+                rows = [_read(sorted(found[k]), data, starts, stops, lines, int(first[k]), int(ends[k + 1])) if k in found else _NOTHING for k in range(z - a)]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(np.diff(first), pa.int64()), *columns], names=_NAMES)
 
@@ -186,25 +191,33 @@ _NOTHING = (0, None, None, [], [], 0.0, [], [])
 _SCHEMA = "id {id}, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double, places array<struct<word:long,n_words:int,label:string>>, expressions array<string>"
 
 
-def _read(places: list[tuple[int, int, str, str]], data: np.ndarray, starts: np.ndarray, stops: np.ndarray, first: int, end: int) -> tuple:
-    """One text's row from its places; first is its first word, end the byte after its last one."""
+def _read(places: list[tuple[int, int, str, str]], data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lines: np.ndarray, first: int, end: int) -> tuple:
+    """One text's row from its places; lines are the places of line ends, first is its first word, end its last byte + 1."""
     base = [(w, label) for w, _, kind, label in places if kind == "base"]
     labels = {label for _, _, kind, label in places if kind != "tag"}
     stated: list[Value] = []
-    reach = -1
+    read: list[tuple[int, int]] = []  # bytes of expressions after tags
+    tags: list[tuple[int, int]] = []  # first and last words; a shorter tag inside a longer one is the same tag
     for start, words, kind, _ in places:
-        if kind == "tag" and start + words > reach:  # a shorter tag inside a longer one is the same tag
-            reach = start + words
-            line = data[stops[start + words - 1] : end]
-            cut = np.flatnonzero(line == 10)
-            rest = line[: cut[0] if len(cut) else len(line)].tobytes().decode(errors="replace")
-            opening = _OPENING.match(rest)
-            value = evaluate(tokens_of(rest[opening.end() :])) if opening else None
-            if value:
-                stated.append(value)
+        if kind == "tag" and (not tags or start > tags[-1][1]):
+            tags.append((start, start + words - 1))
+    for k, (_, last) in enumerate(tags):
+        # An expression ends with its line, and before the next tag.
+        begin, stop = int(stops[last]), int(starts[tags[k + 1][0]]) if k + 1 < len(tags) else end
+        line = lines[np.searchsorted(lines, begin)] if len(lines) and lines[-1] >= begin else end
+        rest = data[begin : min(stop, line)].tobytes().decode(errors="replace")
+        opening = _OPENING.match(rest)
+        found = list(tokens_of(rest, opening.end())) if opening else []
+        value = evaluate(token for token, _ in found)
+        if value:
+            stated.append(value)
+            read.append((begin, begin + len(rest[: found[value.read - 1][1]].encode())))
     # Of notices that overlap the longest counts, the earlier of equal ones.
     notices: list[tuple[int, int, str]] = []
     for start, words, kind, label in sorted((p for p in places if p[2] != "tag"), key=lambda p: (p[0], -p[1], p[3])):
+        k = bisect_right(read, (int(starts[start]), end)) - 1
+        if k >= 0 and read[k][0] <= starts[start] < read[k][1]:
+            continue
         if notices and start < notices[-1][0] + notices[-1][1]:
             if words > notices[-1][1]:
                 notices[-1] = (start, words, label)
@@ -228,7 +241,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Words are runs of ASCII letters and digits and of any other character beyond ASCII, A-Z folded. The score is the
     freedom that all statements of the text leave together, the least of theirs: 1 for the public domain, 0 for all
     rights reserved and where nothing is stated. A phrase inside a longer one counts as a place and gives its label,
-    but isn't a statement of its own. A tag without ':' or '=' after it, or without an expression on its line, states nothing.
+    but isn't a statement of its own, nor is one inside a tag's expression. A tag without ':' or '=' after it, or without an expression on its line, states nothing.
 
     Defined cases: null and empty texts have no words and state nothing; every row is read by itself, those that
     repeat an id and those without one too; long texts are read whole.

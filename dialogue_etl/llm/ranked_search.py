@@ -90,7 +90,7 @@ class Block:
 
     def groups(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(documents ordered by group, first of each group and the end, each group's maximum), by descending maximum."""
-        words = -(-len(terms) // 64)
+        words = max(1, -(-len(terms) // 64))
         masks = np.zeros((len(self.by_doc) - 1, words), np.uint64)
         for k, t in enumerate(terms.tolist()):
             masks[self.docs[self.by_term[t] : self.by_term[t + 1]], k // 64] |= np.uint64(1 << k % 64)
