@@ -37,6 +37,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return out
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def drop(df: DataFrame) -> None:
     """Removes a table that materialize() wrote, once nothing reads it any more."""
     path = getattr(df, "_scratch_path", None)

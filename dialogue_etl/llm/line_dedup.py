@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_etl.llm.common import drop, materialize
+from dialogue_etl.llm.common import drop, free_name, materialize
 from dialogue_etl.llm.textkit import NOT_SPACE, mix, powers, slices, span_hashes, word_spans
 
 #: Lines of fewer words are only compared for equality: one word is much of what they say ("Chapter 1", "Chapter 2").
@@ -94,12 +94,13 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(lines.text[on] + a)),
+                    batch.column("row").take(pa.array(lines.text[on] + a)),
                     pa.array(lines.number[on], pa.int32()),
                     pa.array(lines.key[on].astype(np.int64)),
                     pa.array(lines.n[on], pa.int32()),
                     *(pa.array(halves[:, k]) for k in range(3)),
                 ],
-                names=["doc_id", "line_no", "line", "n_words", "k0", "k1", "k2"],
+                names=["doc_id", "row", "line_no", "line", "n_words", "k0", "k1", "k2"],
             )
 
 
@@ -170,13 +171,19 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("line").filter(pa.array(keep, pa.bool_()))], names=["line"])
 
 
-def line_status(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line_no, dropped) of every line with a word, line_no counted from 0 in its document."""
+def line_status(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, row_col: str | None = None) -> DataFrame:
+    """(doc_id, row, line_no, dropped) of every line with a word, line_no counted from 0 in its row's text.
+
+    Every row has a number of its own, so rows that repeat an id or have none don't mix up their lines: the column
+    row_col, or else the place at which the rows are stored.
+    """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    listed = materialize(texts.mapInArrow(_listed, "doc_id long, line_no int, line long, n_words int, k0 long, k1 long, k2 long"), "line-list")
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row.alias("row")).filter("text IS NOT NULL")
+    # Written at once, so the numbers are fixed from here on.
+    listed = materialize(texts.mapInArrow(_listed, "doc_id long, row long, line_no int, line long, n_words int, k0 long, k1 long, k2 long"), "line-list")
     # Equal lines are one; a null id comes after all others.
-    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("line_no").alias("l"))
+    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("row").alias("r"), F.col("line_no").alias("l"))
     distinct = listed.groupBy("line").agg(F.min(order).alias("first"), F.first("n_words").alias("n_words"), *[F.first(k).alias(k) for k in ("k0", "k1", "k2")])
     distinct = materialize(distinct, "line-distinct")
     halves = distinct.filter(F.col("n_words") >= min_words).select(F.explode(F.array_distinct(F.array("k0", "k1", "k2"))).alias("key"))
@@ -206,16 +213,17 @@ def line_status(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = materialize(checked.select("line", "text_a", "text_b").mapInArrow(_verified, "line long").withColumn("near", F.lit(True)), "line-near")
     known = materialize(distinct.select("line", "first").join(gone, "line", "left"), "line-known")
     drop(active)
-    return listed.select("doc_id", "line_no", "line", order.alias("own")).join(known, "line").select("doc_id", "line_no", (F.coalesce("near", F.lit(False)) | (F.col("own") != F.col("first"))).alias("dropped"))
+    return listed.select("doc_id", "row", "line_no", "line", order.alias("own")).join(known, "line").select("doc_id", "row", "line_no", (F.coalesce("near", F.lit(False)) | (F.col("own") != F.col("first"))).alias("dropped"))
 
 
 def dedup_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Returns per id of docs: n_lines (with a word), n_kept and dropped_lines (ascending, comma-joined).
 
-    A line goes if an earlier line of the corpus, in the order of (id, line number), is equal to it or, both
+    A line goes if an earlier line of the corpus, in the order of (id, row, line number), is equal to it or, both
     having at least min_words words, differs by one word; words are compared with A-Z folded. Lines end at a
-    line feed; lines without a word stay and don't count. Null and empty texts have no lines. Rows that repeat an
-    id are one document; a null id comes last in the order.
+    line feed; lines without a word stay and don't count. Null and empty texts have no lines. A null id comes last
+    in the order. Rows that repeat an id, or have none, are told apart: a line that another row of the id repeats
+    goes; they are summed into one row here, each line under its number in its own text.
     """
     status = line_status(docs, id_col, text_col, min_words)
     per_doc = status.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(~F.col("dropped")).alias("n_kept"), F.array_sort(F.collect_list(F.when(F.col("dropped"), F.col("line_no")))).alias("gone"))
@@ -225,12 +233,14 @@ def dedup_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with the dropped lines taken out of their texts; all columns stay."""
-    gone = line_status(docs, id_col, text_col, min_words).filter("dropped").groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone")).withColumnRenamed("doc_id", "__doc")
-    out = docs.join(materialize(gone, "line-gone"), F.col(id_col).cast("long").eqNullSafe(F.col("__doc")), "left")
-    kept = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains(F.coalesce("__gone", F.array().cast("array<int>")), i))
-    cleaned = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return out.select(*[cleaned.alias(text_col) if c == text_col else docs[c] for c in docs.columns])
+    """docs with the dropped lines taken out of their texts; all rows and columns stay. Lines are taken out row by row."""
+    own, gone_col = free_name(docs, "row"), free_name(docs, "gone")
+    keyed = materialize(docs.withColumn(own, F.monotonically_increasing_id()), "line-rows")
+    gone = line_status(keyed, id_col, text_col, min_words, own).filter("dropped").groupBy(F.col("row").alias(own)).agg(F.collect_set("line_no").alias(gone_col))
+    out = keyed.join(materialize(gone, "line-gone"), own, "left")
+    kept = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains(F.col(gone_col), i))
+    cleaned = F.when(F.col(gone_col).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    return out.select(*[cleaned.alias(text_col) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:

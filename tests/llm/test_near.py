@@ -189,3 +189,23 @@ def test_whole_runs():
     tables = list(common.whole_runs(batches, ["k"]))
     seen = [set(t.column("k").to_pylist()) for t in tables]
     assert sum(t.num_rows for t in tables) == 200 and all(not a & b for k, a in enumerate(seen) for b in seen[:k])
+
+
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    """Rows that share an id or have none lose only their own repeats; one of several equal rows stays whole."""
+    long = "one two three four five six seven eight"
+    rows = [(1, "shared line\nunique a"), (5, "shared line\nx"), (5, "precious first line\nshared line"), (None, "only in null row\ntail"), (None, "shared line\nend"), (7, "same\nrow"), (7, "same\nrow"), (8, long), (8, long + " nine"), (9, None), (9, "")]
+    frame = spark.createDataFrame([(*r, k, k, k) for k, r in enumerate(rows)], "doc_id long, text string, row int, gone int, line_no int")
+    want = ["shared line\nunique a", "x", "precious first line", "only in null row\ntail", "end", "same\nrow", "", long, "", None, ""]
+    for parts in (1, 3):
+        cleaned = line_dedup.without_repeats(frame.repartition(parts).sortWithinPartitions("gone") if parts > 1 else frame.coalesce(1))
+        got = {r.gone: (r.doc_id, r.text, r.row, r.line_no) for r in cleaned.collect()}
+        assert cleaned.columns == frame.columns and len(got) == len(rows)
+        assert all(got[k] == (i, w, k, k) for k, ((i, _), w) in enumerate(zip(rows, want)) if i not in (7, 8))
+        # Which of the equal or nearly equal rows of an id comes first is a matter of how they are stored.
+        assert sorted(got[k][1] for k in (5, 6)) == ["", "same\nrow"] and sorted(got[k][1] == "" for k in (7, 8)) == [False, True]
+    summary = {str(r.doc_id): (r.n_lines, r.n_kept) for r in line_dedup.dedup_summary(frame).collect()}
+    kept = {}
+    for i, text, _, _ in got.values():
+        kept[str(i)] = kept.get(str(i), 0) + sum(bool(line.split()) for line in (text or "").split("\n"))
+    assert {i: n for i, (_, n) in summary.items()} == kept and summary["5"] == (4, 2)
