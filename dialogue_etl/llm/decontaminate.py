@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_etl.llm.common import materialize
+from dialogue_etl.llm.common import free_name, materialize
 from dialogue_etl.llm.textkit import ALNUM, combine, slices, span_hashes, word_spans
 
 WINDOW = 13
@@ -213,14 +213,14 @@ def _searched(rows: DataFrame, sets: Iterator, blocks: int) -> DataFrame:
     return found.select("row_key", "n_words", "spans", "items").mapInArrow(_merge_spans, f"row_key {kind}, n_words long, n_hit long, items array<long>")
 
 
-def _row_by_row(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, window: int, max_windows: int) -> tuple[DataFrame, int]:
-    """occurrences() of every row, rows that repeat an id too, and the number of blocks."""
+def _row_by_row(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, window: int, max_windows: int) -> DataFrame:
+    """occurrences() of every row, rows that repeat an id too."""
     texts = docs.select(F.col(id_col).alias("row_key"), F.col(text_col).alias("text"))
     blocks, sets = _pattern_blocks(benchmark, item_col, item_text, window, max_windows)
     if blocks == 1:
-        return _searched(texts, sets, blocks), blocks
+        return _searched(texts, sets, blocks)
     keyed = materialize(texts.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("row_key").alias("id")).alias("row_key"), "text"), "decon-rows")
-    return _searched(keyed, sets, blocks).withColumn("row_key", F.col("row_key.id")), blocks
+    return _searched(keyed, sets, blocks).withColumn("row_key", F.col("row_key.id"))
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
@@ -228,16 +228,14 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 
     Words are runs of ASCII letters and digits and of any other character beyond ASCII, A-Z folded. An item
     of fewer words than the window is one window; an item without words has none. Null texts have no words.
-    Null item ids are left out. With several blocks of items equal answers of one id are given once;
-    contamination() and decontaminate() answer row by row with any number of blocks.
+    Null item ids are left out. Every row has its answer, rows that repeat an id too, with any number of blocks.
     """
-    found, blocks = _row_by_row(docs, benchmark, id_col, text_col, item_col, item_text, window, max_windows)
-    return found if blocks == 1 else found.distinct()
+    return _row_by_row(docs, benchmark, id_col, text_col, item_col, item_text, window, max_windows)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """Adds the digest and the verdict to the occurrences of every row: contaminated if n_hit > 0 and 20 * n_hit >= n_words."""
-    found, _ = _row_by_row(docs, benchmark, id_col, text_col, item_col, item_text, window, max_windows)
+    found = _row_by_row(docs, benchmark, id_col, text_col, item_col, item_text, window, max_windows)
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
         F.col("row_key").alias(id_col),
@@ -259,10 +257,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if blocks == 1:
         return docs.mapInArrow(_clean_rows(next(sets), text_col), docs.schema)
     # A hit may be made up of several blocks' items, so the verdict needs all blocks' spans of a row.
-    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "decon-rows")
-    found = _searched(keyed.select(F.col("__row").alias("row_key"), F.col(text_col).alias("text")), sets, blocks)
-    bad = materialize(found.filter(_contaminated()).select(F.col("row_key").alias("__row")), "contaminated")
-    return keyed.join(bad, "__row", "left_anti").select(*docs.columns)
+    own = free_name(docs, "row")
+    keyed = materialize(docs.withColumn(own, F.monotonically_increasing_id()), "decon-rows")
+    found = _searched(keyed.select(F.col(own).alias("row_key"), F.col(text_col).alias("text")), sets, blocks)
+    bad = materialize(found.filter(_contaminated()).select(F.col("row_key").alias(own)), "contaminated")
+    return keyed.join(bad, own, "left_anti").select(*docs.columns)
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
