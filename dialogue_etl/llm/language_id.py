@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_etl.llm.common import materialize
@@ -109,11 +109,15 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_per_la
     if not total[DIMS]:
         return np.ones(DIMS), [], np.zeros((0, DIMS), np.float32), np.zeros(0)
     idf = np.log((1 + total[DIMS]) / (1 + total[:DIMS])) + 0.1
-    by_lang = rows.groupBy("lang").count().select(F.col("lang").alias("l"), F.least(F.lit(1.0), F.lit(float(max_per_lang)) / F.col("count")).alias("share"))
-    sample = rows.join(materialize(by_lang, "lang-counts"), F.col("lang") == F.col("l")).filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    # The first texts of each language by a hash of id and text: twice as many as wanted by a threshold on the hash,
+    # and the very first in any case, then the wanted number of these, however many rows share a hash.
+    hashed = rows.withColumn("place", F.pmod(F.xxhash64("id", "text", F.lit(5)), F.lit(1 << 40)))
+    by_lang = hashed.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).select(F.col("lang").alias("l"), F.greatest("least", F.least(F.lit(1.0), F.lit(2.0 * max_per_lang) / F.col("n")) * (1 << 40)).alias("most"))
+    near = hashed.join(materialize(by_lang, "lang-counts"), F.col("lang") == F.col("l")).filter(F.col("place") <= F.col("most"))
+    sample = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).filter(F.col("nth") <= max_per_lang)
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("id")
+        part = part.sort_values("nth")
         x = np.concatenate([vectors(t, idf) for _, t in pieces(part["text"].tolist())])
         c, own = spherical_kmeans(x, k)
         near = np.einsum("ij,ij->i", x, c[own])
@@ -121,7 +125,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_per_la
         return pd.DataFrame({"lang": part["lang"].iloc[0], "centre": [y.astype(np.float32).tobytes() for y in c], "least": least})
 
     # One row a centroid: as many as there are languages times k.
-    fitted = sample.select("id", "lang", "text").groupBy("lang").applyInPandas(fit, "lang string, centre binary, least double").orderBy("lang", "centre").toPandas()
+    fitted = sample.select("nth", "lang", "text").groupBy("lang").applyInPandas(fit, "lang string, centre binary, least double").orderBy("lang", "centre").toPandas()
     centres = np.stack([np.frombuffer(x, np.float32) for x in fitted["centre"]])
     return idf, fitted["lang"].tolist(), centres, fitted["least"].to_numpy()
 

@@ -147,7 +147,7 @@ def test_held_out_languages_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     more = docs.limit(3).selectExpr("doc_id", "repeat(text, 60) AS text", "lang").unionByName(docs.limit(2).select("doc_id", "text", "lang")).unionByName(docs.limit(2).select("doc_id", "text", "lang"))
     got = language_id.identify(docs.select("doc_id", "text", "lang").unionByName(more)).join(docs.select("doc_id", "lang"), "doc_id").collect()
-    held = [r for r in got if r.held_out and r.lang is not None and r.lang_pred != "und"]
+    held = [r for r in got if r.held_out and r.lang is not None]
     assert len(held) > 200 and np.mean([r.lang_pred == r.lang for r in held]) > 0.97
     alike = {}
     for r in got:
@@ -155,6 +155,18 @@ def test_held_out_languages_of_documents(spark):
     assert sum(len(v) > 1 for v in alike.values()) <= 1
 
 
+def test_languages_of_many_rows_without_id(spark):
+    """Rows without an id, or with one id, are sampled by their texts; the sample of a language has a true bound."""
+    english, other = ["the house and the tree", "a river with the boat"], ["der hund und die katze", "ein fluss mit dem boot"]
+    rows = [(None, f"{t} {k}", lang) for k in range(1500) for lang, ts in (("en", english), ("de", other)) for t in ts] + [(None, "la casa", "es")] * 3000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    _, langs, centres, _ = language_id.train(frame, "doc_id", "text", "lang", max_per_lang=50)
+    assert set(langs) == {"en", "de", "es"} and len(centres) == len(langs)
+    asked = spark.createDataFrame([(1, "the boat", None), (2, "die katze", None), (3, "casa", None)], frame.schema)
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(frame.unionByName(asked), max_per_lang=50).filter("doc_id IS NOT NULL").collect()}
+    assert got == {1: "en", 2: "de", 3: "es"}
+
+
 def test_forged_header_lines(spark, tmp_path):
     """A header line ends at CR LF only, so no character in a URL makes another one."""
     urls = [f"http://h/{c}WARC-Payload-Digest: sha1:FORGED{c}WARC-Type: revisit" for c in ("\u2028", "\u2029", "\u0085", "\r\n", "\n", "\r", "\x0b", "\x0c", "\x00")]
