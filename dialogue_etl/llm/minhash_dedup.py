@@ -139,11 +139,12 @@ def _ranked(short: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def _across(threshold: float, percent: int, most_far: float, one_each: bool):
+def _across(threshold: float, percent: int, most_far: float, exact: bool):
     """Pairs (a, star) of different components inside each bucket that no bound rules out, each pair in its first
     common band only. Where both have been measured against the same centre, a difference of their distances from
-    it beyond most_far rules the pair out: the distance is a metric. With one_each a pair joins its two components
-    for the rest of the bucket, so at most one pair for each component is given."""
+    it beyond most_far rules the pair out: the distance is a metric. A pair joins its two components for the rest of
+    the bucket, so at most one pair for each component is given. The column short holds 16 bits of each shingle, with
+    exact all 64: then only pairs that reach the threshold are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["band", "key", "blk_i", "blk_j"]
@@ -153,7 +154,7 @@ def _across(threshold: float, percent: int, most_far: float, one_each: bool):
             bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
             raw = table.column("short").to_pylist()
             ends = np.concatenate([[0], np.cumsum(columns["n_shingles"])])
-            ranked = _ranked(np.frombuffer(b"".join(raw), "<u2"), ends)
+            ranked = np.unique(np.frombuffer(b"".join(raw), "<u8"), return_inverse=True)[1] if exact else _ranked(np.frombuffer(b"".join(raw), "<u2"), ends)
             present = np.zeros(int(ranked.max(initial=0)) + 1, bool)
             starts = run_starts([columns[c] for c in names])
             found_a, found_b = [], []
@@ -178,7 +179,7 @@ def _across(threshold: float, percent: int, most_far: float, one_each: bool):
                     both = np.array([np.count_nonzero(present[ranked[ends[a + j] : ends[a + j + 1]]]) for j in other])
                     present[ranked[ends[a + k] : ends[a + k + 1]]] = False
                     other = other[100 * both >= percent * (n[other] + n[k] - both)]
-                    if one_each and len(other):
+                    if len(other):
                         joined, first = np.unique(label[other], return_index=True)
                         other = other[first]
                         label[np.isin(label, joined)] = label[k]
@@ -190,6 +191,18 @@ def _across(threshold: float, percent: int, most_far: float, one_each: bool):
     return run
 
 
+def _full_sets(width: int):
+    """(id, short): all 64 bits of the shingles of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, z, data, ends in slices(batch.column("text")):
+                s, at = shingle_sets(data, ends, width)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, z - a), pa.array([s[at[k] : at[k + 1]].astype("<u8").tobytes() for k in range(z - a)], pa.binary())], names=["id", "short"])
+
+    return run
+
+
 def _dealt(placed: DataFrame, name: str) -> DataFrame:
     """The rows (id, band, key, component) of buckets with several components, dealt to pairs of blocks.
 
@@ -266,7 +279,12 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     drop(base)
     # Texts are found by the id (0 for none: the mark tells them apart) and the mark.
     names = classes.select(F.col("key").alias("id"), F.coalesce("class_id", F.lit(0)).alias("doc"), F.col("class_mark").alias("text_mark"))
+    # Of rows that repeat both, one text is read; where none does, this is a look-up in an empty table.
     texts = texts.withColumn("doc", F.coalesce("doc", F.lit(0)))
+    repeats = lite.filter("digest IS NOT NULL").groupBy(F.coalesce("id", F.lit(0)).alias("doc"), "text_mark").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    repeats = materialize(repeats, "mh-repeats")
+    found = ["doc", "text_mark"]
+    texts = texts.join(repeats, found, "left_anti").select(*found, "text").unionByName(texts.join(repeats, found, "left_semi").select(*found, "text").dropDuplicates(found))
 
     banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = materialize(banded.groupBy("band", "key").agg(F.count("*").alias("bucket_size")).filter("bucket_size > 1"), "mh-buckets")
@@ -289,20 +307,36 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     far = measured.select(F.col("a").alias("id"), F.col("b").alias("centre"), "far").join(centres, "id", "left_anti").unionByName(centres.select("id", F.col("id").alias("centre"), F.lit(0.0).alias("far")))
     far = materialize(far, "mh-far")
     order = ["band", "key", "blk_i", "blk_j"]
-    for one_each in (True, False):
-        placed = shared.join(comps, shared.id == comps.node, "left").select("id", "band", "key", F.coalesce("component", "id").alias("component"))
+    looked = shared
+    for exact in (False, True):
+        placed = looked.join(comps, looked.id == comps.node, "left").select("id", "band", "key", F.coalesce("component", "id").alias("component"))
         placed, before = materialize(placed, "mh-placed"), comps
-        rows = _dealt(placed, "mh-mixed").join(reps, "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
+        known = reps
+        if exact:
+            # Written first, as in _confirm: a short list meets the texts without a shuffle of all of them.
+            listed = materialize(placed.select("id").distinct().join(names, "id"), "mh-listed")
+            full = materialize(listed.join(texts, ["doc", "text_mark"]).select("id", "text").mapInArrow(_full_sets(width), "id long, short binary"), "mh-full")
+            known = reps.drop("short").join(full, "id")
+        rows = _dealt(placed, "mh-mixed").join(known, "id").join(far, "id", "left").fillna({"centre": -1, "far": 0.0})
         # Bands and sets are read from the table of classes; no component is compared with itself.
         rows = rows.repartition(*order).sortWithinPartitions(*order)
-        more = rows.mapInArrow(_across(percent / 100 - SLACK, percent, 1 - percent / 100 + 1e-9, one_each), "a long, star long")
+        more = rows.mapInArrow(_across(percent / 100 - SLACK, percent, 1 - percent / 100 + 1e-9, exact), "a long, star long")
         more = materialize(more.distinct(), "mh-across")
         drop(placed)
+        if exact:
+            comps = _merged(before, more.select("a", F.col("star").alias("b")))
+            drop(full)
+            break
         late = _confirm(more, names, texts, width, percent, "mh-round2", few=True)
         comps = _merged(before, late.filter("linked"))
         drop(before)
-        if late.filter("NOT linked").isEmpty():
+        failed = materialize(late.filter("NOT linked").select("a", "b"), "mh-failed")
+        if failed.isEmpty():
             break
+        # A pair that failed stood for its components in the buckets that it shares: these are compared again.
+        left, right = shared.select(F.col("id").alias("a"), "band", "key"), shared.select(F.col("id").alias("b"), "band", "key")
+        again = materialize(left.join(failed, "a").join(right, ["b", "band", "key"]).select("band", "key").distinct(), "mh-again")
+        looked = materialize(shared.join(again, ["band", "key"], "left_semi"), "mh-looked")
     for used in (shared, reps, far, measured):
         drop(used)
     rooted = classes.join(comps, classes.key == comps.node, "left").select("digest", "class_id", "class_mark", F.coalesce("component", "key").alias("root"))

@@ -209,3 +209,45 @@ def test_rows_of_one_id_keep_their_own_lines(spark):
     for i, text, _, _ in got.values():
         kept[str(i)] = kept.get(str(i), 0) + sum(bool(line.split()) for line in (text or "").split("\n"))
     assert {i: n for i, (_, n) in summary.items()} == kept and summary["5"] == (4, 2)
+
+
+def counted_tables(monkeypatch, module, ending):
+    """Rows of the scratch tables of that name, as they are written."""
+    rows, real = [], module.materialize
+
+    def noted(df, name, *args):
+        out = real(df, name, *args)
+        if name.endswith(ending):
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "materialize", noted)
+    return rows
+
+
+def test_repeated_rows_are_verified_once(spark, monkeypatch):
+    """Thousands of rows without an id that share a text send one row of it to verification."""
+    rng = random.Random(12)
+    base = text_of(rng, 80)
+    docs = [(None, base)] * 10_000 + [(k, edited(rng, base, 1)) for k in range(20)] + [(500, base)] * 3000
+    verified = counted_tables(monkeypatch, minhash_dedup, "-links")
+    kept = minhash_dedup.keep_one(spark.createDataFrame(docs, "doc_id long, text string"), width=2).collect()
+    assert len(kept) == 1 and kept[0].doc_id == 0
+    assert sum(verified) <= 60
+
+
+def test_group_just_below_the_threshold(spark, monkeypatch):
+    """Variants that share nearly four fifths with each other, none of them linked: few pairs are verified on texts."""
+    rng = random.Random(3)
+    base = [f"k{k}" for k in range(432)]
+    docs = []
+    for i in range(300):
+        own = list(base)
+        at = rng.randrange(0, 6)
+        own[at * 60 : at * 60 + 49] = [f"d{i}x{j}" for j in range(49)]
+        docs.append((i, " ".join(own)))
+    want = brute.near_duplicates(docs[:60], 2, 80)
+    verified = counted_tables(monkeypatch, minhash_dedup, "-links")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=2).collect()}
+    assert {i: got[i] for i in want} == want and all(i == c for i, (_, c) in got.items())
+    assert sum(verified) < 10 * len(docs)
