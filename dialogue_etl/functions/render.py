@@ -61,41 +61,64 @@ def _packed(rows: DataFrame, page: str, order: str) -> DataFrame:
     return rows.groupBy(F.col(page).alias("page")).agg(lines.alias("lines"))
 
 
-def rendered(read: DataFrame, meta: DataFrame, parts: tuple[str, ...] = (f"## {STORY_HEADING}",), suffix: str = "") -> DataFrame:
-    """(page, lines, dialogue_count, choice_group_count, error) of pages that read_pages() has read.
+def _of_pages(rows: DataFrame, parts: tuple[str, ...], suffix: str) -> DataFrame:
+    """rendered() of rows (page, title, source, version, blocks, error), each a page of its own whatever its id.
 
-    meta has (page, title, source, version). A page with an error has no lines. Lines inside a branch of a branch
-    don't count as dialogue, and only groups outside any branch count, as readers of the counts expect.
+    The lines of a row carry its number and counts through the one shuffle, so nothing is joined back by the id.
     """
     spoken = F.size(F.filter("blocks", lambda b: (b["kind"] == "said") & (b["depth"] <= 1)))
     groups = F.size(F.filter("blocks", lambda b: (b["kind"] == "group") & (b["depth"] == 0)))
-    rows = read.join(meta, "page").withColumns({"raw": F.concat(header(F.concat("title", F.lit(suffix)), F.col("source"), F.col("version"), *parts), outline_lines(F.col("blocks"))), "dialogue_count": spoken, "choice_group_count": groups})
-    lines = mended(rows.filter("error IS NULL").select("page", F.col("raw").alias("lines")))
-    whole = _packed(lines, "source", "line_no")
-    return rows.select("page", "dialogue_count", "choice_group_count", "error").join(whole, "page", "left").select("page", "lines", "dialogue_count", "choice_group_count", "error")
+    raw = F.concat(header(F.concat("title", F.lit(suffix)), F.col("source"), F.col("version"), *parts), outline_lines(F.col("blocks")))
+    own = F.struct(F.monotonically_increasing_id().alias("row"), "page", spoken.alias("dialogue_count"), groups.alias("choice_group_count"))
+    whole = _packed(mended(rows.filter("error IS NULL").select(own.alias("page"), raw.alias("lines"))), "source", "line_no")
+    done = whole.select("page.page", "lines", "page.dialogue_count", "page.choice_group_count", F.lit(None).cast("string").alias("error"))
+    broken = rows.filter("error IS NOT NULL").select("page", F.lit(None).cast("array<string>").alias("lines"), spoken.alias("dialogue_count"), groups.alias("choice_group_count"), "error")
+    return done.unionByName(broken)
+
+
+def rendered(read: DataFrame, meta: DataFrame, parts: tuple[str, ...] = (f"## {STORY_HEADING}",), suffix: str = "") -> DataFrame:
+    """(page, lines, dialogue_count, choice_group_count, error) of pages that read_pages() has read.
+
+    meta has (page, title, source, version), one row a page. A page with an error has no lines. Lines inside a branch
+    of a branch don't count as dialogue, and only groups outside any branch count, as readers of the counts expect.
+    """
+    return _of_pages(read.join(meta, "page"), parts, suffix)
+
+
+def _read_with_meta(pages: DataFrame, meta: dict[str, Column], html_col: str, heading: str) -> DataFrame:
+    """read_pages() with the columns of meta, which travel with each page through the reading."""
+    named = pages.select(F.struct(*[c.alias(name) for name, c in meta.items()]).alias("page"), F.col(html_col).alias("html"))
+    return read_pages(named, "page", "html", heading)
 
 
 def story_markdown(pages: DataFrame, id_col: str, html_col: str, title: str, source: str, version: str, heading: str = STORY_HEADING) -> DataFrame:
-    """rendered() of raw pages."""
-    meta = pages.select(F.col(id_col).alias("page"), F.col(title).alias("title"), F.col(source).alias("source"), F.col(version).alias("version"))
-    return rendered(read_pages(pages, id_col, html_col, heading), meta, (f"## {heading}",))
+    """rendered() of raw pages, one row for every row of pages, those that repeat an id or have none too."""
+    meta = {"page": F.col(id_col), "title": F.col(title), "source": F.col(source), "version": F.col(version)}
+    read = _read_with_meta(pages, meta, html_col, heading)
+    return _of_pages(read.select("page.page", "page.title", "page.source", "page.version", "blocks", "error"), (f"## {heading}",), "")
 
 
 def profile_markdown(pages: DataFrame, id_col: str, html_col: str, title: str, source: str, version: str, heading: str = "大世界对话", part: str = "角色对话") -> DataFrame:
-    """(page, lines, dialogue_count, choice_group_count, error) of one section of profile pages.
+    """(page, lines, dialogue_count, choice_group_count, error) of one section of profile pages, a row for every row.
 
     Groups are numbered through the page, those inside branches too, and both counts are taken from the lines; the
     last line states them. A page without the heading has an error and no lines.
     """
-    meta = pages.select(F.col(id_col).alias("page"), F.coalesce(F.nullif(F.col(title), F.lit("")), F.lit("角色资料")).alias("title"), F.col(source).alias("source"), F.col(version).alias("version"))
-    done = rendered(read_pages(pages, id_col, html_col, heading), meta, (f"## {part}", f"### {heading}"), f" - {heading}").select("page", "lines", "error")
+    meta = {"page": F.col(id_col), "title": F.coalesce(F.nullif(F.col(title), F.lit("")), F.lit("角色资料")), "source": F.col(source), "version": F.col(version)}
+    read = _read_with_meta(pages, meta, html_col, heading)
+    own = F.struct("page.page", "page.title", "page.version").alias("page")
+    done = _of_pages(read.select(own, "page.title", "page.source", "page.version", "blocks", "error"), (f"## {part}", f"### {heading}"), f" - {heading}")
     # An entry may hold line ends of its own.
-    rows = done.select("page", F.posexplode(F.split(F.array_join("lines", "\n"), "\n")).alias("pos", "line"))
+    # The row's number is made before the lines are rows.
+    keyed = done.filter("error IS NULL").select(F.struct(F.monotonically_increasing_id().alias("row"), "page").alias("page"), "lines")
+    rows = keyed.select("page", F.posexplode(F.split(F.array_join("lines", "\n"), "\n")).alias("pos", "line"))
     group = "^(\\s*)> 选项组 \\d+："
     number = F.count_if(F.col("line").rlike(group)).over(Window.partitionBy("page").orderBy("pos"))
     renumbered = F.when(F.col("line").rlike(group), F.concat(F.regexp_extract("line", group, 1), F.lit("> 选项组 "), number, F.lit("："), F.regexp_replace("line", group, ""))).otherwise(F.col("line"))
     rows = rows.withColumn("line", renumbered)
-    whole = _packed(rows, "page", "pos").withColumns({"dialogue_count": F.size(F.filter("lines", lambda x: x.rlike("^\\s*- \\*\\*[^*]+\\*\\*："))), "choice_group_count": F.size(F.filter("lines", lambda x: x.rlike(group)))})
-    out = done.select("page", "error").join(meta, "page").join(whole, "page", "left")
+    counts = {"dialogue_count": F.size(F.filter("lines", lambda x: x.rlike("^\\s*- \\*\\*[^*]+\\*\\*："))), "choice_group_count": F.size(F.filter("lines", lambda x: x.rlike(group)))}
+    whole = _packed(rows, "page", "pos").select("page.page.*", "lines").withColumns(counts)
     stats = F.format_string("<!-- parser_stats: title=%s; version=%s; dialogue_count=%d; choice_group_count=%d -->", "title", F.coalesce(F.nullif("version", F.lit("")), F.lit("(unknown)")), "dialogue_count", "choice_group_count")
-    return out.select("page", F.concat("lines", F.array(F.lit(""), stats)).alias("lines"), F.coalesce("dialogue_count", F.lit(0)).alias("dialogue_count"), F.coalesce("choice_group_count", F.lit(0)).alias("choice_group_count"), "error")
+    told = whole.select("page", F.concat("lines", F.array(F.lit(""), stats)).alias("lines"), *counts, F.lit(None).cast("string").alias("error"))
+    broken = done.filter("error IS NOT NULL").select("page.page", "lines", F.lit(0).alias("dialogue_count"), F.lit(0).alias("choice_group_count"), "error")
+    return told.unionByName(broken)

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_etl.functions import text as T
+from dialogue_etl.operators.scan import with_neighbours
+
+#: Pages of a queue that one task counts at a time.
+COUNTED = 1_000_000
 
 
 def latest_wins(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,25 +75,53 @@ def dense_numbers(rows: DataFrame, order: Column | str, save, start: int = 1, na
     return dealt.join(before, "__part").withColumn(name, F.col("__at") + F.col("__before") + F.lit(start - 1)).drop("__part", "__at", "__before", "__n")
 
 
-def link_closure(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, types: list[str], save, max_hops: int | None = None) -> DataFrame:
+def link_closure(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, types: list[str], save, folder: str, max_hops: int | None = None, max_pages: int | None = None, known: DataFrame | None = None) -> DataFrame:
     """(url, hop) of all pages reached from the seeds along edges of the types; only in-range pages are expanded.
 
-    Breadth first; every hop is one join and one anti join by url, saved by `save(df)` so that the plan doesn't grow.
-    A closure that isn't complete after max_hops, where that is given, raises an error.
+    Breadth first; every hop is one join and one anti join by url. Its pages are written once, as a partition of
+    `folder`, and never again. `save(df)` fixes other intermediate rows. A closure that isn't complete after max_hops,
+    where that is given, raises an error. Links to pages of known (url) aren't followed.
+
+    With max_pages the pages also have their number in a queue's order: seeds (by pos, if they have one), then links
+    by their parent's number and their own place (the edges' pos). The queue ends with the page that is the
+    max_pages-th accepted one, in range or of unknown version; later pages aren't given.
     """
-    live = edges.filter(F.col("type").isin(types)).join(nodes.filter("version_status = 'in_range'").select(F.col("url").alias("from")), "from", "left_semi").select("from", "to").distinct()
-    live = save(live)
-    seen = save(seeds.select("url").distinct().withColumn("hop", F.lit(0)))
-    front, hop = seen, 0
+    spark = seeds.sparkSession
+    ordered = max_pages is not None
+    place = F.col("pos").cast("long") if "pos" in edges.columns else F.lit(0).cast("long")
+    expanded = nodes.filter("version_status = 'in_range'").select(F.col("url").alias("from"))
+    live = save(edges.filter(F.col("type").isin(types)).join(expanded, "from", "left_semi").groupBy("from", "to").agg(F.min(place).alias("place")))
+    start = F.col("pos").cast("long") if "pos" in seeds.columns else F.lit(0).cast("long")
+    schema = "url string, number long, accepted int, hop int"
+
+    def write(found: DataFrame, hop: int, before: int) -> DataFrame:
+        """Writes a hop's pages (url, order) and reads them back."""
+        if ordered:
+            status = nodes.select("url", F.col("version_status").isin("in_range", "version_unknown").cast("int").alias("accepted"))
+            found = dense_numbers(found, F.struct("order", "url"), save, before + 1).join(status, "url", "left").withColumn("accepted", F.coalesce("accepted", F.lit(0)))
+        else:
+            found = found.withColumns({"number": F.lit(0), "accepted": F.lit(0)})
+        found.select("url", F.col("number").cast("long").alias("number"), "accepted").write.mode("overwrite").parquet(f"{folder}/hop={hop}")
+        return spark.read.schema(schema).parquet(folder).filter(F.col("hop") == hop)
+
+    total = accepted = hop = 0
+    front = write(seeds.groupBy("url").agg(F.struct(F.min(start).alias("parent"), F.lit(0).cast("long").alias("place")).alias("order")), 0, 0)
     while True:
-        hop += 1
-        step = front.join(live, front.url == live["from"]).select(F.col("to").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("hop", F.lit(hop))
-        front = save(step)
-        if front.isEmpty():
-            return seen
-        if max_hops is not None and hop > max_hops:
+        pages, taken = front.agg(F.count("*"), F.coalesce(F.sum("accepted"), F.lit(0))).first()
+        total, accepted, hop = total + pages, accepted + taken, hop + 1
+        if not pages or ordered and accepted >= max_pages:
+            break
+        if max_hops is not None and hop > max_hops + 1:
             raise ValueError(f"pages beyond {max_hops} hops")
-        seen = save(seen.unionByName(front))
+        links = front.join(live, front.url == live["from"]).groupBy(F.col("to").alias("url")).agg(F.min(F.struct(F.col("number").alias("parent"), "place")).alias("order"))
+        visited = spark.read.schema(schema).parquet(folder).filter(F.col("hop") < hop).select("url")
+        step = links.join(visited, "url", "left_anti")
+        front = write(step if known is None else step.join(known.select("url"), "url", "left_anti"), hop, total)
+    found = spark.read.schema(schema).parquet(folder).filter(F.col("hop") < hop)
+    if not ordered:
+        return found.select("url", "hop")
+    counted = with_neighbours(found.select(F.lit(0).alias("source"), F.col("number").alias("line_no"), "url", "hop", "accepted"), {"so_far": ("sum", F.col("accepted"))}, segment=COUNTED)
+    return counted.filter(F.col("so_far") - F.col("accepted") < max_pages).select("url", "hop", F.col("line_no").alias("number"))
 
 
 def graph_checks(nodes: DataFrame, edges: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -1,19 +1,17 @@
 """Ordered-line operators: windows partitioned by document and ordered by line number.
 
 A lines table has the columns source, line_no, line. All windows below share one partitioning and order, so
-Spark sorts a document's lines once.
+Spark sorts a document's lines once. Operators that look at neighbours take `segment`: the line numbers that one task
+sees of a document at a time (scan.py), None for whole documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_etl.functions import text as T
-
-
-def in_order() -> WindowSpec:
-    return Window.partitionBy("source").orderBy("line_no")
+from dialogue_etl.operators.scan import with_neighbours
 
 
 def numbered_lines(docs: DataFrame, source: str = "source", text: str = "text", unescape: bool = True) -> DataFrame:
@@ -28,8 +26,8 @@ def kept_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", T.clean_line(F.col("line"))).filter(~T.is_dropped(F.col("line")))
 
 
-def drop_consecutive_duplicates(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("before", F.lag("line").over(in_order())).filter("NOT line <=> before").drop("before")
+def drop_consecutive_duplicates(lines: DataFrame, segment: int | None = None) -> DataFrame:
+    return with_neighbours(lines, {"before": ("before", F.col("line"))}, segment).filter("NOT line <=> before").drop("before")
 
 
 def own_speakers(lines: DataFrame) -> DataFrame:
@@ -54,7 +52,7 @@ def with_hint_flag(lines: DataFrame, extra: list[str] | None = None) -> DataFram
     return lines.join(names, ["source", "line"], "left").select("source", "line_no", "line", (F.coalesce("own", F.lit(False)) | known).alias("hinted"))
 
 
-def repair_speaker_pairs(lines: DataFrame) -> DataFrame:
+def repair_speaker_pairs(lines: DataFrame, segment: int | None = None) -> DataFrame:
     """A lone speaker line and the payload after it become one line at the first one's number, marked as merged.
 
     A payload is never a lone speaker, so pairs don't overlap and neighbours decide.
@@ -62,7 +60,7 @@ def repair_speaker_pairs(lines: DataFrame) -> DataFrame:
     alone = T.is_standalone_speaker(F.col("line"), F.col("hinted"))
     payload = T.is_dialogue_payload(F.col("line"), F.col("hinted"))
     flagged = lines.withColumns({"alone": alone, "payload": payload})
-    flagged = flagged.withColumns({"next_line": F.lead("line").over(in_order()), "next_payload": F.lead("payload").over(in_order()), "before_alone": F.lag("alone").over(in_order())})
+    flagged = with_neighbours(flagged, {"next_line": ("after", F.col("line")), "next_payload": ("after", F.col("payload")), "before_alone": ("before", F.col("alone"))}, segment)
     merged = F.col("alone") & F.coalesce("next_payload", F.lit(False))
     line = F.when(merged, F.concat("line", F.lit("："), "next_line")).otherwise(F.col("line"))
     return flagged.filter(~(F.col("payload") & F.coalesce("before_alone", F.lit(False)))).select("source", "line_no", line.alias("line"), merged.alias("merged"))
@@ -75,36 +73,49 @@ def classified(lines: DataFrame) -> DataFrame:
     return rows.select("source", "line_no", T.line_kind(line, said).alias("kind"), T.line_text(line, said).alias("text"), F.when(T.choice_kind(line).isNull(), said["name"]).alias("speaker"), T.choice_kind(line).alias("choice_kind"))
 
 
-def normalized(docs: DataFrame, source: str = "source", text: str = "text", extra: list[str] | None = None, unescape: bool = True) -> DataFrame:
+def normalized(docs: DataFrame, source: str = "source", text: str = "text", extra: list[str] | None = None, unescape: bool = True, segment: int | None = None) -> DataFrame:
     """Typed lines of whole documents: number, clean, drop, repair, classify."""
-    lines = drop_consecutive_duplicates(kept_lines(numbered_lines(docs, source, text, unescape)))
-    return classified(repair_speaker_pairs(with_hint_flag(lines, extra)))
+    return normalized_lines(numbered_lines(docs, source, text, unescape), extra, segment)
+
 
+def normalized_lines(lines: DataFrame, extra: list[str] | None = None, segment: int | None = None) -> DataFrame:
+    """Typed lines of a table of raw lines: clean, drop, repair, classify."""
+    lines = drop_consecutive_duplicates(kept_lines(lines), segment)
+    return classified(repair_speaker_pairs(with_hint_flag(lines, extra), segment))
 
-def with_sections(lines: DataFrame) -> DataFrame:
+
+def with_sections(lines: DataFrame, segment: int | None = None) -> DataFrame:
     """Adds section_no and marker version; a 所属版本 line starts a section, lines before the first form one too."""
     version = F.nullif(F.regexp_extract("text", "(?d)^所属版本(?U:\\s+)(.+)$", 1), F.lit(""))
     lines = lines.withColumn("marker", T.strip(version))
-    number = F.sum(F.col("marker").isNotNull().cast("int")).over(in_order())
-    prelude = F.first(F.col("marker").isNull()).over(in_order())
-    return lines.withColumn("section_no", (number + prelude.cast("int")).cast("int"))
+    marked = F.col("marker").isNotNull()
+    lines = with_neighbours(lines, {"number": ("sum", marked.cast("int")), "prelude": ("first", ~marked)}, segment)
+    return lines.withColumn("section_no", (F.col("number") + F.col("prelude").cast("int")).cast("int")).drop("number", "prelude")
 
 
 def section_title(version: Column, friendly: Column, number: Column) -> Column:
     return F.when(version.isNull(), F.concat(F.lit("Prelude section "), number)).otherwise(F.coalesce(friendly, F.concat(F.lit("Version "), version, F.lit(" section "), number)))
 
 
-def with_section_names(lines: DataFrame) -> DataFrame:
-    """Adds section_title and version of each line's section, over the lines' own partitioning: no join."""
-    whole = Window.partitionBy("source", "section_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heading = F.when((F.col("kind") == "heading") & ~F.col("text").startswith(T.EXTRA_HEADING), F.col("text"))
-    rows = with_sections(lines).withColumns({"version": F.first("marker", ignorenulls=True).over(whole), "friendly": F.first(heading, ignorenulls=True).over(whole)})
-    return rows.withColumn("section_title", section_title(F.col("version"), F.col("friendly"), F.col("section_no"))).drop("marker", "friendly")
+def with_section_names(lines: DataFrame, segment: int | None = None) -> DataFrame:
+    """Adds section_title and version of each line's section, over the lines' own partitioning: no join by section.
+
+    The heading that names a section may stand before or after a line of it, so each line looks both ways for the
+    nearest first heading of a section, and takes it if the section is its own.
+    """
+    heading = (F.col("kind") == "heading") & ~F.col("text").startswith(T.EXTRA_HEADING)
+    rows = with_neighbours(with_sections(lines, segment), {"version": ("last_here", F.col("marker")), "named": ("last_before", F.when(heading, F.col("section_no")))}, segment)
+    leads = heading & ~F.col("named").eqNullSafe(F.col("section_no"))
+    name = F.when(leads, F.struct("section_no", "text"))
+    rows = with_neighbours(rows, {"behind": ("last_here", name), "ahead": ("first_after", name)}, segment)
+    own = F.col("section_no")
+    friendly = F.when(F.col("behind.section_no") == own, F.col("behind.text")).when(F.col("ahead.section_no") == own, F.col("ahead.text"))
+    return rows.withColumn("section_title", section_title(F.col("version"), friendly, own)).drop("marker", "named", "behind", "ahead")
 
 
-def build_sections(lines: DataFrame) -> DataFrame:
+def build_sections(lines: DataFrame, segment: int | None = None) -> DataFrame:
     """One row a section: source, section_no, title, start_line, version, description, cast."""
-    rows = with_sections(lines)
+    rows = with_sections(lines, segment)
     title = F.col("kind") == "heading"
     friendly = F.min_by(F.when(title & ~F.col("text").startswith(T.EXTRA_HEADING), F.col("text")), F.when(title & ~F.col("text").startswith(T.EXTRA_HEADING), F.col("line_no")))
     described = F.col("marker").isNull() & F.col("text").startswith("任务描述")
@@ -133,16 +144,13 @@ def as_of(rows: DataFrame, points: DataFrame, by: list[str], at: str, value: str
     return filled.filter("side = 1").select(*by, at, *[F.col(f"row.{c}").alias(c) for c in payload], value)
 
 
-def repair_markdown_pairs(lines: DataFrame, names: list[str] | None = None) -> DataFrame:
+def repair_markdown_pairs(lines: DataFrame, names: list[str] | None = None, segment: int | None = None) -> DataFrame:
     """On rendered Markdown: a line that is a known speaker's name and the next non-blank line become one
     dialogue line; the blanks between vanish only then."""
     known = F.col("line").isin(names or T.DEFAULT_SPEAKERS)
     payload = (T.strip(F.col("line")) != "") & ~T.any_prefix(T.strip(F.col("line")), ["#", "-", ">", "<!--"]) & ~T.strip(F.col("line")).isin(names or T.DEFAULT_SPEAKERS)
-    later = in_order().rowsBetween(1, Window.unboundedFollowing)
-    earlier = in_order().rowsBetween(Window.unboundedPreceding, -1)
     full = F.when(F.col("line") != "", F.struct("line", "known", "payload"))
-    rows = lines.withColumns({"known": known, "payload": payload}).withColumn("full", full)
-    rows = rows.withColumns({"after": F.first("full", ignorenulls=True).over(later), "before": F.last("full", ignorenulls=True).over(earlier)})
+    rows = with_neighbours(lines.withColumns({"known": known, "payload": payload}), {"after": ("first_after", full), "before": ("last_before", full)}, segment)
     starts = F.col("known") & F.coalesce("after.payload", F.lit(False))
     swallowed = F.col("before.known") & F.when(F.col("line") == "", F.coalesce("after.payload", F.lit(False))).otherwise(F.col("payload"))
     merged = F.when(starts, F.concat(F.lit("- **"), T.strip(F.col("line")), F.lit("**："), T.strip(F.col("after.line")))).otherwise(F.col("line"))
@@ -153,14 +161,12 @@ def renumber(rows: DataFrame, by: list[str], order: list[str], name: str = "grou
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
-def tidy_lines(lines: DataFrame) -> DataFrame:
+def tidy_lines(lines: DataFrame, segment: int | None = None) -> DataFrame:
     """Runs of blank lines become one, ends are trimmed, blank lines at both ends of a document go."""
     line = F.regexp_replace("line", "(?U)\\s+$", "")
-    rows = lines.withColumn("tidy", line).withColumn("blank", F.col("line") == "")
-    rows = rows.withColumn("before", F.lag("blank").over(in_order())).filter("NOT (blank AND coalesce(before, false))")
-    first = F.first(F.when(F.col("tidy") != "", F.col("line_no")), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    last = F.last(F.when(F.col("tidy") != "", F.col("line_no")), ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return rows.withColumns({"a": first, "z": last}).filter("line_no BETWEEN a AND z").select("source", "line_no", F.col("tidy").alias("line"))
+    told = F.when(line != "", F.col("line_no"))
+    rows = with_neighbours(lines.withColumn("tidy", line), {"before": ("before", F.col("line") == ""), "a": ("least", told), "z": ("greatest", told)}, segment)
+    return rows.filter("NOT (line = '' AND coalesce(before, false)) AND line_no BETWEEN a AND z").select("source", "line_no", F.col("tidy").alias("line"))
 
 
 def joined_text(rows: DataFrame, by: list[str], order: str, line: Column | str, name: str = "text") -> DataFrame:

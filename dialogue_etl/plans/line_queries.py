@@ -9,7 +9,8 @@ from dialogue_etl.operators import dialogue as D
 from dialogue_etl.operators import evidence as E
 from dialogue_etl.operators import lines as L
 from dialogue_etl.operators import summary as S
-from dialogue_etl.plans.shared import GRAPH, TRANSCRIPT, graph_nodes, query, table, transcripts
+from dialogue_etl.operators.scan import with_neighbours
+from dialogue_etl.plans.shared import GRAPH, TRANSCRIPT, graph_nodes, query, save, table, transcripts
 from dialogue_etl.sources import io as IO
 
 C = F.col
@@ -113,6 +114,19 @@ def d9(spark, sf):
     return L.joined_text(L.tidy_lines(doc_lines(spark, sf)), ["source"], "line_no", "line").select(C("source").alias("doc_id"), F.md5("text").alias("digest"))
 
 
+@query(
+    "d11_segmented_scan",
+    """WITH e AS (SELECT row_number() OVER (ORDER BY event_id) AS n, event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS v FROM events)
+    SELECT event_id, lag(event_type) OVER w AS before, lead(event_type) OVER w AS after, last_value(v IGNORE NULLS) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_value,
+    first_value(v IGNORE NULLS) OVER (ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_value, CAST(count(v) OVER (ORDER BY n) AS BIGINT) AS so_far, max(v) OVER () AS most FROM e WINDOW w AS (ORDER BY n)""",
+)
+def d11(spark, sf):
+    """All events as one long document, of which a task sees a thousand lines at a time."""
+    lines = table(spark, sf, "events").select(F.lit("log").alias("source"), (C("event_id") + 1).alias("line_no"), "event_id", "event_type", F.when(C("event_type") == "purchase", C("value")).alias("v"))
+    wanted = {"before": ("before", C("event_type")), "after": ("after", C("event_type")), "last_value": ("last_before", C("v")), "next_value": ("first_after", C("v")), "so_far": ("sum", C("v").isNotNull().cast("long")), "most": ("greatest", C("v"))}
+    return with_neighbours(lines, wanted, segment=1000).drop("source", "line_no", "event_type", "v")
+
+
 @query("f1_extract_dialogue", TRANSCRIPT + "SELECT source, line_no, speaker, text, '剧情内容' AS section_title, '3.' || (conv_id % 8) AS version FROM said WHERE speaker = 'user'")
 def f1(spark, sf):
     return D.extract_dialogue(typed(spark, sf), ["user"])
@@ -275,6 +289,18 @@ def i4(spark, sf):
     return E.phase_tagged(graph_nodes(spark, sf)).select("page_id", "phase", "phase_rank")
 
 
+@query(
+    "i4b_phase_intervals",
+    GRAPH + """, ph AS (SELECT * FROM (VALUES ('early', 0, 0, 2), ('turn', 1, 1, 4), ('all', 2, 0, 8), ('late', 3, 7, 99), ('none', 4, 5, 5)) AS t(phase, phase_rank, low, high))
+    SELECT page_id, phase, CAST(phase_rank AS INTEGER) AS phase_rank FROM pg JOIN ph ON page_id % 12 >= low AND page_id % 12 < high WHERE phase_rank <= 2""",
+)
+def i4b(spark, sf):
+    """Pages with all phases that their version lies in, as far as the phase `all`; phases overlap, one is empty."""
+    phases = E.phase_table(spark, [("early", None, "3.2"), ("turn", "3.1", "3.4"), ("all", "3", "3.8"), ("late", "3.7", None), ("none", "3.5", "3.5.0")])
+    tagged = E.with_phases(graph_nodes(spark, sf), phases, save)
+    return E.up_to_phase(tagged, phases, "all").select("page_id", "phase", "phase_rank")
+
+
 @query("i5_exclude_sources", "SELECT source, count(*) AS n FROM documents WHERE source NOT IN ('src0', 'src3') GROUP BY source")
 def i5(spark, sf):
     docs = table(spark, sf, "documents")

@@ -403,7 +403,20 @@ def e7(spark, sf):
     nodes = graph_nodes(spark, sf)
     host = F.regexp_extract("url", "//([^/?#]*)", 1)
     seeds = table(spark, sf, "pages").groupBy(host.alias("host")).agg(F.min("page_id").alias("first")).select(F.concat(F.lit("p"), "first").alias("url"))
-    return G.link_closure(seeds, graph_edges(spark, sf), nodes, ["next_task"], save).select("url")
+    return G.link_closure(seeds, graph_edges(spark, sf), nodes, ["next_task"], save, scratch(spark, "visited")).select("url")
+
+
+@query("e7b_capped_closure", GRAPH + """, live AS (SELECT page_id AS p, unnest([page_id * 2, page_id * 2 + 1]) AS c, unnest([0, 1]) AS k FROM pg JOIN nodes ON nodes.url = 'p' || page_id WHERE version_status = 'in_range' OR page_id = 1),
+ n AS (SELECT 'p' || page_id AS url, page_id, version_status FROM pg JOIN nodes ON nodes.url = 'p' || page_id),
+ up AS (SELECT page_id, [page_id // 1, page_id // 2, page_id // 4, page_id // 8, page_id // 16, page_id // 32, page_id // 64, page_id // 128, page_id // 256, page_id // 512, page_id // 1024, page_id // 2048, page_id // 4096, page_id // 8192] AS line FROM pg WHERE page_id > 0),
+ ok AS (SELECT page_id FROM up WHERE (SELECT bool_and(version_status = 'in_range') FROM n WHERE n.page_id > 0 AND list_contains(up.line[2:], n.page_id)) IS NOT FALSE),
+ q AS (SELECT url, row_number() OVER (ORDER BY page_id) AS number, sum(CASE WHEN version_status IN ('in_range', 'version_unknown') THEN 1 ELSE 0 END) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM n JOIN ok USING (page_id))
+ SELECT url, number FROM q WHERE coalesce(before, 0) < 20""")
+def e7b(spark, sf):
+    """The pages of a queue that starts at page 1 and follows each page to its two children, to the 20th accepted one."""
+    nodes, edges = graph_nodes(spark, sf), graph_edges(spark, sf)
+    down = edges.filter("type = 'requires'").select(C("to").alias("from"), C("from").alias("to"), "type", F.substring("from", 2, 20).cast("long").alias("pos"))
+    return G.link_closure(nodes.filter("page_id = 1").select("url"), down, nodes, ["requires"], save, scratch(spark, "visited"), max_pages=20).select("url", "number")
 
 
 @query(

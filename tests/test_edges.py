@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from dialogue_etl.functions import pages as P
 from dialogue_etl.functions import text as T
-from dialogue_etl.functions.render import story_markdown
+from dialogue_etl.functions.render import profile_markdown, story_markdown
 from dialogue_etl.operators import coverage as V
 from dialogue_etl.operators import graph as G
 from dialogue_etl.operators import lines as L
 from dialogue_etl.operators import summary as S
-from dialogue_etl.plans.shared import save
+from dialogue_etl.plans.shared import save, scratch
 from dialogue_etl.sources import io as IO
 
 
@@ -99,10 +99,10 @@ def test_long_chain_is_followed_to_its_end(spark):
     nodes = spark.range(110).select(F.concat(F.lit("p"), "id").alias("url"), F.lit("in_range").alias("version_status"))
     edges = spark.range(109).select(F.concat(F.lit("p"), "id").alias("from"), F.concat(F.lit("p"), F.col("id") + 1).alias("to"), F.lit("next_task").alias("type"))
     seeds = nodes.filter("url = 'p0'").select("url")
-    got = {r.url: r.hop for r in G.link_closure(seeds, edges.coalesce(1), nodes.coalesce(1), ["next_task"], lambda df: save(df.coalesce(1))).collect()}
+    got = {r.url: r.hop for r in G.link_closure(seeds, edges.coalesce(1), nodes.coalesce(1), ["next_task"], lambda df: save(df.coalesce(1)), scratch(spark, "visited")).collect()}
     assert got == {f"p{k}": k for k in range(110)}
     with pytest.raises(ValueError, match="beyond 2 hops"):
-        G.link_closure(seeds, edges, nodes, ["next_task"], save, max_hops=2)
+        G.link_closure(seeds, edges, nodes, ["next_task"], save, scratch(spark, "visited"), max_hops=2)
 
 
 def story(spark, pages, columns="page int, html string, title string, source string, version string"):
@@ -173,3 +173,15 @@ def test_links_by_expression_and_helper(spark):
 def test_ties_in_zh_hans_order(spark):
     names = spark.createDataFrame([("p", n) for n in ["星", "阿", "丹", "b", "a"]], "source string, speaker string")
     assert [r.speaker for r in S.speaker_stats(names).orderBy("place").collect()] == ["阿", "丹", "星", "a", "b"]
+
+
+def test_repeated_pages_are_pages_of_their_own(spark):
+    """Rows that repeat an id, or have none, are rendered each from their own HTML."""
+    talk = "<h3>大世界对话</h3>"
+    pages = [(1, "<p>a：one</p>", "t", "s", "3.0"), (1, "<p>b：two</p><p>c：three</p>", "u", "s", "3.1"), (None, "<p>d：four</p>", "v", "s", None), (None, None, "w", "s", None)]
+    frame = spark.createDataFrame([(*p, 7) for p in pages], "page int, html string, title string, source string, version string, row int")
+    got = sorted((str(r.page), r.lines[0], [x for x in r.lines if x.startswith("- **")], r.dialogue_count) for r in story_markdown(frame, "page", "html", "title", "source", "version").collect())
+    assert got == [("1", "# t", ["- **a**：one"], 1), ("1", "# u", ["- **b**：two", "- **c**：three"], 2), ("None", "# v", ["- **d**：four"], 1), ("None", "# w", [], 0)]
+    profiles = frame.withColumn("html", F.concat(F.lit(talk), "html"))
+    told = sorted((str(r.page), r.lines[-1]) for r in profile_markdown(profiles, "page", "html", "title", "source", "version").filter("error IS NULL").collect())
+    assert [t for t, _ in told] == ["1", "1", "None"] and told[0][1].startswith("<!-- parser_stats: title=t;") and told[1][1].startswith("<!-- parser_stats: title=u;")
