@@ -7,7 +7,6 @@ where the semantics ask for Unicode white space or for plain line feeds.
 from __future__ import annotations
 
 import html
-from urllib.parse import urljoin, urlparse, urlunparse
 
 import pandas as pd
 from pyspark.sql import Column
@@ -179,34 +178,48 @@ def normalize_url(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, "(?s)#.*$", ""), "^([^?]*/[^?;/]*);[^?]*", "$1")
 
 
+#: Parts of a reference: scheme, host with port and user, path, query.
+REFERENCE = "(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\\?([^#]*))?(?:#.*)?$"
+GOOD_HOST = "^[^\\[\\]]*(?:\\[[0-9A-Fa-f:.]+\\](?::\\d*)?)?$"
+
+
+def _folded(segments: Column) -> Column:
+    """A path's segments with . and .. taken out from the left, as one path."""
+    none = F.array().cast("array<string>")
+    step = F.aggregate(segments, none, lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.array_append(done, x)))
+    path = F.array_join(F.when(F.element_at(segments, -1).isin(".", ".."), F.array_append(step, F.lit(""))).otherwise(step), "/")
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+
+
 def resolver(host: str | None, path_prefix: str):
     """A function (href, base) -> absolute URL, null for fragments and for other hosts or paths.
 
-    Paths from the root of the base's own site are joined by expressions; only the rest goes through the helper.
+    References are joined as browsers do, by expressions only: white space before it and line ends inside go, dot
+    segments are folded, parameters of the last segment and fragments are dropped. path_prefix starts with '/'; a
+    reference of another scheme needs a host; a host in bad brackets gives null.
     """
 
-    @pandas_udf(StringType())
-    def joined(hrefs: pd.Series, bases: pd.Series) -> pd.Series:
-        def one(href: str | None, base: str | None) -> str | None:
-            if href is None or base is None or href.startswith("#"):
-                return None
-            try:
-                x = urlparse(urljoin(base, href))
-            except ValueError:
-                return None
-            if (host is not None and x.netloc != host) or not x.path.startswith(path_prefix):
-                return None
-            return urlunparse((x.scheme, x.netloc, x.path, "", x.query, ""))
-
-        return pd.Series([one(h, b) for h, b in zip(hrefs, bases)], dtype=object)
-
     def resolve(href: Column, base: Column) -> Column:
-        site = F.regexp_extract(base, "^(https?://[^/?#;]+)(?:[/?#]|$)", 1)
-        plain = href.rlike("^/(?:[A-Za-z0-9_~,-][^#?;:\\\\\\x00-\\x20./]*/?)*(?:\\?[^#;\\x00-\\x20]+)?(?:#.*)?$") & (site != "")
-        path = F.regexp_replace(href, "#.*$", "")
-        good = path.startswith(path_prefix) & (F.lit(True) if host is None else F.regexp_extract(site, "//(.*)$", 1) == host)
-        near = F.when(good, F.concat(site, path))
-        return F.when(plain, near).otherwise(joined(F.when(~plain, href), base))
+        plain = F.regexp_replace(F.regexp_replace(href, "^[\\x00-\\x20]+", ""), "[\\t\\r\\n]", "")
+        scheme, netloc, raw, query = (F.regexp_extract(plain, REFERENCE, k) for k in (1, 2, 3, 4))
+        b_scheme, b_netloc, b_raw, b_query = (F.regexp_extract(base, REFERENCE, k) for k in (1, 2, 3, 4))
+        path, b_path = (F.regexp_replace(x, ";[^/]*$", "") for x in (raw, b_raw))
+        scheme, b_scheme = F.lower(scheme), F.lower(b_scheme)
+        # The base's folder and the reference's segments, without the empty ones in between.
+        b_parts = F.split(b_raw, "/")
+        folder = F.when(F.element_at(b_parts, -1) == "", b_parts).otherwise(F.slice(b_parts, F.lit(1), F.greatest(F.size(b_parts) - 1, F.lit(0))))
+        below = F.concat(folder, F.split(path, "/"))
+        below = F.concat(F.slice(below, 1, 1), F.filter(F.slice(below, F.lit(2), F.greatest(F.size(below) - 2, F.lit(0))), lambda x: x != ""), F.slice(below, -1, 1))
+        joined = F.when((path == "") & (raw == ""), b_path).otherwise(_folded(F.when(path.startswith("/"), F.split(path, "/")).otherwise(below)))
+        away = netloc != ""  # a host of its own
+        own = F.when((raw == "") & (query == ""), b_query).otherwise(query)
+        out_path, out_query, out_host = F.when(away, path).otherwise(joined), F.when(away, query).otherwise(own), F.when(away, netloc).otherwise(b_netloc)
+        known = away | (scheme == "") | (scheme == b_scheme)
+        good = known & ~href.startswith("#") & out_path.startswith(path_prefix) & out_host.rlike(GOOD_HOST) & (out_host != "")
+        if host is not None:
+            good &= out_host == host
+        full = F.concat(F.when(scheme == "", b_scheme).otherwise(scheme), F.lit("://"), out_host, out_path, F.when(out_query != "", F.concat(F.lit("?"), out_query)).otherwise(F.lit("")))
+        return F.when(good & base.isNotNull(), full)
 
     return resolve
 

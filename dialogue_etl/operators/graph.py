@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialogue_etl.functions import text as T
@@ -20,6 +20,32 @@ def latest_wins(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys, "full").select(*keys, *[F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in fields])
 
 
+def create_table(rows: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Writes rows as a table bucketed and sorted by its keys, for upsert_table()."""
+    rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
+def upsert_table(new: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """latest_wins() of a table of create_table() and new rows, written as the table's next state.
+
+    The table's side of the join lies in its buckets already, so only the new rows are shuffled. The next state stands
+    whole under a name of its own before it takes the table's place; what a crash leaves in between is ended by the
+    next call.
+    """
+    spark = new.sparkSession
+    finish(spark, table)
+    create_table(latest_wins(spark.table(table), new, keys), f"{table}__next", keys, buckets)
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}__whole")
+    finish(spark, table)
+
+
+def finish(spark: SparkSession, table: str) -> None:
+    """Puts a next state that is whole in the table's place."""
+    if spark.catalog.tableExists(f"{table}__whole"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {table}__whole RENAME TO {table}")
+
+
 def upsert_in_order(old: DataFrame, new: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
     """latest_wins() of rows with a position: keys that are there keep their place, new ones follow in their own order."""
     last = old.agg(F.max(pos)).first()[0]

@@ -98,6 +98,19 @@ def d7(spark, sf):
     return L.as_of(events.select("user_id", "ts", "event_id"), points, ["user_id"], "ts", "last_purchase").select("event_id", "last_purchase")
 
 
+@query(
+    "d7b_section_of_line",
+    "SELECT source, CAST(2 * r AS INTEGER) AS line_no, 'Version 4.' || turn || ' section ' || r AS title FROM (SELECT conv_id AS source, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations)",
+)
+def d7b(spark, sf):
+    """A section for every turn, and what is said under it looked up in the table of sections."""
+    turns = L.renumber(table(spark, sf, "conversations").select(C("conv_id").alias("source"), "turn", "role"), ["source"], ["turn"], "r")
+    both = F.array(F.concat(F.lit("所属版本 4."), "turn"), F.concat("role", F.lit("：said")))
+    lines = L.classified(turns.select("source", "r", F.posexplode(both).alias("k", "line")).select("source", (2 * C("r") - 1 + C("k")).alias("line_no"), "line"))
+    points = L.build_sections(lines).select("source", C("start_line").alias("line_no"), "title")
+    return L.as_of(lines.select("source", "line_no", "speaker"), points, ["source"], "line_no", "title").filter("speaker IS NOT NULL").select("source", "line_no", "title")
+
+
 @query("d8_renumber_groups", "SELECT conv_id, turn, printf('%03d-plot-%04d', conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)) AS group_id FROM conversations WHERE role = 'user'")
 def d8(spark, sf):
     rows = L.renumber(table(spark, sf, "conversations").filter("role = 'user'"), ["conv_id"], ["turn"])
@@ -301,10 +314,10 @@ def i4b(spark, sf):
     return E.up_to_phase(tagged, phases, "all").select("page_id", "phase", "phase_rank")
 
 
-@query("i5_exclude_sources", "SELECT source, count(*) AS n FROM documents WHERE source NOT IN ('src0', 'src3') GROUP BY source")
+@query("i5_exclude_sources", "SELECT coalesce(source, '-') AS source, count(*) AS n FROM documents WHERE source IS NULL OR source NOT IN ('src0', 'src3') GROUP BY source")
 def i5(spark, sf):
     docs = table(spark, sf, "documents")
-    return E.exclude_sources(docs, docs.filter(C("source").isin("src0", "src3")).select("source").distinct()).filter("source IS NOT NULL").groupBy("source").agg(F.count("*").alias("n"))
+    return E.exclude_sources(docs, docs.filter(C("source").isin("src0", "src3")).select("source").distinct()).groupBy(F.coalesce("source", F.lit("-")).alias("source")).agg(F.count("*").alias("n"))
 
 
 @query("i6_labelled_catalog", "SELECT lang AS label, min(source || '-' || doc_id) AS text, '【' || lang || '】' || min(source || '-' || doc_id) || '.wav' AS name FROM documents WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY lang")

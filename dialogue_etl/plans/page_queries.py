@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BinaryType
 
 from dialogue_etl.functions import pages as P
 from dialogue_etl.functions import text as T
@@ -66,14 +69,29 @@ md AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k,
 # --- page structure ---
 
 
-@query("c1_visible_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(style|script)>.*?</(style|script)>', '', 'g'), '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages")
+def unescaped(x: str) -> str:
+    """The references that the pages use."""
+    return f"replace(replace(replace(replace({x}, '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+
+
+TAG = "'<[^>]+>'"
+SHOWN_HTML = f"regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<!DOCTYPE[^>]*>', '', 'g'), '(?s)<(?:{'|'.join(sorted(P.HIDDEN))})[^>]*>.*?</(?:{'|'.join(sorted(P.HIDDEN))})>', '', 'g')"
+#: Block tags are line ends, one for several in a row and none at the start; blank text between tags goes.
+SHOWN_LINES = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({SHOWN_HTML}, '>\\s+<', '><', 'g'), '(?i)</?(?:{'|'.join(sorted(P.LINE_TAGS))})(?:\\s[^>]*)?>', chr(1), 'g'), {TAG}, '', 'g'), chr(1) || '+', chr(1), 'g'), '^' || chr(1), '')"
+
+
+@query("c1_visible_text", f"SELECT page_id, md5({unescaped(f'replace({SHOWN_LINES}, chr(1), chr(10))')}) AS digest FROM pages")
 def c1(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(F.regexp_replace(P.visible_text(C("html")), "\\s+", "")).alias("digest"))
+    return table(spark, sf, "pages").select("page_id", F.md5(P.visible_text(C("html"))).alias("digest"))
+
 
+ARTICLE = "CASE WHEN html LIKE '%</article>%' THEN regexp_extract(html, '(?s)<article>(.*)</article>', 1) ELSE html END"
+ARTICLE_LINES = f"array_to_string(list_filter(regexp_split_to_array({ARTICLE}, {TAG}), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g')) <> ''), chr(10))"
 
-@query("c2_main_content_text", r"SELECT page_id, md5(regexp_replace(replace(replace(replace(replace(regexp_replace(CASE WHEN html LIKE '%</article>%' THEN regexp_extract(html, '(?s)<article>(.*)</article>', 1) ELSE html END, '<[^>]+>', '', 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', '', 'g')) AS digest FROM pages ")
+
+@query("c2_main_content_text", f"SELECT page_id, md5({unescaped(ARTICLE_LINES)}) AS digest FROM pages")
 def c2(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(F.regexp_replace(P.main_content_text(C("html")), "\\s+", "")).alias("digest"))
+    return table(spark, sf, "pages").select("page_id", F.md5(P.main_content_text(C("html"))).alias("digest"))
 
 
 @query("c3_scope_section", STORY_ITEMS + "SELECT conv_id AS page, count(*) AS items, md5(string_agg(text, '|' ORDER BY turn, o, k)) AS digest FROM it GROUP BY conv_id")
@@ -86,6 +104,12 @@ def c4(spark, sf):
     return P.source_items(inventory(spark, sf))
 
 
+@query("c4b_streamed_items", STORY_ITEMS + "SELECT conv_id AS page, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, o, k) - 1 AS INTEGER) AS pos, kind, text, path FROM it")
+def c4b(spark, sf):
+    """The items as rows from the helper, a hundred at a time."""
+    return P.page_rows(story_pages(spark, sf), "page", "html", "items", rows=100)
+
+
 @query("c5_plot_frames", STORY_ITEMS + "SELECT conv_id AS page, f AS index, '剧情内容 / plotFrame[' || f || ']' AS path, CAST(n AS INTEGER) AS options, CAST(c AS INTEGER) AS contents FROM fr")
 def c5(spark, sf):
     return P.plot_frames(inventory(spark, sf))
@@ -431,10 +455,16 @@ def e8(spark, sf):
 # --- sources and sinks: written, then read back ---
 
 
-@query("a1_read_text_encoded", "SELECT doc_id, md5(text) AS digest FROM documents")
+@pandas_udf(BinaryType())
+def in_gb18030(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: None if x is None else x.encode("gb18030"))
+
+
+@query("a1_read_text_encoded", "SELECT doc_id, md5(CASE WHEN doc_id % 4 = 1 THEN '星穹' || text ELSE text END) AS digest FROM documents")
 def a1(spark, sf):
-    raw = F.encode("text", "UTF-8")
-    content = F.when(C("doc_id") % 2 == 0, F.concat(F.unhex(F.lit("EFBBBF")), raw)).otherwise(raw)
+    """A quarter of the texts in gb18030, begun with characters that aren't UTF-8 there, half with a byte-order mark."""
+    raw, k = F.encode("text", "UTF-8"), C("doc_id") % 4
+    content = F.when(k == 1, in_gb18030(F.when(k == 1, F.concat(F.lit("星穹"), "text")))).when(C("doc_id") % 2 == 0, F.concat(F.unhex(F.lit("EFBBBF")), raw)).otherwise(raw)
     return table(spark, sf, "documents").select("doc_id", F.md5(IO.decoded(content)).alias("digest"))
 
 

@@ -34,8 +34,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file:///tmp/dialogue_etl-{spark.sparkContext.applicationId}"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        root = "file:///tmp"
+    return f"{root.rstrip('/')}/dialogue_etl-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this application has saved, once nothing reads it any more: it all stands in one folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch(spark, "x")).getParent()
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def save(df: DataFrame, name: str = "table") -> DataFrame:

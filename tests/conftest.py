@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from dialogue_etl.plans.shared import clear_scratch
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,6 +19,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

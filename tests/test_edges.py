@@ -1,5 +1,7 @@
 """Hand-written edge rows of the line, version, coverage and page operators."""
 
+from urllib.parse import urljoin, urlparse, urlunparse
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +187,48 @@ def test_repeated_pages_are_pages_of_their_own(spark):
     profiles = frame.withColumn("html", F.concat(F.lit(talk), "html"))
     told = sorted((str(r.page), r.lines[-1]) for r in profile_markdown(profiles, "page", "html", "title", "source", "version").filter("error IS NULL").collect())
     assert [t for t, _ in told] == ["1", "1", "None"] and told[0][1].startswith("<!-- parser_stats: title=t;") and told[1][1].startswith("<!-- parser_stats: title=u;")
+
+
+RFC_3986 = {
+    "g": "/b/c/g", "./g": "/b/c/g", "g/": "/b/c/g/", "/g": "/g", "//g": "g", "?y": "/b/c/d?y", "g?y": "/b/c/g?y", "g#s": "/b/c/g", "g?y#s": "/b/c/g?y", "g;x": "/b/c/g", "": "/b/c/d?q", ".": "/b/c/", "./": "/b/c/",
+    "..": "/b/", "../": "/b/", "../g": "/b/g", "../..": "/", "../../": "/", "../../g": "/g", "../../../g": "/g", "../../../../g": "/g", "/./g": "/g", "/../g": "/g", "g.": "/b/c/g.", ".g": "/b/c/.g", "g..": "/b/c/g..",
+    "..g": "/b/c/..g", "./../g": "/b/g", "./g/.": "/b/c/g/", "g/./h": "/b/c/g/h", "g/../h": "/b/c/h", "g?y/./x": "/b/c/g?y/./x", "g?y/../x": "/b/c/g?y/../x", "http:g": "/b/c/g",
+}
+
+
+def test_references_of_the_rfc(spark):
+    """The standard's examples, without Python in the plan; what the standard library says of odd ones."""
+    frame = spark.createDataFrame([(h,) for h in RFC_3986], "h string")
+    done = frame.select("h", T.resolver(None, "")(F.col("h"), F.lit("http://a/b/c/d;p?q")).alias("url"))
+    assert "Python" not in done._jdf.queryExecution().executedPlan().toString()
+    assert {r.h: r.url for r in done.collect()} == {h: "http://g" if h == "//g" else f"http://a{p}" for h, p in RFC_3986.items()}
+    bases = ["https://w/x/y", "https://w", "https://w/", "https://w/a//b/", "http://w:80/a;q/b;p?z=1#f"]
+    hrefs = [*RFC_3986, " /g ", "\t/g\n", "a\nb/c", "x//y/../z", "//v/../k;p?q", "https://v/./k", "HTTPS://v/k", "/a;b/c;d", ";p", "/[x]", "//[::1]/k", "//[bad/k", "/é?ü", "%2e%2e/g", "a:b", "/a?b?c", "?", "/g?", "//", "/a/b/../../../c/"]
+
+    def usual(href, base):
+        if href.startswith("#"):
+            return None
+        try:
+            x = urlparse(urljoin(base, href))
+        except ValueError:
+            return None
+        return urlunparse((x.scheme, x.netloc, x.path, "", x.query, "")) if x.netloc and x.path.startswith("/") else None
+
+    pairs = spark.createDataFrame([(h, b) for h in hrefs for b in bases], "h string, b string")
+    got = {(r.h, r.b): r.url for r in pairs.select("h", "b", T.resolver(None, "/")(F.col("h"), F.col("b")).alias("url")).collect()}
+    assert got == {(h, b): usual(h, b) for h in hrefs for b in bases}
+
+
+def test_rows_of_a_page_with_many_items(spark):
+    """They leave the helper in pieces; all parts are those of the arrays."""
+    many = "<p>a：b</p>" * 30_000
+    choice = '<div class="plotFrame"><div class="plotOptions">o</div><div class="content"><p>a：b</p></div></div>'
+    said = '<div class="messageContent"><div class="NM-Container"><div class="SenderName">x</div><div class="MessageLeft">y</div></div></div>'
+    frame = spark.createDataFrame([(1, many, 0), (1, choice + said, 0), (None, "<p>c：d</p>" + choice, 0), (2, None, 0)], "page int, html string, pos int").coalesce(1)
+    read = save(P.read_pages(frame, "page", "html"))
+    wanted = {"items": P.source_items(read), "frames": P.plot_frames(read), "choices": P.choice_rows(read).drop("marker"), "messages": P.message_lines(read)}
+    for part, want in wanted.items():
+        got = P.page_rows(frame, "page", "html", part, rows=700)
+        got = got if "pos" in want.columns else got.drop("pos")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    assert wanted["items"].count() > 30_000

@@ -114,3 +114,26 @@ def test_capped_closure_is_a_queue(spark, most):
     assert [r.url for r in got.orderBy("number").collect()] == queue(seeds, links, status, known, most)
     # Each page is written once.
     assert spark.read.parquet(folder).groupBy("url").count().filter("count > 1").isEmpty()
+
+
+def test_bucketed_upsert(spark, monkeypatch):
+    """Only the new side is shuffled; ties of one key don't occur, null fields don't overwrite, a crash loses nothing."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        old = spark.createDataFrame([(f"u{k}", k % 3, "old", k) for k in range(200)], "url string, kind int, title string, n int")
+        new = spark.createDataFrame([(f"u{k}", k % 3, None if k % 2 else "new", None) for k in range(150, 250)], old.schema)
+        G.create_table(old, "bucketed_pages", ["url", "kind"], 8)
+        plan = G.latest_wins(spark.table("bucketed_pages"), new, ["url", "kind"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        monkeypatch.setattr(G, "finish", lambda *_: None)
+        G.upsert_table(new, "bucketed_pages", ["url", "kind"], 8)  # ends before the new state is in place
+        assert spark.table("bucketed_pages").count() == 200
+        monkeypatch.undo()
+        G.upsert_table(new, "bucketed_pages", ["url", "kind"], 8)
+        got = {r.url: (r.title, r.n) for r in spark.table("bucketed_pages").collect()}
+        want = {f"u{k}": ("new" if k >= 150 and k % 2 == 0 else "old" if k < 200 else None, k if k < 200 else None) for k in range(250)}
+        assert got == want and not spark.catalog.tableExists("bucketed_pages__whole")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_pages", "bucketed_pages__next", "bucketed_pages__whole"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
