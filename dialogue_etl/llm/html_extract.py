@@ -160,7 +160,9 @@ def candidates(page: str) -> list[tuple[str, float]]:
         if total and chars >= NEARLY_ALL * total:
             last = path.rpartition(">")[2].partition(".")[0]
             out.append((path, BONUS.get(last, 0.0) + 0.01 * path.count(">")))
-    return sorted(out, key=lambda x: (-x[1], x[0]))
+    # An article is read whole: what it holds is no better place than the article itself.
+    articles = [path + ">" for path, _ in out if path.rpartition(">")[2].partition(".")[0] == "article"]
+    return sorted((x for x in out if not x[0].startswith(tuple(articles))), key=lambda x: (-x[1], x[0]))
 
 
 def extract(page: str, path: str | None) -> str:

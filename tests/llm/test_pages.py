@@ -43,6 +43,13 @@ def test_extract(spark, rows):
     assert html_extract.extract_pages(frame.limit(0), max_broadcast_rows=rows).collect() == []
 
 
+def test_very_long_page(spark):
+    """A page of megabytes is read whole, deep nesting too."""
+    body = "<article>" + "<div>" * 300 + "<p>" + "word &amp; more " * 150_000 + "</p>" + "</div>" * 300 + "<p>end</p></article>"
+    got = html_extract.extract_pages(spark.createDataFrame([(1, "http://a/", page(body))], "page_id long, url string, html string")).first()
+    assert got.text == "word & more " * 150_000 + "end" and got.n_chars == len(got.text)
+
+
 def test_hosts_agree(spark):
     """Of the containers that hold nearly all of a page's text the one that most pages of the host vote for wins."""
     usual = page('<div class="story"><p>' + "story text " * 40 + '</p><p>end</p></div>')
