@@ -132,6 +132,19 @@ def test_near_vector_edges(spark):
     assert embedding_dedup.near_vectors(frame.limit(0)).collect() == []
 
 
+def test_vectors_beside_clashing_columns(spark):
+    """Columns that are named like the operator's own change nothing."""
+    rows = [(1, [1.0, 0.0]), (2, [0.99, 0.01]), (3, [0.0, 1.0]), (2, [0.99, 0.01])]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    names = ("id", "n", "dim", "tab", "key", "digest", "code", "factor", "vec", "n_links", "component_id", "kept")
+    clash = plain.selectExpr("*", *[f"'x' AS {c}" for c in names])
+
+    def told(df):
+        return sorted(map(tuple, embedding_dedup.near_vectors(df).collect()))
+
+    assert told(clash) == told(plain) == [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (3, 0, 3, True)]
+
+
 def test_bound_holds():
     rng = np.random.default_rng(2)
     for dim in (16, 64):

@@ -183,6 +183,27 @@ def test_quality(spark):
     assert quality.score(docs.limit(0), labels).collect() == []
 
 
+def test_quality_of_repeated_and_very_long_rows(spark):
+    """Equal rows are judged alike, whatever their number; a text of a million words is read whole."""
+    docs, rows = quality_tables(spark)
+    labels = spark.createDataFrame([(i, q) for i, _, _, _, q in rows], "doc_id long, quality int")
+    one = docs.filter(f"doc_id = {rows[0][0]}")
+    many = docs
+    for _ in range(4):
+        many = many.unionByName(one)
+    long = one.withColumns({"doc_id": F.lit(10**6), "text": F.concat(F.repeat("text", 20_000), F.lit(" end"))})
+    got = quality.score(many.unionByName(long), labels, max_labelled=400).collect()
+    assert len({(round(r.score, 9), r.keep) for r in got if r.doc_id == rows[0][0]}) == 1 and sum(r.doc_id == rows[0][0] for r in got) == 5
+    assert [0 <= r.score <= 1 for r in got if r.doc_id == 10**6] == [True]
+
+
+def test_sizes_of_very_long_texts(spark):
+    """A text of a million words counts them all and stays within twice its size."""
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "doc_id long, source string").withColumn("text", F.when(F.col("doc_id") == 1, F.repeat(F.lit("word "), 1_000_000)).otherwise("x y"))
+    got = {r.doc_id: (r.size, r.taken) for r in mixing.mix(docs).collect()}
+    assert got[1][0] == 1_000_000 and 0 <= got[1][1] <= 2_000_000 and got[2][0] == got[3][0] == 2
+
+
 def test_quality_on_held_out_labels(spark):
     """Documents whose labels the classifier hasn't seen, and the share of views: no feature is in both."""
     sf = "/root/testdata/sf0.01"
