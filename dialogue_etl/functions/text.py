@@ -6,13 +6,10 @@ where the semantics ask for Unicode white space or for plain line feeds.
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+
+from dialogue_etl.functions.references import html_unescape
 
 # Words and patterns of the transcript format.
 UI_WORDS = ["编辑", "折叠", "展开", "收起", "返回顶部", "目录", "更多"]
@@ -30,16 +27,6 @@ SENTENCE_ENDS = ["。", "！", "？", "…", "」", "）"]
 CHOICE = "(?d)^\\[choice:([^\\]]+)\\](?U:\\s*)(.*)$"
 
 
-@pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda x: None if x is None else html.unescape(x))
-
-
-def html_unescape(text: Column) -> Column:
-    """HTML5 character references decoded; texts without '&' don't leave the JVM's value."""
-    return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
-
-
 #: Unicode white space.
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 

@@ -1,5 +1,8 @@
 """Hand-written edge rows of the line, version, coverage and page operators."""
 
+import html
+import random
+from html.entities import html5
 from urllib.parse import urljoin, urlparse, urlunparse
 
 import pytest
@@ -219,6 +222,21 @@ def test_references_of_the_rfc(spark):
     assert got == {(h, b): usual(h, b) for h in hrefs for b in bases}
 
 
+def test_character_references(spark):
+    """All names with and without what follows, numbers, broken references and random mixtures read as the standard
+    library reads them, without Python in the plan; numbers too long for it are no characters."""
+    texts = ["&" + n for n in html5] + [f"x&{n}y&" for n in html5]
+    texts += [f"&#{n}" for n in range(700)] + [f"a&#x{n:X};b" for n in [*range(0x180), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFEFF, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000]]
+    texts += ["", "&", "&&amp;&", "&amp;lt;", "&#" + "9" * 400 + ";", "&#000000000065;", "&#xFFFFFFFFFFFFFFFFFF", "&#X41;&#x;&#;", "&notit;&notin;", "& amp;", "&" + "a" * 50 + ";", "&lt\n&gt", "&😀😀;", "&;"]
+    parts, dice = ["&", "&#", "#x", "amp", ";", "lt", "19", "f", "G", " ", "\n", "not", "in", "<", "é"], random.Random(1)
+    texts += ["".join(dice.choice(parts) for _ in range(dice.randrange(30))) for _ in range(2000)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    done = frame.select("t", T.html_unescape(F.col("t")).alias("read"))
+    assert "Python" not in done._jdf.queryExecution().executedPlan().toString()
+    assert {r.t: r.read for r in done.collect()} == {None: None} | {t: html.unescape(t) for t in texts}
+    assert values(spark, ["&#" + "9" * 5000 + ";."], T.html_unescape) == [("\ufffd.",)]
+
+
 def test_rows_of_a_page_with_many_items(spark):
     """They leave the helper in pieces; all parts are those of the arrays."""
     many = "<p>a：b</p>" * 30_000
