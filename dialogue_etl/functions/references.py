@@ -54,7 +54,7 @@ def _character(code: Column) -> Column:
     return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(code), 8, "0"))), "UTF-32")
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), where the value is computed once however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -75,7 +75,7 @@ def _numbered(reference: Column) -> Column:
     """The character of a number in decimal or hexadecimal digits; of any length, as beyond seven digits none has one."""
     digits = F.regexp_extract(reference, "^#[xX]?0*([0-9a-fA-F]*)", 1)
     code = F.call_function("conv", F.concat(F.lit("0"), digits), F.when(reference.rlike("^#[xX]"), 16).otherwise(10), F.lit(10)).cast("int")
-    return _bound(F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(code), _of_code)
+    return bound(F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(code), _of_code)
 
 
 def _decoded(reference: Column) -> Column:
@@ -90,7 +90,7 @@ def _read(piece: Column) -> Column:
     out = F
     for name in USUAL:
         out = out.when(piece.startswith(name), F.concat(F.lit(html5[name]), F.substr(piece, F.lit(len(name) + 1))))
-    other = _bound(F.regexp_extract(piece, REFERENCE, 0), lambda x: F.concat(_decoded(x), F.substr(piece, F.length(x) + 1)))
+    other = bound(F.regexp_extract(piece, REFERENCE, 0), lambda x: F.concat(_decoded(x), F.substr(piece, F.length(x) + 1)))
     return out.otherwise(other)
 
 
@@ -106,4 +106,4 @@ def html_unescape(text: Column) -> Column:
         return F.when(x.contains("&"), F.array_join(pieces, "")).otherwise(x)
 
     # The text is bound once, as its own expression may be long.
-    return _bound(text, read)
+    return bound(text, read)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dialogue_etl.functions.references import html_unescape
+from dialogue_etl.functions.references import bound, html_unescape
 
 # Words and patterns of the transcript format.
 UI_WORDS = ["编辑", "折叠", "展开", "收起", "返回顶部", "目录", "更多"]
@@ -186,27 +186,40 @@ def resolver(host: str | None, path_prefix: str):
     reference of another scheme needs a host; a host in bad brackets gives null.
     """
 
-    def resolve(href: Column, base: Column) -> Column:
-        plain = F.regexp_replace(F.regexp_replace(href, "^[\\x00-\\x20]+", ""), "[\\t\\r\\n]", "")
-        scheme, netloc, raw, query = (F.regexp_extract(plain, REFERENCE, k) for k in (1, 2, 3, 4))
-        b_scheme, b_netloc, b_raw, b_query = (F.regexp_extract(base, REFERENCE, k) for k in (1, 2, 3, 4))
-        path, b_path = (F.regexp_replace(x, ";[^/]*$", "") for x in (raw, b_raw))
-        scheme, b_scheme = F.lower(scheme), F.lower(b_scheme)
+    def split(x: Column) -> Column:
+        """The parts of reference and base, each computed once."""
+        plain = F.regexp_replace(F.regexp_replace(x["href"], "^[\\x00-\\x20]+", ""), "[\\t\\r\\n]", "")
+        names = ["scheme", "netloc", "raw", "query"]
+        parts = [F.regexp_extract(plain, REFERENCE, k).alias(n) for k, n in enumerate(names, 1)]
+        return F.struct((~x["href"].startswith("#")).alias("open"), *parts, *[F.regexp_extract(x["base"], REFERENCE, k).alias(f"b_{n}") for k, n in enumerate(names, 1)])
+
+    def join(x: Column) -> Column:
+        scheme, netloc, raw, query, b_netloc, b_raw, b_query = (x[n] for n in ("scheme", "netloc", "raw", "query", "b_netloc", "b_raw", "b_query"))
+        scheme, b_scheme = F.lower(scheme), F.lower(x["b_scheme"])
+        path, b_path = (F.regexp_replace(p, ";[^/]*$", "") for p in (raw, b_raw))
         # The base's folder and the reference's segments, without the empty ones in between.
         b_parts = F.split(b_raw, "/")
         folder = F.when(F.element_at(b_parts, -1) == "", b_parts).otherwise(F.slice(b_parts, F.lit(1), F.greatest(F.size(b_parts) - 1, F.lit(0))))
-        below = F.concat(folder, F.split(path, "/"))
-        below = F.concat(F.slice(below, 1, 1), F.filter(F.slice(below, F.lit(2), F.greatest(F.size(below) - 2, F.lit(0))), lambda x: x != ""), F.slice(below, -1, 1))
-        joined = F.when((path == "") & (raw == ""), b_path).otherwise(_folded(F.when(path.startswith("/"), F.split(path, "/")).otherwise(below)))
+        below = bound(F.concat(folder, F.split(path, "/")), lambda p: F.concat(F.slice(p, 1, 1), F.filter(F.slice(p, F.lit(2), F.greatest(F.size(p) - 2, F.lit(0))), lambda y: y != ""), F.slice(p, -1, 1)))
+        joined = F.when((path == "") & (raw == ""), b_path).otherwise(bound(F.when(path.startswith("/"), F.split(path, "/")).otherwise(below), _folded))
         away = netloc != ""  # a host of its own
         own = F.when((raw == "") & (query == ""), b_query).otherwise(query)
-        out_path, out_query, out_host = F.when(away, path).otherwise(joined), F.when(away, query).otherwise(own), F.when(away, netloc).otherwise(b_netloc)
-        known = away | (scheme == "") | (scheme == b_scheme)
-        good = known & ~href.startswith("#") & out_path.startswith(path_prefix) & out_host.rlike(GOOD_HOST) & (out_host != "")
+        return F.struct(
+            (x["open"] & (away | (scheme == "") | (scheme == b_scheme))).alias("known"),
+            F.when(scheme == "", b_scheme).otherwise(scheme).alias("scheme"),
+            F.when(away, netloc).otherwise(b_netloc).alias("host"),
+            F.when(away, path).otherwise(joined).alias("path"),
+            F.when(away, query).otherwise(own).alias("query"),
+        )
+
+    def write(x: Column) -> Column:
+        good = x["known"] & x["path"].startswith(path_prefix) & x["host"].rlike(GOOD_HOST) & (x["host"] != "")
         if host is not None:
-            good &= out_host == host
-        full = F.concat(F.when(scheme == "", b_scheme).otherwise(scheme), F.lit("://"), out_host, out_path, F.when(out_query != "", F.concat(F.lit("?"), out_query)).otherwise(F.lit("")))
-        return F.when(good & base.isNotNull(), full)
+            good &= x["host"] == host
+        return F.when(good, F.concat(x["scheme"], F.lit("://"), x["host"], x["path"], F.when(x["query"] != "", F.concat(F.lit("?"), x["query"])).otherwise(F.lit(""))))
+
+    def resolve(href: Column, base: Column) -> Column:
+        return bound(F.struct(href.alias("href"), base.alias("base")), lambda x: bound(split(x), lambda y: bound(join(y), write)))
 
     return resolve
 
