@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from dialogue_etl.functions import pages as P
 from dialogue_etl.functions import text as T
@@ -32,9 +33,16 @@ def counts_in(keys: list[str], text: str) -> list[int]:
     return [found[number[k]] if k else 0 for k in keys]
 
 
-@pandas_udf(ArrayType(IntegerType()))
-def _occurrences(keys: pd.Series, text: pd.Series) -> pd.Series:
-    return pd.Series([counts_in(list(k), t) for k, t in zip(keys, text)], dtype=object)
+def _occurrences(packed: DataFrame) -> DataFrame:
+    """(page, keys, n) of packed (page, keys, target): how often each key stands in the text, a few pages at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in P.in_pieces(batches):
+            found = [counts_in(k, t) for k, t in zip(batch.column("sought").to_pylist(), batch.column("target").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("page"), batch.column("keys"), pa.array(found, pa.list_(pa.int32()))], names=["page", "keys", "n"])
+
+    rows = packed.select("page", "keys", F.transform("keys", lambda k: k["key"]).alias("sought"), F.coalesce("target", F.lit("")).alias("target"))
+    return rows.mapInArrow(run, StructType([rows.schema["page"], rows.schema["keys"], StructField("n", ArrayType(IntegerType()))]))
 
 
 def _unsettled(grouped: DataFrame, whole: DataFrame | None, wanted: str) -> DataFrame:
@@ -52,8 +60,7 @@ def _counted(groups: DataFrame, texts: DataFrame, fields: list[str], name: str)
     A page's keys are packed into one array before they meet its text, so each text exists once and is read once.
     """
     packed = groups.groupBy("page").agg(F.collect_list(F.struct("key", *fields)).alias("keys")).join(texts, "page", "left")
-    found = packed.select("page", "keys", _occurrences(F.transform("keys", lambda k: k["key"]), F.coalesce("target", F.lit(""))).alias("n"))
-    rows = found.select("page", F.explode(F.arrays_zip("keys", "n")).alias("k"))
+    rows = _occurrences(packed).select("page", F.explode(F.arrays_zip("keys", "n")).alias("k"))
     return rows.select("page", *[F.col(f"k.keys.{c}").alias(c) for c in ["key", *fields]], F.col("k.n").alias(name))
 
 

@@ -1,9 +1,11 @@
 """Queries against their SQL on rows that the given tables have only where they are large."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from dialogue_etl import registry
+from dialogue_etl.functions.pages import PIECE, in_pieces
 from tests.test_queries import rows
 
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
@@ -44,3 +46,11 @@ def cut(tmp_path_factory):
 @pytest.mark.parametrize("name", ["b1_html_unescape", "b10_strip_tags", "b12_page_title", "c1_visible_text", "c2_main_content_text"])
 def test_titles_cut_inside_a_reference(name, spark, cut):
     check(spark, cut, name)
+
+
+def test_pages_leave_the_helper_in_pieces():
+    """A batch of any size is taken in pieces; all rows stay, in order."""
+    batch = pa.RecordBatch.from_pydict({"page": list(range(1000))})
+    pieces = list(in_pieces(iter([batch, batch.slice(0, 3)])))
+    assert max(p.num_rows for p in pieces) <= PIECE < batch.num_rows
+    assert [x for p in pieces for x in p.column("page").to_pylist()] == [*range(1000), 0, 1, 2]
