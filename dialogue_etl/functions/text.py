@@ -15,10 +15,13 @@ from dialogue_etl.functions.references import bound, html_unescape
 UI_WORDS = ["编辑", "折叠", "展开", "收起", "返回顶部", "目录", "更多"]
 IMAGE_LINE = "(?i)^.*\\.(?:png|jpg|jpeg|gif|webp|svg)$"
 INLINE_IMAGES = [
-    "(?iU)[\\w\\-\\u4e00-\\u9fff]+头像(?:-\\d+)?\\.(?:png|jpg|jpeg|gif|webp)",
+    # Tried once a run of letters, at its start or after an image: from inside the run it finds nothing more.
+    "(?iU)(?:\\G|(?<![\\w\\-\\u4e00-\\u9fff]))[\\w\\-\\u4e00-\\u9fff]+头像(?:-\\d+)?\\.(?:png|jpg|jpeg|gif|webp)",
     "(?i)图标-位置\\.(?:png|jpg|jpeg|gif|webp)",
     "(?i)短信-警告\\.(?:png|jpg|jpeg|gif|webp)",
 ]
+#: What a line holds that INLINE_IMAGES or choice_markup() changes; on other lines their patterns aren't tried.
+MARKS = ["头像", "图标-位置", "短信-警告", "剧情选项-图标-"]
 META_PREFIXES = ["所属版本", "任务描述", "出场人物"]
 HEADINGS = ["剧情内容", "剧情梗概", "过场动画"]
 EXTRA_HEADING = "额外对话"
@@ -37,7 +40,7 @@ def strip(text: Column) -> Column:
 
 
 def plain_spaces(text: Column) -> Column:
-    return F.translate(text, "\u00a0\u3000", "  ")
+    return F.replace(F.replace(text, F.lit("\u00a0"), F.lit(" ")), F.lit("\u3000"), F.lit(" "))
 
 
 def clean_text(text: Column, unescape: bool = True) -> Column:
@@ -58,11 +61,19 @@ def choice_markup(line: Column) -> Column:
     return F.when(line.rlike(pattern), F.when(text == "", marked).otherwise(F.concat(marked, F.lit(" "), text))).otherwise(line)
 
 
+def _single_spaces(line: Column) -> Column:
+    """Runs of spaces and tabs as one space; a single space is no match."""
+    return F.regexp_replace(line, "\\t[ \\t]*| [ \\t]+", " ")
+
+
 def clean_line(raw: Column) -> Column:
-    line = strip(raw)
+    line = plain = strip(raw)
     for pattern in INLINE_IMAGES:
         line = F.regexp_replace(line, pattern, "")
-    return strip(F.regexp_replace(choice_markup(line), "[ \\t]+", " "))
+    marked = F.lit(False)
+    for mark in MARKS:
+        marked = marked | raw.contains(mark)
+    return F.when(marked, strip(_single_spaces(choice_markup(line)))).otherwise(_single_spaces(plain))
 
 
 def is_dropped(line: Column) -> Column:

@@ -16,7 +16,7 @@ from dialogue_etl.operators.scan import with_neighbours
 
 def numbered_lines(docs: DataFrame, source: str = "source", text: str = "text", unescape: bool = True) -> DataFrame:
     """One row a line, numbered from 1 in the raw text."""
-    raw = F.regexp_replace(F.col(text), "\\r\\n?", "\n")
+    raw = F.when(F.col(text).contains("\r"), F.regexp_replace(F.col(text), "\\r\\n?", "\n")).otherwise(F.col(text))
     raw = T.plain_spaces(T.html_unescape(raw) if unescape else raw)
     return docs.select(F.col(source).alias("source"), F.posexplode(F.split(raw, "\n"))).select("source", (F.col("pos") + 1).alias("line_no"), F.col("col").alias("line"))
 

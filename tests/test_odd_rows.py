@@ -1,10 +1,16 @@
 """Queries against their SQL on rows that the given tables have only where they are large."""
 
+import random
+import re
+import time
+
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dialogue_etl import registry
+from dialogue_etl.functions import text as T
 from dialogue_etl.functions.pages import PIECE, in_pieces
 from tests.test_queries import rows
 
@@ -54,3 +60,30 @@ def test_pages_leave_the_helper_in_pieces():
     pieces = list(in_pieces(iter([batch, batch.slice(0, 3)])))
     assert max(p.num_rows for p in pieces) <= PIECE < batch.num_rows
     assert [x for p in pieces for x in p.column("page").to_pylist()] == [*range(1000), 0, 1, 2]
+
+
+def test_cleaned_lines_are_those_of_the_plain_patterns(spark):
+    """Lines made of the parts that cleaning knows, against the patterns tried on every line from every place."""
+    parts = ["a", "星", "头像", "头像-2", ".png", ".PNG", "-", " ", "  ", "\t", "图标-位置.png", "短信-警告.webp", "剧情选项-图标-", "。"]
+    rng = random.Random(3)
+    lines = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(3000)]
+
+    def plain(line):
+        line = line.strip()
+        for pattern in (r"[\w\-一-鿿]+头像(?:-\d+)?\.(?:png|jpg|jpeg|gif|webp)", r"图标-位置\.(?:png|jpg|jpeg|gif|webp)", r"短信-警告\.(?:png|jpg|jpeg|gif|webp)"):
+            line = re.sub(pattern, "", line, flags=re.I)
+        m = re.match(r"^剧情选项-图标-([^.\s]+)\.png\s*(.*)$", line)
+        if m:
+            line = f"[choice:{m[1].strip()}] {m[2].strip()}" if m[2].strip() else f"[choice:{m[1].strip()}]"
+        return re.sub(r"[ \t]+", " ", line).strip()
+
+    got = spark.createDataFrame([(x,) for x in lines], "x string").select(T.clean_line(F.col("x"))).collect()
+    assert [r[0] for r in got] == [plain(x) for x in lines]
+
+
+def test_long_lines_take_time_in_proportion(spark):
+    """Two lines of 200,000 letters without a gap, one of them with the mark of an image: seconds, not minutes."""
+    frame = spark.createDataFrame([("字" * 200_000,), ("头像" + "字" * 200_000,)], "x string")
+    start = time.monotonic()
+    assert [r[0] for r in frame.select(F.length(T.clean_line(F.col("x")))).collect()] == [200_000, 200_002]
+    assert time.monotonic() - start < 30
