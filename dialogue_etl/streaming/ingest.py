@@ -19,8 +19,8 @@ def urls_table(path: str, slots: int = 64) -> KeyedTable:
     return KeyedTable(path, "url string", "url", slots)
 
 
-def ingest(spark: SparkSession, incoming: str, table: KeyedTable, checkpoint: str, files_per_trigger: int = 4, force: bool = False) -> None:
-    """Merges all new page files into the table and stops.
+def ingest(spark: SparkSession, incoming: str, table: KeyedTable, checkpoint: str, files_per_trigger: int | None = 4, force: bool = False) -> None:
+    """Merges all new page files into the table and stops; files_per_trigger is a batch's number of files, None for all.
 
     Of the pages of one normalised URL the smallest page_id counts; pages without a URL are left out. URLs that the
     table has already keep their row; with force the new page replaces it. No state grows in the stream: each batch
@@ -33,8 +33,10 @@ def ingest(spark: SparkSession, incoming: str, table: KeyedTable, checkpoint: st
         table.merge(rows.withColumn("nth", first).filter("nth = 1").drop("nth"), base + number, force)
 
     base = table.first_batch(spark, checkpoint)
-    stream = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(incoming)
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream = spark.readStream.schema(PAGE_SCHEMA)
+    if files_per_trigger is not None:
+        stream = stream.option("maxFilesPerTrigger", files_per_trigger)
+    stream.parquet(incoming).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def distinct_urls(spark: SparkSession, incoming: str, table: KeyedTable, checkpoint: str, files_per_trigger: int = 4) -> None:
