@@ -50,30 +50,32 @@ def header(title: Column, source: Column, version: Column, *parts: str) -> Colum
 
 
 def mended(pages: DataFrame) -> DataFrame:
-    """(source, line_no, line) of rows (page, lines): speaker pairs joined, blank lines tidied; one shuffle by page."""
-    rows = pages.select(F.col("page").alias("source"), F.posexplode("lines").alias("pos", "line")).select("source", (F.col("pos") + 1).alias("line_no"), "line")
+    """(source, line_no, line, page) of rows (row, page, lines), row as source: speaker pairs joined, blank lines tidied;
+    one shuffle by row."""
+    rows = pages.select(F.col("row").alias("source"), "page", F.posexplode("lines").alias("pos", "line")).select("source", (F.col("pos") + 1).alias("line_no"), "line", "page")
     return L.tidy_lines(L.repair_markdown_pairs(rows))
 
 
-def _packed(rows: DataFrame, page: str, order: str) -> DataFrame:
-    """(page, lines): each page's lines in order."""
+def _packed(rows: DataFrame, row: str, order: str) -> DataFrame:
+    """(row, page, lines): each row's lines in order."""
     lines = F.transform(F.array_sort(F.collect_list(F.struct(order, "line"))), lambda x: x["line"])
-    return rows.groupBy(F.col(page).alias("page")).agg(lines.alias("lines"))
+    return rows.groupBy(F.col(row).alias("row")).agg(F.first("page").alias("page"), lines.alias("lines"))
 
 
 def _of_pages(rows: DataFrame, parts: tuple[str, ...], suffix: str) -> DataFrame:
     """rendered() of rows (page, title, source, version, blocks, error), each a page of its own whatever its id.
 
-    The lines of a row carry its number and counts through the one shuffle, so nothing is joined back by the id.
+    The lines of a row carry its id, counts and error through the one shuffle, so nothing is joined back by the id, and
+    rows with and without an error come from one reading: a union of both would read every page twice.
     """
     spoken = F.size(F.filter("blocks", lambda b: (b["kind"] == "said") & (b["depth"] <= 1)))
     groups = F.size(F.filter("blocks", lambda b: (b["kind"] == "group") & (b["depth"] == 0)))
     raw = F.concat(header(F.concat("title", F.lit(suffix)), F.col("source"), F.col("version"), *parts), outline_lines(F.col("blocks")))
-    own = F.struct(F.monotonically_increasing_id().alias("row"), "page", spoken.alias("dialogue_count"), groups.alias("choice_group_count"))
-    whole = _packed(mended(rows.filter("error IS NULL").select(own.alias("page"), raw.alias("lines"))), "source", "line_no")
-    done = whole.select("page.page", "lines", "page.dialogue_count", "page.choice_group_count", F.lit(None).cast("string").alias("error"))
-    broken = rows.filter("error IS NOT NULL").select("page", F.lit(None).cast("array<string>").alias("lines"), spoken.alias("dialogue_count"), groups.alias("choice_group_count"), "error")
-    return done.unionByName(broken)
+    # One line stands for a page with an error.
+    shown = F.when(F.col("error").isNull(), raw).otherwise(F.array(F.lit("#")))
+    own = F.struct("page", spoken.alias("dialogue_count"), groups.alias("choice_group_count"), "error")
+    whole = _packed(mended(rows.select(F.monotonically_increasing_id().alias("row"), own.alias("page"), shown.alias("lines"))), "source", "line_no")
+    return whole.select("page.page", F.when(F.col("page.error").isNull(), F.col("lines")).alias("lines"), "page.dialogue_count", "page.choice_group_count", "page.error")
 
 
 def rendered(read: DataFrame, meta: DataFrame, parts: tuple[str, ...] = (f"## {STORY_HEADING}",), suffix: str = "") -> DataFrame:
@@ -86,9 +88,9 @@ def rendered(read: DataFrame, meta: DataFrame, parts: tuple[str, ...] = (f"## {S
 
 
 def _read_with_meta(pages: DataFrame, meta: dict[str, Column], html_col: str, heading: str) -> DataFrame:
-    """read_pages() with the columns of meta, which travel with each page through the reading."""
+    """The outlines of read_pages() with the columns of meta, which travel with each page through the reading."""
     named = pages.select(F.struct(*[c.alias(name) for name, c in meta.items()]).alias("page"), F.col(html_col).alias("html"))
-    return read_pages(named, "page", "html", heading)
+    return read_pages(named, "page", "html", heading, items=False)
 
 
 def story_markdown(pages: DataFrame, id_col: str, html_col: str, title: str, source: str, version: str, heading: str = STORY_HEADING) -> DataFrame:
@@ -110,15 +112,13 @@ def profile_markdown(pages: DataFrame, id_col: str, html_col: str, title: str, s
     done = _of_pages(read.select(own, "page.title", "page.source", "page.version", "blocks", "error"), (f"## {part}", f"### {heading}"), f" - {heading}")
     # An entry may hold line ends of its own.
     # The row's number is made before the lines are rows.
-    keyed = done.filter("error IS NULL").select(F.struct(F.monotonically_increasing_id().alias("row"), "page").alias("page"), "lines")
-    rows = keyed.select("page", F.posexplode(F.split(F.array_join("lines", "\n"), "\n")).alias("pos", "line"))
+    keyed = done.select(F.monotonically_increasing_id().alias("row"), F.struct("page", "error").alias("page"), "lines")
+    rows = keyed.select("row", "page", F.posexplode(F.split(F.coalesce(F.array_join("lines", "\n"), F.lit("#")), "\n")).alias("pos", "line"))
     group = "^(\\s*)> 选项组 \\d+："
-    number = F.count_if(F.col("line").rlike(group)).over(Window.partitionBy("page").orderBy("pos"))
+    number = F.count_if(F.col("line").rlike(group)).over(Window.partitionBy("row").orderBy("pos"))
     renumbered = F.when(F.col("line").rlike(group), F.concat(F.regexp_extract("line", group, 1), F.lit("> 选项组 "), number, F.lit("："), F.regexp_replace("line", group, ""))).otherwise(F.col("line"))
     rows = rows.withColumn("line", renumbered)
     counts = {"dialogue_count": F.size(F.filter("lines", lambda x: x.rlike("^\\s*- \\*\\*[^*]+\\*\\*："))), "choice_group_count": F.size(F.filter("lines", lambda x: x.rlike(group)))}
-    whole = _packed(rows, "page", "pos").select("page.page.*", "lines").withColumns(counts)
+    whole = _packed(rows, "row", "pos").select("page.page.*", "page.error", "lines").withColumns(counts)
     stats = F.format_string("<!-- parser_stats: title=%s; version=%s; dialogue_count=%d; choice_group_count=%d -->", "title", F.coalesce(F.nullif("version", F.lit("")), F.lit("(unknown)")), "dialogue_count", "choice_group_count")
-    told = whole.select("page", F.concat("lines", F.array(F.lit(""), stats)).alias("lines"), *counts, F.lit(None).cast("string").alias("error"))
-    broken = done.filter("error IS NOT NULL").select("page.page", "lines", F.lit(0).alias("dialogue_count"), F.lit(0).alias("choice_group_count"), "error")
-    return told.unionByName(broken)
+    return whole.select("page", F.when(F.col("error").isNull(), F.concat("lines", F.array(F.lit(""), stats))).alias("lines"), *counts, "error")

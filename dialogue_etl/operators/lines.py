@@ -1,7 +1,7 @@
 """Ordered-line operators: windows partitioned by document and ordered by line number.
 
-A lines table has the columns source, line_no, line. All windows below share one partitioning and order, so
-Spark sorts a document's lines once. Operators that look at neighbours take `segment`: the line numbers that one task
+A lines table has the columns source, line_no, line; the operators on Markdown keep any other column that a line has. All
+windows below share one partitioning and order, so Spark sorts a document's lines once. Operators that look at neighbours take `segment`: the line numbers that one task
 sees of a document at a time (scan.py), None for whole documents.
 """
 
@@ -154,7 +154,7 @@ def repair_markdown_pairs(lines: DataFrame, names: list[str] | None = None, segm
     starts = F.col("known") & F.coalesce("after.payload", F.lit(False))
     swallowed = F.col("before.known") & F.when(F.col("line") == "", F.coalesce("after.payload", F.lit(False))).otherwise(F.col("payload"))
     merged = F.when(starts, F.concat(F.lit("- **"), T.strip(F.col("line")), F.lit("**："), T.strip(F.col("after.line")))).otherwise(F.col("line"))
-    return rows.filter(~F.coalesce(swallowed, F.lit(False))).select("source", "line_no", merged.alias("line"))
+    return rows.filter(~F.coalesce(swallowed, F.lit(False))).select(*(merged.alias(c) if c == "line" else c for c in lines.columns))
 
 
 def renumber(rows: DataFrame, by: list[str], order: list[str], name: str = "group_no") -> DataFrame:
@@ -166,7 +166,7 @@ def tidy_lines(lines: DataFrame, segment: int | None = None) -> DataFrame:
     line = F.regexp_replace("line", "(?U)\\s+$", "")
     told = F.when(line != "", F.col("line_no"))
     rows = with_neighbours(lines.withColumn("tidy", line), {"before": ("before", F.col("line") == ""), "a": ("least", told), "z": ("greatest", told)}, segment)
-    return rows.filter("NOT (line = '' AND coalesce(before, false)) AND line_no BETWEEN a AND z").select("source", "line_no", F.col("tidy").alias("line"))
+    return rows.filter("NOT (line = '' AND coalesce(before, false)) AND line_no BETWEEN a AND z").select(*(F.col("tidy").alias(c) if c == "line" else c for c in lines.columns))
 
 
 def joined_text(rows: DataFrame, by: list[str], order: str, line: Column | str, name: str = "text") -> DataFrame:

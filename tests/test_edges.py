@@ -192,6 +192,19 @@ def test_repeated_pages_are_pages_of_their_own(spark):
     assert [t for t, _ in told] == ["1", "1", "None"] and told[0][1].startswith("<!-- parser_stats: title=t;") and told[1][1].startswith("<!-- parser_stats: title=u;")
 
 
+def test_pages_are_read_once_for_their_markdown(spark):
+    """Pages with and without an error come from one reading, which takes no inventory."""
+    told = "<h3>大世界对话</h3><p>a：one</p>"
+    frame = spark.createDataFrame([(1, told, "t", "s", "3.0"), (1, "<p>b：two</p>", "u", "s", None), (None, "<p>c</p>", "v", "s", None)], "page int, html string, title string, source string, version string")
+    for render in (story_markdown, profile_markdown):
+        plan = render(frame, "page", "html", "title", "source", "version")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "items#" not in plan
+    got = profile_markdown(frame, "page", "html", "title", "source", "version").collect()
+    assert sorted((str(r.page), r.lines is None, r.dialogue_count, r.choice_group_count, r.error or "") for r in got) == [("1", False, 1, 0, ""), ("1", True, 0, 0, "no heading 大世界对话"), ("None", True, 0, 0, "no heading 大世界对话")]
+    whole, blocks = (P.read_pages(frame, "page", "html", items=x).select("page", "blocks", "error").collect() for x in (True, False))
+    assert whole == blocks and len(whole) == 3
+
+
 RFC_3986 = {
     "g": "/b/c/g", "./g": "/b/c/g", "g/": "/b/c/g/", "/g": "/g", "//g": "g", "?y": "/b/c/d?y", "g?y": "/b/c/g?y", "g#s": "/b/c/g", "g?y#s": "/b/c/g?y", "g;x": "/b/c/g", "": "/b/c/d?q", ".": "/b/c/", "./": "/b/c/",
     "..": "/b/", "../": "/b/", "../g": "/b/g", "../..": "/", "../../": "/", "../../g": "/g", "../../../g": "/g", "../../../../g": "/g", "/./g": "/g", "/../g": "/g", "g.": "/b/c/g.", ".g": "/b/c/.g", "g..": "/b/c/g..",
