@@ -1,9 +1,9 @@
-"""A sink of one named file a row, published all or nothing, as a Spark data source.
+"""A sink of one named file a row, published all or nothing, and its reader, as a Spark data source.
 
 Every task writes its files into a folder of its attempt and, once all are written, moves them into the job's staging
 folder; what a killed or failed attempt leaves behind is never looked at. The driver publishes by exchanging the
 staging folder for the old one: two renames, whatever the number of files. A job that fails removes its staging folder
-and leaves the old output as it was.
+and leaves the old output as it was. A task reads as many files as make up its share, however small they are.
 """
 
 from __future__ import annotations
@@ -18,7 +18,11 @@ from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+
+#: What a task reads at most, but one file at least; and what leaves it at once.
+TASK_FILES, TASK_BYTES = 512, 64 << 20
+BATCH_FILES, BATCH_BYTES = 64, 4 << 20
 
 
 @dataclass
@@ -92,8 +96,48 @@ class _Writer(DataSourceArrowWriter):
             system.delete_dir(staging)
 
 
+@dataclass
+class _Share(InputPartition):
+    names: list[str]
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self) -> list[_Share]:
+        system, root = _folder(self.path)
+        shares, size = [_Share([])], 0
+        for info in system.get_file_info(arrow_fs.FileSelector(root, recursive=True)):
+            if info.type != arrow_fs.FileType.File:
+                continue
+            if shares[-1].names and (len(shares[-1].names) >= TASK_FILES or size + info.size > TASK_BYTES):
+                shares.append(_Share([]))
+                size = 0
+            shares[-1].names.append(info.path[len(root) + 1 :])
+            size += info.size
+        return shares
+
+    def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
+        system, root = _folder(self.path)
+        names, texts, size = [], [], 0
+        for name in partition.names:
+            with system.open_input_stream(f"{root}/{name}") as file:
+                texts.append(file.read())
+            names.append(name)
+            size += len(texts[-1])
+            if len(names) == BATCH_FILES or size >= BATCH_BYTES:
+                yield self._batch(names, texts)
+                names, texts, size = [], [], 0
+        if names:
+            yield self._batch(names, texts)
+
+    def _batch(self, names: list[str], texts: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.binary()).cast(pa.string())], names=["name", "text"])
+
+
 class NamedFiles(DataSource):
-    """Format `named_files`: rows (name, text), the option path; only mode overwrite."""
+    """Format `named_files`: rows (name, text), the option path; written in mode overwrite only."""
 
     @classmethod
     def name(cls) -> str:
@@ -102,6 +146,9 @@ class NamedFiles(DataSource):
     def schema(self) -> str:
         return "name string, text string"
 
+    def reader(self, schema) -> _Reader:
+        return _Reader(self.options["path"])
+
     def writer(self, schema, overwrite: bool) -> _Writer:
         if not overwrite:
             raise ValueError("named_files replaces its folder: write with mode overwrite")
@@ -124,8 +171,8 @@ def write_documents(texts: DataFrame, path: str, key: str, text: str = "text", s
 def read_documents(spark: SparkSession, path: str, key: str, suffix: str = ".md") -> DataFrame:
     """(key, text) of the files that write_documents() wrote, with the line end after the text.
 
-    Files are read as bytes, which took a third of the time of whole texts on 25,641 files.
+    Spark's own readers count 4 MB for the opening of a file: small files would be read a few a task.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = F.substring_index("path", f"/{posixpath.basename(path.rstrip('/'))}/", -1)
-    return files.select(F.substring(name, F.lit(1), F.length(name) - len(suffix)).alias(key), F.col("content").cast("string").alias("text"))
+    spark.dataSource.register(NamedFiles)
+    files = spark.read.format("named_files").load(path)
+    return files.select(F.substring("name", F.lit(1), F.length("name") - len(suffix)).alias(key), "text")

@@ -109,6 +109,17 @@ def test_documents_are_published_whole_or_not_at_all(spark):
     assert os.listdir(local) == ["three.txt"]
     D.write_documents(texts.limit(0), path, "name")
     assert os.listdir(local) == []
+    assert D.read_documents(spark, path, "name").collect() == []
+
+
+def test_small_documents_are_read_many_a_task(spark):
+    """Tasks grow with files and bytes, not with Spark's cost of opening a file; every file is read once."""
+    path = scratch(spark, "docs")
+    texts = spark.range(2000).select(F.concat(F.when(F.col("id") % 2 == 0, "_").otherwise("sub/"), "id").alias("name"), F.repeat(F.lit("é"), F.col("id").cast("int")).alias("text"))
+    D.write_documents(texts, path, "name")
+    read = D.read_documents(spark, path, "name")
+    assert read.rdd.getNumPartitions() == -(-2000 // D.TASK_FILES)
+    assert sorted(map(tuple, read.collect())) == sorted((f"{'sub/' if k % 2 else '_'}{k}", "é" * k + "\n") for k in range(2000))
 
 
 def test_counts_without_overlap():
